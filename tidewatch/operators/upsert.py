@@ -132,5 +132,11 @@ def upsert_with_lookup(
 
 
 def empty_like(spark, schema: T.StructType) -> DataFrame:
-    """An empty table of ``schema`` (the state before the first load)."""
-    return spark.createDataFrame([], schema)
+    """An empty table of ``schema`` (the state before the first load).
+
+    Built as a filtered-out one-row relation, which the optimizer folds to
+    an empty local relation; joins and unions with it are then removed at
+    plan time (an empty RDD-backed frame would still be shuffled).
+    """
+    row = spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return row.where(F.lit(False))

@@ -441,6 +441,17 @@ _rig_monthly = """
   FROM o_rig_star GROUP BY date, country_name, region, drilling_target, location_type, rig_status
 """
 
+EXEC_SELECT = f"""
+SELECT TIMESTAMP '{RUN_TIME}' AS snapshot_generated_at, rig.*, price.*,
+       weather.forecast_reference_time AS weather_forecast_reference_time, weather.first_forecast_valid_time,
+       weather.last_forecast_valid_time, weather.monitored_assets, weather.forecast_hours, weather.green_hours,
+       weather.amber_hours, weather.red_hours, weather.unknown_hours,
+       {pct('weather.green_hours', 'weather.forecast_hours')} AS green_hours_percent,
+       {pct('weather.amber_hours', 'weather.forecast_hours')} AS amber_hours_percent,
+       {pct('weather.red_hours', 'weather.forecast_hours')} AS red_hours_percent
+FROM ({_rig_latest}) rig CROSS JOIN ({_price_latest}) price CROSS JOIN ({_weather_run}) weather
+"""
+
 SQL: dict[str, str] = {
     # ---------------------------------------------------------------- weather
     "offshore_risk_summary": RISK_SUMMARY,
@@ -575,16 +586,7 @@ QUALIFY row_number() OVER (PARTITION BY country_name, drilling_target, location_
 """),
     "latest_rig_summary": q(_rig_latest),
     # ------------------------------------------------------------- integrated
-    "executive_snapshot": q(f"""
-SELECT TIMESTAMP '{RUN_TIME}' AS snapshot_generated_at, rig.*, price.*,
-       weather.forecast_reference_time AS weather_forecast_reference_time, weather.first_forecast_valid_time,
-       weather.last_forecast_valid_time, weather.monitored_assets, weather.forecast_hours, weather.green_hours,
-       weather.amber_hours, weather.red_hours, weather.unknown_hours,
-       {pct('weather.green_hours', 'weather.forecast_hours')} AS green_hours_percent,
-       {pct('weather.amber_hours', 'weather.forecast_hours')} AS amber_hours_percent,
-       {pct('weather.red_hours', 'weather.forecast_hours')} AS red_hours_percent
-FROM ({_rig_latest}) rig CROSS JOIN ({_price_latest}) price CROSS JOIN ({_weather_run}) weather
-"""),
+    "executive_snapshot": q(EXEC_SELECT),
     # ---------------------------------------------------------- observability
     "latest_pipeline_run": q(
         "SELECT * FROM o_runs ORDER BY started_at DESC, pipeline_run_key DESC LIMIT 1"
@@ -652,3 +654,106 @@ SQL["fact_marine_rows"] = q(
     + ", ".join(MAR_D) + ", source, ingestion_time FROM o_fact_marine"
 )
 SQL["fact_risk_rows"] = q("SELECT * FROM o_fact_risk")
+
+# ----------------------------------------------------------------- serving
+ASSET_D = (
+    "a.asset_id, a.asset_name, a.asset_type, a.operator_name, a.is_active, CAST(a.max_wind_kmh AS DOUBLE) AS max_wind_kmh, "
+    "CAST(a.max_gust_kmh AS DOUBLE) AS max_gust_kmh, CAST(a.max_wave_height_m AS DOUBLE) AS max_wave_height_m, "
+    "CAST(a.minimum_visibility_m AS DOUBLE) AS minimum_visibility_m, l.location_name, l.country, "
+    "CAST(l.latitude AS DOUBLE) AS latitude, CAST(l.longitude AS DOUBLE) AS longitude"
+)
+_current_risk = f"""
+  SELECT asset_id, forecast_reference_time, forecast_valid_time, overall_risk_level FROM o_fact_risk
+  WHERE forecast_reference_time = (SELECT MAX(forecast_reference_time) FROM o_fact_risk)
+    AND forecast_valid_time >= TIMESTAMP '{AS_OF}'
+  QUALIFY row_number() OVER (PARTITION BY asset_id ORDER BY forecast_valid_time, source) = 1
+"""
+_asset_map = f"""
+  SELECT a.asset_id, a.asset_name, a.asset_type, a.operator_name, l.location_name, l.country,
+         CAST(l.latitude AS DOUBLE) AS latitude, CAST(l.longitude AS DOUBLE) AS longitude,
+         CAST(a.max_wind_kmh AS DOUBLE) AS max_wind_kmh, CAST(a.max_gust_kmh AS DOUBLE) AS max_gust_kmh,
+         CAST(a.max_wave_height_m AS DOUBLE) AS max_wave_height_m,
+         CAST(a.minimum_visibility_m AS DOUBLE) AS minimum_visibility_m,
+         r.forecast_reference_time, r.forecast_valid_time, COALESCE(r.overall_risk_level, 'UNKNOWN') AS overall_risk_level,
+         l.latitude AS lat_dec, l.longitude AS lon_dec
+  FROM o_dim_asset a JOIN o_dim_location l ON l.location_id = a.location_id
+  LEFT JOIN ({_current_risk}) r ON r.asset_id = a.asset_id
+  WHERE a.is_active
+"""
+_daily_price = f"""
+  SELECT date, product_code, product_name AS product, commodity_type, unit, source,
+         {avg_exact('price_usd')} AS average_price_usd
+  FROM o_price_star GROUP BY date, product_code, product_name, commodity_type, unit, source
+"""
+_region_monthly = """
+  SELECT date, region, drilling_target, location_type, rig_status, CAST(SUM(rig_count) AS DOUBLE) AS rig_count,
+         COUNT(DISTINCT country_name) AS country_count
+  FROM o_rig_star GROUP BY date, region, drilling_target, location_type, rig_status
+"""
+
+
+def fmt3(x: str) -> str:
+    return f"COALESCE(format('{{:,.3f}}', {x}), '—')"
+
+
+SQL.update({
+    "serve_assets": q(f"SELECT {ASSET_D} FROM o_dim_asset a JOIN o_dim_location l ON l.location_id = a.location_id WHERE a.is_active"),
+    "asset_map": q(
+        "SELECT asset_id, asset_name, asset_type, operator_name, location_name, country, latitude, longitude, "
+        "max_wind_kmh, max_gust_kmh, max_wave_height_m, minimum_visibility_m, forecast_reference_time, "
+        f"forecast_valid_time, overall_risk_level FROM ({_asset_map}) m"
+    ),
+    "asset_map_center": q(
+        f"SELECT {avg_exact('lat_dec')} AS center_latitude, {avg_exact('lon_dec')} AS center_longitude, "
+        f"COUNT(*) AS assets_on_map FROM ({_asset_map}) m WHERE lat_dec IS NOT NULL AND lon_dec IS NOT NULL"
+    ),
+    "serve_risk_distribution": q(
+        f"SELECT 'GREEN' AS risk, green_hours AS hours FROM ({EXEC_SELECT}) x "
+        f"UNION ALL SELECT 'AMBER', amber_hours FROM ({EXEC_SELECT}) x "
+        f"UNION ALL SELECT 'RED', red_hours FROM ({EXEC_SELECT}) x "
+        f"UNION ALL SELECT 'UNKNOWN', unknown_hours FROM ({EXEC_SELECT}) x"
+    ),
+    "serve_param_query": q(f"SELECT {OPERATIONAL_SELECT} FROM o_latest WHERE asset_name = 'Customer#000000003'"),
+    "serve_current_conditions": q(f"""
+SELECT asset_id, asset_name, forecast_valid_time, CAST(temperature_c AS DOUBLE) AS temperature_c,
+       CAST(wind_speed_kmh AS DOUBLE) AS wind_speed_kmh, CAST(wind_gust_kmh AS DOUBLE) AS wind_gust_kmh,
+       CAST(wave_height_m AS DOUBLE) AS wave_height_m, CAST(visibility_m AS DOUBLE) AS visibility_m,
+       overall_risk_level, limiting_parameter
+FROM o_latest WHERE forecast_valid_time IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY asset_id
+  ORDER BY CASE WHEN forecast_valid_time >= TIMESTAMP '{AS_OF}' THEN 0 ELSE 1 END, forecast_valid_time) = 1
+"""),
+    "serve_wind_long": q(
+        "SELECT asset_id, forecast_valid_time, 'wind_speed_kmh' AS variable, CAST(wind_speed_kmh AS DOUBLE) AS km_h FROM o_latest "
+        "UNION ALL SELECT asset_id, forecast_valid_time, 'wind_gust_kmh', CAST(wind_gust_kmh AS DOUBLE) FROM o_latest"
+    ),
+    "serve_risk_timeline": q(
+        "SELECT asset_id, forecast_valid_time, upper(COALESCE(overall_risk_level, 'UNKNOWN')) AS overall_risk_level, "
+        + score("upper(COALESCE(overall_risk_level, 'UNKNOWN'))") + " AS risk_score FROM o_latest"
+    ),
+    "serve_rig_kpis": q("""
+SELECT CAST(SUM(rig_count) AS DOUBLE) AS latest_rig_count, COUNT(DISTINCT country_name) AS countries_reporting
+FROM (SELECT * FROM o_rig_star
+      QUALIFY row_number() OVER (PARTITION BY country_name, drilling_target, location_type, rig_status, source
+                                 ORDER BY timestamp DESC, warehouse_loaded_at DESC) = 1) l
+"""),
+    "serve_region_snapshot": q(
+        f"SELECT * FROM ({_region_monthly}) r WHERE date = (SELECT MAX(date) FROM o_rig_star)"
+    ),
+    "serve_price_kpis": q(f"""
+SELECT MAX(d.date) AS latest_date,
+       concat_ws(' ', {fmt3('MAX(lst.average_price_usd)')}, MAX(lst.unit)) AS latest_price,
+       {fmt3('AVG(d.average_price_usd)')} AS average_price,
+       {fmt3('MIN(d.average_price_usd)')} AS minimum_price,
+       {fmt3('MAX(d.average_price_usd)')} AS maximum_price,
+       MIN(d.average_price_usd) AS minimum_daily_average, MAX(d.average_price_usd) AS maximum_daily_average
+FROM ({_daily_price}) d
+CROSS JOIN (SELECT average_price_usd, unit FROM ({_daily_price}) z
+            ORDER BY date DESC, product_code DESC, unit DESC, source DESC LIMIT 1) lst
+"""),
+    "serve_date_labels": q(f"""
+SELECT DISTINCT date, strftime(date, '%Y-%m-%d') AS day_label, strftime(date, '%Y-%m') AS month_label,
+       strftime(CAST(date AS TIMESTAMP), '%Y%m%d_%H%M%S') AS stamp_label
+FROM ({_region_monthly}) r
+"""),
+})

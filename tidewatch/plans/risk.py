@@ -20,6 +20,7 @@ def operational_risk(
     limits: DataFrame,
     source: str = RISK_SOURCE,
     validate: bool = False,
+    unique_hours: bool = False,
 ) -> DataFrame:
     """Rate every atmospheric hour GREEN / AMBER / RED / UNKNOWN.
 
@@ -59,8 +60,11 @@ def operational_risk(
         "limiting_parameter",
         F.lit(source).alias("source"),
     )
-    # One row per asset-hour; the atmospheric side is already unique per
-    # (asset, run, hour, source), so this only matters for several sources.
+    # One row per asset-hour.  ``unique_hours`` says the atmospheric input
+    # is one Silver job's output (unique per asset, run, hour and a single
+    # source label), where this keep-last cannot remove a row.
+    if unique_hours:
+        return out
     return keep_last(out, HOUR_KEYS, ["source"])
 
 

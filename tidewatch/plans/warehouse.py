@@ -212,8 +212,13 @@ def load_forecast_fact(
     return upsert(target, rows, S.FORECAST_GRAIN, S.UPDATE_COLUMNS[table])
 
 
-def price_fact_input(price: DataFrame) -> DataFrame:
-    """Silver price, fact flavour (S10): code upper-cased, product not required."""
+def price_fact_input(price: DataFrame, deduplicated: bool = False) -> DataFrame:
+    """Silver price, fact flavour (S10): code upper-cased, product not required.
+
+    Keep-last by (timestamp, code, source, series).  ``deduplicated`` says
+    the input comes straight from ``silver_price``, which is unique on
+    (timestamp, series) already, so the step cannot remove a row.
+    """
     src = price.select(
         "timestamp",
         F.upper(X.trim_all("product_code")).alias("product_code"),
@@ -223,14 +228,16 @@ def price_fact_input(price: DataFrame) -> DataFrame:
         X.trim_all("series").alias("series"),
     ).dropna(subset=["timestamp", "product_code", "price_usd", "unit", "source", "series"])
     src = src.where(F.col("price_usd") >= 0)
+    if deduplicated:
+        return src
     return keep_last(src, ["timestamp", "product_code", "source", "series"], ["timestamp", "series"])
 
 
 def load_fact_oil_price(
     target: DataFrame, price: DataFrame, run_time: str,
-    products: DataFrame | None = None, times: DataFrame | None = None,
+    products: DataFrame | None = None, times: DataFrame | None = None, deduplicated: bool = False,
 ) -> DataFrame:
-    src = price_fact_input(price)
+    src = price_fact_input(price, deduplicated)
     if products is not None:
         assert_keys_resolve(src, products, "product_code", "product_key")
     if times is not None:
@@ -247,8 +254,12 @@ def load_fact_oil_price(
     return upsert(target, rows, S.TABLES["fact_oil_price"][1], S.UPDATE_COLUMNS["fact_oil_price"])
 
 
-def rig_fact_input(rig: DataFrame) -> DataFrame:
-    """Silver rig, fact flavour (S12): count >= 0, keep-last by 5 columns + source."""
+def rig_fact_input(rig: DataFrame, deduplicated: bool = False) -> DataFrame:
+    """Silver rig, fact flavour (S12): count >= 0, keep-last by 5 columns + source.
+
+    ``deduplicated``: the input comes straight from ``silver_rig`` (unique on
+    the five columns, one source), so the keep-last cannot remove a row.
+    """
     src = rig.select(
         "observation_date",
         F.upper(X.trim_all("country")).alias("country_name"),
@@ -257,15 +268,17 @@ def rig_fact_input(rig: DataFrame) -> DataFrame:
         *[F.col(c).alias(f"o_{c}") for c in RIG_SILVER_ORDER],
     ).dropna(subset=["observation_date", "country_name", *CLASS_COLUMNS, "rig_count"])
     src = src.where(F.col("rig_count") >= 0)
-    src = keep_last(src, ["observation_date", "country_name", *CLASS_COLUMNS, "source"], [f"o_{c}" for c in RIG_SILVER_ORDER])
+    if not deduplicated:
+        src = keep_last(src, ["observation_date", "country_name", *CLASS_COLUMNS, "source"], [f"o_{c}" for c in RIG_SILVER_ORDER])
     return src.drop(*[f"o_{c}" for c in RIG_SILVER_ORDER])
 
 
 def load_fact_rig_count(
     target: DataFrame, rig: DataFrame, run_time: str,
     countries: DataFrame | None = None, classes: DataFrame | None = None, times: DataFrame | None = None,
+    deduplicated: bool = False,
 ) -> DataFrame:
-    src = rig_fact_input(rig)
+    src = rig_fact_input(rig, deduplicated)
     if countries is not None:
         assert_keys_resolve(src, countries, "country_name", "country_key")
     if classes is not None:
