@@ -757,3 +757,138 @@ SELECT DISTINCT date, strftime(date, '%Y-%m-%d') AS day_label, strftime(date, '%
 FROM ({_region_monthly}) r
 """),
 })
+
+# ------------------------------------------------------------------ quality
+_TABLE_SRC = {
+    "fact_weather_forecast": "o_fact_weather",
+    "fact_marine_forecast": "o_fact_marine",
+    "fact_operational_weather_risk": "o_fact_risk",
+    "fact_rig_count": "o_fact_rig",
+    "fact_oil_price": "o_fact_price",
+}
+_GRAIN = "asset_id, forecast_reference_time, forecast_valid_time, source"
+
+
+def _check(name: str, passed: str, value: str, expectation: str, details: str = "NULL", src: str = "") -> str:
+    return (f"SELECT '{name}' AS check_name, {passed} AS passed, CAST({value} AS VARCHAR) AS check_value, "
+            f"'{expectation}' AS expectation, CAST({details} AS VARCHAR) AS details {src}")
+
+
+def _latest_count(src: str) -> str:
+    return (f"(SELECT COUNT(*) FROM {src} WHERE forecast_reference_time = "
+            f"(SELECT MAX(forecast_reference_time) FROM {src}))")
+
+
+def _json3(a: str, m: str, r: str) -> str:
+    return f"""'{{"atmospheric":' || {a} || ',"marine":' || {m} || ',"risk":' || {r} || '}}'"""
+
+
+_checks = [
+    _check("Required tables", "TRUE", "'11'", "11 required tables", "'All required tables exist.'"),
+    _check("Required analytical views", "TRUE", "'7'", "7 required views", "'All required views exist.'"),
+]
+for _t, _src in _TABLE_SRC.items():
+    _checks.append(_check(f"{_t} row count", "n > 0", "n", "Greater than zero",
+                          "CASE WHEN n > 0 THEN 'Dataset contains records.' ELSE 'Dataset is empty.' END",
+                          f"FROM (SELECT COUNT(*) AS n FROM {_src}) c"))
+_a, _m, _r = "(SELECT COUNT(*) FROM o_fact_weather)", "(SELECT COUNT(*) FROM o_fact_marine)", "(SELECT COUNT(*) FROM o_fact_risk)"
+_checks.append(_check("Historical weather table alignment", f"{_a} = {_m} AND {_m} = {_r}", _json3(_a, _m, _r),
+                      "Atmospheric, marine, and risk tables have equal row counts"))
+_la, _lm, _lr = _latest_count("o_fact_weather"), _latest_count("o_fact_marine"), _latest_count("o_fact_risk")
+_checks.append(_check("Latest weather-run alignment", f"{_la} = {_lm} AND {_lm} = {_lr}", _json3(_la, _lm, _lr),
+                      "Latest forecast run has equal row counts across all weather facts"))
+for _n, _src in [("Atmospheric duplicate grain", "o_fact_weather"), ("Marine duplicate grain", "o_fact_marine"),
+                 ("Risk duplicate grain", "o_fact_risk")]:
+    _checks.append(_check(_n, "n = 0", "n", "Zero duplicate groups",
+                          src=f"FROM (SELECT COUNT(*) AS n FROM (SELECT {_GRAIN} FROM {_src} GROUP BY ALL HAVING COUNT(*) > 1) d) c"))
+for _n, _src in [("Weather asset references", "o_fact_weather"), ("Marine asset references", "o_fact_marine")]:
+    _checks.append(_check(_n, "n = 0", "n", "Zero orphan asset keys",
+                          src=f"FROM (SELECT COUNT(*) AS n FROM {_src} f ANTI JOIN o_dim_asset a ON a.asset_id = f.asset_id) c"))
+_checks.append(_check("Active asset locations", "n = 0", "n", "Every active asset has a location",
+                      src="FROM (SELECT COUNT(*) AS n FROM o_dim_asset a ANTI JOIN o_dim_location l "
+                          "ON l.location_id = a.location_id WHERE a.is_active) c"))
+_checks.append(_check("Relative humidity range", "n = 0", "n", "All values between 0 and 100",
+                      src="FROM (SELECT COUNT(*) FILTER (WHERE NOT (relative_humidity_pct BETWEEN 0 AND 100)) AS n FROM o_fact_weather) c"))
+_checks.append(_check("Wave-height range", "n = 0", "n", "No negative wave heights",
+                      src="FROM (SELECT COUNT(*) FILTER (WHERE wave_height_m < 0) AS n FROM o_fact_marine) c"))
+_checks.append(_check("Visibility range", "n = 0", "n", "No negative visibility",
+                      src="FROM (SELECT COUNT(*) FILTER (WHERE visibility_m < 0) AS n FROM o_fact_weather) c"))
+_checks.append(_check("Operational risk categories", "n = 0", "n", "Only GREEN, AMBER, RED, or UNKNOWN",
+                      src="FROM (SELECT COUNT(*) FILTER (WHERE overall_risk_level NOT IN ('UNKNOWN', 'GREEN', 'AMBER', 'RED')) AS n FROM o_fact_risk) c"))
+_checks.append(_check("Executive snapshot grain", "n = 1", "n", "Exactly one row",
+                      src=f"FROM (SELECT COUNT(*) AS n FROM ({EXEC_SELECT}) x) c"))
+_kpi_rows = "(SELECT COUNT(*) FROM (SELECT DISTINCT asset_id, forecast_reference_time FROM o_latest) k)"
+_active = "(SELECT COUNT(*) FROM o_dim_asset WHERE is_active)"
+_checks.append(_check("Asset KPI coverage", f"{_kpi_rows} = {_active}",
+                      f"""'{{"view_rows":' || {_kpi_rows} || ',"active_assets":' || {_active} || '}}'""",
+                      "One KPI row per active asset"))
+_checks.append(_check("Latest offshore forecast", "n > 0", "n", "Greater than zero",
+                      src="FROM (SELECT COUNT(*) AS n FROM o_latest) c"))
+SQL["dq_checks"] = q("\nUNION ALL\n".join(_checks))
+
+
+def _cv(table: str, name: str, src: str) -> str:
+    return f"SELECT '{table}' AS table_name, '{name}' AS constraint_name, ({src}) AS violations"
+
+
+def _cnt(src: str, cond: str) -> str:
+    return f"SELECT COUNT(*) FILTER (WHERE {cond}) FROM {src}"
+
+
+_LEVELS = "('UNKNOWN', 'GREEN', 'AMBER', 'RED')"
+_keys_nn = "asset_id IS NULL OR forecast_reference_time IS NULL OR forecast_valid_time IS NULL OR source IS NULL"
+_cvs = [
+    _cv("fact_weather_forecast", "keys_not_null", _cnt("o_fact_weather", _keys_nn)),
+    _cv("fact_weather_forecast", "horizon_not_negative", _cnt("o_fact_weather", "forecast_horizon_hours < 0")),
+    _cv("fact_weather_forecast", "humidity_range", _cnt("o_fact_weather", "NOT (relative_humidity_pct BETWEEN 0 AND 100)")),
+    _cv("fact_weather_forecast", "source_length", _cnt("o_fact_weather", "length(source) > 100")),
+    _cv("fact_marine_forecast", "keys_not_null", _cnt("o_fact_marine", _keys_nn)),
+    _cv("fact_marine_forecast", "horizon_not_negative", _cnt("o_fact_marine", "forecast_horizon_hours < 0")),
+    _cv("fact_marine_forecast", "wave_not_negative", _cnt("o_fact_marine", "wave_height_m < 0")),
+    _cv("fact_operational_weather_risk", "keys_not_null", _cnt("o_fact_risk", _keys_nn)),
+]
+for _c in ["wind_risk_level", "gust_risk_level", "wave_risk_level", "visibility_risk_level", "overall_risk_level"]:
+    _cvs.append(_cv("fact_operational_weather_risk", f"{_c}_domain", _cnt("o_fact_risk", f"{_c} NOT IN {_LEVELS} OR {_c} IS NULL")))
+_cvs += [
+    _cv("fact_operational_weather_risk", "recommendation_length", _cnt("o_fact_risk", "length(operation_recommendation) > 255")),
+    _cv("fact_oil_price", "price_not_negative", _cnt("o_fact_price", "price_usd < 0")),
+    _cv("fact_oil_price", "series_length", _cnt("o_fact_price", "length(series) > 150")),
+    _cv("fact_rig_count", "rig_count_not_negative", _cnt("o_fact_rig", "rig_count < 0")),
+    _cv("dim_time", "hour_range", _cnt("o_dim_time", "NOT (hour(timestamp) BETWEEN 0 AND 23)")),
+    _cv("dim_time", "month_range", _cnt("o_dim_time", "NOT (month(timestamp) BETWEEN 1 AND 12)")),
+    _cv("dim_asset", "asset_id_length", _cnt("o_dim_asset", "length(asset_id) > 50")),
+    _cv("dim_asset", "name_length", _cnt("o_dim_asset", "length(asset_name) > 150")),
+    _cv("fact_pipeline_run", "status_domain", _cnt("o_runs", "status NOT IN ('RUNNING', 'SUCCESS', 'FAILED')")),
+]
+
+
+def _dups(src: str, keys: str) -> str:
+    return f"SELECT COUNT(*) FROM (SELECT {keys} FROM {src} GROUP BY ALL HAVING COUNT(*) > 1) d"
+
+
+for _t, _src in [("fact_weather_forecast", "o_fact_weather"), ("fact_marine_forecast", "o_fact_marine"),
+                 ("fact_operational_weather_risk", "o_fact_risk")]:
+    _cvs.append(_cv(_t, "unique_asset_key_forecast_reference_time_forecast_valid_time_source", _dups(_src, _GRAIN)))
+    _cvs.append(_cv(_t, "fk_asset_key", f"SELECT COUNT(*) FROM {_src} f ANTI JOIN o_dim_asset a ON a.asset_id = f.asset_id"))
+    _cvs.append(_cv(_t, "fk_time_key", f"SELECT COUNT(*) FROM {_src} f ANTI JOIN o_dim_time d ON d.timestamp = f.forecast_valid_time"))
+_cvs += [
+    _cv("fact_oil_price", "unique_time_key_product_key_source_series", _dups("o_fact_price", "timestamp, product_code, source, series")),
+    _cv("fact_rig_count", "unique_time_key_country_key_rig_classification_key_source",
+        _dups("o_fact_rig", "timestamp, country_name, drilling_target, location_type, rig_status, source")),
+    _cv("fact_oil_price", "fk_product_key", "SELECT COUNT(*) FROM o_fact_price f ANTI JOIN o_dim_product p ON p.product_code = f.product_code"),
+    _cv("fact_rig_count", "fk_country_key", "SELECT COUNT(*) FROM o_fact_rig f ANTI JOIN o_dim_country c ON c.country_name = f.country_name"),
+    _cv("dim_asset", "fk_location_key", "SELECT COUNT(*) FROM o_dim_asset a ANTI JOIN o_dim_location l ON l.location_id = a.location_id"),
+]
+for _t, _src, _nat in [
+    ("dim_location", "o_dim_location", "location_id"), ("dim_time", "o_dim_time", "timestamp"),
+    ("dim_asset", "o_dim_asset", "asset_id"), ("dim_energy_product", "o_dim_product", "product_code"),
+    ("dim_country", "o_dim_country", "country_name"),
+    ("dim_rig_classification", "(SELECT DISTINCT drilling_target, location_type, rig_status FROM o_fact_rig)",
+     "drilling_target, location_type, rig_status"),
+]:
+    _key = {"dim_location": "location_key", "dim_time": "time_key", "dim_asset": "asset_key",
+            "dim_energy_product": "product_key", "dim_country": "country_key",
+            "dim_rig_classification": "rig_classification_key"}[_t]
+    _cvs.append(_cv(_t, "unique_" + _nat.replace(", ", "_"), _dups(_src, _nat)))
+    _cvs.append(_cv(_t, "unique_" + _key, _dups(_src, _nat)))
+SQL["constraint_violations"] = q("\nUNION ALL\n".join(_cvs))

@@ -1,5 +1,265 @@
-"""Data-quality checks."""
+"""The 22 data-quality checks (§2.12) and declared constraints.
+
+``quality_checks`` returns one row per check (name, passed, value,
+expectation, details) as a single DataFrame: each check is a one-row
+aggregate and the rows are unioned, so nothing is collected until the
+gate reads the 22 result rows.
+"""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch import schemas as S
+from tidewatch.functions.risk_rules import LEVELS
+from tidewatch.operators.contracts import ContractError, duplicate_keys
+from tidewatch.operators.dedupe import rows_at_global_max
+from tidewatch.plans import build
+from tidewatch.plans import views_integrated as VI
+from tidewatch.plans import views_weather as VW
+from tidewatch.sources.testtables import RUN_TIME
+
+Tables = Mapping[str, DataFrame]
+CHECK_COLUMNS = ["check_name", "passed", "check_value", "expectation", "details"]
+FACT_COUNT_TABLES = [
+    "fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk",
+    "fact_rig_count", "fact_oil_price",
+]
+# Check names and expectation texts are fixed values of the reference.
+TABLES_EXPECTATION = "11 required tables"
+VIEWS_EXPECTATION = "7 required views"
+
+
+def _row(frame: DataFrame, name: str, passed: Column, value: Column, expectation: str,
+         details: Column | None = None) -> DataFrame:
+    return frame.select(
+        F.lit(name).alias("check_name"),
+        passed.alias("passed"),
+        value.cast("string").alias("check_value"),
+        F.lit(expectation).alias("expectation"),
+        (details if details is not None else F.lit(None).cast("string")).alias("details"),
+    )
+
+
+def _count(df: DataFrame, alias: str = "n") -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(alias))
+
+
+def required_objects(spark: SparkSession, existing_tables: Sequence[str], existing_views: Sequence[str]) -> DataFrame:
+    """Checks 1-2: required tables and views exist (U03; driver metadata only)."""
+    rows = []
+    for name, required, existing, expectation, what in [
+        ("Required tables", S.REQUIRED_TABLES, existing_tables, TABLES_EXPECTATION, "tables"),
+        ("Required analytical views", S.REQUIRED_VIEWS, existing_views, VIEWS_EXPECTATION, "views"),
+    ]:
+        missing = sorted(set(required) - set(existing))
+        found = len(set(required) & set(existing))
+        details = "Missing: " + ", ".join(missing) if missing else f"All required {what} exist."
+        rows.append((name, not missing, str(found), expectation, details))
+    return spark.createDataFrame(rows, "check_name string, passed boolean, check_value string, expectation string, details string")
+
+
+def fact_row_counts(t: Tables) -> list[DataFrame]:
+    """Checks 3-7: every fact has rows."""
+    out = []
+    for table in FACT_COUNT_TABLES:
+        n = F.col("n")
+        out.append(_row(
+            _count(t[table]), f"{table} row count", n > 0, n, "Greater than zero",
+            F.when(n > 0, "Dataset contains records.").otherwise("Dataset is empty."),
+        ))
+    return out
+
+
+def _json_counts(**cols: Column) -> Column:
+    return F.to_json(F.struct(*[c.alias(k) for k, c in cols.items()]))
+
+
+def weather_alignment(t: Tables) -> list[DataFrame]:
+    """Checks 8-9: the three weather facts have equal counts, overall and in
+    each table's own latest run (J12)."""
+    names = ["fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk"]
+    keys = ["atmospheric", "marine", "risk"]
+    total = None
+    latest = None
+    for key, table in zip(keys, names):
+        a = _count(t[table], key)
+        b = _count(rows_at_global_max(t[table].select("forecast_reference_time"), "forecast_reference_time"), key)
+        total = a if total is None else total.crossJoin(a)
+        latest = b if latest is None else latest.crossJoin(b)
+    eq = (F.col("atmospheric") == F.col("marine")) & (F.col("marine") == F.col("risk"))
+    value = _json_counts(**{k: F.col(k) for k in keys})
+    return [
+        _row(total, "Historical weather table alignment", eq, value,
+             "Atmospheric, marine, and risk tables have equal row counts"),
+        _row(latest, "Latest weather-run alignment", eq, value,
+             "Latest forecast run has equal row counts across all weather facts"),
+    ]
+
+
+def duplicate_grain(t: Tables) -> list[DataFrame]:
+    """Checks 10-12: zero duplicate (asset, run, hour, source) groups."""
+    out = []
+    for name, table in [
+        ("Atmospheric duplicate grain", "fact_weather_forecast"),
+        ("Marine duplicate grain", "fact_marine_forecast"),
+        ("Risk duplicate grain", "fact_operational_weather_risk"),
+    ]:
+        groups = _count(duplicate_keys(t[table], S.FORECAST_GRAIN))
+        out.append(_row(groups, name, F.col("n") == 0, F.col("n"), "Zero duplicate groups"))
+    return out
+
+
+def reference_integrity(t: Tables) -> list[DataFrame]:
+    """Checks 13-15: orphan asset keys, active assets without a location."""
+    assets = t["dim_asset"].select("asset_key")
+    out = []
+    for name, table in [("Weather asset references", "fact_weather_forecast"),
+                        ("Marine asset references", "fact_marine_forecast")]:
+        orphans = _count(t[table].select("asset_key").join(assets, on="asset_key", how="left_anti"))
+        out.append(_row(orphans, name, F.col("n") == 0, F.col("n"), "Zero orphan asset keys"))
+    no_loc = _count(
+        t["dim_asset"].where(F.col("is_active")).select("location_key")
+        .join(t["dim_location"].select("location_key"), on="location_key", how="left_anti")
+    )
+    out.append(_row(no_loc, "Active asset locations", F.col("n") == 0, F.col("n"), "Every active asset has a location"))
+    return out
+
+
+def value_ranges(t: Tables) -> list[DataFrame]:
+    """Checks 16-19, one aggregate per table."""
+    w = t["fact_weather_forecast"].agg(
+        F.count_if(~F.col("relative_humidity_pct").between(0, 100)).alias("humidity"),
+        F.count_if(F.col("visibility_m") < 0).alias("visibility"),
+    )
+    m = t["fact_marine_forecast"].agg(F.count_if(F.col("wave_height_m") < 0).alias("wave"))
+    r = t["fact_operational_weather_risk"].agg(
+        F.count_if(~F.col("overall_risk_level").isin(*LEVELS)).alias("levels"))
+    return [
+        _row(w, "Relative humidity range", F.col("humidity") == 0, F.col("humidity"), "All values between 0 and 100"),
+        _row(m, "Wave-height range", F.col("wave") == 0, F.col("wave"), "No negative wave heights"),
+        _row(w, "Visibility range", F.col("visibility") == 0, F.col("visibility"), "No negative visibility"),
+        _row(r, "Operational risk categories", F.col("levels") == 0, F.col("levels"), "Only GREEN, AMBER, RED, or UNKNOWN"),
+    ]
+
+
+def business_views(t: Tables, snapshot_time: str) -> list[DataFrame]:
+    """Checks 20-22: snapshot is one row, KPI rows = active assets, latest forecast not empty."""
+    snap = _count(VI.executive_energy_operations(t, snapshot_time))
+    kpis = _count(VW.asset_operational_kpis(t), "view_rows").crossJoin(
+        _count(t["dim_asset"].where(F.col("is_active")), "active_assets"))
+    latest = _count(VW.latest_offshore_forecast(t))
+    return [
+        _row(snap, "Executive snapshot grain", F.col("n") == 1, F.col("n"), "Exactly one row"),
+        _row(kpis, "Asset KPI coverage", F.col("view_rows") == F.col("active_assets"),
+             _json_counts(view_rows=F.col("view_rows"), active_assets=F.col("active_assets")),
+             "One KPI row per active asset"),
+        _row(latest, "Latest offshore forecast", F.col("n") > 0, F.col("n"), "Greater than zero"),
+    ]
+
+
+def quality_checks(
+    spark: SparkSession,
+    t: Tables,
+    snapshot_time: str,
+    existing_tables: Sequence[str] | None = None,
+    existing_views: Sequence[str] | None = None,
+) -> DataFrame:
+    """All 22 checks as one DataFrame of (check_name, passed, check_value, expectation, details)."""
+    tables = list(existing_tables) if existing_tables is not None else [n for n in t if n in S.REQUIRED_TABLES]
+    views = list(existing_views) if existing_views is not None else list(S.REQUIRED_VIEWS)
+    frames = [required_objects(spark, tables, views)]
+    if set(S.REQUIRED_TABLES) <= set(tables):
+        frames += fact_row_counts(t) + weather_alignment(t) + duplicate_grain(t)
+        frames += reference_integrity(t) + value_ranges(t)
+    if set(S.REQUIRED_VIEWS) <= set(views) and set(S.REQUIRED_TABLES) <= set(tables):
+        frames += business_views(t, snapshot_time)
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def gate(checks: DataFrame) -> list:
+    """Read the (at most 22) check rows and fail the run if any did not pass."""
+    rows = checks.collect()
+    failed = [r["check_name"] for r in rows if not r["passed"]]
+    if failed:
+        raise ContractError("Quality gate failed: " + ", ".join(failed))
+    return rows
+
+
+# ------------------------------------------------------------- constraints
+
+
+def constraint_violations(t: Tables) -> DataFrame:
+    """Violations of the declared constraints, one row per (table, constraint).
+
+    NOT NULL on keys, CHECK ranges and domains, UNIQUE grain, FOREIGN KEY
+    and VARCHAR length; each table is scanned once for its row checks.
+    """
+    rows: list[DataFrame] = []
+
+    def checks(table: str, named: dict[str, Column]) -> None:
+        agg = t[table].agg(*[F.count_if(cond).alias(n) for n, cond in named.items()])
+        for n in named:
+            rows.append(agg.select(F.lit(table).alias("table_name"), F.lit(n).alias("constraint_name"),
+                                   F.col(n).alias("violations")))
+
+    def unique(table: str, keys: Sequence[str]) -> None:
+        rows.append(_count(duplicate_keys(t[table], keys), "violations").select(
+            F.lit(table).alias("table_name"), F.lit("unique_" + "_".join(keys)).alias("constraint_name"), "violations"))
+
+    def fk(table: str, col: str, dim: str, dim_col: str) -> None:
+        orphans = t[table].select(col).where(F.col(col).isNotNull()).join(
+            t[dim].select(F.col(dim_col).alias(col)), on=col, how="left_anti")
+        rows.append(_count(orphans, "violations").select(
+            F.lit(table).alias("table_name"), F.lit(f"fk_{col}").alias("constraint_name"), "violations"))
+
+    def too_long(c: str, n: int) -> Column:
+        return F.length(c) > n
+
+    horizon = {"horizon_not_negative": F.col("forecast_horizon_hours") < 0}
+    keys_nn = {"keys_not_null": F.col("asset_key").isNull() | F.col("forecast_reference_time").isNull()
+               | F.col("forecast_valid_time").isNull() | F.col("source").isNull()}
+    checks("fact_weather_forecast", {**keys_nn, **horizon,
+           "humidity_range": ~F.col("relative_humidity_pct").between(0, 100),
+           "source_length": too_long("source", 100)})
+    checks("fact_marine_forecast", {**keys_nn, **horizon, "wave_not_negative": F.col("wave_height_m") < 0})
+    checks("fact_operational_weather_risk", {
+        **keys_nn,
+        **{f"{c}_domain": ~F.col(c).isin(*LEVELS) | F.col(c).isNull() for c in
+           ["wind_risk_level", "gust_risk_level", "wave_risk_level", "visibility_risk_level", "overall_risk_level"]},
+        "recommendation_length": too_long("operation_recommendation", 255)})
+    checks("fact_oil_price", {"price_not_negative": F.col("price_usd") < 0, "series_length": too_long("series", 150)})
+    checks("fact_rig_count", {"rig_count_not_negative": F.col("rig_count") < 0})
+    checks("dim_time", {"hour_range": ~F.col("hour").between(0, 23), "month_range": ~F.col("month").between(1, 12)})
+    checks("dim_asset", {"asset_id_length": too_long("asset_id", 50), "name_length": too_long("asset_name", 150)})
+    if "fact_pipeline_run" in t:
+        checks("fact_pipeline_run", {"status_domain": ~F.col("status").isin("RUNNING", "SUCCESS", "FAILED")})
+    for table in ["fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk"]:
+        unique(table, S.FORECAST_GRAIN)
+        fk(table, "asset_key", "dim_asset", "asset_key")
+        fk(table, "time_key", "dim_time", "time_key")
+    unique("fact_oil_price", S.TABLES["fact_oil_price"][1])
+    unique("fact_rig_count", S.TABLES["fact_rig_count"][1])
+    fk("fact_oil_price", "product_key", "dim_energy_product", "product_key")
+    fk("fact_rig_count", "country_key", "dim_country", "country_key")
+    fk("dim_asset", "location_key", "dim_location", "location_key")
+    for dim, (schema, natural) in S.TABLES.items():
+        if dim.startswith("dim_"):
+            unique(dim, natural)
+            unique(dim, [schema.fields[0].name])  # surrogate key uniqueness (hash collisions)
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+QUERIES = {
+    "dq_checks": lambda spark, sf_dir: quality_checks(spark, build.warehouse(spark, sf_dir), RUN_TIME),
+    "constraint_violations": lambda spark, sf_dir: constraint_violations(build.warehouse(spark, sf_dir)),
+}
