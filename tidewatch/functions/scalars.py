@@ -72,6 +72,8 @@ def to_utc_timestamp_ntz(c: ColumnOrName) -> Column:
     dropped.  Casting text straight to TIMESTAMP_NTZ would ignore it.
     """
     text = trim_all(_col(c).cast("string"))
+    # Spark wants seconds before a zone ("10:00+02:00" -> "10:00:00+02:00")
+    text = F.regexp_replace(text, r"([T ]\d{2}:\d{2})([Zz]|[+-]\d{2}(:?\d{2})?)$", "$1:00$2")
     return text.try_cast("timestamp").cast("timestamp_ntz")
 
 

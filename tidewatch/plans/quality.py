@@ -62,13 +62,41 @@ def required_objects(spark: SparkSession, existing_tables: Sequence[str], existi
     return spark.createDataFrame(rows, "check_name string, passed boolean, check_value string, expectation string, details string")
 
 
-def fact_row_counts(t: Tables) -> list[DataFrame]:
+def _table_metrics(t: Tables) -> dict[str, DataFrame]:
+    """One aggregate per fact table with every row-level metric the checks
+    need (row count, rows in the table's latest run, out-of-range values):
+    one scan per table instead of one per check.  The latest run is a
+    one-row maximum, broadcast to the scan."""
+    def latest_run(table: str) -> DataFrame:
+        return F.broadcast(t[table].agg(F.max("forecast_reference_time").alias("__latest")))
+
+    def with_latest(table: str) -> DataFrame:
+        return t[table].crossJoin(latest_run(table))
+
+    at_latest = F.count_if(F.col("forecast_reference_time") == F.col("__latest"))
+    return {
+        "fact_weather_forecast": with_latest("fact_weather_forecast").agg(
+            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
+            F.count_if(~F.col("relative_humidity_pct").between(0, 100)).alias("humidity"),
+            F.count_if(F.col("visibility_m") < 0).alias("visibility")),
+        "fact_marine_forecast": with_latest("fact_marine_forecast").agg(
+            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
+            F.count_if(F.col("wave_height_m") < 0).alias("wave")),
+        "fact_operational_weather_risk": with_latest("fact_operational_weather_risk").agg(
+            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
+            F.count_if(~F.col("overall_risk_level").isin(*LEVELS)).alias("levels")),
+        "fact_rig_count": _count(t["fact_rig_count"]),
+        "fact_oil_price": _count(t["fact_oil_price"]),
+    }
+
+
+def fact_row_counts(m: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Checks 3-7: every fact has rows."""
     out = []
     for table in FACT_COUNT_TABLES:
         n = F.col("n")
         out.append(_row(
-            _count(t[table]), f"{table} row count", n > 0, n, "Greater than zero",
+            m[table], f"{table} row count", n > 0, n, "Greater than zero",
             F.when(n > 0, "Dataset contains records.").otherwise("Dataset is empty."),
         ))
     return out
@@ -78,24 +106,20 @@ def _json_counts(**cols: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in cols.items()]))
 
 
-def weather_alignment(t: Tables) -> list[DataFrame]:
+def weather_alignment(m: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Checks 8-9: the three weather facts have equal counts, overall and in
     each table's own latest run (J12)."""
     names = ["fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk"]
     keys = ["atmospheric", "marine", "risk"]
-    total = None
-    latest = None
-    for key, table in zip(keys, names):
-        a = _count(t[table], key)
-        b = _count(rows_at_global_max(t[table].select("forecast_reference_time"), "forecast_reference_time"), key)
-        total = a if total is None else total.crossJoin(a)
-        latest = b if latest is None else latest.crossJoin(b)
+    frames = [m[n].select(F.col("n").alias(k), F.col("latest").alias(f"{k}_latest")) for k, n in zip(keys, names)]
+    both = frames[0].crossJoin(frames[1]).crossJoin(frames[2])
     eq = (F.col("atmospheric") == F.col("marine")) & (F.col("marine") == F.col("risk"))
-    value = _json_counts(**{k: F.col(k) for k in keys})
+    eq_latest = (F.col("atmospheric_latest") == F.col("marine_latest")) & (F.col("marine_latest") == F.col("risk_latest"))
     return [
-        _row(total, "Historical weather table alignment", eq, value,
+        _row(both, "Historical weather table alignment", eq, _json_counts(**{k: F.col(k) for k in keys}),
              "Atmospheric, marine, and risk tables have equal row counts"),
-        _row(latest, "Latest weather-run alignment", eq, value,
+        _row(both, "Latest weather-run alignment", eq_latest,
+             _json_counts(**{k: F.col(f"{k}_latest") for k in keys}),
              "Latest forecast run has equal row counts across all weather facts"),
     ]
 
@@ -129,18 +153,12 @@ def reference_integrity(t: Tables) -> list[DataFrame]:
     return out
 
 
-def value_ranges(t: Tables) -> list[DataFrame]:
-    """Checks 16-19, one aggregate per table."""
-    w = t["fact_weather_forecast"].agg(
-        F.count_if(~F.col("relative_humidity_pct").between(0, 100)).alias("humidity"),
-        F.count_if(F.col("visibility_m") < 0).alias("visibility"),
-    )
-    m = t["fact_marine_forecast"].agg(F.count_if(F.col("wave_height_m") < 0).alias("wave"))
-    r = t["fact_operational_weather_risk"].agg(
-        F.count_if(~F.col("overall_risk_level").isin(*LEVELS)).alias("levels"))
+def value_ranges(m: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Checks 16-19, from the per-table metric rows."""
+    w, ma, r = m["fact_weather_forecast"], m["fact_marine_forecast"], m["fact_operational_weather_risk"]
     return [
         _row(w, "Relative humidity range", F.col("humidity") == 0, F.col("humidity"), "All values between 0 and 100"),
-        _row(m, "Wave-height range", F.col("wave") == 0, F.col("wave"), "No negative wave heights"),
+        _row(ma, "Wave-height range", F.col("wave") == 0, F.col("wave"), "No negative wave heights"),
         _row(w, "Visibility range", F.col("visibility") == 0, F.col("visibility"), "No negative visibility"),
         _row(r, "Operational risk categories", F.col("levels") == 0, F.col("levels"), "Only GREEN, AMBER, RED, or UNKNOWN"),
     ]
@@ -173,8 +191,9 @@ def quality_checks(
     views = list(existing_views) if existing_views is not None else list(S.REQUIRED_VIEWS)
     frames = [required_objects(spark, tables, views)]
     if set(S.REQUIRED_TABLES) <= set(tables):
-        frames += fact_row_counts(t) + weather_alignment(t) + duplicate_grain(t)
-        frames += reference_integrity(t) + value_ranges(t)
+        metrics = _table_metrics(t)
+        frames += fact_row_counts(metrics) + weather_alignment(metrics) + duplicate_grain(t)
+        frames += reference_integrity(t) + value_ranges(metrics)
     if set(S.REQUIRED_VIEWS) <= set(views) and set(S.REQUIRED_TABLES) <= set(tables):
         frames += business_views(t, snapshot_time)
     out = frames[0]
