@@ -892,3 +892,51 @@ for _t, _src, _nat in [
     _cvs.append(_cv(_t, "unique_" + _nat.replace(", ", "_"), _dups(_src, _nat)))
     _cvs.append(_cv(_t, "unique_" + _key, _dups(_src, _nat)))
 SQL["constraint_violations"] = q("\nUNION ALL\n".join(_cvs))
+
+# -------------------------------------------------------- second deliveries
+from tidewatch.sources.testtables import RUN_TIME_2  # noqa: E402
+
+_season = ("CASE WHEN month(timestamp) IN (12, 1, 2) THEN 'Winter' WHEN month(timestamp) IN (3, 4, 5) THEN 'Spring' "
+           "WHEN month(timestamp) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END")
+_weather_stamps = ("SELECT forecast_valid_time AS timestamp FROM o_atm UNION SELECT forecast_valid_time FROM o_mar "
+                   "UNION SELECT forecast_valid_time FROM o_risk")
+_simple = f"""
+  SELECT 25.0::DOUBLE AS latitude, 55.0::DOUBLE AS longitude, 'GMT' AS timezone,
+         date_trunc('minute', ts) AS timestamp,
+         COALESCE(value / 10, 0.0) AS temperature_c,
+         COALESCE(CASE WHEN event_type <> 'error' THEN {K} END, 0.0) AS humidity,
+         COALESCE(CASE WHEN event_type <> 'signup' THEN value END, 0.0) AS wind_kmh,
+         TIMESTAMP '{RUN_TIME}' AS ingestion_time, 'LOC-0' AS location_id
+  FROM events
+"""
+SQL.update({
+    "reload_dim_asset": q(f"""
+SELECT asset_id, asset_name, CAST(CAST(max_wind_kmh + 5 AS DECIMAL(8,2)) AS DOUBLE) AS max_wind_kmh,
+       CAST(max_gust_kmh AS DOUBLE) AS max_gust_kmh, TIMESTAMP '{RUN_TIME}' AS created_at,
+       TIMESTAMP '{RUN_TIME_2}' AS updated_at
+FROM o_dim_asset
+"""),
+    "reload_dim_rig_classification": q(
+        f"SELECT DISTINCT drilling_target, location_type, rig_status, TIMESTAMP '{RUN_TIME}' AS created_at, "
+        f"TIMESTAMP '{RUN_TIME_2}' AS updated_at FROM o_fact_rig"),
+    "redelivery_weather_fact": q(
+        "SELECT asset_id, forecast_reference_time, forecast_valid_time, CAST(wind_speed_kmh AS DOUBLE) AS wind_speed_kmh, "
+        f"source, TIMESTAMP '{RUN_TIME_2}' AS ingestion_time FROM o_fact_weather"),
+    "dim_time_incremental": q(f"""
+SELECT timestamp, CAST(timestamp AS DATE) AS date, CAST(hour(timestamp) AS INTEGER) AS hour,
+       CAST(month(timestamp) AS INTEGER) AS month, {_season} AS season,
+       CASE WHEN timestamp IN ({_weather_stamps}) THEN TIMESTAMP '{RUN_TIME}' ELSE TIMESTAMP '{RUN_TIME_2}' END AS created_at
+FROM o_dim_time
+"""),
+    "assets_without_forecast": q(
+        "SELECT asset_id, asset_name FROM o_dim_asset a WHERE asset_id NOT IN (SELECT asset_id FROM o_fact_weather)"),
+    "products_in_batch": q(
+        "SELECT product_code, product_name FROM o_dim_product WHERE product_code IN (SELECT product_code FROM o_price_fact_in)"),
+    "simple_weather_clean": q(
+        "SELECT latitude, longitude, timezone, timestamp, temperature_c, humidity, wind_kmh, ingestion_time, "
+        f"location_id FROM ({_simple}) s"),
+    "fact_simple_weather": q(
+        "SELECT s.location_id IN (SELECT location_id FROM o_dim_location) AS location_resolved, "
+        "s.timestamp IN (SELECT timestamp FROM o_dim_time) AS time_resolved, "
+        f"temperature_c, humidity, wind_kmh, ingestion_time FROM ({_simple}) s"),
+})

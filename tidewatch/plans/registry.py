@@ -14,8 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.operators.upsert import insert_ignore
 from tidewatch.plans import build
 from tidewatch.plans import ledger as L
+from tidewatch.plans import silver as SIL
+from tidewatch.plans import warehouse as W
+from tidewatch.sources import testtables as TT
 from tidewatch.plans import views_integrated as VI
 from tidewatch.plans import views_price as VP
 from tidewatch.plans import views_rig as VR
@@ -156,5 +160,93 @@ QUERIES.update(SV.QUERIES)
 QUERIES.update(Q.QUERIES)
 
 
+# ------------------------------------------------- second deliveries
+
+
+def _reload_dim_asset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Asset registry delivered twice: the second delivery raises every wind
+    limit by 5 km/h.  Limits and updated_at take the new values; created_at
+    stays (K08 + K10)."""
+    s = _silver(spark, sf_dir)
+    t = build.warehouse_from_silver(spark, s)
+    second = s["registry"].withColumn("max_wind_kmh", F.col("max_wind_kmh") + 5)
+    nxt = W.load_dim_asset(t["dim_asset"], second, t["dim_location"], TT.RUN_TIME_2)
+    return nxt.select("asset_id", "asset_name", "max_wind_kmh", "max_gust_kmh", "created_at", "updated_at")
+
+
+def _reload_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rig classifications delivered twice: only updated_at moves."""
+    s = _silver(spark, sf_dir)
+    t = build.warehouse_from_silver(spark, s)
+    nxt = W.load_dim_rig_classification(t["dim_rig_classification"], s["rig"], TT.RUN_TIME_2)
+    return nxt.select("drilling_target", "location_type", "rig_status", "created_at", "updated_at")
+
+
+def _redelivery_weather_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same forecast delivered twice: same rows, new ingestion time."""
+    s = _silver(spark, sf_dir)
+    t = build.warehouse_from_silver(spark, s)
+    nxt = W.load_forecast_fact(t["fact_weather_forecast"], s["atmospheric"], "fact_weather_forecast", TT.RUN_TIME_2)
+    return _with_asset_id(t, nxt).select(
+        "asset_id", "forecast_reference_time", "forecast_valid_time", "wind_speed_kmh", "source", "ingestion_time")
+
+
+def _dim_time_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """dim_time loaded from the weather hours first, then insert-ignore of
+    every hour, price day and rig month: existing rows keep their
+    created_at (K07, U01)."""
+    s = _silver(spark, sf_dir)
+    weather = (s["atmospheric"].select(F.col("forecast_valid_time").alias("timestamp"))
+               .unionByName(s["marine"].select(F.col("forecast_valid_time").alias("timestamp")))
+               .unionByName(s["risk"].select(F.col("forecast_valid_time").alias("timestamp"))))
+    first = W.load_dim_time(W.empty_table(spark, "dim_time"), weather, TT.RUN_TIME)
+    others = (W.price_fact_input(s["price"], True).select("timestamp")
+              .unionByName(s["rig"].select(F.col("observation_date").alias("timestamp"))))
+    return insert_ignore(first, W.time_rows(weather.unionByName(others), TT.RUN_TIME_2), ["timestamp"])
+
+
+def _assets_without_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Registered assets with no weather forecast at all (U02 set difference, J10 anti-join)."""
+    t = _wh(spark, sf_dir)
+    return t["dim_asset"].join(t["fact_weather_forecast"].select("asset_key"), on="asset_key", how="left_anti") \
+        .select("asset_id", "asset_name")
+
+
+def _products_in_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of the dimension that the price batch refers to (J09 semi-join)."""
+    s = _silver(spark, sf_dir)
+    t = build.warehouse_from_silver(spark, s)
+    batch = W.price_fact_input(s["price"], True).select("product_code")
+    return t["dim_energy_product"].join(batch, on="product_code", how="left_semi").select("product_code", "product_name")
+
+
+def _simple_weather_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SIL.simple_weather_clean(TT.single_location_hours(spark, sf_dir), "LOC-0", TT.RUN_TIME)
+
+
+def _fact_simple_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Older fact path: location and hour keys looked up with left joins; a
+    reading whose hour is not in dim_time keeps a NULL key (J08)."""
+    t = _wh(spark, sf_dir)
+    clean = _simple_weather_clean(spark, sf_dir)
+    fact = W.simple_weather_fact(clean, t["dim_location"], t["dim_time"])
+    return fact.select(
+        F.col("location_key").isNotNull().alias("location_resolved"),
+        F.col("time_key").isNotNull().alias("time_resolved"),
+        "temperature_c", "humidity", "wind_kmh", "ingestion_time")
+
+
+QUERIES.update({
+    "reload_dim_asset": _reload_dim_asset,
+    "reload_dim_rig_classification": _reload_classification,
+    "redelivery_weather_fact": _redelivery_weather_fact,
+    "dim_time_incremental": _dim_time_incremental,
+    "assets_without_forecast": _assets_without_forecast,
+    "products_in_batch": _products_in_batch,
+    "simple_weather_clean": _simple_weather_clean,
+    "fact_simple_weather": _fact_simple_weather,
+})
+
+
 def queries() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: comparable(fn(spark, sf_dir))))(fn) for name, fn in QUERIES.items()}

@@ -244,3 +244,22 @@ def quality_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", F.lit("error event")).otherwise(F.lit("")).alias("details"),
         F.col("ts").alias("checked_at"),
     )
+
+
+RUN_TIME_2 = "2024-02-02 00:00:00"  # load time of a second delivery
+
+
+def single_location_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly readings of the older single-location feed: every event is one
+    reading (time text to the minute); humidity is missing for ``error``
+    events and wind for ``signup`` events."""
+    e = table(spark, sf_dir, "events")
+    return e.select(
+        F.lit(25.0).alias("latitude"),
+        F.lit(55.0).alias("longitude"),
+        F.lit("GMT").alias("timezone"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time"),
+        (F.col("value") / 10).cast("string").alias("temperature_2m"),
+        F.when(F.col("event_type") != "error", _k()).cast("string").alias("relative_humidity_2m"),
+        F.when(F.col("event_type") != "signup", F.col("value")).cast("string").alias("wind_speed_10m"),
+    )
