@@ -7,7 +7,7 @@ import pytest
 
 from tidewatch.operators.contracts import ContractError
 from tidewatch.plans.build import asset_limits
-from tidewatch.plans.silver import silver_atmospheric, silver_marine, silver_price, silver_rig, simple_weather_clean
+from tidewatch.plans.silver import silver_atmospheric, silver_marine, silver_price, silver_price_with_metrics, silver_rig, simple_weather_clean
 from tidewatch.sources import bronze
 
 ATM = bronze.ATMOSPHERIC_ARRAYS
@@ -148,3 +148,32 @@ def test_simple_weather_pads_and_fills(spark, tmp):
     hours = bronze.read_simple_weather(spark, write(f"{tmp}/w/w.json", json.dumps(d)))
     out = simple_weather_clean(hours, "L1", "2024-02-01 00:00:00").orderBy("timestamp").collect()
     assert [(r.temperature_c, r.humidity, r.wind_kmh) for r in out] == [(20.0, 50.0, 3.0), (0.0, 51.0, 0.0)]
+
+
+def test_sinks_metrics_and_helpers(spark, tmp):
+    from tidewatch.operators.contracts import first_existing_column
+    from tidewatch.operators.dedupe import preview
+    from tidewatch.operators.metrics import rows_removed
+
+    recs = [{"period": "2024-01-02", "product": "A", "product-name": "A", "value": "1", "series": "S", "units": "u"},
+            {"period": "2024-01-02", "product": "A", "product-name": "A", "value": "2", "series": "S", "units": "u"},
+            {"period": "bad", "product": "A", "product-name": "A", "value": "2", "series": "T", "units": "u"}]
+    path = write(f"{tmp}/p/p.json", json.dumps({"response": {"data": recs}}))
+    out, before, after = silver_price_with_metrics(bronze.read_price_records(spark, path))
+    out.write.mode("overwrite").parquet(f"{tmp}/silver_price")
+    assert rows_removed(before, after) == 2
+    df = spark.read.parquet(f"{tmp}/silver_price")
+    assert first_existing_column(df, ["rig_count", "price_usd", "unit"]) == "price_usd"
+    assert first_existing_column(df, ["nope"]) is None
+    assert preview(df, 1).count() == 1
+    bronze.write_bronze_rows(df, f"{tmp}/bronze_rows", "2024-02-01 10:00:00", "sheet.csv")
+    landed = spark.read.parquet(f"{tmp}/bronze_rows")
+    assert landed.select("ingest_date").distinct().collect()[0][0] == dt.date(2024, 2, 1)
+    docs = spark.createDataFrame([("x", "2024-02-01T10:00:00+00:00")], "payload string, ingestion_time string")
+    bronze.write_bronze_json(docs, f"{tmp}/bronze_json")
+    assert os.path.isdir(f"{tmp}/bronze_json/ingest_date=2024-02-01")
+    assets = spark.createDataFrame([(0, "A0"), (1, "A1")], "request_index int, asset_id string")
+    resp = spark.createDataFrame([(1, "r1"), (0, "r0")], "request_index int, body string")
+    assert sorted((r.asset_id, r.body) for r in bronze.attach_by_position(resp, assets).collect()) == [("A0", "r0"), ("A1", "r1")]
+    with pytest.raises(ContractError, match="1 responses for 2 assets"):
+        bronze.attach_by_position(resp.limit(1), assets)

@@ -117,3 +117,9 @@ def assert_hourly_arrays(assets: DataFrame, required: Sequence[str], id_col: str
         detail = "; ".join(f"asset {r['asset_id']}: {', '.join(r['problems'])}" for r in bad)
         raise ContractError(f"Invalid hourly arrays: {detail}")
     return assets
+
+
+def first_existing_column(df: DataFrame, candidates: Sequence[str]) -> str | None:
+    """First of ``candidates`` that ``df`` has, else None (P06; plan-time only)."""
+    present = set(df.columns)
+    return next((c for c in candidates if c in present), None)

@@ -116,6 +116,17 @@ def silver_marine(hourly: DataFrame, source: str = MARINE_SOURCE) -> DataFrame:
     return _forecast(hourly, MARINE_FIELDS, source, marine=True)
 
 
+def silver_price_with_metrics(records: DataFrame, source: str = PRICE_SOURCE):
+    """``silver_price`` plus observations of the rows in and out (F09): after
+    the output is written, ``rows_removed(before, after)`` is the number of
+    invalid or duplicate records dropped, with no second scan."""
+    from tidewatch.operators.metrics import observe_rows
+
+    src, before = observe_rows(records, "price_in")
+    out, after = observe_rows(silver_price(src, source), "price_out")
+    return out, before, after
+
+
 def silver_price(records: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
     """Price records -> Silver price.
 

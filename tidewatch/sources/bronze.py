@@ -169,6 +169,19 @@ def read_forecast_hours(spark: SparkSession, path: str, dataset: str, arrays: Se
     return explode_hourly(forecast_assets(docs, dataset, arrays), arrays)
 
 
+def attach_by_position(responses: DataFrame, assets: DataFrame) -> DataFrame:
+    """Join API responses to the assets they were requested for by position.
+
+    ``responses`` and ``assets`` each carry ``request_index`` (the array
+    position of the request); the counts must match or the run fails.
+    """
+    counts = responses.agg(F.count(F.lit(1)).alias("r")).crossJoin(
+        assets.agg(F.count(F.lit(1)).alias("a"))).collect()[0]
+    if counts["r"] != counts["a"]:
+        raise ContractError(f"{counts['r']} responses for {counts['a']} assets")
+    return assets.join(responses, on="request_index", how="inner")
+
+
 # --------------------------------------------------------------- price JSON
 
 PRICE_FIELDS = ["period", "product", "product-name", "value", "series", "units",
@@ -286,6 +299,17 @@ def latest_file(spark: SparkSession, roots: Sequence[str], glob: str = "*") -> s
 # ------------------------------------------------------------------- sinks
 
 
+def write_bronze_rows(rows: DataFrame, root: str, ingest_time: str, source_file: str) -> None:
+    """Land parsed sheet rows as text, with lineage, under their ingest date."""
+    out = rows.select(
+        *[F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns if c != "record_order"],
+        F.lit(source_file).alias("source_file"),
+        F.lit(ingest_time).cast("timestamp_ntz").alias("ingestion_time"),
+    )
+    out.withColumn("ingest_date", F.to_date("ingestion_time")).write.mode("append").partitionBy(
+        "ingest_date").parquet(root)
+
+
 def write_bronze_json(df: DataFrame, root: str, ingest_time_col: str = "ingestion_time") -> None:
     """Append landed documents under one folder per UTC ingest date.
 
