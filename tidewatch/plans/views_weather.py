@@ -34,30 +34,35 @@ def _operational(t: Tables, runs: DataFrame | None = None) -> DataFrame:
 
     ``runs`` is a small frame (one row per asset); it is semi-joined into
     each fact *before* the hour joins, so only the selected runs are
-    joined and shuffled.
+    joined and shuffled.  Stored facts are partitioned by ``run_date``;
+    joining on it as well lets dynamic partition pruning skip the files of
+    every older run.
     """
+    part = ["run_date"] if runs is not None and "run_date" in t["fact_weather_forecast"].columns else []
     w = t["fact_weather_forecast"].select(
         "asset_key", "forecast_reference_time", "forecast_valid_time", "forecast_horizon_hours",
         "temperature_c", "relative_humidity_pct", "pressure_hpa", "precipitation_mm",
-        "wind_speed_kmh", "wind_direction_deg", "wind_gust_kmh", "visibility_m", "weather_code",
+        "wind_speed_kmh", "wind_direction_deg", "wind_gust_kmh", "visibility_m", "weather_code", *part,
     )
-    m = t["fact_marine_forecast"].select(*HOUR, *[n for n, _ in MARINE_MEASURES])
+    m = t["fact_marine_forecast"].select(*HOUR, *[n for n, _ in MARINE_MEASURES], *part)
     r = t["fact_operational_weather_risk"].select(
         *HOUR, "wind_risk_level", "gust_risk_level", "wave_risk_level", "visibility_risk_level",
-        "overall_risk_level", "operation_recommendation", "limiting_parameter",
+        "overall_risk_level", "operation_recommendation", "limiting_parameter", *part,
     )
     if runs is not None:
-        run_keys = ["asset_key", "forecast_reference_time"]
-        w = w.join(runs, on=run_keys, how="left_semi")
-        m = m.join(runs, on=run_keys, how="left_semi")
-        r = r.join(runs, on=run_keys, how="left_semi")
+        keys = ["asset_key", "forecast_reference_time", *part]
+        if part:
+            runs = runs.withColumn("run_date", F.to_date("forecast_reference_time"))
+        w, m, r = (f.join(runs, on=keys, how="left_semi").drop(*part) for f in (w, m, r))
     a = t["dim_asset"].select("asset_key", "asset_id", "asset_name", "asset_type", "location_key")
     loc = t["dim_location"].select("location_key", "location_name", "country", "latitude", "longitude")
+    # fact-to-fact hour joins first: the three facts are shuffled once on the
+    # same keys and stay co-partitioned; the dimension joins come last
     joined = (
-        w.join(a, on="asset_key", how="inner")
-        .join(loc, on="location_key", how="inner")
-        .join(m, on=HOUR, how="left")
+        w.join(m, on=HOUR, how="left")
         .join(r, on=HOUR, how="left")
+        .join(a, on="asset_key", how="inner")
+        .join(loc, on="location_key", how="inner")
     )
     return joined.select(
         "asset_id", "asset_name", "asset_type", "location_name", "country", "latitude", "longitude",
