@@ -136,12 +136,26 @@ class WarehouseStore:
 
 
 def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], root: str) -> build.Lazy:
-    """Write each Silver frame (K03) and return them read back from storage."""
-    for name in silver:
-        bronze.write_silver(silver[name], os.path.join(root, "silver", name), SILVER_SORT.get(name, ()))
-    return build.Lazy({
-        n: (lambda n: (lambda: spark.read.parquet(os.path.join(root, "silver", n))))(n) for n in silver
-    })
+    """Write each Silver frame (K03) and return them read back from storage.
+
+    The risk frame is rebuilt from the *stored* atmospheric, marine and
+    registry frames, as the risk job reads the Silver files: the events are
+    not read a second time and the lineage is cut at the Silver layer.
+    """
+    def path(n: str) -> str:
+        return os.path.join(root, "silver", n)
+
+    def stored(n: str) -> DataFrame:
+        return spark.read.parquet(path(n))
+
+    base = [n for n in silver if n != "risk"]
+    for name in base:
+        bronze.write_silver(silver[name], path(name), SILVER_SORT.get(name, ()))
+    if "risk" in silver:
+        risk = build.operational_risk(stored("atmospheric"), stored("marine"), build.asset_limits(stored("registry")),
+                                      unique_hours=True)
+        bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
+    return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in silver})
 
 
 def batch_partitions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
