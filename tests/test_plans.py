@@ -37,3 +37,12 @@ def test_entry_and_oracle_keys(spark):
     assert set(o) <= set(q)
     missing = sorted(set(q) - set(o))
     assert len(missing) <= 6, missing
+
+
+def test_views_register_as_temp_views(spark):
+    from tidewatch.plans.serving import register_views
+
+    register_views(spark, build.warehouse(spark, SF))
+    n = spark.sql("SELECT COUNT(*) AS n FROM vw_offshore_risk_summary").collect()[0].n
+    assert n == E.entry(spark).count()
+    assert spark.catalog.tableExists("vw_latest_rig_count")

@@ -16,8 +16,6 @@ from tidewatch import schemas as S
 from tidewatch.functions import scalars as X
 
 Tables = Mapping[str, DataFrame]
-RUN_EVENT_COLUMNS = ["pipeline_run_key", "pipeline_name", "event_time", "status", "error_message"]
-STATUSES = ["RUNNING", "SUCCESS", "FAILED"]
 
 
 def start_event(spark: SparkSession, run_key: int, name: str, at: str) -> DataFrame:

@@ -16,14 +16,12 @@ from pyspark.sql import functions as F
 from tidewatch import schemas as S
 from tidewatch.functions.risk_rules import LEVELS
 from tidewatch.operators.contracts import ContractError, duplicate_keys
-from tidewatch.operators.dedupe import rows_at_global_max
 from tidewatch.plans import build
 from tidewatch.plans import views_integrated as VI
 from tidewatch.plans import views_weather as VW
 from tidewatch.sources.testtables import RUN_TIME
 
 Tables = Mapping[str, DataFrame]
-CHECK_COLUMNS = ["check_name", "passed", "check_value", "expectation", "details"]
 FACT_COUNT_TABLES = [
     "fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk",
     "fact_rig_count", "fact_oil_price",

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidewatch import schemas as S
+from tidewatch.operators.contracts import require_non_empty
 from tidewatch.operators.upsert import empty_like
 from tidewatch.plans import build
 from tidewatch.plans import ledger as L
@@ -151,6 +152,9 @@ def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], ro
     base = [n for n in silver if n != "risk"]
     for name in base:
         bronze.write_silver(silver[name], path(name), SILVER_SORT.get(name, ()))
+        # a Silver job that produced no row fails the run (one-row probe
+        # of the written files, not a recount)
+        require_non_empty(stored(name), f"{name} transformation produced no valid rows.")
     if "risk" in silver:
         risk = build.operational_risk(stored("atmospheric"), stored("marine"), build.asset_limits(stored("registry")),
                                       unique_hours=True)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import scalars as X
-from tidewatch.operators.contracts import ContractError, require_columns
+from tidewatch.operators.contracts import ContractError, assert_hourly_arrays, require_columns
 
 STR, DBL, INT = T.StringType(), T.DoubleType(), T.IntegerType()
 
@@ -133,13 +133,11 @@ def forecast_assets(docs: DataFrame, dataset: str, arrays: Sequence[str], valida
         F.col("entry.api_response.hourly").alias("hourly"),
     )
     if validate:
-        from tidewatch.operators.contracts import assert_hourly_arrays
-
         assert_hourly_arrays(assets, ["time", *arrays])
     return assets
 
 
-def explode_hourly(assets: DataFrame, arrays: Sequence[str], pad: bool = False) -> DataFrame:
+def explode_hourly(assets: DataFrame, arrays: Sequence[str]) -> DataFrame:
     """Parallel hourly arrays -> one row per hour, position kept.
 
     ``arrays_zip`` pads shorter arrays with NULL, which is the padded
@@ -256,7 +254,7 @@ def read_rig_sheet(spark: SparkSession, path: str) -> DataFrame:
     header = raw.where(is_header).limit(1).collect()
     if not header:
         raise ContractError("rig sheet: header row not found")
-    names = {X_strip(header[0][f"_c{i}"]): i for i in range(RIG_MAX_COLUMNS) if header[0][f"_c{i}"] is not None}
+    names = {header[0][f"_c{i}"].strip(): i for i in range(RIG_MAX_COLUMNS) if header[0][f"_c{i}"] is not None}
     missing = sorted(set(RIG_HEADER) - set(names))
     if missing:
         raise ContractError("Missing required source columns: " + ", ".join(missing))
@@ -267,10 +265,6 @@ def read_rig_sheet(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def X_strip(value: str) -> str:
-    return value.strip()
-
-
 # --------------------------------------------------------------- latest file
 
 
