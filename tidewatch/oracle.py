@@ -740,6 +740,9 @@ FROM (SELECT * FROM o_rig_star
     "serve_region_snapshot": q(
         f"SELECT * FROM ({_region_monthly}) r WHERE date = (SELECT MAX(date) FROM o_rig_star)"
     ),
+    "serve_region_totals": q(
+        "SELECT date, region, CAST(SUM(rig_count) AS DOUBLE) AS rig_count, COUNT(DISTINCT country_name) AS country_count "
+        "FROM o_rig_star GROUP BY date, region"),
     "serve_price_kpis": q(f"""
 SELECT MAX(d.date) AS latest_date,
        concat_ws(' ', {fmt3('MAX(lst.average_price_usd)')}, MAX(lst.unit)) AS latest_price,

@@ -141,6 +141,20 @@ def region_snapshot(t: Tables) -> DataFrame:
     return rows.orderBy(F.col("rig_count").desc(), "region", "drilling_target", "location_type", "rig_status")
 
 
+def region_totals(t: Tables) -> DataFrame:
+    """Rig totals per month and region, over every classification.
+
+    The region-monthly view keeps the (target, location, status) grain; the
+    regional chart needs one total per region and month, summed here, with
+    the number of distinct countries reporting in that region and month.
+    """
+    star = VR._rig_star(t)
+    return star.groupBy("date", "region").agg(
+        F.sum("rig_count").alias("rig_count"),
+        F.count_distinct("country_key").alias("country_count"),
+    )
+
+
 def price_kpis(t: Tables) -> DataFrame:
     """Latest daily average (with unit), and mean / min / max of the daily
     averages, as the cards show them (3 decimals) (T06, A15, X22).
@@ -195,6 +209,7 @@ QUERIES = {
     "serve_risk_timeline": _q(lambda s, t: risk_timeline(t)),
     "serve_rig_kpis": _q(lambda s, t: rig_kpis(t)),
     "serve_region_snapshot": _q(lambda s, t: region_snapshot(t)),
+    "serve_region_totals": _q(lambda s, t: region_totals(t)),
     "serve_price_kpis": _q(lambda s, t: price_kpis(t)),
     "serve_date_labels": _q(lambda s, t: date_labels(t)),
 }
