@@ -9,7 +9,8 @@ state of each table with the ``upsert`` family and publishes it:
   upserted with the batch, staged in the shared checkpoint folder (a
   table being read cannot be overwritten) and written back with dynamic
   partition overwrite, so untouched partitions are never rewritten;
-* price and rig facts are partitioned by year the same way;
+* price facts are partitioned by month and rig counts by a bucket of
+  their month key the same way, so a batch rewrites only its months;
 * dimensions are small and rewritten whole through the same staging.
 
 Every stage reads what the previous stage wrote, so an executor lost in a
@@ -47,7 +48,7 @@ LAYOUT = {
     "fact_weather_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_marine_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_operational_weather_risk": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
-    "fact_oil_price": ("price_year", lambda: F.year("source_timestamp"), ["product_key", "source_timestamp"]),
+    "fact_oil_price": ("price_month", lambda: F.date_format("source_timestamp", "yyyy-MM"), ["product_key", "source_timestamp"]),
     "fact_rig_count": ("time_bucket", lambda: F.pmod(F.col("time_key"), F.lit(RIG_BUCKETS)), ["country_key", "time_key"]),
 }
 SILVER_SORT = {
@@ -169,7 +170,7 @@ def batch_partitions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "fact_weather_forecast": run_date(silver["atmospheric"]),
         "fact_marine_forecast": run_date(silver["marine"]),
         "fact_operational_weather_risk": run_date(silver["risk"]),
-        "fact_oil_price": silver["price"].select(F.year("timestamp").alias("price_year")),
+        "fact_oil_price": silver["price"].select(F.date_format("timestamp", "yyyy-MM").alias("price_month")),
         "fact_rig_count": silver["rig"].select(
             F.pmod(W.surrogate_key("observation_date"), F.lit(RIG_BUCKETS)).alias("time_bucket")),
     }
