@@ -4,6 +4,8 @@ views over the stored tables.  Prints ONE JSON line on stdout.
     BENCH_SF_DIR   test-table folder (default /root/testdata/sf0.1)
     BENCH_CPUS     local cores (default 8)
     BENCH_REPEAT   runs per query, median reported (default 3)
+    BENCH_SHUFFLE_PARTITIONS  shuffle partitions (default: one per core; AQE
+                   coalesces further)
 
 Each query is executed in full with the ``noop`` sink (no collect to the
 driver).  ``load`` is the complete Silver + star-schema load (written to a
@@ -25,6 +27,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
+SHUFFLE = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(CPUS)))
 
 
 def main() -> None:
@@ -44,7 +47,7 @@ def main() -> None:
     spark = get_session(
         f"local[{CPUS}]",
         app_name="tidewatch-bench",
-        shuffle_partitions=max(8, CPUS * 2),
+        shuffle_partitions=SHUFFLE,
         extra_conf={"spark.driver.memory": "16g", "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024)},
     )
     spark.sparkContext.setLogLevel("ERROR")
