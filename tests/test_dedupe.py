@@ -34,3 +34,15 @@ def test_keep_last_is_an_aggregate_not_a_window(spark):
     df = spark.createDataFrame([("a", 1, "x")], "k string, p long, v string")
     plan = keep_last(df, ["k"], ["p"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_keep_last_combines_map_side_under_skew(spark):
+    # one key holds a third of all rows: the partial aggregate reduces it to
+    # one row per map task before the shuffle, and the result is still exact
+    rows = [("hot" if i % 3 == 0 else f"k{i}", i, f"v{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, pos long, v string").repartition(8)
+    out = keep_last(df, ["k"], ["pos"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan
+    got = {r.k: r.v for r in out.collect()}
+    assert got["hot"] == "v2997" and len(got) == 2001
