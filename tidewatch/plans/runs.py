@@ -125,11 +125,24 @@ class WarehouseStore:
         else:
             df.write.mode("overwrite").parquet(self.path(name))
 
+    def write_new(self, name: str, df: DataFrame) -> None:
+        """First write of a table that does not exist yet (nothing to stage)."""
+        if name in LAYOUT:
+            col, expr, cluster = LAYOUT[name]
+            out = df.withColumn(col, expr()).repartitionByRange(col, *cluster).sortWithinPartitions(col, *cluster)
+            out.write.mode("overwrite").partitionBy(col).parquet(self.path(name))
+        else:
+            df.write.mode("overwrite").parquet(self.path(name))
+
     def replace_all(self, frames: Mapping[str, DataFrame]) -> None:
-        """Stage every table first, then publish them: a table's next state may
-        read another table's current files, which must not change before
-        every state is staged."""
-        staged = {name: self.stage(name, frames[name]) for name in frames}
+        """Stage every existing table first, then publish them: a table's next
+        state may read another table's current files, which must not change
+        before every state is staged.  Tables that do not exist yet read no
+        stored files, so they are written in place directly."""
+        new = [n for n in frames if not self.exists(n)]
+        staged = {n: self.stage(n, frames[n]) for n in frames if n not in new}
+        for name in new:
+            self.write_new(name, frames[name])
         for name, path in staged.items():
             self.publish(name, path)
 
