@@ -163,17 +163,16 @@ def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], ro
     def stored(n: str) -> DataFrame:
         return spark.read.parquet(path(n))
 
-    base = [n for n in silver if n != "risk"]
+    base = [n for n in silver if n != "risk"]  # risk is rebuilt from the stored frames
     for name in base:
         bronze.write_silver(silver[name], path(name), SILVER_SORT.get(name, ()))
         # a Silver job that produced no row fails the run (one-row probe
         # of the written files, not a recount)
         require_non_empty(stored(name), f"{name} transformation produced no valid rows.")
-    if "risk" in silver:
-        risk = build.operational_risk(stored("atmospheric"), stored("marine"), build.asset_limits(stored("registry")),
-                                      unique_hours=True)
-        bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
-    return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in silver})
+    risk = build.operational_risk(stored("atmospheric"), stored("marine"), build.asset_limits(stored("registry")),
+                                  unique_hours=True)
+    bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
+    return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in [*base, "risk"]})
 
 
 def batch_partitions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -227,7 +226,64 @@ def run_all(
     run_key: int = 1,
     gate: bool = True,
 ) -> DataFrame:
-    """One complete run on the test tables; returns the stored check rows.
+    """One complete run on the test tables (stand-in inputs); returns the
+    stored check rows."""
+    return run_silver(spark, lambda: build.silver_frames(spark, sf_dir, run_time), root, run_time, run_key, gate)
+
+
+def landed_silver(
+    spark: SparkSession,
+    registry_csv: str,
+    atmospheric_dir: str,
+    marine_dir: str,
+    price_dir: str,
+    rig_dir: str,
+    run_time: str,
+) -> build.Lazy:
+    """Silver frames from landed files: the newest non-empty file of each
+    source (S07), read with the Bronze readers and run through the Silver
+    jobs; risk is rebuilt from the stored Silver by ``write_silver_frames``."""
+    from tidewatch.plans import silver as SIL
+
+    def newest(folder: str, glob: str) -> str:
+        return bronze.latest_file(spark, [folder], glob)
+
+    return build.Lazy({
+        "registry": lambda: bronze.read_asset_registry(spark, registry_csv),
+        "atmospheric": lambda: SIL.silver_atmospheric(bronze.read_forecast_hours(
+            spark, newest(atmospheric_dir, "*.json"), "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS)),
+        "marine": lambda: SIL.silver_marine(bronze.read_forecast_hours(
+            spark, newest(marine_dir, "*.json"), "marine_forecast", bronze.MARINE_ARRAYS)),
+        "price": lambda: SIL.silver_price(bronze.read_price_records(spark, newest(price_dir, "*.json"))),
+        "rig": lambda: SIL.silver_rig(bronze.read_rig_sheet(spark, newest(rig_dir, "*.csv")), run_time),
+    })
+
+
+def run_landed(
+    spark: SparkSession,
+    landing: Mapping[str, str],
+    root: str,
+    run_time: str,
+    run_key: int = 1,
+    gate: bool = True,
+) -> DataFrame:
+    """One complete run from landed files (entry point of the batch run).
+
+    ``landing`` names ``registry_csv``, ``atmospheric_dir``, ``marine_dir``,
+    ``price_dir`` and ``rig_dir``.
+    """
+    return run_silver(spark, lambda: landed_silver(spark, run_time=run_time, **landing), root, run_time, run_key, gate)
+
+
+def run_silver(
+    spark: SparkSession,
+    silver_builder,
+    root: str,
+    run_time: str,
+    run_key: int,
+    gate: bool,
+) -> DataFrame:
+    """Silver -> warehouse -> checks -> gate, recorded in the run ledger.
 
     Check results are stored *before* the gate raises, so a failed run
     keeps its checks (a deliberate difference from the reference, where a
@@ -242,7 +298,7 @@ def run_all(
 
     L.start_event(spark, run_key, name, now()).write.mode("append").parquet(os.path.join(ledger_path, "run_events"))
     try:
-        silver = write_silver_frames(spark, build.silver_frames(spark, sf_dir, run_time), root)
+        silver = write_silver_frames(spark, silver_builder(), root)
         load_warehouse(spark, store, silver, run_time)
         tables = store.tables(keep_partition=False)
         register_views(spark, tables)
