@@ -596,6 +596,12 @@ SELECT c.pipeline_run_key, COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE pass
        COUNT(*) FILTER (WHERE NOT passed) AS failed_checks,
        {pct('COUNT(*) FILTER (WHERE passed)', 'COUNT(*)')} AS pass_rate_percent
 FROM o_checks c JOIN o_latest_run r ON r.pipeline_run_key = c.pipeline_run_key GROUP BY c.pipeline_run_key
+"""),
+    "quality_summary_total": q(f"""
+SELECT COUNT(*) AS total_checks, COUNT(*) FILTER (WHERE passed) AS passed_checks,
+       COUNT(*) FILTER (WHERE NOT passed) AS failed_checks,
+       COALESCE({pct('COUNT(*) FILTER (WHERE passed)', 'COUNT(*)')}, 0.0) AS pass_rate_percent
+FROM o_checks c JOIN o_latest_run r ON r.pipeline_run_key = c.pipeline_run_key
 """),
     "latest_quality_checks": q(
         "SELECT c.* FROM o_checks c JOIN o_latest_run r ON r.pipeline_run_key = c.pipeline_run_key"

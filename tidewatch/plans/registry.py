@@ -153,6 +153,7 @@ QUERIES: dict[str, Query] = {
     # observability
     "latest_pipeline_run": _view(L.latest_pipeline_run),
     "quality_summary": _view(L.latest_quality_summary),
+    "quality_summary_total": _view(L.latest_quality_summary_total),
     "latest_quality_checks": _view(L.latest_quality_checks),
     "run_history": _view(L.pipeline_run_history),
 }
