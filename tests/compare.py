@@ -55,7 +55,7 @@ def main(sf_dir: str, names: list[str]):
     import __spark_entry__ as E
     from tidewatch.session import get_session
 
-    spark = get_session("local[8]", shuffle_partitions=8)
+    spark = get_session("local[8]", shuffle_partitions=8, extra_conf={"spark.driver.memory": "8g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()

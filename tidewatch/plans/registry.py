@@ -86,6 +86,12 @@ def _rig_fact_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dim_asset_rows(t) -> DataFrame:
+    return t["dim_asset"].join(t["dim_location"].select("location_key", "location_id"), on="location_key").select(
+        "asset_id", "asset_name", "asset_type", "operator_name", "location_id", "is_active", "max_wind_kmh",
+        "max_gust_kmh", "max_wave_height_m", "minimum_visibility_m")
+
+
 def _latest_global_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _wh(spark, sf_dir)
     run = _with_asset_id(t, VW.latest_global_run(t))
@@ -110,10 +116,7 @@ QUERIES: dict[str, Query] = {
     "dim_time_rows": lambda s, d: _wh(s, d)["dim_time"],
     "dim_location_rows": lambda s, d: _wh(s, d)["dim_location"].select(
         "location_id", "location_name", "country", "latitude", "longitude"),
-    "dim_asset_rows": lambda s, d: _wh(s, d)["dim_asset"].join(
-        _wh(s, d)["dim_location"].select("location_key", "location_id"), on="location_key").select(
-        "asset_id", "asset_name", "asset_type", "operator_name", "location_id", "is_active", "max_wind_kmh",
-        "max_gust_kmh", "max_wave_height_m", "minimum_visibility_m"),
+    "dim_asset_rows": lambda s, d: _dim_asset_rows(_wh(s, d)),
     "dim_product_rows": lambda s, d: _wh(s, d)["dim_energy_product"].select(
         "product_code", "product_name", "commodity_type", "default_unit"),
     "dim_country_rows": lambda s, d: _wh(s, d)["dim_country"].select("country_name", "region"),
