@@ -5,7 +5,8 @@ state of each table with the ``upsert`` family and publishes it:
 
 * forecast facts are partitioned by ``run_date`` (date of the forecast
   run).  Their grain contains the run time, so a batch only touches its
-  own runs' partitions: the current rows of those partitions are read,
+  own runs' partitions: only the current rows of those partitions are read
+  (a literal IN filter on the partition column, so Spark prunes the rest),
   upserted with the batch, staged in the shared checkpoint folder (a
   table being read cannot be overwritten) and written back with dynamic
   partition overwrite, so untouched partitions are never rewritten;
@@ -44,6 +45,7 @@ from tidewatch.sources import testtables as TT
 # within files).  Every partition expression is a function of the table's
 # grain, so a row can never move between partitions on update.
 RIG_BUCKETS = 32
+MAX_TOUCHED = 1000  # partition values read to the driver for static pruning
 LAYOUT = {
     "fact_weather_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_marine_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
@@ -95,13 +97,22 @@ class WarehouseStore:
 
     def touched_slice(self, name: str, parts: DataFrame) -> DataFrame:
         """Current rows of the partitions listed in ``parts`` (one column named
-        like the partition column).  The set is small (runs, years or
-        buckets of one batch), so it is broadcast and Spark prunes the
-        partitions it does not name."""
+        like the partition column).
+
+        A batch touches a handful of partitions (its run dates, months or
+        buckets), so their values are read to the driver, at most
+        ``MAX_TOUCHED`` of them, and applied as a literal ``IN`` filter on
+        the partition column: Spark then lists and reads only those
+        partitions.  A batch touching more falls back to a broadcast
+        semi-join, which is correct but reads every partition.
+        """
         if not self.exists(name):
             return empty_like(self.spark, S.TABLES[name][0])
         current = self.read(name, keep_partition=True)
         col = LAYOUT[name][0]
+        values = [r[0] for r in parts.distinct().limit(MAX_TOUCHED + 1).collect()]
+        if len(values) <= MAX_TOUCHED:
+            return current.where(F.col(col).isin(values)).drop(col)
         return current.join(F.broadcast(parts.distinct()), on=col, how="left_semi").drop(col)
 
     def stage(self, name: str, df: DataFrame) -> str:
