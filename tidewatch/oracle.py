@@ -10,8 +10,19 @@ arithmetic here, because DuckDB divides decimals in floating point.
 
 from __future__ import annotations
 
+from tidewatch.functions.risk_rules import (
+    RECOMMENDATION_AMBER,
+    RECOMMENDATION_GREEN,
+    RECOMMENDATION_RED,
+    RECOMMENDATION_UNKNOWN,
+)
+from tidewatch.plans.risk import RISK_SOURCE
+from tidewatch.plans.silver import ATMOSPHERIC_SOURCE, MARINE_SOURCE, PRICE_SOURCE, RIG_SOURCE
 from tidewatch.sources.testtables import AS_OF, RUN_TIME
 
+_RED_HEAD, _RED_TAIL = RECOMMENDATION_RED.split("{}")
+_AMBER_HEAD, _AMBER_TAIL = RECOMMENDATION_AMBER.split("{}")
+
 K = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
 
 
@@ -132,7 +143,7 @@ o_atm AS (
          CAST(greatest(floor((epoch_us(forecast_valid_time) - epoch_us(forecast_reference_time)) / 3600000000), 0) AS INTEGER) AS forecast_horizon_hours,
          asset_id, CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
          temperature_c, relative_humidity_pct, precipitation_mm, pressure_hpa, wind_speed_kmh, wind_direction_deg,
-         wind_gust_kmh, visibility_m, weather_code, 'atmospheric-api' AS source, 'events.parquet' AS source_file
+         wind_gust_kmh, visibility_m, weather_code, '{ATMOSPHERIC_SOURCE}' AS source, 'events.parquet' AS source_file
   FROM o_atm_land
   QUALIFY row_number() OVER (PARTITION BY {HOUR} ORDER BY record_order DESC) = 1
 ),
@@ -150,7 +161,7 @@ o_mar AS (
   SELECT forecast_reference_time, forecast_valid_time,
          CAST(greatest(floor((epoch_us(forecast_valid_time) - epoch_us(forecast_reference_time)) / 3600000000), 0) AS INTEGER) AS forecast_horizon_hours,
          asset_id, CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS DOUBLE) AS latitude, CAST(NULL AS DOUBLE) AS longitude,
-         {_mar_silver_cols}, 'marine-api' AS source, 'events.parquet' AS source_file
+         {_mar_silver_cols}, '{MARINE_SOURCE}' AS source, 'events.parquet' AS source_file
   FROM o_mar_land
   QUALIFY row_number() OVER (PARTITION BY {HOUR} ORDER BY record_order DESC) = 1
 ),
@@ -184,11 +195,11 @@ o_risk AS (
   SELECT forecast_reference_time, forecast_valid_time, asset_id, wind_risk_level, gust_risk_level,
          wave_risk_level, visibility_risk_level, overall_risk_level,
          CASE overall_risk_level
-           WHEN 'RED' THEN 'Suspend weather-sensitive operations; limiting parameter: ' || limiting_parameter || '.'
-           WHEN 'AMBER' THEN 'Proceed with caution and enhanced monitoring; limiting parameter: ' || limiting_parameter || '.'
-           WHEN 'GREEN' THEN 'Conditions are within configured operational limits.'
-           ELSE 'Insufficient data for a complete operational assessment.' END AS operation_recommendation,
-         limiting_parameter, 'risk-rules-v1' AS source
+           WHEN 'RED' THEN '{_RED_HEAD}' || limiting_parameter || '{_RED_TAIL}'
+           WHEN 'AMBER' THEN '{_AMBER_HEAD}' || limiting_parameter || '{_AMBER_TAIL}'
+           WHEN 'GREEN' THEN '{RECOMMENDATION_GREEN}'
+           ELSE '{RECOMMENDATION_UNKNOWN}' END AS operation_recommendation,
+         limiting_parameter, '{RISK_SOURCE}' AS source
   FROM o_risk_rated
 ),
 o_dim_location AS (
@@ -246,7 +257,7 @@ o_price_land AS (
 ),
 o_price AS (
   SELECT TRY_CAST(trim(period) AS TIMESTAMP) AS timestamp, trim(product) AS product_code,
-         trim(product_name_raw) AS product, value AS price_usd, trim(units) AS unit, 'price-feed' AS source,
+         trim(product_name_raw) AS product, value AS price_usd, trim(units) AS unit, '{PRICE_SOURCE}' AS source,
          trim(series) AS series, trim(process) AS process_code
   FROM o_price_land
   WHERE TRY_CAST(trim(period) AS TIMESTAMP) IS NOT NULL AND product IS NOT NULL AND product_name_raw IS NOT NULL
@@ -311,7 +322,7 @@ o_rig AS (
   SELECT CAST(make_date(CAST(year_n AS INTEGER), CAST(month_n AS INTEGER), 1) AS TIMESTAMP) AS observation_date,
          {title('region')} AS region, upper(country) AS country, {title('drilling_target')} AS drilling_target,
          {title('location_type')} AS location_type, {title('rig_status')} AS rig_status,
-         rig_count, 'rig-sheet' AS source, 'rig_count_monthly.csv' AS source_file,
+         rig_count, '{RIG_SOURCE}' AS source, 'rig_count_monthly.csv' AS source_file,
          TIMESTAMP '{RUN_TIME}' AS ingestion_time
   FROM o_rig_typed
   WHERE region IS NOT NULL AND country IS NOT NULL AND drilling_target IS NOT NULL AND location_type IS NOT NULL
@@ -778,8 +789,12 @@ _TABLE_SRC = {
 _GRAIN = "asset_id, forecast_reference_time, forecast_valid_time, source"
 
 
-def _check(name: str, passed: str, value: str, expectation: str, details: str = "NULL", src: str = "") -> str:
-    return (f"SELECT '{name}' AS check_name, {passed} AS passed, CAST({value} AS VARCHAR) AS check_value, "
+from tidewatch.plans.quality import ALL_PRESENT, CHECKS, ROWS_ABSENT, ROWS_PRESENT  # noqa: E402
+
+
+def _check(check: str, passed: str, value: str, details: str = "NULL", src: str = "", **fmt: str) -> str:
+    name, expectation = CHECKS[check]
+    return (f"SELECT '{name.format(**fmt)}' AS check_name, {passed} AS passed, CAST({value} AS VARCHAR) AS check_value, "
             f"'{expectation}' AS expectation, CAST({details} AS VARCHAR) AS details {src}")
 
 
@@ -793,46 +808,40 @@ def _json3(a: str, m: str, r: str) -> str:
 
 
 _checks = [
-    _check("Required tables", "TRUE", "'11'", "11 required tables", "'All required tables exist.'"),
-    _check("Required analytical views", "TRUE", "'7'", "7 required views", "'All required views exist.'"),
+    _check("tables", "TRUE", "'11'", "'" + ALL_PRESENT.format(what="tables") + "'"),
+    _check("views", "TRUE", "'7'", "'" + ALL_PRESENT.format(what="views") + "'"),
 ]
 for _t, _src in _TABLE_SRC.items():
-    _checks.append(_check(f"{_t} row count", "n > 0", "n", "Greater than zero",
-                          "CASE WHEN n > 0 THEN 'Dataset contains records.' ELSE 'Dataset is empty.' END",
-                          f"FROM (SELECT COUNT(*) AS n FROM {_src}) c"))
+    _checks.append(_check("rows", "n > 0", "n",
+                          f"CASE WHEN n > 0 THEN '{ROWS_PRESENT}' ELSE '{ROWS_ABSENT}' END",
+                          f"FROM (SELECT COUNT(*) AS n FROM {_src}) c", table=_t))
 _a, _m, _r = "(SELECT COUNT(*) FROM o_fact_weather)", "(SELECT COUNT(*) FROM o_fact_marine)", "(SELECT COUNT(*) FROM o_fact_risk)"
-_checks.append(_check("Historical weather table alignment", f"{_a} = {_m} AND {_m} = {_r}", _json3(_a, _m, _r),
-                      "Atmospheric, marine, and risk tables have equal row counts"))
+_checks.append(_check("alignment", f"{_a} = {_m} AND {_m} = {_r}", _json3(_a, _m, _r)))
 _la, _lm, _lr = _latest_count("o_fact_weather"), _latest_count("o_fact_marine"), _latest_count("o_fact_risk")
-_checks.append(_check("Latest weather-run alignment", f"{_la} = {_lm} AND {_lm} = {_lr}", _json3(_la, _lm, _lr),
-                      "Latest forecast run has equal row counts across all weather facts"))
-for _n, _src in [("Atmospheric duplicate grain", "o_fact_weather"), ("Marine duplicate grain", "o_fact_marine"),
-                 ("Risk duplicate grain", "o_fact_risk")]:
-    _checks.append(_check(_n, "n = 0", "n", "Zero duplicate groups",
+_checks.append(_check("latest_alignment", f"{_la} = {_lm} AND {_lm} = {_lr}", _json3(_la, _lm, _lr)))
+for _c, _src in [("dup_atmospheric", "o_fact_weather"), ("dup_marine", "o_fact_marine"), ("dup_risk", "o_fact_risk")]:
+    _checks.append(_check(_c, "n = 0", "n",
                           src=f"FROM (SELECT COUNT(*) AS n FROM (SELECT {_GRAIN} FROM {_src} GROUP BY ALL HAVING COUNT(*) > 1) d) c"))
-for _n, _src in [("Weather asset references", "o_fact_weather"), ("Marine asset references", "o_fact_marine")]:
-    _checks.append(_check(_n, "n = 0", "n", "Zero orphan asset keys",
+for _c, _src in [("orphan_weather", "o_fact_weather"), ("orphan_marine", "o_fact_marine")]:
+    _checks.append(_check(_c, "n = 0", "n",
                           src=f"FROM (SELECT COUNT(*) AS n FROM {_src} f ANTI JOIN o_dim_asset a ON a.asset_id = f.asset_id) c"))
-_checks.append(_check("Active asset locations", "n = 0", "n", "Every active asset has a location",
+_checks.append(_check("asset_locations", "n = 0", "n",
                       src="FROM (SELECT COUNT(*) AS n FROM o_dim_asset a ANTI JOIN o_dim_location l "
                           "ON l.location_id = a.location_id WHERE a.is_active) c"))
-_checks.append(_check("Relative humidity range", "n = 0", "n", "All values between 0 and 100",
+_checks.append(_check("humidity", "n = 0", "n",
                       src="FROM (SELECT COUNT(*) FILTER (WHERE NOT (relative_humidity_pct BETWEEN 0 AND 100)) AS n FROM o_fact_weather) c"))
-_checks.append(_check("Wave-height range", "n = 0", "n", "No negative wave heights",
+_checks.append(_check("wave", "n = 0", "n",
                       src="FROM (SELECT COUNT(*) FILTER (WHERE wave_height_m < 0) AS n FROM o_fact_marine) c"))
-_checks.append(_check("Visibility range", "n = 0", "n", "No negative visibility",
+_checks.append(_check("visibility", "n = 0", "n",
                       src="FROM (SELECT COUNT(*) FILTER (WHERE visibility_m < 0) AS n FROM o_fact_weather) c"))
-_checks.append(_check("Operational risk categories", "n = 0", "n", "Only GREEN, AMBER, RED, or UNKNOWN",
+_checks.append(_check("levels", "n = 0", "n",
                       src="FROM (SELECT COUNT(*) FILTER (WHERE overall_risk_level NOT IN ('UNKNOWN', 'GREEN', 'AMBER', 'RED')) AS n FROM o_fact_risk) c"))
-_checks.append(_check("Executive snapshot grain", "n = 1", "n", "Exactly one row",
-                      src=f"FROM (SELECT COUNT(*) AS n FROM ({EXEC_SELECT}) x) c"))
+_checks.append(_check("snapshot", "n = 1", "n", src=f"FROM (SELECT COUNT(*) AS n FROM ({EXEC_SELECT}) x) c"))
 _kpi_rows = "(SELECT COUNT(*) FROM (SELECT DISTINCT asset_id, forecast_reference_time FROM o_latest) k)"
 _active = "(SELECT COUNT(*) FROM o_dim_asset WHERE is_active)"
-_checks.append(_check("Asset KPI coverage", f"{_kpi_rows} = {_active}",
-                      f"""'{{"view_rows":' || {_kpi_rows} || ',"active_assets":' || {_active} || '}}'""",
-                      "One KPI row per active asset"))
-_checks.append(_check("Latest offshore forecast", "n > 0", "n", "Greater than zero",
-                      src="FROM (SELECT COUNT(*) AS n FROM o_latest) c"))
+_checks.append(_check("kpi_coverage", f"{_kpi_rows} = {_active}",
+                      f"""'{{"view_rows":' || {_kpi_rows} || ',"active_assets":' || {_active} || '}}'"""))
+_checks.append(_check("latest_forecast", "n > 0", "n", src="FROM (SELECT COUNT(*) AS n FROM o_latest) c"))
 SQL["dq_checks"] = q("\nUNION ALL\n".join(_checks))
 
 

@@ -26,15 +26,38 @@ FACT_COUNT_TABLES = [
     "fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk",
     "fact_rig_count", "fact_oil_price",
 ]
-# Check names and expectation texts are fixed values of the reference.
-TABLES_EXPECTATION = "11 required tables"
-VIEWS_EXPECTATION = "7 required views"
+# Name and expectation text of each check, in check order
+# ("{table}" is filled with each of the five fact tables for checks 3-7),
+# and the detail texts.
+CHECKS = {
+    "tables": ("Required tables", "11 required tables"),
+    "views": ("Required analytical views", "7 required views"),
+    "rows": ("{table} row count", "Greater than zero"),
+    "alignment": ("Historical weather table alignment", "Atmospheric, marine, and risk tables have equal row counts"),
+    "latest_alignment": ("Latest weather-run alignment", "Latest forecast run has equal row counts across all weather facts"),
+    "dup_atmospheric": ("Atmospheric duplicate grain", "Zero duplicate groups"),
+    "dup_marine": ("Marine duplicate grain", "Zero duplicate groups"),
+    "dup_risk": ("Risk duplicate grain", "Zero duplicate groups"),
+    "orphan_weather": ("Weather asset references", "Zero orphan asset keys"),
+    "orphan_marine": ("Marine asset references", "Zero orphan asset keys"),
+    "asset_locations": ("Active asset locations", "Every active asset has a location"),
+    "humidity": ("Relative humidity range", "All values between 0 and 100"),
+    "wave": ("Wave-height range", "No negative wave heights"),
+    "visibility": ("Visibility range", "No negative visibility"),
+    "levels": ("Operational risk categories", "Only GREEN, AMBER, RED, or UNKNOWN"),
+    "snapshot": ("Executive snapshot grain", "Exactly one row"),
+    "kpi_coverage": ("Asset KPI coverage", "One KPI row per active asset"),
+    "latest_forecast": ("Latest offshore forecast", "Greater than zero"),
+}
+ROWS_PRESENT, ROWS_ABSENT = "Dataset contains records.", "Dataset is empty."
+MISSING_PREFIX, ALL_PRESENT = "Missing: ", "All required {what} exist."
 
 
-def _row(frame: DataFrame, name: str, passed: Column, value: Column, expectation: str,
-         details: Column | None = None) -> DataFrame:
+def _row(frame: DataFrame, check: str, passed: Column, value: Column,
+         details: Column | None = None, **fmt: str) -> DataFrame:
+    name, expectation = CHECKS[check]
     return frame.select(
-        F.lit(name).alias("check_name"),
+        F.lit(name.format(**fmt)).alias("check_name"),
         passed.alias("passed"),
         value.cast("string").alias("check_value"),
         F.lit(expectation).alias("expectation"),
@@ -53,13 +76,14 @@ def required_objects(spark: SparkSession, existing_tables: Sequence[str], existi
     is started to ship local data.
     """
     frames = []
-    for name, required, existing, expectation, what in [
-        ("Required tables", S.REQUIRED_TABLES, existing_tables, TABLES_EXPECTATION, "tables"),
-        ("Required analytical views", S.REQUIRED_VIEWS, existing_views, VIEWS_EXPECTATION, "views"),
+    for check, required, existing, what in [
+        ("tables", S.REQUIRED_TABLES, existing_tables, "tables"),
+        ("views", S.REQUIRED_VIEWS, existing_views, "views"),
     ]:
+        name, expectation = CHECKS[check]
         missing = sorted(set(required) - set(existing))
         found = len(set(required) & set(existing))
-        details = "Missing: " + ", ".join(missing) if missing else f"All required {what} exist."
+        details = MISSING_PREFIX + ", ".join(missing) if missing else ALL_PRESENT.format(what=what)
         frames.append(spark.range(1).select(
             F.lit(name).alias("check_name"), F.lit(not missing).alias("passed"),
             F.lit(str(found)).alias("check_value"), F.lit(expectation).alias("expectation"),
@@ -101,10 +125,7 @@ def fact_row_counts(m: Mapping[str, DataFrame]) -> list[DataFrame]:
     out = []
     for table in FACT_COUNT_TABLES:
         n = F.col("n")
-        out.append(_row(
-            m[table], f"{table} row count", n > 0, n, "Greater than zero",
-            F.when(n > 0, "Dataset contains records.").otherwise("Dataset is empty."),
-        ))
+        out.append(_row(m[table], "rows", n > 0, n, F.when(n > 0, ROWS_PRESENT).otherwise(ROWS_ABSENT), table=table))
     return out
 
 
@@ -122,24 +143,21 @@ def weather_alignment(m: Mapping[str, DataFrame]) -> list[DataFrame]:
     eq = (F.col("atmospheric") == F.col("marine")) & (F.col("marine") == F.col("risk"))
     eq_latest = (F.col("atmospheric_latest") == F.col("marine_latest")) & (F.col("marine_latest") == F.col("risk_latest"))
     return [
-        _row(both, "Historical weather table alignment", eq, _json_counts(**{k: F.col(k) for k in keys}),
-             "Atmospheric, marine, and risk tables have equal row counts"),
-        _row(both, "Latest weather-run alignment", eq_latest,
-             _json_counts(**{k: F.col(f"{k}_latest") for k in keys}),
-             "Latest forecast run has equal row counts across all weather facts"),
+        _row(both, "alignment", eq, _json_counts(**{k: F.col(k) for k in keys})),
+        _row(both, "latest_alignment", eq_latest, _json_counts(**{k: F.col(f"{k}_latest") for k in keys})),
     ]
 
 
 def duplicate_grain(t: Tables) -> list[DataFrame]:
     """Checks 10-12: zero duplicate (asset, run, hour, source) groups."""
     out = []
-    for name, table in [
-        ("Atmospheric duplicate grain", "fact_weather_forecast"),
-        ("Marine duplicate grain", "fact_marine_forecast"),
-        ("Risk duplicate grain", "fact_operational_weather_risk"),
+    for check, table in [
+        ("dup_atmospheric", "fact_weather_forecast"),
+        ("dup_marine", "fact_marine_forecast"),
+        ("dup_risk", "fact_operational_weather_risk"),
     ]:
         groups = _count(duplicate_keys(t[table], S.FORECAST_GRAIN))
-        out.append(_row(groups, name, F.col("n") == 0, F.col("n"), "Zero duplicate groups"))
+        out.append(_row(groups, check, F.col("n") == 0, F.col("n")))
     return out
 
 
@@ -147,15 +165,14 @@ def reference_integrity(t: Tables) -> list[DataFrame]:
     """Checks 13-15: orphan asset keys, active assets without a location."""
     assets = t["dim_asset"].select("asset_key")
     out = []
-    for name, table in [("Weather asset references", "fact_weather_forecast"),
-                        ("Marine asset references", "fact_marine_forecast")]:
+    for check, table in [("orphan_weather", "fact_weather_forecast"), ("orphan_marine", "fact_marine_forecast")]:
         orphans = _count(t[table].select("asset_key").join(assets, on="asset_key", how="left_anti"))
-        out.append(_row(orphans, name, F.col("n") == 0, F.col("n"), "Zero orphan asset keys"))
+        out.append(_row(orphans, check, F.col("n") == 0, F.col("n")))
     no_loc = _count(
         t["dim_asset"].where(F.col("is_active")).select("location_key")
         .join(t["dim_location"].select("location_key"), on="location_key", how="left_anti")
     )
-    out.append(_row(no_loc, "Active asset locations", F.col("n") == 0, F.col("n"), "Every active asset has a location"))
+    out.append(_row(no_loc, "asset_locations", F.col("n") == 0, F.col("n")))
     return out
 
 
@@ -163,10 +180,10 @@ def value_ranges(m: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Checks 16-19, from the per-table metric rows."""
     w, ma, r = m["fact_weather_forecast"], m["fact_marine_forecast"], m["fact_operational_weather_risk"]
     return [
-        _row(w, "Relative humidity range", F.col("humidity") == 0, F.col("humidity"), "All values between 0 and 100"),
-        _row(ma, "Wave-height range", F.col("wave") == 0, F.col("wave"), "No negative wave heights"),
-        _row(w, "Visibility range", F.col("visibility") == 0, F.col("visibility"), "No negative visibility"),
-        _row(r, "Operational risk categories", F.col("levels") == 0, F.col("levels"), "Only GREEN, AMBER, RED, or UNKNOWN"),
+        _row(w, "humidity", F.col("humidity") == 0, F.col("humidity")),
+        _row(ma, "wave", F.col("wave") == 0, F.col("wave")),
+        _row(w, "visibility", F.col("visibility") == 0, F.col("visibility")),
+        _row(r, "levels", F.col("levels") == 0, F.col("levels")),
     ]
 
 
@@ -177,11 +194,10 @@ def business_views(t: Tables, snapshot_time: str) -> list[DataFrame]:
         _count(t["dim_asset"].where(F.col("is_active")), "active_assets"))
     latest = _count(VW.latest_offshore_forecast(t))
     return [
-        _row(snap, "Executive snapshot grain", F.col("n") == 1, F.col("n"), "Exactly one row"),
-        _row(kpis, "Asset KPI coverage", F.col("view_rows") == F.col("active_assets"),
-             _json_counts(view_rows=F.col("view_rows"), active_assets=F.col("active_assets")),
-             "One KPI row per active asset"),
-        _row(latest, "Latest offshore forecast", F.col("n") > 0, F.col("n"), "Greater than zero"),
+        _row(snap, "snapshot", F.col("n") == 1, F.col("n")),
+        _row(kpis, "kpi_coverage", F.col("view_rows") == F.col("active_assets"),
+             _json_counts(view_rows=F.col("view_rows"), active_assets=F.col("active_assets"))),
+        _row(latest, "latest_forecast", F.col("n") > 0, F.col("n")),
     ]
 
 
