@@ -23,3 +23,13 @@ def test_batch_run_gate_ledger_and_redelivery(spark, tmp):
     assert status == {1: "FAILED", 2: "SUCCESS"}
     per_run = {r[0]: r[1] for r in led["fact_data_quality_check"].groupBy("pipeline_run_key").count().collect()}
     assert per_run == {1: 22, 2: 22}  # the failed run kept its checks
+
+
+def test_store_append_and_truncate_reload(spark, tmp):
+    store = runs.WarehouseStore(spark, f"{tmp}/wh")
+    rows = spark.range(3).selectExpr("id AS pipeline_run_key", "'p' AS pipeline_name")
+    store.append("fact_pipeline_run", rows)          # K06: append load
+    store.append("fact_pipeline_run", rows)
+    assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 6
+    store.replace_all({"fact_pipeline_run": rows.limit(1)})   # K11: truncate and reload
+    assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 1
