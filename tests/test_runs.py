@@ -33,3 +33,26 @@ def test_store_append_and_truncate_reload(spark, tmp):
     assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 6
     store.replace_all({"fact_pipeline_run": rows.limit(1)})   # K11: truncate and reload
     assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 1
+
+
+def test_latest_views_prune_run_partitions_on_long_history(spark, tmp):
+    import re
+
+    from tidewatch.plans import build
+    from tidewatch.plans import views_weather as VW
+
+    silver = runs.write_silver_frames(spark, build.silver_frames(spark, SF), tmp)
+    store = runs.WarehouseStore(spark, f"{tmp}/warehouse")
+    runs.load_warehouse(spark, store, silver, "2024-02-01 00:00:00")
+    t = store.tables(keep_partition=True)
+    unpruned = sorted(map(tuple, VW.offshore_risk_summary(t).collect()))
+    old = VW.PRUNE_MIN_PARTITIONS
+    VW.PRUNE_MIN_PARTITIONS = 1  # treat the stored history as long
+    try:
+        df = VW.offshore_risk_summary(t)
+        rows = sorted(map(tuple, df.collect()))
+        # one latest date prints as an equality, several as IN
+        assert re.search(r"PartitionFilters: \[[^\]]*run_date#\d+ (IN|=) ", df._jdf.queryExecution().executedPlan().toString())
+    finally:
+        VW.PRUNE_MIN_PARTITIONS = old
+    assert rows == unpruned
