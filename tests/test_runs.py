@@ -56,3 +56,17 @@ def test_latest_views_prune_run_partitions_on_long_history(spark, tmp):
     finally:
         VW.PRUNE_MIN_PARTITIONS = old
     assert rows == unpruned
+
+
+def test_staged_copies_are_removed_after_publish(spark, tmp):
+    import glob
+
+    from tidewatch.session import checkpoint_dir
+
+    store = runs.WarehouseStore(spark, f"{tmp}/wh")
+    rows = spark.range(3).selectExpr("id AS pipeline_run_key", "'p' AS pipeline_name")
+    store.append("fact_pipeline_run", rows)
+    before = set(glob.glob(f"{checkpoint_dir(spark)}/stage-*"))
+    store.replace_all({"fact_pipeline_run": rows.limit(2)})
+    assert set(glob.glob(f"{checkpoint_dir(spark)}/stage-*")) <= before
+    assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 2

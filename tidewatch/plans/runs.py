@@ -129,12 +129,20 @@ class WarehouseStore:
 
     def publish(self, name: str, staged: str) -> None:
         """Replace the touched partitions (dynamic overwrite) or the whole
-        table with a staged state."""
+        table with a staged state, then drop the staged copy."""
         df = self.spark.read.parquet(staged)
         if name in LAYOUT:
             df.write.mode("overwrite").partitionBy(LAYOUT[name][0]).parquet(self.path(name))
         else:
             df.write.mode("overwrite").parquet(self.path(name))
+        self._delete(staged)
+
+    def _delete(self, path: str) -> None:
+        """Remove a staged folder through the cluster's file system (HDFS, object
+        store or local), so staging does not grow with every run."""
+        jvm = self.spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
 
     def write_new(self, name: str, df: DataFrame) -> None:
         """First write of a table that does not exist yet (nothing to stage)."""
