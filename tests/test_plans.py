@@ -46,3 +46,14 @@ def test_views_register_as_temp_views(spark):
     n = spark.sql("SELECT COUNT(*) AS n FROM vw_offshore_risk_summary").collect()[0].n
     assert n == E.entry(spark).count()
     assert spark.catalog.tableExists("vw_latest_rig_count")
+
+
+def test_oracle_date_columns_match_query_schemas(spark):
+    from pyspark.sql import types as T
+
+    from tidewatch.oracle import DATE_COLUMNS
+    from tidewatch.plans.registry import QUERIES
+
+    for name, fn in QUERIES.items():
+        cols = [f.name for f in fn(spark, SF).schema.fields if isinstance(f.dataType, T.DateType)]
+        assert cols == DATE_COLUMNS.get(name, []), name

@@ -958,3 +958,86 @@ FROM o_dim_time
         "s.timestamp IN (SELECT timestamp FROM o_dim_time) AS time_resolved, "
         f"temperature_c, humidity, wind_kmh, ingestion_time FROM ({_simple}) s"),
 })
+
+
+# ------------------------------------------------------ compared form of dates
+# DATE outputs are compared as TIMESTAMP at midnight on both sides (see
+# ``registry.comparable``); these are the DATE columns of each query.
+DATE_COLUMNS = {
+    "daily_price": [
+        "date"
+    ],
+    "daily_price_summary": [
+        "date"
+    ],
+    "dim_time_incremental": [
+        "date"
+    ],
+    "dim_time_rows": [
+        "date"
+    ],
+    "executive_snapshot": [
+        "rig_count_date",
+        "energy_price_date"
+    ],
+    "latest_price_by_product": [
+        "date"
+    ],
+    "latest_price_by_series": [
+        "date"
+    ],
+    "latest_price_summary": [
+        "energy_price_date"
+    ],
+    "latest_rig_count": [
+        "date"
+    ],
+    "latest_rig_summary": [
+        "rig_count_date"
+    ],
+    "offshore_risk_summary": [
+        "forecast_date"
+    ],
+    "price_history": [
+        "date"
+    ],
+    "price_summary": [
+        "first_observation_date",
+        "latest_observation_date"
+    ],
+    "rig_count_history": [
+        "date"
+    ],
+    "rig_country_monthly": [
+        "date"
+    ],
+    "rig_monthly_change": [
+        "date"
+    ],
+    "rig_region_monthly": [
+        "date"
+    ],
+    "serve_date_labels": [
+        "date"
+    ],
+    "serve_price_kpis": [
+        "latest_date"
+    ],
+    "serve_region_snapshot": [
+        "date"
+    ],
+    "serve_region_totals": [
+        "date"
+    ],
+}
+
+
+def _dates_as_timestamps(name: str, sql: str) -> str:
+    cols = DATE_COLUMNS.get(name)
+    if not cols:
+        return sql
+    replace = ", ".join(f'CAST("{c}" AS TIMESTAMP) AS "{c}"' for c in cols)
+    return f"SELECT * REPLACE ({replace}) FROM (\n{sql}\n) AS compared"
+
+
+SQL = {name: _dates_as_timestamps(name, sql) for name, sql in SQL.items()}

@@ -38,13 +38,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Drop hash keys and ordinals; NUMERIC -> DOUBLE."""
+    """Drop hash keys and ordinals; NUMERIC -> DOUBLE; DATE -> TIMESTAMP at
+    midnight (a date then reads back as the same datetime value from Spark
+    and from DuckDB, whichever way the results are converted)."""
     cols = []
     for f in df.schema.fields:
         if f.name in HASH_KEYS or f.name == "record_order":
             continue
         c = F.col(f"`{f.name}`")
-        cols.append(c.cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType) else c)
+        if isinstance(f.dataType, T.DecimalType):
+            c = c.cast("double").alias(f.name)
+        elif isinstance(f.dataType, T.DateType):
+            c = c.cast("timestamp_ntz").alias(f.name)
+        cols.append(c)
     return df.select(*cols)
 
 
