@@ -4,10 +4,14 @@ express one. Each query applies its operator to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import quality, toxicity
+from .decontamination import contained_items
 from .exact_dedup import exact_dedup
+from .ngram_join import near_duplicates
 from .packing import pack
-from .shared import table
+from .shared import crc32_mod, table
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,12 +19,48 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it contains (0.8 or more)."""
+    found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("row")
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; rows with crc32(doc_id) mod 5 = 0 are held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held = F.coalesce(crc32_mod("doc_id", 5) == 0, F.lit(False))
+    model = quality.train(docs, labels.where(~held))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Learnt from the labelled rows with crc32(doc_id) mod 3 other than 1."""
+    labels = table(spark, sf_dir, "labels")
+    return toxicity.train(docs, labels.where(crc32_mod("doc_id", 3) != 1))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; rows with crc32(doc_id) mod 3 = 1 are held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity_model(spark, docs, sf_dir))
+    held = F.coalesce(crc32_mod("doc_id", 3) == 1, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the id that stays for its text; the largest id stays."""
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op9_exact_dedup)}
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its near-duplicate class and number of links (0.8 or more)."""
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op3_benchmark_decontamination, op5_quality_classifier, op8_toxicity, op9_exact_dedup,
+    op10_ngram_jaccard_join)}
 
 ORACLE = {
     "op9_exact_dedup": """

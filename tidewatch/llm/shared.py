@@ -11,19 +11,21 @@ from pyspark.sql import functions as F
 from .text_arrays import slices
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage in the shared checkpoint folder.
-
-    The folder is ``spark.checkpoint.dir`` of the session. Only where that is
-    unset, as in local tests, a temporary folder is set. A lost executor then
-    costs no more than the tasks it ran: the rows are in shared storage.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir`` of the session. Only where that is unset, as in
+    local tests, a temporary folder is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
-    context = spark.sparkContext
+    return folder
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage in the shared checkpoint folder:
+    a lost executor then costs no more than the tasks that it ran."""
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
@@ -70,3 +72,34 @@ def column_udf(fn, return_type: str):
 def crc32_mod(id_col: str, k: int):
     """crc32 of the id as decimal text, modulo ``k`` (null id: null)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % k
+
+BROADCAST_ROWS = 200_000  # of a few numbers each: some MB
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df`` (already cut, a few short columns), marked for broadcast only if
+    its counted rows are at most BROADCAST_ROWS; else Spark shuffles the join."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, label) for every node of ``edges`` (a, b): the label is the
+    smallest node of its connected component.
+
+    Every round takes the smallest label among a node's neighbours and then
+    jumps to that label's own label, so rounds grow with the logarithm of a
+    component's diameter. Each round is cut; no link goes to the driver.
+    """
+    both = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    labels = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"))
+    while True:
+        near = (both.join(labels, both["b"] == labels["node"]).groupBy(both["a"].alias("node"))
+                .agg(F.min("label").alias("near")))
+        step = labels.join(near, "node").select("node", F.col("label").alias("old"),
+                                                F.least("label", "near").alias("next"))
+        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
+        new = cut(step.join(jump, "next", "left").select(
+            "node", "old", F.least("next", F.coalesce("far", "next")).alias("label")))
+        labels = new.select("node", "label")
+        if new.where("old <> label").isEmpty():
+            return labels
