@@ -2,8 +2,11 @@
 
 A dictionary of typical passages is trained from the texts labelled good and
 another from those labelled bad. A text is compressed with each; the difference
-of the two sizes per byte of text says which kind it resembles, and logistic
-regression on labelled rows turns that into a probability.
+of the two sizes, normalised, says which kind it resembles, and logistic
+regression on labelled rows turns that into a probability. Two norms are used,
+the text's bytes and the sum of the two sizes, because a text that repeats itself
+shrinks to nothing under both dictionaries; their compressed size per byte and
+its square tell the regression which norm to trust.
 
 Training is bounded by documented parameters, whatever the size of the tables:
 the labelled rows with the smallest hash of their id are taken, ``SAMPLE`` of
@@ -11,7 +14,7 @@ each kind. Half of them (by hash) build the dictionaries: their whole texts are
 cut into pieces of ``PIECE`` bytes and ``PIECES`` of a kind, by smallest hash,
 are given to the trainer. The other half, compressed in tasks, calibrate.
 
-Defined cases: null and empty texts get the calibrated score of difference 0;
+Defined cases: null and empty texts get the calibrated score of measures 0;
 without rows of both kinds no dictionary is used and every text gets the
 smoothed share of label 1; repeated rows get equal scores.
 """
@@ -34,14 +37,14 @@ PIECE = 2048
 PIECES = 4_000
 DICTIONARY = 112_640
 LEVEL = 3
+SMOOTH = 32  # bytes added to every norm: a few bytes of text say little
 
 
 @dataclass(frozen=True)
 class Model:
     good: bytes
     bad: bytes
-    slope: float
-    offset: float
+    weight: np.ndarray  # of ``measures`` and a constant
 
 
 def _pieces(batches):
@@ -59,8 +62,9 @@ def _pieces(batches):
     yield from by_text_size(batches, cut)
 
 
-def differences(texts: pa.Array, good: bytes, bad: bytes) -> np.ndarray:
-    """(size under the bad dictionary - size under the good one) / bytes."""
+def measures(texts: pa.Array, good: bytes, bad: bytes) -> np.ndarray:
+    """Per text: the difference of its compressed sizes (bad - good) per byte and
+    per compressed byte, the latter times the size per byte r, r and r * r."""
     compress = []
     for data in (good, bad):
         known = zstandard.ZstdCompressionDict(data)
@@ -69,29 +73,30 @@ def differences(texts: pa.Array, good: bytes, bad: bytes) -> np.ndarray:
                                                  write_content_size=False, write_dict_id=False).compress)
     data, offsets = raw(texts)
     view = memoryview(data)
-    out = np.zeros(len(texts))
-    for i in range(len(texts)):
-        a, b = int(offsets[i]), int(offsets[i + 1])
-        if b > a:
-            part = view[a:b]
-            out[i] = (len(compress[1](part)) - len(compress[0](part))) / (b - a)
-    return out
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by Newton steps on a lightly regularised likelihood."""
-    scale = max(float(np.std(x)), 1e-9)
-    design = np.stack([x / scale, np.ones(len(x))], axis=1)
-    weight = np.zeros(2)
-    for _ in range(50):
+    sizes = np.zeros((2, len(texts)))
+    for i in np.flatnonzero(np.diff(offsets)):
+        part = view[offsets[i]: offsets[i + 1]]
+        sizes[:, i] = len(compress[0](part)), len(compress[1](part))
+    difference, total = sizes[1] - sizes[0], sizes.sum(axis=0) + SMOOTH
+    length = np.diff(offsets) + SMOOTH
+    rate = sizes.sum(axis=0) / length
+    return np.stack([difference / length, difference / total, difference / total * rate, rate, rate * rate], axis=1)
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Weights (constant last) by Newton steps on a lightly regularised likelihood."""
+    scale = np.append(np.maximum(x.std(axis=0), 1e-9), 1.0)
+    design = np.column_stack([x, np.ones(len(x))]) / scale
+    weight = np.zeros(design.shape[1])
+    for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(design @ weight, -30, 30)))
         gradient = design.T @ (p - y) + 0.01 * weight
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(2)
+        hessian = (design * (p * (1 - p))[:, None]).T @ design + 0.01 * np.eye(len(weight))
         step = np.linalg.solve(hessian, gradient)
-        weight -= step
+        weight -= step * min(1.0, 5.0 / np.abs(step).max())
         if np.abs(step).max() < 1e-8:
             break
-    return float(weight[0] / scale), float(weight[1])
+    return weight / scale
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
@@ -112,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
               .select("piece").collect()] for y in (0, 1)]
     shares = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     share = (shares.get(1, 0) + 1) / (sum(shares.values()) + 2)
-    plain = Model(b"", b"", 0.0, float(np.log(share / (1 - share))))
+    plain = Model(b"", b"", np.array([0, 0, 0, 0, 0, np.log(share / (1 - share))]))
     if any(len(p) < 8 for p in parts):  # the trainer needs several samples
         return plain
     try:
@@ -120,17 +125,19 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
                      for p in parts)
     except zstandard.ZstdError:  # samples too small or all alike
         return plain
-    measure = column_udf(lambda texts: pa.array(differences(texts, good, bad)), "double")
-    data = rows.where("not builds").select(measure("text").alias("x"), "label").toPandas().sort_values(["label", "x"])
-    x, y = data["x"].to_numpy(float), data["label"].to_numpy(float)
+    measure = column_udf(lambda texts: pa.array(list(measures(texts, good, bad)), pa.list_(pa.float64())),
+                         "array<double>")
+    found = sorted((r["label"], *r["x"]) for r in rows.where("not builds")
+                   .select(measure("text").alias("x"), "label").collect())
+    y, x = np.array([r[0] for r in found], float), np.array([r[1:] for r in found], float)
     if len(np.unique(y)) < 2:
         return plain
-    return Model(good, bad, *_logistic(x, y))
+    return Model(good, bad, _logistic(x, y))
 
 
 def probabilities(texts: pa.Array, model: Model) -> np.ndarray:
-    x = differences(texts, model.good, model.bad) if model.good else np.zeros(len(texts))
-    return 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
+    x = measures(texts, model.good, model.bad) if model.good else np.zeros((len(texts), 5))
+    return 1 / (1 + np.exp(-np.clip(x @ model.weight[:-1] + model.weight[-1], -30, 30)))
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
