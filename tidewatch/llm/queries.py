@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, toxicity
+from . import quality, secrets, toxicity
 from .decontamination import contained_items
 from .exact_dedup import exact_dedup
+from .licenses import scan_licenses
 from .ngram_join import near_duplicates
 from .packing import pack
 from .shared import crc32_mod, table
@@ -19,12 +20,29 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: rules, and random strings by Markov models."""
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select("doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+                        F.sha2(secrets.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        secrets.written(F.col("found")).alias("spans"))
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every pair of a document and a benchmark item that it contains (0.8 or more)."""
     found = contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("row")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document; rows with crc32(doc_id) mod 5 = 0 are held out."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -59,7 +77,8 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_benchmark_decontamination, op5_quality_classifier, op8_toxicity, op9_exact_dedup,
+    op1_best_fit_packing, op2_secret_scan, op3_benchmark_decontamination, op4_license_scan,
+    op5_quality_classifier, op8_toxicity, op9_exact_dedup,
     op10_ngram_jaccard_join)}
 
 ORACLE = {
