@@ -6,13 +6,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, toxicity
+from . import masked_lm, quality, secrets, toxicity
 from .decontamination import contained_items
 from .exact_dedup import exact_dedup
 from .licenses import scan_licenses
 from .ngram_join import near_duplicates
 from .packing import pack
 from .shared import crc32_mod, table
+from .surrogates import replace_entities
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,6 +53,17 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked pseudo-log-likelihood of every document."""
+    docs = table(spark, sf_dir, "documents")
+    return masked_lm.score(docs, masked_lm.train(docs))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    return replace_entities(table(spark, sf_dir, "documents"))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Learnt from the labelled rows with crc32(doc_id) mod 3 other than 1."""
     labels = table(spark, sf_dir, "labels")
@@ -78,8 +90,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_secret_scan, op3_benchmark_decontamination, op4_license_scan,
-    op5_quality_classifier, op8_toxicity, op9_exact_dedup,
-    op10_ngram_jaccard_join)}
+    op5_quality_classifier, op6_lm_scoring, op7_pii, op8_toxicity, op9_exact_dedup, op10_ngram_jaccard_join)}
 
 ORACLE = {
     "op9_exact_dedup": """
