@@ -23,8 +23,8 @@ itself is joined by Spark and may have any size.
 Defined cases: null text is empty; an item or document without words has no
 shingle and matches nothing; a text of one to four words has one shingle, all
 of its words, so it matches only texts of the same few words; items that
-repeat (id and text) count once; documents that repeat an id are compared row by
-row; null ids are reported as null.
+repeat (id and text) count once; documents that repeat an id are told apart by
+their text, and rows equal in both are reported once; null ids are reported as null.
 """
 
 from __future__ import annotations

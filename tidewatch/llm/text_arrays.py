@@ -164,7 +164,7 @@ def shingles(words: Words, k: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np
         return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, np.int64)
     summed = h.copy()
     power = 1
-    for j in range(1, k):
+    for j in range(1, min(k, total)):
         power = power * _COMBINE % (1 << 64)
         summed[: total - j] += h[j:] * _U(power)
     whole = np.ones(total, dtype=bool)
