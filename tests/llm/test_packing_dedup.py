@@ -46,7 +46,7 @@ def test_pack_merges_up_the_tree_and_deals_out_large_levels(spark):
     random.seed(3)
     texts = [(i, " a" * random.randint(0, 60)) for i in range(400)]
     df = spark.createDataFrame(texts, "doc_id long, text string").repartition(16)
-    for fan_in, max_items in ((4, 200_000), (8, 100)):
+    for fan_in, max_items in ((4, 200_000), (8, 60)):
         packed = packing.pack(df, max_tokens=64, near=0, fan_in=fan_in, max_items=max_items).collect()
         used = check_packed(packed, texts, 64)
         assert used <= 1.1 * sum(r.length for r in packed) / 64  # partitions of 25 pieces, half of them over half a bin

@@ -6,7 +6,7 @@ first). Full and nearly full bins are final at once. Underfull bins go up a
 tree: ``fan_in`` neighbouring groups are merged, their bins are items of a new
 best-fit round, and so on up to the root. A group never holds more than
 ``max_items`` bins: where a level would, its bins are dealt over more groups by
-hash, and rounds go on until one group is left or a round closes no more bins.
+hash, and rounds go on until one group is left or a round removes fewer than 5 percent of the bins.
 
 Only piece descriptors (about 50 bytes each) move between tasks, never texts or
 ids. Every round is cut in the shared checkpoint folder.
@@ -193,7 +193,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_to
             deal = F.floor(F.col("grp") / F.lit(fan_in))
         else:  # too many underfull bins for one group each: deal them anew
             deal = F.pmod(F.xxhash64("bin", F.lit(groups), F.lit(stats["bins"])), F.lit(bound))
-        stuck = before is not None and fewer < bound and stats["bins"] > 0.99 * before
+        stuck = before is not None and fewer < bound and stats["bins"] > 0.95 * before
         last = max(fewer, bound) == 1 or stuck
         before, groups = stats["bins"], max(fewer, bound)
         done = cut(rest.withColumn("grp", deal.cast("bigint")).groupBy("grp")
