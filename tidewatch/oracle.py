@@ -16,13 +16,15 @@ from tidewatch.functions.risk_rules import (
     RECOMMENDATION_RED,
     RECOMMENDATION_UNKNOWN,
 )
-from tidewatch.plans.risk import RISK_SOURCE
-from tidewatch.plans.silver import ATMOSPHERIC_SOURCE, MARINE_SOURCE, PRICE_SOURCE, RIG_SOURCE
 from tidewatch.sources.testtables import AS_OF, RUN_TIME
 
 _RED_HEAD, _RED_TAIL = RECOMMENDATION_RED.split("{}")
 _AMBER_HEAD, _AMBER_TAIL = RECOMMENDATION_AMBER.split("{}")
 
+# Fixed values, written out here so that the oracle does not depend on the jobs.
+ATMOSPHERIC_SOURCE, MARINE_SOURCE = "Open-Meteo", "Open-Meteo Marine"
+PRICE_SOURCE, RIG_SOURCE, RISK_SOURCE = "EIA", "Baker Hughes", "Operational Risk Engine v1"
+
 K = "CAST(json_extract_string(props, '$.k') AS DOUBLE)"
 
 

@@ -9,7 +9,7 @@ from tidewatch.functions import risk_rules as R
 from tidewatch.operators.contracts import assert_unique
 from tidewatch.operators.dedupe import keep_last
 
-RISK_SOURCE = "risk-rules-v1"
+RISK_SOURCE = "Operational Risk Engine v1"  # fixed value, part of the grain
 HOUR_KEYS = ["asset_id", "forecast_reference_time", "forecast_valid_time"]
 LIMIT_COLUMNS = ["max_wind_kmh", "max_gust_kmh", "max_wave_height_m", "minimum_visibility_m"]
 

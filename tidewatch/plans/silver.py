@@ -15,11 +15,12 @@ from tidewatch.functions import scalars as X
 from tidewatch.operators.contracts import require_columns
 from tidewatch.operators.dedupe import keep_last
 
-# Default source labels written by each job.
-ATMOSPHERIC_SOURCE = "atmospheric-api"
-MARINE_SOURCE = "marine-api"
-PRICE_SOURCE = "price-feed"
-RIG_SOURCE = "rig-sheet"
+# The source label each job writes. It is part of the facts'
+# grain, so a re-delivery must carry the same label as the stored rows.
+ATMOSPHERIC_SOURCE = "Open-Meteo"
+MARINE_SOURCE = "Open-Meteo Marine"
+PRICE_SOURCE = "EIA"
+RIG_SOURCE = "Baker Hughes"
 
 ATMOSPHERIC_FIELDS = {
     "temperature_2m": "temperature_c",
