@@ -112,6 +112,15 @@ def test_rig_sheet_csv(spark, tmp):
         ("Middle East", "SAUDI ARABIA", "Oil", "Land", "Non-Opec", 7.0, 1)]
 
 
+def test_rig_sheet_of_forty_columns(spark, tmp):
+    extra = [f"X{i}" for i in range(32)]
+    head = ",".join([*extra, "Region", "Country", "DrillFor", "Location", "Rig Status", "Year", "Month", "Rig Count Value"])
+    body = ",".join([*["x"] * 32, "Europe", "Norway", "gas", "offshore", "active", "2024", "3", "4"])
+    path = write(f"{tmp}/rig/wide.csv", "Preamble\n" + head + "\n" + body + "\n")
+    out = silver_rig(bronze.read_rig_sheet(spark, path), "2024-02-01 00:00:00").collect()
+    assert [(r.country, r.rig_count, r.observation_date.month) for r in out] == [("NORWAY", 4.0, 3)]
+
+
 def test_asset_registry_lenient(spark, tmp):
     text = "\n".join([
         ",".join(bronze.REGISTRY_COLUMNS),

@@ -18,7 +18,7 @@ def round_avg(c: str, decimals: int) -> Column:
     """ROUND(AVG(numeric), d) exactly: the decimal sum is divided at a wide
     scale (12 digits here), so rounding the ratio is not a double rounding."""
     total = F.sum(c).cast("decimal(30,4)")
-    n = F.count(c).cast("decimal(10,0)")
+    n = F.count(c).cast("decimal(20,0)")
     return F.round(total / n, decimals)
 
 

@@ -16,19 +16,6 @@ from tidewatch.schemas import MARINE_MEASURES
 Tables = Mapping[str, DataFrame]
 HOUR = ["asset_key", "forecast_reference_time", "forecast_valid_time"]
 LEVEL_NAMES = ["GREEN", "AMBER", "RED", "UNKNOWN"]
-MAX_RUN_DATES = 1000  # run dates read to the driver to prune stored fact partitions
-PRUNE_MIN_PARTITIONS = 16  # prune latest-run scans only on a longer history
-
-
-def _run_partitions(df: DataFrame) -> int:
-    """Number of ``run_date`` partitions of a stored fact, from the file
-    listing Spark already holds for planning (no job)."""
-    dates = set()
-    for path in df.inputFiles():
-        for part in path.split("/"):
-            if part.startswith("run_date="):
-                dates.add(part)
-    return len(dates)
 
 
 def avg_exact(c: str | Column) -> Column:
@@ -47,8 +34,8 @@ def _operational(t: Tables, runs: DataFrame | None = None) -> DataFrame:
 
     ``runs`` is a small frame (one row per asset); it is semi-joined into
     each fact *before* the hour joins, so only the selected runs are
-    joined and shuffled.  Stored facts are partitioned by ``run_date``;
-    the latest runs' dates prune the fact scans to those partitions.
+    joined and shuffled.  Stored facts are partitioned by ``run_date``; the
+    oldest of the latest runs prunes the fact scans to later partitions.
     """
     part = ["run_date"] if runs is not None and "run_date" in t["fact_weather_forecast"].columns else []
     w = t["fact_weather_forecast"].select(
@@ -65,16 +52,10 @@ def _operational(t: Tables, runs: DataFrame | None = None) -> DataFrame:
         keys = ["asset_key", "forecast_reference_time", *part]
         if part:
             runs = runs.withColumn("run_date", F.to_date("forecast_reference_time"))
-            if _run_partitions(t["fact_weather_forecast"]) > PRUNE_MIN_PARTITIONS:
-                # A long history: the latest runs fall on a handful of run
-                # dates.  Read them (at most MAX_RUN_DATES) and filter the
-                # partition column with them as literals, so each fact scan
-                # reads only those partitions (Spark's dynamic pruning does
-                # not fire for an aggregate filter side).  On a short history
-                # the extra lookup costs more than it saves.
-                dates = [r[0] for r in runs.select("run_date").distinct().limit(MAX_RUN_DATES + 1).collect()]
-                if len(dates) <= MAX_RUN_DATES:
-                    w, m, r = (f.where(F.col("run_date").isin(dates)) for f in (w, m, r))
+            # a scalar subquery on the partition column: Spark evaluates it at
+            # run time and lists only the partitions from the oldest latest run on
+            oldest = runs.agg(F.min("run_date")).scalar()
+            w, m, r = (f.where(F.col("run_date") >= oldest) for f in (w, m, r))
         w, m, r = (f.join(runs, on=keys, how="left_semi").drop(*part) for f in (w, m, r))
     a = t["dim_asset"].select("asset_key", "asset_id", "asset_name", "asset_type", "location_key")
     loc = t["dim_location"].select("location_key", "location_name", "country", "latitude", "longitude")
@@ -204,6 +185,8 @@ def next_weather_critical_event(t: Tables, as_of: str) -> DataFrame:
 def latest_global_run(t: Tables) -> DataFrame:
     """Risk fact rows of the global latest run."""
     r = t["fact_operational_weather_risk"]
+    if "run_date" in r.columns:  # stored fact: pruned to the newest partition at run time
+        r = r.where(F.col("run_date") == r.agg(F.max("run_date")).scalar())
     latest = r.agg(F.max("forecast_reference_time").alias("forecast_reference_time"))
     return r.join(F.broadcast(latest), on="forecast_reference_time", how="inner")
 

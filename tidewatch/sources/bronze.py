@@ -7,6 +7,7 @@ file, position in an array) for keep-last semantics.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -233,28 +234,32 @@ def read_simple_weather(spark: SparkSession, path: str) -> DataFrame:
 # -------------------------------------------------------------- rig sheet CSV
 
 RIG_HEADER = ["Region", "Country", "DrillFor", "Location", "Rig Status", "Year", "Month", "Rig Count Value"]
-RIG_MAX_COLUMNS = 32
 
 
 def read_rig_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Rig-count sheet exported as CSV: preamble lines, then a header row.
 
     Spark's CSV reader has no skip-rows option, so lines are read
-    positionally as text, the header row is located by a one-row probe,
+    positionally as text, the header row is located by a one-row probe (its
+    line says how many columns there are),
     and columns are taken by header name.  Preamble lines and the header
     itself fail the Year coercion in the Silver job.
     """
-    schema = T.StructType([T.StructField(f"_c{i}", STR) for i in range(RIG_MAX_COLUMNS)])
+    line = spark.read.text(path).where(F.col("value").contains(RIG_HEADER[-1])).limit(1).collect()
+    if not line:
+        raise ContractError("rig sheet: header row not found")
+    columns = len(next(csv.reader([line[0]["value"]])))
+    schema = T.StructType([T.StructField(f"_c{i}", STR) for i in range(columns)])
     raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"),
                      F.monotonically_increasing_id().alias("line_order"))
     is_header = F.lit(False)
-    for i in range(RIG_MAX_COLUMNS):
+    for i in range(columns):
         is_header = is_header | (X.trim_all(F.col(f"_c{i}")) == "Rig Count Value")
     header = raw.where(is_header).limit(1).collect()
     if not header:
         raise ContractError("rig sheet: header row not found")
-    names = {header[0][f"_c{i}"].strip(): i for i in range(RIG_MAX_COLUMNS) if header[0][f"_c{i}"] is not None}
+    names = {header[0][f"_c{i}"].strip(): i for i in range(columns) if header[0][f"_c{i}"] is not None}
     missing = sorted(set(RIG_HEADER) - set(names))
     if missing:
         raise ContractError("Missing required source columns: " + ", ".join(missing))
