@@ -38,7 +38,10 @@ def test_run_ledger_fold(spark):
 
 
 def test_quality_checks_and_fault_injection(spark):
+    from tidewatch.plans.serving import register_views
+
     t = build.warehouse(spark, SF)
+    register_views(spark, t, RUN_TIME)
     checks = {r.check_name: r for r in Q.quality_checks(spark, t, RUN_TIME).collect()}
     assert len(checks) == 22
     assert checks["fact_weather_forecast row count"].passed
@@ -60,8 +63,29 @@ def test_quality_checks_and_fault_injection(spark):
         assert not got[name].passed, name
     with pytest.raises(ContractError, match="Visibility range"):
         Q.gate(Q.quality_checks(spark, bad, RUN_TIME))
-    missing = Q.quality_checks(spark, t, RUN_TIME, existing_tables=["dim_time"]).collect()
+    missing = Q.quality_checks(spark, t, RUN_TIME, existing_tables=["dim_time"], existing_views=[]).collect()
     assert len(missing) == 2 and not missing[0].passed and "Missing:" in missing[0].details
+    spark.catalog.dropTempView("vw_next_weather_critical_event")
+    dropped = {r.check_name: r for r in Q.quality_checks(spark, t, RUN_TIME).collect()}
+    views = dropped["Required analytical views"]
+    assert len(dropped) == 19 and not views.passed and "vw_next_weather_critical_event" in views.details
+
+
+def test_run_on_an_empty_folder_fails_check_one(spark, tmp):
+    from tidewatch.plans import runs
+
+    store = runs.WarehouseStore(spark, f"{tmp}/nothing")
+    found = [n for n in Q.S.REQUIRED_TABLES if store.exists(n)]
+    rows = Q.quality_checks(spark, store.tables(), RUN_TIME, found, []).collect()
+    assert found == [] and len(rows) == 2 and not any(r.passed for r in rows)
+
+
+def test_error_without_a_message_is_a_failure(spark):
+    at = "2024-02-01 00:00:00"
+    assert L.finish_event(spark, 1, "p", at, error="").first().status == "FAILED"
+    assert L.finish_event(spark, 1, "p", at, error="x" * 5000).first().error_message == "x" * 5000
+    assert L.finish_event(spark, 1, "p", at).first().status == "SUCCESS"
+    assert len({L.issue_key() for _ in range(100)}) == 100
 
 
 def test_constraint_violations_clean_on_fresh_load(spark):

@@ -36,13 +36,14 @@ def test_entry_and_oracle_keys(spark):
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     missing = sorted(set(q) - set(o))
-    assert len(missing) <= 6, missing
+    # the subpackage's trained, hashed or tokenised results have no SQL form
+    assert all(n.startswith("op") or n == "pipeline" for n in missing), missing
 
 
 def test_views_register_as_temp_views(spark):
     from tidewatch.plans.serving import register_views
 
-    register_views(spark, build.warehouse(spark, SF))
+    register_views(spark, build.warehouse(spark, SF), "2024-01-29 12:00:00")
     n = spark.sql("SELECT COUNT(*) AS n FROM vw_offshore_risk_summary").collect()[0].n
     assert n == E.entry(spark).count()
     assert spark.catalog.tableExists("vw_latest_rig_count")

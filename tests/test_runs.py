@@ -35,7 +35,7 @@ def test_store_append_and_truncate_reload(spark, tmp):
     assert spark.read.parquet(store.path("fact_pipeline_run")).count() == 1
 
 
-def test_latest_views_prune_run_partitions_on_long_history(spark, tmp):
+def test_latest_views_and_touched_slices_prune_partitions(spark, tmp):
     import re
 
     from tidewatch.plans import build
@@ -45,17 +45,15 @@ def test_latest_views_prune_run_partitions_on_long_history(spark, tmp):
     store = runs.WarehouseStore(spark, f"{tmp}/warehouse")
     runs.load_warehouse(spark, store, silver, "2024-02-01 00:00:00")
     t = store.tables(keep_partition=True)
-    unpruned = sorted(map(tuple, VW.offshore_risk_summary(t).collect()))
-    old = VW.PRUNE_MIN_PARTITIONS
-    VW.PRUNE_MIN_PARTITIONS = 1  # treat the stored history as long
-    try:
-        df = VW.offshore_risk_summary(t)
+    unpruned = sorted(map(tuple, VW.offshore_risk_summary(store.tables(keep_partition=False)).collect()))
+    for view in (VW.offshore_risk_summary, VW.weather_run_summary):
+        df = view(t)
         rows = sorted(map(tuple, df.collect()))
-        # one latest date prints as an equality, several as IN
-        assert re.search(r"PartitionFilters: \[[^\]]*run_date#\d+ (IN|=) ", df._jdf.queryExecution().executedPlan().toString())
-    finally:
-        VW.PRUNE_MIN_PARTITIONS = old
-    assert rows == unpruned
+        assert re.search(r"PartitionFilters: \[[^\]]*run_date#\d+ (>=|=) Subquery", df._jdf.queryExecution().executedPlan().toString())
+        if view is VW.offshore_risk_summary:
+            assert rows == unpruned
+    touched = store.touched_slice("fact_rig_count", spark.createDataFrame([("1998-01",), ("1995-03",)], "rig_month string"))
+    assert re.search(r"PartitionFilters: \[[^\]]*rig_month#\d+ >= Subquery", touched._jdf.queryExecution().executedPlan().toString())
 
 
 def test_staged_copies_are_removed_after_publish(spark, tmp):

@@ -7,6 +7,7 @@ event row; the current state of a run is the fold of its events
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,13 @@ from tidewatch import schemas as S
 from tidewatch.functions import scalars as X
 
 Tables = Mapping[str, DataFrame]
+QUALITY_SCHEMA = ("quality_check_key long, pipeline_run_key long, check_name string, passed boolean, check_value string, "
+                  "expectation string, details string, checked_at timestamp_ntz")
+
+
+def issue_key() -> int:
+    """A new run key: 63 random bits, so runs that start anywhere get their own."""
+    return uuid.uuid4().int >> 65
 
 
 def start_event(spark: SparkSession, run_key: int, name: str, at: str) -> DataFrame:
@@ -28,7 +36,7 @@ def start_event(spark: SparkSession, run_key: int, name: str, at: str) -> DataFr
 
 def finish_event(spark: SparkSession, run_key: int, name: str, at: str, error: str | None = None) -> DataFrame:
     """The SUCCESS (no error) or FAILED event of a run."""
-    status = "FAILED" if error else "SUCCESS"
+    status = "SUCCESS" if error is None else "FAILED"  # an error without a message is one too
     return spark.createDataFrame(
         [(run_key, name, None, status, error)],
         "pipeline_run_key long, pipeline_name string, event_time timestamp_ntz, status string, error_message string",

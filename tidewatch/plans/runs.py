@@ -6,12 +6,12 @@ state of each table with the ``upsert`` family and publishes it:
 * forecast facts are partitioned by ``run_date`` (date of the forecast
   run).  Their grain contains the run time, so a batch only touches its
   own runs' partitions: only the current rows of those partitions are read
-  (a literal IN filter on the partition column, so Spark prunes the rest),
+  (scalar subqueries on the partition column prune the rest at run time),
   upserted with the batch, staged in the shared checkpoint folder (a
   table being read cannot be overwritten) and written back with dynamic
   partition overwrite, so untouched partitions are never rewritten;
-* price facts are partitioned by month and rig counts by a bucket of
-  their month key the same way, so a batch rewrites only its months;
+* price and rig facts are partitioned by month the same way, so a batch
+  rewrites only its months;
 * dimensions are small and rewritten whole through the same staging.
 
 Every stage reads what the previous stage wrote, so an executor lost in a
@@ -36,7 +36,7 @@ from tidewatch.plans import build
 from tidewatch.plans import ledger as L
 from tidewatch.plans import quality as Q
 from tidewatch.plans import warehouse as W
-from tidewatch.plans.serving import register_views
+from tidewatch.plans.serving import register_ledger_views, register_views
 from tidewatch.session import checkpoint_dir
 from tidewatch.sources import bronze
 from tidewatch.sources import testtables as TT
@@ -44,14 +44,12 @@ from tidewatch.sources import testtables as TT
 # table -> (partition column, expression on the table, clustering columns
 # within files).  Every partition expression is a function of the table's
 # grain, so a row can never move between partitions on update.
-RIG_BUCKETS = 32
-MAX_TOUCHED = 1000  # partition values read to the driver for static pruning
 LAYOUT = {
     "fact_weather_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_marine_forecast": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_operational_weather_risk": ("run_date", lambda: F.to_date("forecast_reference_time"), ["asset_key", "forecast_valid_time"]),
     "fact_oil_price": ("price_month", lambda: F.date_format("source_timestamp", "yyyy-MM"), ["product_key", "source_timestamp"]),
-    "fact_rig_count": ("time_bucket", lambda: F.pmod(F.col("time_key"), F.lit(RIG_BUCKETS)), ["country_key", "time_key"]),
+    "fact_rig_count": ("rig_month", None, ["country_key", "time_key"]),  # month of its hour in dim_time
 }
 SILVER_SORT = {
     "atmospheric": ["asset_id", "forecast_valid_time"],
@@ -74,11 +72,14 @@ class WarehouseStore:
         return os.path.join(self.root, name)
 
     def exists(self, name: str) -> bool:
+        """Whether the table was written; any other read error is raised."""
         try:
             self.spark.read.parquet(self.path(name)).schema
             return True
-        except AnalysisException:
-            return False
+        except AnalysisException as exc:
+            if exc.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
 
     def read(self, name: str, keep_partition: bool = False) -> DataFrame:
         """The stored table, or an empty one; the layout column only if asked."""
@@ -99,31 +100,35 @@ class WarehouseStore:
         """Current rows of the partitions listed in ``parts`` (one column named
         like the partition column).
 
-        A batch touches a handful of partitions (its run dates, months or
-        buckets), so their values are read to the driver, at most
-        ``MAX_TOUCHED`` of them, and applied as a literal ``IN`` filter on
-        the partition column: Spark then lists and reads only those
-        partitions.  A batch touching more falls back to a broadcast
-        semi-join, which is correct but reads every partition.
+        The batch's smallest and largest value are scalar subqueries on the
+        partition column, so Spark lists only the partitions between them at
+        run time; the semi-join then keeps exactly the touched ones.
         """
         if not self.exists(name):
             return empty_like(self.spark, S.TABLES[name][0])
         current = self.read(name, keep_partition=True)
         col = LAYOUT[name][0]
-        values = [r[0] for r in parts.distinct().limit(MAX_TOUCHED + 1).collect()]
-        if len(values) <= MAX_TOUCHED:
-            return current.where(F.col(col).isin(values)).drop(col)
-        return current.join(F.broadcast(parts.distinct()), on=col, how="left_semi").drop(col)
+        low, high = parts.agg(F.min(col)).scalar(), parts.agg(F.max(col)).scalar()
+        near = current.where((F.col(col) >= low) & (F.col(col) <= high))
+        return near.join(parts.distinct(), on=col, how="left_semi").drop(col)
+
+    def _laid_out(self, name: str, df: DataFrame) -> DataFrame:
+        """With the partition column, range partitioned and sorted: one run can
+        be a third of the data, so a partition value is split over many tasks."""
+        col, expr, cluster = LAYOUT[name]
+        if expr is not None:
+            df = df.withColumn(col, expr())
+        else:
+            months = self.read("dim_time").select("time_key", F.date_format("timestamp", "yyyy-MM").alias(col))
+            df = df.join(months, on="time_key", how="left")
+        return df.repartitionByRange(col, *cluster).sortWithinPartitions(col, *cluster)
 
     def stage(self, name: str, df: DataFrame) -> str:
         """Write the next state of a table (or of its touched partitions) to
         the shared checkpoint folder; nothing visible changes yet."""
         staged = os.path.join(checkpoint_dir(self.spark), f"stage-{name}-{uuid.uuid4().hex}")
         if name in LAYOUT:
-            col, expr, cluster = LAYOUT[name]
-            # range partitioning splits a partition value (one run can be a
-            # third of the data) and a hot asset across many write tasks
-            df = df.withColumn(col, expr()).repartitionByRange(col, *cluster).sortWithinPartitions(col, *cluster)
+            df = self._laid_out(name, df)
         df.write.mode("overwrite").parquet(staged)
         return staged
 
@@ -147,9 +152,7 @@ class WarehouseStore:
     def write_new(self, name: str, df: DataFrame) -> None:
         """First write of a table that does not exist yet (nothing to stage)."""
         if name in LAYOUT:
-            col, expr, cluster = LAYOUT[name]
-            out = df.withColumn(col, expr()).repartitionByRange(col, *cluster).sortWithinPartitions(col, *cluster)
-            out.write.mode("overwrite").partitionBy(col).parquet(self.path(name))
+            self._laid_out(name, df).write.mode("overwrite").partitionBy(LAYOUT[name][0]).parquet(self.path(name))
         else:
             df.write.mode("overwrite").parquet(self.path(name))
 
@@ -202,8 +205,7 @@ def batch_partitions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
         "fact_marine_forecast": run_date(silver["marine"]),
         "fact_operational_weather_risk": run_date(silver["risk"]),
         "fact_oil_price": silver["price"].select(F.date_format("timestamp", "yyyy-MM").alias("price_month")),
-        "fact_rig_count": silver["rig"].select(
-            F.pmod(W.surrogate_key("observation_date"), F.lit(RIG_BUCKETS)).alias("time_bucket")),
+        "fact_rig_count": silver["rig"].select(F.date_format("observation_date", "yyyy-MM").alias("rig_month")),
     }
 
 
@@ -242,7 +244,7 @@ def run_all(
     sf_dir: str,
     root: str,
     run_time: str = TT.RUN_TIME,
-    run_key: int = 1,
+    run_key: int | None = None,
     gate: bool = True,
 ) -> DataFrame:
     """One complete run on the test tables (stand-in inputs); returns the
@@ -283,7 +285,7 @@ def run_landed(
     landing: Mapping[str, str],
     root: str,
     run_time: str,
-    run_key: int = 1,
+    run_key: int | None = None,
     gate: bool = True,
 ) -> DataFrame:
     """One complete run from landed files (entry point of the batch run).
@@ -299,7 +301,7 @@ def run_silver(
     silver_builder,
     root: str,
     run_time: str,
-    run_key: int,
+    run_key: int | None,
     gate: bool,
 ) -> DataFrame:
     """Silver -> warehouse -> checks -> gate, recorded in the run ledger.
@@ -308,6 +310,7 @@ def run_silver(
     keeps its checks (a deliberate difference from the reference, where a
     failed gate stores none).
     """
+    run_key = L.issue_key() if run_key is None else run_key
     store = WarehouseStore(spark, os.path.join(root, "warehouse"))
     ledger_path = os.path.join(root, "ledger")
     name = "complete_energy_operations"
@@ -319,9 +322,9 @@ def run_silver(
     try:
         silver = write_silver_frames(spark, silver_builder(), root)
         load_warehouse(spark, store, silver, run_time)
-        tables = store.tables(keep_partition=False)
-        register_views(spark, tables)
-        checks = Q.quality_checks(spark, tables, run_time)
+        tables = store.tables()
+        register_views(spark, tables, run_time)
+        checks = Q.quality_checks(spark, tables, run_time, [n for n in S.REQUIRED_TABLES if store.exists(n)])
         rows = checks.select(
             F.xxhash64(F.lit(run_key), F.col("check_name")).alias("quality_check_key"),
             F.lit(run_key).cast("long").alias("pipeline_run_key"),
@@ -332,19 +335,26 @@ def run_silver(
         L.quality_rows(rows).write.mode("overwrite").parquet(staged)
         stored = spark.read.parquet(staged)
         stored.write.mode("append").parquet(os.path.join(ledger_path, "quality_checks"))
+        stored = spark.read.parquet(os.path.join(ledger_path, "quality_checks")).where(F.col("pipeline_run_key") == run_key)
+        store._delete(staged)
         if gate:
             Q.gate(stored)
     except Exception as exc:
-        L.finish_event(spark, run_key, name, now(), error=str(exc)[:500]).write.mode("append").parquet(
+        L.finish_event(spark, run_key, name, now(), error=str(exc)).write.mode("append").parquet(
             os.path.join(ledger_path, "run_events"))
+        register_ledger_views(spark, read_ledger(spark, root))
         raise
     L.finish_event(spark, run_key, name, now()).write.mode("append").parquet(os.path.join(ledger_path, "run_events"))
+    register_ledger_views(spark, read_ledger(spark, root))
     return stored
 
 
 def read_ledger(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    ledger_path = os.path.join(root, "ledger")
+    """Runs and checks stored so far; before the first run's checks, none."""
+    ledger = WarehouseStore(spark, os.path.join(root, "ledger"))
+    checks = ledger.path("quality_checks")
     return {
-        "fact_pipeline_run": L.fold_runs(spark.read.parquet(os.path.join(ledger_path, "run_events"))),
-        "fact_data_quality_check": spark.read.parquet(os.path.join(ledger_path, "quality_checks")),
+        "fact_pipeline_run": L.fold_runs(spark.read.parquet(ledger.path("run_events"))),
+        "fact_data_quality_check": spark.read.schema(L.QUALITY_SCHEMA).parquet(checks)
+        if ledger.exists("quality_checks") else spark.createDataFrame([], L.QUALITY_SCHEMA),
     }

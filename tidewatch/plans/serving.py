@@ -15,6 +15,7 @@ from tidewatch.functions import risk_rules as R
 from tidewatch.functions import scalars as X
 from tidewatch.operators.dedupe import earliest_per_group, latest_per_group, rows_at_global_max
 from tidewatch.plans import build
+from tidewatch.plans import ledger as L
 from tidewatch.plans import views_integrated as VI
 from tidewatch.plans import views_price as VP
 from tidewatch.plans import views_rig as VR
@@ -77,8 +78,8 @@ def risk_distribution_long(t: Tables, snapshot_time: str) -> DataFrame:
     ).select(F.upper(F.regexp_replace("level_column", "_hours$", "")).alias("risk"), "hours")
 
 
-def register_views(spark: SparkSession, t: Tables) -> None:
-    """Register the analytical views as temporary views, in dependency order."""
+def register_views(spark: SparkSession, t: Tables, as_of: str) -> None:
+    """Register the 18 analytical views as temporary views, in dependency order."""
     for name, frame in [
         ("vw_offshore_operational_forecast", VW.offshore_operational_forecast(t)),
         ("vw_latest_offshore_forecast", VW.latest_offshore_forecast(t)),
@@ -86,14 +87,33 @@ def register_views(spark: SparkSession, t: Tables) -> None:
         ("vw_offshore_risk_summary", VW.offshore_risk_summary(t)),
         ("vw_offshore_critical_periods", VW.offshore_critical_periods(t)),
         ("vw_asset_operational_kpis", VW.asset_operational_kpis(t)),
+        ("vw_next_weather_critical_event", VW.next_weather_critical_event(t, as_of)),
+        ("vw_executive_energy_operations", VI.executive_energy_operations(t, as_of)),
+        ("vw_oil_price_history", VP.oil_price_history(t)),
+        ("vw_daily_oil_price_summary", VP.daily_oil_price_summary(t)),
+        ("vw_latest_oil_price", VP.latest_oil_price_by_product(t)),
         ("vw_daily_oil_price", VP.daily_oil_price(t)),
         ("vw_energy_price_summary", VP.energy_price_summary(t)),
+        ("vw_rig_count_history", VR.rig_count_history(t)),
+        ("vw_rig_count_country_monthly", VR.rig_count_country_monthly(t)),
+        ("vw_rig_count_monthly_change", VR.rig_count_monthly_change(t)),
         ("vw_rig_count_region_monthly", VR.rig_count_region_monthly(t)),
         ("vw_latest_rig_count", VR.latest_rig_count(t)),
     ]:
         frame.createOrReplaceTempView(name)
 
 
+def register_ledger_views(spark: SparkSession, ledger: Tables) -> None:
+    """Register the four observability views over the run ledger's tables."""
+    for name, frame in [
+        ("vw_latest_pipeline_run", L.latest_pipeline_run(ledger)),
+        ("vw_latest_quality_summary", L.latest_quality_summary(ledger)),
+        ("vw_latest_quality_checks", L.latest_quality_checks(ledger)),
+        ("vw_pipeline_run_history", L.pipeline_run_history(ledger)),
+    ]:
+        frame.createOrReplaceTempView(name)
+
+
 def asset_forecast(spark: SparkSession, t: Tables, asset_name: str) -> DataFrame:
     """One asset's latest forecast, time ordered, via a parameterised query."""
     VW.latest_offshore_forecast(t).createOrReplaceTempView("vw_latest_offshore_forecast")
