@@ -3,6 +3,8 @@ rig sheet CSV) through Silver, risk, the star schema, views and the gate."""
 
 import json
 
+import pytest
+
 from tidewatch.plans import runs
 from tidewatch.plans import views_weather as VW
 from tidewatch.plans import views_price as VP
@@ -17,6 +19,22 @@ REGISTRY = "\n".join([
 ])
 
 
+def test_repeated_asset_stops_the_run(spark, tmp):
+    from pyspark.sql import functions as F
+
+    from tidewatch.operators.contracts import ContractError
+    from tidewatch.plans import build
+
+    silver = build.silver_frames(spark, "/root/testdata/sf0.001")
+    reg = silver["registry"]
+    for registry, message in ((reg.unionByName(reg.limit(1)), "not unique"),
+                              (reg.withColumn("latitude", F.lit(99.0)), "No valid assets")):
+        frames = build.Lazy({**{n: (lambda n: (lambda: silver[n]))(n) for n in ("atmospheric", "marine", "price", "rig")},
+                             "registry": lambda registry=registry: registry})
+        with pytest.raises(ContractError, match=message):
+            runs.write_silver_frames(spark, frames, f"{tmp}/{message[:3]}")
+
+
 def test_run_from_landed_files(spark, tmp):
     times = ["2024-01-01T08:00", "2024-01-01T09:00", "2024-01-01T10:00"]
     atm = [asset(0, times), asset(1, times)]

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.column import Column as _Column
 
 ColumnOrName = _Column | str
@@ -174,8 +175,10 @@ def clean_level(c: ColumnOrName) -> Column:
     return F.upper(F.coalesce(_col(c).cast("string"), F.lit("UNKNOWN")))
 
 
-def value_to_text(c: ColumnOrName) -> Column:
-    """Check value -> text; maps and structs as JSON."""
+def value_to_text(c: ColumnOrName, dtype: T.DataType | None = None) -> Column:
+    """Check value -> text; structs, maps and arrays (by ``dtype``) as JSON."""
+    if isinstance(dtype, T.StructType | T.MapType | T.ArrayType):
+        return F.to_json(_col(c))
     return _col(c).cast("string")
 
 

@@ -78,16 +78,6 @@ def assert_keys_resolve(
     return df
 
 
-def resolved_or_fail(key: Column, natural: Column, what: str) -> Column:
-    """``key`` when the lookup matched, else fail the query with the natural key.
-
-    Used for surrogate-key lookups inside a fact build: the check rides on
-    the join the build does anyway, with no separate job.
-    """
-    message = F.concat(F.lit(f"{what} not found for "), natural.cast("string"))
-    return F.when(key.isNotNull(), key).otherwise(F.raise_error(message).cast("bigint"))
-
-
 def hourly_array_violations(
     assets: DataFrame, required: Sequence[str], id_col: str = "asset_id", hourly: str = "hourly"
 ) -> DataFrame:

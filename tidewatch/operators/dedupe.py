@@ -93,11 +93,6 @@ def rows_at_global_max(df: DataFrame, column: str) -> DataFrame:
     return df.join(F.broadcast(latest), on=[column], how="inner")
 
 
-def global_max(df: DataFrame, column: str, alias: str | None = None) -> DataFrame:
-    """One-row frame with the maximum of ``column``."""
-    return df.agg(F.max(column).alias(alias or column))
-
-
 def preview(df: DataFrame, n: int = 10) -> DataFrame:
     """Head-n preview of a result (T05); a limit is the feature here."""
     return df.limit(n)

@@ -69,7 +69,7 @@ def quality_rows(checks: DataFrame) -> DataFrame:
         F.col("pipeline_run_key").cast("long"),
         "check_name",
         F.col("passed").cast("boolean"),
-        X.value_to_text("check_value").alias("check_value"),
+        X.value_to_text("check_value", checks.schema["check_value"].dataType).alias("check_value"),
         "expectation",
         X.empty_to_null("details").alias("details"),
         F.col("checked_at").cast("timestamp_ntz"),

@@ -191,8 +191,10 @@ def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], ro
         # a Silver job that produced no row fails the run (one-row probe
         # of the written files, not a recount)
         require_non_empty(stored(name), f"{name} transformation produced no valid rows.")
-    risk = build.operational_risk(stored("atmospheric"), stored("marine"), build.asset_limits(stored("registry")),
-                                  unique_hours=True)
+    require_non_empty(bronze.clean_asset_registry(stored("registry")), "No valid assets remain after validation.")
+    # the plain registry: a repeated asset or hour stops the run
+    risk = build.operational_risk(stored("atmospheric"), stored("marine"), stored("registry"),
+                                  validate=True, unique_hours=True)
     bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
     return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in [*base, "risk"]})
 

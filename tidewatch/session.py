@@ -7,7 +7,6 @@ configuration (shuffle partitions, checkpoint folder, ...) always wins.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,19 +56,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
     On a cluster this is ``spark.checkpoint.dir`` as configured by the
-    cluster (a shared file system).  Only when it is unset, as in local
-    tests, a private folder under the system temp directory is created.
+    cluster (a shared file system).  Only a local master, whose tasks share
+    this machine's disk, may leave it unset, as in tests: a temp folder is
+    then created.  On a cluster that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path inside the shared checkpoint folder for a staged table."""
-    return os.path.join(checkpoint_dir(spark), name)
