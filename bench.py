@@ -67,6 +67,7 @@ def main() -> None:
     ledger = build.ledger_tables(spark, SF_DIR)  # run ledger from the stand-in run events
     tables = build.Lazy({**{n: (lambda n: (lambda: t[n]))(n) for n in t}, **ledger})
 
+    SV.register_views(spark, tables, RUN_TIME)  # checks 20-22 look for the views in the catalog
     headline = {
         "offshore_risk_summary": lambda: VW.offshore_risk_summary(tables),
         "latest_offshore_forecast": lambda: VW.latest_offshore_forecast(tables),
