@@ -1,9 +1,10 @@
 """The 22 data-quality checks (§2.12) and declared constraints.
 
 ``quality_checks`` returns one row per check (name, passed, value,
-expectation, details) as a single DataFrame: each check is a one-row
-aggregate and the rows are unioned, so nothing is collected until the
-gate reads the 22 result rows.
+expectation, details) as a single DataFrame. Every fact is read once for
+its row counters, once for its grain and once for its references; the
+counters are folded into one row and all check rows are taken from it.
+Nothing is collected until the gate reads the 22 result rows.
 """
 
 from __future__ import annotations
@@ -53,15 +54,14 @@ ROWS_PRESENT, ROWS_ABSENT = "Dataset contains records.", "Dataset is empty."
 MISSING_PREFIX, ALL_PRESENT = "Missing: ", "All required {what} exist."
 
 
-def _row(frame: DataFrame, check: str, passed: Column, value: Column,
-         details: Column | None = None, **fmt: str) -> DataFrame:
+def _check(check: str, passed: Column, value: Column, details: Column | None = None, **fmt: str) -> Column:
     name, expectation = CHECKS[check]
-    return frame.select(
+    return F.struct(
         F.lit(name.format(**fmt)).alias("check_name"),
         passed.alias("passed"),
         value.cast("string").alias("check_value"),
         F.lit(expectation).alias("expectation"),
-        (details if details is not None else F.lit(None).cast("string")).alias("details"),
+        (details if details is not None else F.lit(None)).cast("string").alias("details"),
     )
 
 
@@ -69,6 +69,26 @@ def _count(df: DataFrame, alias: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(alias))
 
 
+def _union(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def gather(frames: Sequence[DataFrame]) -> DataFrame:
+    """One row with every column of ``frames``, which are one-row counters
+    (null counts as 0). The counters are unioned as (metric, value) rows and
+    folded, so each frame is computed once however many checks use it."""
+    tall = _union([
+        f.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("bigint").alias("value")) for c in f.columns])))
+        for f in frames])
+    return tall.agg(*[
+        F.coalesce(F.max(F.when(F.col("metric") == c, F.col("value"))), F.lit(0).cast("bigint")).alias(c)
+        for f in frames for c in f.columns])
+
+
 def required_objects(spark: SparkSession, existing_tables: Sequence[str], existing_views: Sequence[str]) -> DataFrame:
     """Checks 1-2: required tables and views exist (U03; driver metadata only).
 
@@ -89,115 +109,82 @@ def required_objects(spark: SparkSession, existing_tables: Sequence[str], existi
             F.lit(str(found)).alias("check_value"), F.lit(expectation).alias("expectation"),
             F.lit(details).alias("details"),
         ))
-    return frames[0].unionByName(frames[1])
-
-
-def _table_metrics(t: Tables) -> dict[str, DataFrame]:
-    """One aggregate per fact table with every row-level metric the checks
-    need (row count, rows in the table's latest run, out-of-range values):
-    one scan per table instead of one per check.  The latest run is a
-    one-row maximum, broadcast to the scan."""
-    def latest_run(table: str) -> DataFrame:
-        return F.broadcast(t[table].agg(F.max("forecast_reference_time").alias("__latest")))
-
-    def with_latest(table: str) -> DataFrame:
-        return t[table].crossJoin(latest_run(table))
-
-    at_latest = F.count_if(F.col("forecast_reference_time") == F.col("__latest"))
-    return {
-        "fact_weather_forecast": with_latest("fact_weather_forecast").agg(
-            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
-            F.count_if(~F.col("relative_humidity_pct").between(0, 100)).alias("humidity"),
-            F.count_if(F.col("visibility_m") < 0).alias("visibility")),
-        "fact_marine_forecast": with_latest("fact_marine_forecast").agg(
-            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
-            F.count_if(F.col("wave_height_m") < 0).alias("wave")),
-        "fact_operational_weather_risk": with_latest("fact_operational_weather_risk").agg(
-            F.count(F.lit(1)).alias("n"), at_latest.alias("latest"),
-            F.count_if(~F.col("overall_risk_level").isin(*LEVELS)).alias("levels")),
-        "fact_rig_count": _count(t["fact_rig_count"]),
-        "fact_oil_price": _count(t["fact_oil_price"]),
-    }
-
-
-def fact_row_counts(m: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Checks 3-7: every fact has rows."""
-    out = []
-    for table in FACT_COUNT_TABLES:
-        n = F.col("n")
-        out.append(_row(m[table], "rows", n > 0, n, F.when(n > 0, ROWS_PRESENT).otherwise(ROWS_ABSENT), table=table))
-    return out
-
-
-def _json_counts(**cols: Column) -> Column:
-    return F.to_json(F.struct(*[c.alias(k) for k, c in cols.items()]))
-
-
-def weather_alignment(m: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Checks 8-9: the three weather facts have equal counts, overall and in
-    each table's own latest run (J12)."""
-    names = ["fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk"]
-    keys = ["atmospheric", "marine", "risk"]
-    frames = [m[n].select(F.col("n").alias(k), F.col("latest").alias(f"{k}_latest")) for k, n in zip(keys, names)]
-    both = frames[0].crossJoin(frames[1]).crossJoin(frames[2])
-    eq = (F.col("atmospheric") == F.col("marine")) & (F.col("marine") == F.col("risk"))
-    eq_latest = (F.col("atmospheric_latest") == F.col("marine_latest")) & (F.col("marine_latest") == F.col("risk_latest"))
-    return [
-        _row(both, "alignment", eq, _json_counts(**{k: F.col(k) for k in keys})),
-        _row(both, "latest_alignment", eq_latest, _json_counts(**{k: F.col(f"{k}_latest") for k in keys})),
+    return _union(frames)
+
+
+def _forecast_metrics(fact: DataFrame, prefix: str, **bad: Column) -> DataFrame:
+    """Rows, rows of the latest run and rows that break a rule: counted per
+    run, then folded to one row, in one scan."""
+    runs = fact.groupBy("forecast_reference_time").agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(cond).alias(name) for name, cond in bad.items()])
+    return runs.agg(
+        F.sum("n").alias(prefix), F.max_by("n", "forecast_reference_time").alias(f"{prefix}_latest"),
+        *[F.sum(name).alias(name) for name in bad])
+
+
+def table_metrics(t: Tables) -> list[DataFrame]:
+    """Counters behind checks 3-19, each frame one row."""
+    assets, locations = t["dim_asset"], t["dim_location"].select("location_key")
+    frames = [
+        _forecast_metrics(t["fact_weather_forecast"], "atmospheric",
+                          humidity=~F.col("relative_humidity_pct").between(0, 100),
+                          visibility=F.col("visibility_m") < 0),
+        _forecast_metrics(t["fact_marine_forecast"], "marine", wave=F.col("wave_height_m") < 0),
+        _forecast_metrics(t["fact_operational_weather_risk"], "risk", levels=~F.col("overall_risk_level").isin(*LEVELS)),
+        _count(t["fact_rig_count"], "rig"),
+        _count(t["fact_oil_price"], "price"),
+        _count(assets.where(F.col("is_active")).select("location_key")
+               .join(locations, on="location_key", how="left_anti"), "asset_locations"),
     ]
-
-
-def duplicate_grain(t: Tables) -> list[DataFrame]:
-    """Checks 10-12: zero duplicate (asset, run, hour, source) groups."""
-    out = []
-    for check, table in [
+    for check, table in [  # A12
         ("dup_atmospheric", "fact_weather_forecast"),
         ("dup_marine", "fact_marine_forecast"),
         ("dup_risk", "fact_operational_weather_risk"),
     ]:
-        groups = _count(duplicate_keys(t[table], S.FORECAST_GRAIN))
-        out.append(_row(groups, check, F.col("n") == 0, F.col("n")))
-    return out
+        frames.append(_count(duplicate_keys(t[table], S.FORECAST_GRAIN), check))
+    for check, table in [("orphan_weather", "fact_weather_forecast"), ("orphan_marine", "fact_marine_forecast")]:
+        keys = t[table].groupBy("asset_key").count()  # J10: one row per key meets the dimension
+        frames.append(keys.join(assets.select("asset_key"), on="asset_key", how="left_anti").agg(F.sum("count").alias(check)))
+    return frames
 
 
-def reference_integrity(t: Tables) -> list[DataFrame]:
-    """Checks 13-15: orphan asset keys, active assets without a location."""
-    assets = t["dim_asset"].select("asset_key")
-    out = []
-    for check, table in [("orphan_weather", "fact_weather_forecast"), ("orphan_marine", "fact_marine_forecast")]:
-        orphans = _count(t[table].select("asset_key").join(assets, on="asset_key", how="left_anti"))
-        out.append(_row(orphans, check, F.col("n") == 0, F.col("n")))
-    no_loc = _count(
-        t["dim_asset"].where(F.col("is_active")).select("location_key")
-        .join(t["dim_location"].select("location_key"), on="location_key", how="left_anti")
-    )
-    out.append(_row(no_loc, "asset_locations", F.col("n") == 0, F.col("n")))
-    return out
+def _json_counts(**cols: Column) -> Column:
+    return F.to_json(F.struct(*[c.alias(k) for k, c in cols.items()]))
 
 
-def value_ranges(m: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Checks 16-19, from the per-table metric rows."""
-    w, ma, r = m["fact_weather_forecast"], m["fact_marine_forecast"], m["fact_operational_weather_risk"]
+def table_checks() -> list[Column]:
+    """Checks 3-19, from the columns of ``table_metrics``."""
+    rows = []
+    for table, name in zip(FACT_COUNT_TABLES, ["atmospheric", "marine", "risk", "rig", "price"], strict=True):
+        n = F.col(name)
+        rows.append(_check("rows", n > 0, n, F.when(n > 0, ROWS_PRESENT).otherwise(ROWS_ABSENT), table=table))
+    for check, suffix in [("alignment", ""), ("latest_alignment", "_latest")]:  # J12
+        counts = {k: F.col(k + suffix) for k in ["atmospheric", "marine", "risk"]}
+        equal = (counts["atmospheric"] == counts["marine"]) & (counts["marine"] == counts["risk"])
+        rows.append(_check(check, equal, _json_counts(**counts)))
+    rows += [_check(name, F.col(name) == 0, F.col(name)) for name in [
+        "dup_atmospheric", "dup_marine", "dup_risk", "orphan_weather", "orphan_marine", "asset_locations",
+        "humidity", "wave", "visibility", "levels"]]
+    return rows
+
+
+def view_metrics(t: Tables, snapshot_time: str) -> list[DataFrame]:
+    """Row counts behind checks 20-22."""
     return [
-        _row(w, "humidity", F.col("humidity") == 0, F.col("humidity")),
-        _row(ma, "wave", F.col("wave") == 0, F.col("wave")),
-        _row(w, "visibility", F.col("visibility") == 0, F.col("visibility")),
-        _row(r, "levels", F.col("levels") == 0, F.col("levels")),
+        _count(VI.executive_energy_operations(t, snapshot_time), "snapshot"),
+        _count(VW.asset_operational_kpis(t), "kpi_rows"),
+        _count(t["dim_asset"].where(F.col("is_active")), "active_assets"),
+        _count(VW.latest_offshore_forecast(t), "latest_forecast"),
     ]
 
 
-def business_views(t: Tables, snapshot_time: str) -> list[DataFrame]:
+def view_checks() -> list[Column]:
     """Checks 20-22: snapshot is one row, KPI rows = active assets, latest forecast not empty."""
-    snap = _count(VI.executive_energy_operations(t, snapshot_time))
-    kpis = _count(VW.asset_operational_kpis(t), "view_rows").crossJoin(
-        _count(t["dim_asset"].where(F.col("is_active")), "active_assets"))
-    latest = _count(VW.latest_offshore_forecast(t))
     return [
-        _row(snap, "snapshot", F.col("n") == 1, F.col("n")),
-        _row(kpis, "kpi_coverage", F.col("view_rows") == F.col("active_assets"),
-             _json_counts(view_rows=F.col("view_rows"), active_assets=F.col("active_assets"))),
-        _row(latest, "latest_forecast", F.col("n") > 0, F.col("n")),
+        _check("snapshot", F.col("snapshot") == 1, F.col("snapshot")),
+        _check("kpi_coverage", F.col("kpi_rows") == F.col("active_assets"),
+               _json_counts(view_rows=F.col("kpi_rows"), active_assets=F.col("active_assets"))),
+        _check("latest_forecast", F.col("latest_forecast") > 0, F.col("latest_forecast")),
     ]
 
 
@@ -218,17 +205,13 @@ def quality_checks(
         views = list(existing_views)
     else:
         views = [v.name for v in spark.catalog.listTables()]
-    frames = [required_objects(spark, tables, views)]
+    out = required_objects(spark, tables, views)
+    metrics, rows = [], []
     if set(S.REQUIRED_TABLES) <= set(tables):
-        metrics = _table_metrics(t)
-        frames += fact_row_counts(metrics) + weather_alignment(metrics) + duplicate_grain(t)
-        frames += reference_integrity(t) + value_ranges(metrics)
+        metrics, rows = metrics + table_metrics(t), rows + table_checks()
     if set(S.REQUIRED_VIEWS) <= set(views):
-        frames += business_views(t, snapshot_time)
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+        metrics, rows = metrics + view_metrics(t, snapshot_time), rows + view_checks()
+    return out.unionByName(gather(metrics).select(F.inline(F.array(*rows)))) if rows else out
 
 
 def gate(checks: DataFrame) -> list:
@@ -247,25 +230,48 @@ def constraint_violations(t: Tables) -> DataFrame:
     """Violations of the declared constraints, one row per (table, constraint).
 
     NOT NULL on keys, CHECK ranges and domains, UNIQUE grain, FOREIGN KEY
-    and VARCHAR length; each table is scanned once for its row checks.
+    and VARCHAR length. Each table is read once for its row checks, once per
+    unique key and once for all of its foreign keys.
     """
     rows: list[DataFrame] = []
+    references: list[tuple[str, str, str]] = []  # (table, column, dimension)
+
+    def violations(table: str, named: dict[str, Column]) -> Column:
+        return F.inline(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(n).alias("constraint_name"),
+                     F.coalesce(c, F.lit(0).cast("bigint")).alias("violations")) for n, c in named.items()]))
 
     def checks(table: str, named: dict[str, Column]) -> None:
         agg = t[table].agg(*[F.count_if(cond).alias(n) for n, cond in named.items()])
-        for n in named:
-            rows.append(agg.select(F.lit(table).alias("table_name"), F.lit(n).alias("constraint_name"),
-                                   F.col(n).alias("violations")))
+        rows.append(agg.select(violations(table, {n: F.col(n) for n in named})))
 
     def unique(table: str, keys: Sequence[str]) -> None:
-        rows.append(_count(duplicate_keys(t[table], keys), "violations").select(
-            F.lit(table).alias("table_name"), F.lit("unique_" + "_".join(keys)).alias("constraint_name"), "violations"))
-
-    def fk(table: str, col: str, dim: str, dim_col: str) -> None:
-        orphans = t[table].select(col).where(F.col(col).isNotNull()).join(
-            t[dim].select(F.col(dim_col).alias(col)), on=col, how="left_anti")
-        rows.append(_count(orphans, "violations").select(
-            F.lit(table).alias("table_name"), F.lit(f"fk_{col}").alias("constraint_name"), "violations"))
+        name = "unique_" + "_".join(keys)
+        rows.append(_count(duplicate_keys(t[table], keys)).select(violations(table, {name: F.col("n")})))
+
+    def fk(table: str, col: str, dim: str) -> None:
+        references.append((table, col, dim))
+
+    def foreign_keys() -> None:
+        """Distinct keys with their row counts (combined map-side) meet all
+        dimensions' keys in one join, named by the referring column."""
+        used = _union([
+            t[table].select(F.lit(table).alias("table_name"), F.inline(F.array(*[
+                F.struct(F.lit(col).alias("name"), F.col(col).cast("bigint").alias("key")) for col in cols])))
+            for table, cols in {
+                table: [c for x, c, _ in references if x == table] for table, _, _ in references}.items()])
+        used = used.where(F.col("key").isNotNull()).groupBy("table_name", "name", "key").count()
+        known = _union([
+            t[dim].select(F.lit(col).alias("name"), F.col(col).cast("bigint").alias("key"))
+            for col, dim in dict.fromkeys((col, dim) for _, col, dim in references)])
+        orphans = used.join(known, on=["name", "key"], how="left_anti")
+        one = orphans.agg(*[
+            F.sum(F.when((F.col("table_name") == table) & (F.col("name") == col), F.col("count"))).alias(f"{table}.{col}")
+            for table, col, _ in references])
+        rows.append(one.select(F.inline(F.array(*[
+            F.struct(F.lit(table).alias("table_name"), F.lit(f"fk_{col}").alias("constraint_name"),
+                     F.coalesce(F.col(f"`{table}.{col}`"), F.lit(0).cast("bigint")).alias("violations"))
+            for table, col, _ in references]))))
 
     def too_long(c: str, n: int) -> Column:
         return F.length(c) > n
@@ -290,21 +296,19 @@ def constraint_violations(t: Tables) -> DataFrame:
         checks("fact_pipeline_run", {"status_domain": ~F.col("status").isin("RUNNING", "SUCCESS", "FAILED")})
     for table in ["fact_weather_forecast", "fact_marine_forecast", "fact_operational_weather_risk"]:
         unique(table, S.FORECAST_GRAIN)
-        fk(table, "asset_key", "dim_asset", "asset_key")
-        fk(table, "time_key", "dim_time", "time_key")
+        fk(table, "asset_key", "dim_asset")
+        fk(table, "time_key", "dim_time")
     unique("fact_oil_price", S.TABLES["fact_oil_price"][1])
     unique("fact_rig_count", S.TABLES["fact_rig_count"][1])
-    fk("fact_oil_price", "product_key", "dim_energy_product", "product_key")
-    fk("fact_rig_count", "country_key", "dim_country", "country_key")
-    fk("dim_asset", "location_key", "dim_location", "location_key")
+    fk("fact_oil_price", "product_key", "dim_energy_product")
+    fk("fact_rig_count", "country_key", "dim_country")
+    fk("dim_asset", "location_key", "dim_location")
     for dim, (schema, natural) in S.TABLES.items():
         if dim.startswith("dim_"):
             unique(dim, natural)
             unique(dim, [schema.fields[0].name])  # surrogate key uniqueness (hash collisions)
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    foreign_keys()
+    return _union(rows)
 
 
 def _checks_with_views(spark: SparkSession, sf_dir: str) -> DataFrame:
