@@ -14,10 +14,9 @@ def spark():
     from tidewatch.session import get_session
 
     s = get_session("local[4]", app_name="tidewatch-tests", shuffle_partitions=4,
-                    extra_conf={"spark.driver.memory": "4g"})
+                    extra_conf={"spark.driver.memory": "4g",
+                                "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tw-ckpt-")})
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tw-ckpt-"))
     yield s
     s.stop()
 

@@ -66,7 +66,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if spark.sparkContext.master.split("[")[0] != "local":
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    spark.sparkContext.setCheckpointDir(local)
-    return local
+    if not spark.sparkContext.getCheckpointDir():  # the setting itself is fixed once a session runs
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()
