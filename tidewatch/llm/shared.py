@@ -15,12 +15,14 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session. Only a local master, as in
     tests, may leave it unset: a temporary folder is then set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    context = spark.sparkContext
+    if context.master.split("[")[0] != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    if not context.getCheckpointDir():  # the setting itself is fixed once a session runs
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoint-"))
+    return context.getCheckpointDir()
 
 
 def cut(df: DataFrame) -> DataFrame:
