@@ -9,6 +9,7 @@ and returns the tables as lazy DataFrames.  The batch run in
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,9 @@ class Lazy(Mapping):
             self._built[name] = self._builders[name]()
         return self._built[name]
 
+    def __contains__(self, name: object) -> bool:
+        return name in self._builders
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._builders)
 
@@ -94,13 +98,15 @@ def warehouse_from_silver(
         return bronze.strict_asset_registry(silver["registry"])
 
     def stamps() -> DataFrame:
-        return (
-            silver["atmospheric"].select(F.col("forecast_valid_time").alias("timestamp"))
-            .unionByName(silver["marine"].select(F.col("forecast_valid_time").alias("timestamp")))
-            .unionByName(silver["risk"].select(F.col("forecast_valid_time").alias("timestamp")))
-            .unionByName(W.price_fact_input(silver["price"], from_silver_jobs).select("timestamp"))
-            .unionByName(silver["rig"].select(F.col("observation_date").alias("timestamp")))
-        )
+        # the risk hours are among the atmospheric ones; the key of the price
+        # fact holds the timestamp, so its keep-last cannot remove one
+        frames = [silver[n].select(F.col("forecast_valid_time").alias("timestamp"))
+                  for n in ("atmospheric", "marine") if n in silver]
+        if "price" in silver:
+            frames.append(W.price_fact_input(silver["price"], deduplicated=True).select("timestamp"))
+        if "rig" in silver:
+            frames.append(silver["rig"].select(F.col("observation_date").alias("timestamp")))
+        return reduce(DataFrame.unionByName, frames)
 
     def check(name: str) -> DataFrame | None:
         return t[name] if validate else None

@@ -1,4 +1,8 @@
-"""The batch run: Silver -> star schema -> quality gate -> run ledger (§3.1).
+"""The batch runs: Silver -> star schema -> quality gate -> run ledger (§3.1).
+
+The complete run loads every subject and checks the warehouse. The weather,
+price and rig runs load one subject into the same warehouse, and the
+validation run only checks what is stored; each is recorded in the ledger.
 
 Storage is plain Parquet under a root folder.  A load computes the next
 state of each table with the ``upsert`` family and publishes it:
@@ -31,10 +35,12 @@ from pyspark.sql.utils import AnalysisException
 
 from tidewatch import schemas as S
 from tidewatch.operators.contracts import require_non_empty
+from tidewatch.operators.metrics import observe_rows, rows_removed
 from tidewatch.operators.upsert import empty_like
 from tidewatch.plans import build
 from tidewatch.plans import ledger as L
 from tidewatch.plans import quality as Q
+from tidewatch.plans import silver as SIL
 from tidewatch.plans import warehouse as W
 from tidewatch.plans.serving import register_ledger_views, register_views
 from tidewatch.session import checkpoint_dir
@@ -61,6 +67,15 @@ SILVER_SORT = {
 }
 
 
+# The Silver frame each table is loaded from (dim_time: all of them).
+DIM_INPUT = {"dim_location": "registry", "dim_asset": "registry", "dim_time": None, "dim_energy_product": "price",
+             "dim_country": "rig", "dim_rig_classification": "rig"}
+FACT_INPUT = {"fact_weather_forecast": "atmospheric", "fact_marine_forecast": "marine",
+              "fact_operational_weather_risk": "risk", "fact_oil_price": "price", "fact_rig_count": "rig"}
+SUBJECTS = {"weather": ["registry", "atmospheric", "marine"], "price": ["price"], "rig": ["rig"]}
+METRICS_SCHEMA = "pipeline_run_key long, dataset string, rows_in long, rows_out long, rows_removed long"
+
+
 class WarehouseStore:
     """Parquet tables under ``root``, one folder per table."""
 
@@ -191,53 +206,54 @@ def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], ro
         # a Silver job that produced no row fails the run (one-row probe
         # of the written files, not a recount)
         require_non_empty(stored(name), f"{name} transformation produced no valid rows.")
-    require_non_empty(bronze.clean_asset_registry(stored("registry")), "No valid assets remain after validation.")
-    # the plain registry: a repeated asset or hour stops the run
-    risk = build.operational_risk(stored("atmospheric"), stored("marine"), stored("registry"),
-                                  validate=True, unique_hours=True)
-    bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
-    return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in [*base, "risk"]})
+    if "registry" in base:
+        require_non_empty(bronze.clean_asset_registry(stored("registry")), "No valid assets remain after validation.")
+        # the plain registry: a repeated asset or hour stops the run
+        risk = build.operational_risk(stored("atmospheric"), stored("marine"), stored("registry"),
+                                      validate=True, unique_hours=True)
+        bronze.write_silver(risk, path("risk"), SILVER_SORT["risk"])
+        base.append("risk")
+    return build.Lazy({n: (lambda n: (lambda: stored(n)))(n) for n in base})
 
 
 def batch_partitions(silver: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Partition values each fact's batch writes to, from the Silver rows."""
-    run_date = lambda df: df.select(F.to_date("forecast_reference_time").alias("run_date"))
-    return {
-        "fact_weather_forecast": run_date(silver["atmospheric"]),
-        "fact_marine_forecast": run_date(silver["marine"]),
-        "fact_operational_weather_risk": run_date(silver["risk"]),
-        "fact_oil_price": silver["price"].select(F.date_format("timestamp", "yyyy-MM").alias("price_month")),
-        "fact_rig_count": silver["rig"].select(F.date_format("observation_date", "yyyy-MM").alias("rig_month")),
+    parts = {
+        "atmospheric": lambda df: df.select(F.to_date("forecast_reference_time").alias("run_date")),
+        "price": lambda df: df.select(F.date_format("timestamp", "yyyy-MM").alias("price_month")),
+        "rig": lambda df: df.select(F.date_format("observation_date", "yyyy-MM").alias("rig_month")),
     }
+    parts["marine"] = parts["risk"] = parts["atmospheric"]
+    return {fact: parts[frame](silver[frame]) for fact, frame in FACT_INPUT.items() if frame in silver}
 
 
 def load_warehouse(
     spark: SparkSession, store: WarehouseStore, silver: Mapping[str, DataFrame], run_time: str, validate: bool = True
 ) -> None:
-    """Upsert the batch into every dimension, publish them, then the facts.
+    """Upsert the batch into the dimensions of its frames, publish them, then the facts.
 
     Facts are checked against the *published* dimensions (every asset id,
     hour, product, country and classification must resolve, J07) and only
     the partitions the batch touches are read and rewritten.
     """
-    dims = ["dim_location", "dim_asset", "dim_time", "dim_energy_product", "dim_country", "dim_rig_classification"]
+    dims = [n for n, frame in DIM_INPUT.items() if frame is None or frame in silver]
     nxt = build.warehouse_from_silver(
         spark, silver, run_time, current={n: store.read(n) for n in dims}, from_silver_jobs=False)
     store.replace_all({n: nxt[n] for n in dims})
     d = {n: store.read(n) for n in dims}
     chk = (lambda n: d[n]) if validate else (lambda n: None)
     parts = batch_partitions(silver)
-    cur = {n: store.touched_slice(n, parts[n]) for n in LAYOUT}
-    facts = {
-        table: W.load_forecast_fact(cur[table], silver[frame], table, run_time, chk("dim_asset"), chk("dim_time"))
-        for table, frame in [("fact_weather_forecast", "atmospheric"), ("fact_marine_forecast", "marine"),
-                             ("fact_operational_weather_risk", "risk")]
-    }
-    facts["fact_oil_price"] = W.load_fact_oil_price(
-        cur["fact_oil_price"], silver["price"], run_time, chk("dim_energy_product"), chk("dim_time"))
-    facts["fact_rig_count"] = W.load_fact_rig_count(
-        cur["fact_rig_count"], silver["rig"], run_time, chk("dim_country"), chk("dim_rig_classification"),
-        chk("dim_time"))
+    cur = {n: store.touched_slice(n, parts[n]) for n in parts}
+    facts = {}
+    for table in parts:
+        rows = silver[FACT_INPUT[table]]
+        if table == "fact_oil_price":
+            facts[table] = W.load_fact_oil_price(cur[table], rows, run_time, chk("dim_energy_product"), chk("dim_time"))
+        elif table == "fact_rig_count":
+            facts[table] = W.load_fact_rig_count(
+                cur[table], rows, run_time, chk("dim_country"), chk("dim_rig_classification"), chk("dim_time"))
+        else:
+            facts[table] = W.load_forecast_fact(cur[table], rows, table, run_time, chk("dim_asset"), chk("dim_time"))
     store.replace_all(facts)
 
 
@@ -256,30 +272,41 @@ def run_all(
 
 def landed_silver(
     spark: SparkSession,
-    registry_csv: str,
-    atmospheric_dir: str,
-    marine_dir: str,
-    price_dir: str,
-    rig_dir: str,
     run_time: str,
+    registry_csv: str | None = None,
+    atmospheric_dir: str | None = None,
+    marine_dir: str | None = None,
+    price_dir: str | None = None,
+    rig_dir: str | None = None,
+    counts: dict | None = None,
 ) -> build.Lazy:
-    """Silver frames from landed files: the newest non-empty file of each
-    source (S07), read with the Bronze readers and run through the Silver
-    jobs; risk is rebuilt from the stored Silver by ``write_silver_frames``."""
-    from tidewatch.plans import silver as SIL
-
+    """Silver frames of the sources given: the newest non-empty file of each
+    (S07), read with the Bronze readers and run through the Silver jobs; risk
+    is rebuilt from the stored Silver by ``write_silver_frames``. ``counts``
+    receives the observed rows in and out of the price and rig jobs (F09)."""
     def newest(folder: str, glob: str) -> str:
         return bronze.latest_file(spark, [folder], glob)
 
-    return build.Lazy({
-        "registry": lambda: bronze.read_asset_registry(spark, registry_csv),
-        "atmospheric": lambda: SIL.silver_atmospheric(bronze.read_forecast_hours(
-            spark, newest(atmospheric_dir, "*.json"), "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS)),
-        "marine": lambda: SIL.silver_marine(bronze.read_forecast_hours(
-            spark, newest(marine_dir, "*.json"), "marine_forecast", bronze.MARINE_ARRAYS)),
-        "price": lambda: SIL.silver_price(bronze.read_price_records(spark, newest(price_dir, "*.json"))),
-        "rig": lambda: SIL.silver_rig(bronze.read_rig_sheet(spark, newest(rig_dir, "*.csv")), run_time),
-    })
+    def counted(name: str, records: DataFrame, job) -> DataFrame:
+        if counts is None:
+            return job(records)
+        records, before = observe_rows(records, f"{name}_in")
+        out, after = observe_rows(job(records), f"{name}_out")
+        counts[name] = (before, after)
+        return out
+
+    jobs = {
+        "registry": (registry_csv, lambda: bronze.read_asset_registry(spark, registry_csv)),
+        "atmospheric": (atmospheric_dir, lambda: SIL.silver_atmospheric(bronze.read_forecast_hours(
+            spark, newest(atmospheric_dir, "*.json"), "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS))),
+        "marine": (marine_dir, lambda: SIL.silver_marine(bronze.read_forecast_hours(
+            spark, newest(marine_dir, "*.json"), "marine_forecast", bronze.MARINE_ARRAYS))),
+        "price": (price_dir, lambda: counted(
+            "price", bronze.read_price_records(spark, newest(price_dir, "*.json")), SIL.silver_price)),
+        "rig": (rig_dir, lambda: counted(
+            "rig", bronze.read_rig_sheet(spark, newest(rig_dir, "*.csv")), lambda df: SIL.silver_rig(df, run_time))),
+    }
+    return build.Lazy({name: job for name, (source, job) in jobs.items() if source is not None})
 
 
 def run_landed(
@@ -295,7 +322,50 @@ def run_landed(
     ``landing`` names ``registry_csv``, ``atmospheric_dir``, ``marine_dir``,
     ``price_dir`` and ``rig_dir``.
     """
-    return run_silver(spark, lambda: landed_silver(spark, run_time=run_time, **landing), root, run_time, run_key, gate)
+    counts: dict = {}
+    return run_silver(spark, lambda: landed_silver(spark, run_time, **landing, counts=counts), root, run_time, run_key,
+                      gate, counts)
+
+
+def run_landed_subject(
+    spark: SparkSession, subject: str, landing: Mapping[str, str], root: str, run_time: str, run_key: int | None = None
+) -> int:
+    """The weather, price or rig run from landed files: only that subject's
+    Silver, dimensions, hours and facts are loaded; returns the run's key.
+    ``landing`` names the subject's sources as in ``run_landed``."""
+    counts: dict = {}
+    return run_subject(spark, subject, lambda: landed_silver(spark, run_time, **landing, counts=counts), root, run_time,
+                       run_key, counts)
+
+
+def run_subject(
+    spark: SparkSession,
+    subject: str,
+    silver_builder,
+    root: str,
+    run_time: str,
+    run_key: int | None = None,
+    counts: Mapping | None = None,
+) -> int:
+    """Silver -> warehouse -> views of one of ``SUBJECTS``, recorded in the run
+    ledger; the other subjects' tables are not touched. Returns the run's key."""
+    def body(key: int) -> int:
+        frames = silver_builder()
+        silver = build.Lazy({n: (lambda n: (lambda: frames[n]))(n) for n in SUBJECTS[subject]})
+        store = _load(spark, silver, root, run_time, key, counts)
+        register_views(spark, store.tables(), run_time)
+        return key
+
+    return _recorded(spark, root, f"{subject}_pipeline", run_key, body)
+
+
+def run_validation(
+    spark: SparkSession, root: str, run_time: str, run_key: int | None = None, gate: bool = True
+) -> DataFrame:
+    """The checks alone, on the stored warehouse (its views, which live in the
+    session, are registered first); returns the stored check rows."""
+    return _recorded(spark, root, "warehouse_validation", run_key,
+                     lambda key: _checked(spark, root, run_time, key, gate))
 
 
 def run_silver(
@@ -305,50 +375,76 @@ def run_silver(
     run_time: str,
     run_key: int | None,
     gate: bool,
+    counts: Mapping | None = None,
 ) -> DataFrame:
-    """Silver -> warehouse -> checks -> gate, recorded in the run ledger.
+    """Silver -> warehouse -> checks -> gate, recorded in the run ledger."""
+    def body(key: int) -> DataFrame:
+        _load(spark, silver_builder(), root, run_time, key, counts)
+        return _checked(spark, root, run_time, key, gate)
 
-    Check results are stored *before* the gate raises, so a failed run
-    keeps its checks (a deliberate difference from the reference, where a
-    failed gate stores none).
-    """
-    run_key = L.issue_key() if run_key is None else run_key
+    return _recorded(spark, root, "complete_energy_operations", run_key, body)
+
+
+def _load(spark: SparkSession, silver: Mapping[str, DataFrame], root: str, run_time: str, run_key: int,
+          counts: Mapping | None) -> WarehouseStore:
+    """Write Silver, store the observed row counts, load the warehouse."""
     store = WarehouseStore(spark, os.path.join(root, "warehouse"))
-    ledger_path = os.path.join(root, "ledger")
-    name = "complete_energy_operations"
+    stored = write_silver_frames(spark, silver, root)
+    if counts:
+        rows = [(run_key, name, int(before.get["rows"]), int(after.get["rows"]), rows_removed(before, after))
+                for name, (before, after) in counts.items()]
+        spark.createDataFrame(rows, METRICS_SCHEMA).write.mode("append").parquet(
+            os.path.join(root, "ledger", "run_metrics"))
+    load_warehouse(spark, store, stored, run_time)
+    return store
+
+
+def _checked(spark: SparkSession, root: str, run_time: str, run_key: int, gate: bool) -> DataFrame:
+    """Check the stored warehouse. Results are stored *before* the gate raises,
+    so a failed run keeps its checks (a deliberate difference from the
+    reference, where a failed gate stores none)."""
+    store = WarehouseStore(spark, os.path.join(root, "warehouse"))
+    log = os.path.join(root, "ledger", "quality_checks")
+    tables = store.tables()
+    register_views(spark, tables, run_time)
+    checks = Q.quality_checks(spark, tables, run_time, [n for n in S.REQUIRED_TABLES if store.exists(n)])
+    rows = checks.select(
+        F.xxhash64(F.lit(run_key), F.col("check_name")).alias("quality_check_key"),
+        F.lit(run_key).cast("long").alias("pipeline_run_key"),
+        "check_name", "passed", "check_value", "expectation", "details",
+        F.lit(run_time).cast("timestamp_ntz").alias("checked_at"),
+    )
+    staged = os.path.join(checkpoint_dir(spark), f"checks-{uuid.uuid4().hex}")
+    L.quality_rows(rows).write.mode("overwrite").parquet(staged)
+    spark.read.parquet(staged).write.mode("append").parquet(log)
+    store._delete(staged)
+    stored = spark.read.parquet(log).where(F.col("pipeline_run_key") == run_key)
+    if gate:
+        Q.gate(stored)
+    return stored
 
-    def now() -> str:  # the ledger records wall-clock UTC; the data uses run_time
+
+def _recorded(spark: SparkSession, root: str, name: str, run_key: int | None, body):
+    """Run ``body(run_key)`` between a RUNNING and a SUCCESS or FAILED event;
+    the ledger records wall-clock UTC, the data uses the run time."""
+    run_key = L.issue_key() if run_key is None else run_key
+    events = os.path.join(root, "ledger", "run_events")
+
+    def now() -> str:
         return _dt.datetime.now(_dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
 
-    L.start_event(spark, run_key, name, now()).write.mode("append").parquet(os.path.join(ledger_path, "run_events"))
+    def finish(error: str | None = None) -> None:
+        L.finish_event(spark, run_key, name, now(), error).write.mode("append").parquet(events)
+        register_ledger_views(spark, read_ledger(spark, root))
+
+    L.start_event(spark, run_key, name, now()).write.mode("append").parquet(events)
     try:
-        silver = write_silver_frames(spark, silver_builder(), root)
-        load_warehouse(spark, store, silver, run_time)
-        tables = store.tables()
-        register_views(spark, tables, run_time)
-        checks = Q.quality_checks(spark, tables, run_time, [n for n in S.REQUIRED_TABLES if store.exists(n)])
-        rows = checks.select(
-            F.xxhash64(F.lit(run_key), F.col("check_name")).alias("quality_check_key"),
-            F.lit(run_key).cast("long").alias("pipeline_run_key"),
-            "check_name", "passed", "check_value", "expectation", "details",
-            F.lit(run_time).cast("timestamp_ntz").alias("checked_at"),
-        )
-        staged = os.path.join(checkpoint_dir(spark), f"checks-{uuid.uuid4().hex}")
-        L.quality_rows(rows).write.mode("overwrite").parquet(staged)
-        stored = spark.read.parquet(staged)
-        stored.write.mode("append").parquet(os.path.join(ledger_path, "quality_checks"))
-        stored = spark.read.parquet(os.path.join(ledger_path, "quality_checks")).where(F.col("pipeline_run_key") == run_key)
-        store._delete(staged)
-        if gate:
-            Q.gate(stored)
+        result = body(run_key)
     except Exception as exc:
-        L.finish_event(spark, run_key, name, now(), error=str(exc)).write.mode("append").parquet(
-            os.path.join(ledger_path, "run_events"))
-        register_ledger_views(spark, read_ledger(spark, root))
+        finish(str(exc))
         raise
-    L.finish_event(spark, run_key, name, now()).write.mode("append").parquet(os.path.join(ledger_path, "run_events"))
-    register_ledger_views(spark, read_ledger(spark, root))
-    return stored
+    finish()
+    return result
 
 
 def read_ledger(spark: SparkSession, root: str) -> dict[str, DataFrame]:
