@@ -1034,6 +1034,33 @@ DATE_COLUMNS = {
 }
 
 
+# Landed documents: the arrays hold the same readings, so Silver is the same.
+SQL["silver_atmospheric_landed"] = SQL["silver_atmospheric"]
+_DOCUMENT = "PARTITION BY user_id, date_trunc('week', ts), event_id // 1000"
+SQL["explode_hourly_padded"] = f"""
+WITH hours AS (
+  SELECT *, event_id // 1000 AS document, date_trunc('week', ts) AS week,
+         row_number() OVER ({_DOCUMENT} ORDER BY event_id) - 1 AS position
+  FROM events),
+winds AS (
+  SELECT user_id, event_id // 1000 AS document, date_trunc('week', ts) AS week, value,
+         row_number() OVER ({_DOCUMENT} ORDER BY event_id) - 1 AS position
+  FROM events WHERE event_type <> 'signup')
+SELECT CAST(h.user_id AS VARCHAR) AS asset_id, h.document, CAST(h.week AS TIMESTAMP) AS forecast_reference_time,
+       h.position, date_trunc('hour', h.ts) AS forecast_valid_time, w.value AS wind_speed
+FROM hours h LEFT JOIN winds w USING (user_id, document, week, position)
+"""
+SQL["contract_hourly_arrays"] = """
+SELECT CAST(user_id AS VARCHAR) AS asset_id, 'wind_speed_10m: length differs from time' AS problems
+FROM events GROUP BY user_id, date_trunc('week', ts), event_id // 1000
+HAVING count(*) FILTER (WHERE event_type = 'signup') > 0
+"""
+SQL["attach_by_position"] = """
+SELECT c_custkey AS request_index, CAST(c_custkey AS VARCHAR) AS asset_id, c_name AS asset_name, c_acctbal AS response
+FROM customer
+"""
+
+
 def _dates_as_timestamps(name: str, sql: str) -> str:
     cols = DATE_COLUMNS.get(name)
     if not cols:

@@ -14,11 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.functions import scalars as X
+from tidewatch.operators.contracts import assert_hourly_arrays, hourly_array_violations
 from tidewatch.operators.upsert import insert_ignore
 from tidewatch.plans import build
 from tidewatch.plans import ledger as L
 from tidewatch.plans import silver as SIL
 from tidewatch.plans import warehouse as W
+from tidewatch.sources import bronze
 from tidewatch.sources import testtables as TT
 from tidewatch.plans import views_integrated as VI
 from tidewatch.plans import views_price as VP
@@ -258,5 +261,47 @@ QUERIES.update({
 })
 
 
+# ------------------------------------------------------- landed documents
+
+
+def _landed_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly arrays of text -> array contract (F07) -> rows (R01) -> Silver
+    atmospheric: offsets folded, text that is no number missing (X01, X02, X24)."""
+    assets = assert_hourly_arrays(TT.landed_forecast_assets(spark, sf_dir), ["time", *bronze.ATMOSPHERIC_ARRAYS])
+    return SIL.silver_atmospheric(bronze.explode_hourly(assets, bronze.ATMOSPHERIC_ARRAYS))
+
+
+def _explode_padded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrays shorter than ``time`` are padded with null at their end."""
+    rows = bronze.explode_hourly(TT.short_forecast_assets(spark, sf_dir), ["wind_speed_10m"])
+    return rows.select(
+        F.trim("asset_id").alias("asset_id"), F.col("record_order.asset_pos").cast("bigint").alias("document"),
+        X.to_utc_timestamp_ntz("forecast_reference_time").alias("forecast_reference_time"),
+        F.col("record_order.hour_pos").cast("bigint").alias("position"),
+        X.to_utc_timestamp_ntz("forecast_valid_time").alias("forecast_valid_time"),
+        X.to_number("wind_speed_10m").alias("wind_speed"))
+
+
+def _array_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assets whose arrays break the contract, with the fields at fault."""
+    bad = hourly_array_violations(TT.short_forecast_assets(spark, sf_dir), ["time", *bronze.ATMOSPHERIC_ARRAYS])
+    return bad.select(F.trim("asset_id").alias("asset_id"), F.array_join("problems", "; ").alias("problems"))
+
+
+def _positional_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Responses joined to the requested assets by position, counts equal."""
+    assets = TT.asset_registry(spark, sf_dir).withColumnRenamed("registry_row", "request_index")
+    return bronze.attach_by_position(TT.feed_responses(spark, sf_dir), assets).select(
+        "request_index", "asset_id", "asset_name", "response")
+
+
+QUERIES.update({
+    "silver_atmospheric_landed": _landed_silver,
+    "explode_hourly_padded": _explode_padded,
+    "contract_hourly_arrays": _array_contract,
+    "attach_by_position": _positional_join,
+})
+
+
 def queries() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: comparable(fn(spark, sf_dir))))(fn) for name, fn in QUERIES.items()}

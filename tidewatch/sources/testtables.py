@@ -263,3 +263,57 @@ def single_location_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") != "error", _k()).cast("string").alias("relative_humidity_2m"),
         F.when(F.col("event_type") != "signup", F.col("value")).cast("string").alias("wind_speed_10m"),
     )
+
+
+def landed_forecast_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed forecast documents, opened to one row per asset: parallel hourly
+    arrays of text. A document holds a user's events of one week and of one
+    block of 1,000 event ids, so no array has more than 1,000 entries.
+
+    Feed text as it comes: odd events give their hour with a +02:00 offset;
+    ``signup`` events give wind, gust and visibility as text that is no number.
+    """
+    e = table(spark, sf_dir, "events")
+    block = F.floor(F.col("event_id") / 1000).cast("int")
+    v, k = F.col("value"), _k()
+    missing = F.col("event_type") == "signup"
+    hour = F.date_trunc("hour", "ts")
+    fields = {
+        "time": F.when(F.col("event_id") % 2 == 0, F.date_format(hour, "yyyy-MM-dd'T'HH:mm'Z'"))
+        .otherwise(F.concat(F.date_format(hour + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm"), F.lit("+02:00"))),
+        "temperature_2m": v / 10,
+        "relative_humidity_2m": k,
+        "precipitation": F.when(F.col("event_type") == "purchase", v / 30).otherwise(F.lit(0.0)),
+        "pressure_msl": F.lit(980.0) + k * 0.5,
+        "wind_speed_10m": F.when(missing, F.lit("n/a")).otherwise(v.cast("string")),
+        "wind_direction_10m": k * 3.6,
+        "wind_gusts_10m": F.when(missing, F.lit("12d")).otherwise((v * 1.4).cast("string")),
+        "visibility": F.when(missing, F.lit("NaN")).otherwise((k * 100).cast("string")),
+        "weather_code": k % 4,
+    }
+    hours = F.array_sort(F.collect_list(F.struct("event_id", *[c.cast("string").alias(n) for n, c in fields.items()])))
+    docs = e.groupBy("user_id", F.date_trunc("week", "ts").alias("week"), block.alias("block")).agg(hours.alias("hours"))
+    none = F.lit(None).cast("string")
+    return docs.select(
+        F.lit("events.parquet").alias("source_file"),
+        F.lit(None).cast("timestamp").alias("file_time"),
+        F.date_format("week", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("ingestion_time"),
+        F.col("block").alias("asset_pos"),
+        F.concat(F.lit(" "), F.col("user_id").cast("string")).alias("asset_id"),
+        F.struct(none.alias("location_id"), none.alias("latitude"), none.alias("longitude")).alias("asset"),
+        F.struct(*[F.col(f"hours.{n}").alias(n) for n in fields]).alias("hourly"),
+    )
+
+
+def short_forecast_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``landed_forecast_assets`` of a feed that leaves out readings: entries
+    that are no number are absent, so wind arrays can be shorter than ``time``."""
+    docs = landed_forecast_assets(spark, sf_dir)
+    return docs.withColumn("hourly", F.col("hourly").withField(
+        "wind_speed_10m", F.filter("hourly.wind_speed_10m", lambda x: x != "n/a")))
+
+
+def feed_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One feed response per requested asset, known by its position only."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("request_index"), F.col("c_acctbal").alias("response"))
