@@ -103,3 +103,28 @@ def test_probabilities_sum_to_one():
     flat = masked_lm.fresh()
     around = np.tile(np.arange(6, dtype=np.int32), (masked_lm._V, 1))
     assert np.exp(masked_lm.log_probabilities(flat, around, np.arange(masked_lm._V))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_every_window_is_learnt_from_once(docs):
+    """By default; texts that begin alike do not fall into the same rounds at the same places."""
+    texts = [r.text for r in docs.limit(20).collect()] + ["one two three", "one two four", "", "one"]
+    words = masked_lm.Words(masked_lm.lowered(pa.array(texts)))
+    per_round = [masked_lm.windows_of(words, k, masked_lm.ROUNDS, masked_lm.SHARE) for k in range(masked_lm.ROUNDS)]
+    assert sorted(np.concatenate(per_round).tolist()) == list(range(len(words.hash)))
+    alike = masked_lm.Words(pa.array([f"the same beginning of all texts {i}" for i in range(40)]))
+    first = masked_lm.windows_of(alike, 0, 2, 1.0)
+    assert 0 < np.isin(alike.bounds[:-1], first).sum() < 40
+
+
+def test_vocabulary_grows_with_the_corpus(spark):
+    """4,500 words that occur three times each all get numbers of their own."""
+    words = [f"w{i}" for i in range(4500)]
+    rows = spark.createDataFrame([(i, " ".join(words)) for i in range(3)] + [(3, "rare words here")], "id long, text string")
+    few, many = (masked_lm.build_vocabulary(rows, own_count=n) for n in (4, 3))
+    assert (few.known, few.side) == (masked_lm.KNOWN, masked_lm.CLASSES)
+    tokens = many.tokens(masked_lm.Words(pa.array([" ".join([*words, "rare"])])))
+    assert len(set(tokens[:-1].tolist())) == 4500 and many.known < tokens[-1] < many.side ** 2
+    flat = masked_lm.fresh(side=many.side)
+    around = np.tile(np.arange(6, dtype=np.int32), (many.side ** 2, 1))
+    total = np.exp(masked_lm.log_probabilities(flat, around, np.arange(many.side ** 2))).sum()
+    assert total == pytest.approx(1, abs=1e-4)

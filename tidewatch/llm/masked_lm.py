@@ -4,21 +4,23 @@ Every token is predicted from the ``WINDOW`` tokens on each side, never from
 itself; a document's score is the sum of log P(token | both sides).
 
 Vocabulary: words of all documents are counted by a Spark aggregation (combined
-in the tasks first); the ``KNOWN`` most frequent get numbers of their own, others
-share ``CLASSES * WITHIN - KNOWN - 1`` numbers by hash. Number 0 pads the edges.
+in the tasks first). Every word that occurs ``OWN_COUNT`` times or more, and the
+``KNOWN`` most frequent ones in any case, gets a number of its own, so the
+vocabulary grows with the corpus; the rarer words share about a third as many
+numbers by hash. Number 0 pads the edges.
 
 Network (numpy): embeddings E of the 2 * WINDOW neighbours, each position with
 its own weights, summed into h = tanh(sum_p C_p * E[token_p]). The output is a
-two-level softmax, P(class | h) P(token | class, h), with CLASSES classes of
-WITHIN tokens, so a prediction costs CLASSES + WITHIN products and probabilities
-still sum to one over the vocabulary.
+two-level softmax, P(class | h) P(token | class, h), with as many classes as
+tokens in each (CLASSES and WITHIN at the least), so a prediction costs twice the
+root of the vocabulary in products and probabilities still sum to one over it.
 
-Training over Spark: in each of ``ROUNDS`` rounds every partition takes gradient
-steps from the shared parameters on windows of its own documents (a window is
-used if its hash falls into the round's share of ``SHARE``, over all documents,
-so that what is learnt from grows with the input), and the
-partitions' parameters are averaged, weighted by windows. The partial sums are
-blocks of parameters added up by a Spark aggregation; the driver gets one set.
+Training over Spark is one pass over every window of every document. The windows
+are dealt over ``ROUNDS`` rounds, neighbouring ones to different rounds. In a round
+every partition takes gradient steps from the shared parameters on the round's
+windows of its own documents, and the partitions' parameters are averaged,
+weighted by windows. Partitions give blocks of parameters, which tasks add up
+block by block; the driver gets one set.
 
 Defined cases: null and empty texts have no tokens, log probability 0 and mean
 0; a one-token text is predicted from padding; an empty table gives no rows;
@@ -27,6 +29,7 @@ repeated rows get equal scores.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,14 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_text_size, column_udf, id_text
+from .shared import by_text_size, column_udf, cut, id_text
 from .text_arrays import Words, lowered, mix
 
 WINDOW = 3
 SIZE = 16
 CLASSES, WITHIN = 64, 64
-KNOWN = 3072
-ROUNDS, SHARE = 2, 0.05
+KNOWN, OWN_COUNT = 3072, 2000
+ROUNDS, SHARE = 2, 1.0
 _V = CLASSES * WITHIN
 _U = np.uint64
 
@@ -51,8 +54,17 @@ class Vocabulary:
     hashes: np.ndarray  # of the known words, ascending
     number: np.ndarray
 
+    @property
+    def known(self) -> int:
+        return max(KNOWN, len(self.hashes))
+
+    @property
+    def side(self) -> int:
+        """Classes, and tokens of a class: at least a quarter of the numbers is shared."""
+        return max(CLASSES, math.ceil(math.sqrt(self.known * _V / KNOWN)))
+
     def tokens(self, words: Words) -> np.ndarray:
-        spread = (KNOWN + 1 + mix(words.hash) % _U(_V - KNOWN - 1)).astype(np.int32)
+        spread = (self.known + 1 + mix(words.hash) % _U(self.side ** 2 - self.known - 1)).astype(np.int32)
         if not len(self.hashes):
             return spread
         at = np.minimum(np.searchsorted(self.hashes, words.hash), len(self.hashes) - 1)
@@ -80,31 +92,46 @@ def _word_counts(batches):
                                              names=["word", "n"])
 
 
-def build_vocabulary(rows: DataFrame) -> Vocabulary:
-    top = (rows.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(KNOWN).collect())
+def build_vocabulary(rows: DataFrame, own_count: int = OWN_COUNT) -> Vocabulary:
+    counted = cut(rows.mapInArrow(_word_counts, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n")))
+    top = counted.where(F.col("n") >= own_count).collect()
+    if len(top) < KNOWN:
+        top = counted.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
+    top.sort(key=lambda r: (-r["n"], r["word"]))
     hashes = np.array([r["word"] for r in top], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     number = 1 + np.arange(len(top))  # class_of puts neighbours in frequency into different classes
     return Vocabulary(hashes[order], number[order].astype(np.int32))
 
 
-def fresh(seed: int = 11) -> np.ndarray:
+def _sizes(side: int) -> list[int]:
+    return [side ** 2 * SIZE, 2 * WINDOW * SIZE, side * (SIZE + 1), side ** 2 * (SIZE + 1)]
+
+
+def fresh(seed: int = 11, side: int = CLASSES) -> np.ndarray:
     rng = np.random.default_rng(seed)
-    return np.concatenate([rng.normal(0, 0.3, _V * SIZE), np.full(2 * WINDOW * SIZE, 0.5),
-                           np.zeros(CLASSES * (SIZE + 1)), np.zeros(_V * (SIZE + 1))]).astype(np.float32)
+    e, c, top, low = _sizes(side)
+    return np.concatenate([rng.normal(0, 0.3, e), np.full(c, 0.5), np.zeros(top), np.zeros(low)]).astype(np.float32)
 
 
 def _parts(flat: np.ndarray):
-    sizes = [_V * SIZE, 2 * WINDOW * SIZE, CLASSES * (SIZE + 1), _V * (SIZE + 1)]
-    cuts = np.cumsum(sizes)
-    e, c, top, low = np.split(flat, cuts[:-1])
-    return (e.reshape(_V, SIZE), c.reshape(2 * WINDOW, SIZE), top.reshape(CLASSES, SIZE + 1),
-            low.reshape(CLASSES, WITHIN, SIZE + 1))
+    side = math.isqrt(len(flat) // (2 * SIZE + 1))
+    while sum(_sizes(side)) > len(flat):
+        side -= 1
+    e, c, top, low = np.split(flat, np.cumsum(_sizes(side))[:-1])
+    return (e.reshape(side ** 2, SIZE), c.reshape(2 * WINDOW, SIZE), top.reshape(side, SIZE + 1),
+            low.reshape(side, side, SIZE + 1))
+
+
+def class_of(token: np.ndarray, side: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    return token % side, token // side
 
 
-def class_of(token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return token % CLASSES, token // CLASSES
+def _by_class(group: np.ndarray, side: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order of the rows by class, and (class, from, to) of every class that has rows."""
+    order = np.argsort(group.astype(np.uint16), kind="stable")  # 16 bits: a radix sort
+    edges = np.searchsorted(group[order], np.arange(side + 1)).tolist()
+    return order, [(g, edges[g], edges[g + 1]) for g in range(side) if edges[g] < edges[g + 1]]
 
 
 def neighbours(tokens: np.ndarray, bounds: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -128,64 +155,92 @@ def _hidden(e: np.ndarray, c: np.ndarray, around: np.ndarray) -> np.ndarray:
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
-    z = np.exp(z - z.max(axis=1, keepdims=True))
-    return z / z.sum(axis=1, keepdims=True)
+    z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    z /= z.sum(axis=1, keepdims=True)
+    return z
 
 
 def log_probabilities(flat: np.ndarray, around: np.ndarray, target: np.ndarray) -> np.ndarray:
     """log P(target | around), exact over the whole vocabulary."""
     e, c, top, low = _parts(flat)
     h = _hidden(e, c, around)
-    group, place = class_of(target)
+    group, place = class_of(target, len(top))
     z = h @ top.T
     z -= z.max(axis=1, keepdims=True)
     out = z[np.arange(len(h)), group] - np.log(np.exp(z).sum(axis=1))
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for g in range(CLASSES):
-        rows = order[edges[g]: edges[g + 1]]
-        if len(rows):
-            z = h[rows] @ low[g].T
-            z -= z.max(axis=1, keepdims=True)
-            out[rows] += z[np.arange(len(rows)), place[rows]] - np.log(np.exp(z).sum(axis=1))
+    order, classes = _by_class(group, len(top))
+    h, z = h[order], np.empty((len(h), len(top)), np.float32)
+    for g, first, to in classes:
+        np.matmul(h[first:to], low[g].T, out=z[first:to])
+    z -= z.max(axis=1, keepdims=True)
+    out[order] += z[np.arange(len(h)), place[order]] - np.log(np.exp(z).sum(axis=1))
     return out.astype(np.float64)
 
 
-def train_step(flat: np.ndarray, memory: np.ndarray, around: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One Adagrad step on the mean loss of a batch, in place."""
+def _add_rows(total: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """total[at] += rows, equal places summed."""
+    order = np.argsort(at.astype(np.uint16) if len(total) <= 1 << 16 else at, kind="stable")
+    at = at[order]
+    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    total[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+
+
+def _gradient(flat: np.ndarray, grad: np.ndarray, around: np.ndarray, target: np.ndarray) -> None:
+    """Adds the gradient of the summed loss of some windows to ``grad``."""
     e, c, top, low = _parts(flat)
+    group, place = class_of(target, len(top))
+    order, classes = _by_class(group, len(top))
+    around, group, place = around[order], group[order], place[order]
     h = _hidden(e, c, around)
-    group, place = class_of(target)
     n = len(h)
-    grad = np.zeros_like(flat)
     ge, gc, gtop, glow = _parts(grad)
     p = _softmax(h @ top.T)
     p[np.arange(n), group] -= 1
     gtop += p.T @ h
     gh = p @ top
-    order = np.argsort(group, kind="stable")
-    edges = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for g in range(CLASSES):
-        rows = order[edges[g]: edges[g + 1]]
-        if len(rows):
-            q = _softmax(h[rows] @ low[g].T)
-            q[np.arange(len(rows)), place[rows]] -= 1
-            glow[g] += q.T @ h[rows]
-            gh[rows] += q @ low[g]
+    q = np.empty((n, len(top)), np.float32)
+    for g, first, to in classes:
+        np.matmul(h[first:to], low[g].T, out=q[first:to])
+    q = _softmax(q)
+    q[np.arange(n), place] -= 1
+    for g, first, to in classes:
+        glow[g] += q[first:to].T @ h[first:to]
+        gh[first:to] += q[first:to] @ low[g]
     gz = (gh * (1 - h * h))[:, :SIZE]
     for k in range(2 * WINDOW):
-        gc[k] += (gz * e[around[:, k]]).sum(axis=0)
-        np.add.at(ge, around[:, k], gz * c[k])
-    grad /= n
+        gc[k] += np.einsum("nd,nd->d", gz, e[around[:, k]])
+        _add_rows(ge, around[:, k], gz * c[k])
+
+
+def train_step(flat: np.ndarray, memory: np.ndarray, around: np.ndarray, target: np.ndarray, rate: float) -> None:
+    """One Adagrad step on the mean loss of a batch, in place."""
+    grad = np.zeros_like(flat)
+    for k in range(0, len(target), _CHUNK):
+        _gradient(flat, grad, around[k: k + _CHUNK], target[k: k + _CHUNK])
+    grad /= len(target)
     memory += grad * grad
     flat -= rate * grad / np.sqrt(memory + 1e-8)
 
 
-_BATCH, _BLOCK = 2048, 4096
+_BATCH, _CHUNK, _BLOCK = 2048, 8192, 512
+
+
+def windows_of(words: Words, turn: int, rounds: int, share: float) -> np.ndarray:
+    """Places of the windows of a round: over all rounds every window comes up once
+    (or ``share`` of them, whatever the texts begin with)."""
+    sums = np.r_[_U(0), np.cumsum(words.hash)]
+    of_text = mix(sums[words.bounds[1:]] - sums[words.bounds[:-1]])
+    place = np.arange(len(words.hash)) - np.repeat(words.bounds[:-1], words.count())
+    turn_of = np.repeat(of_text, words.count()) + place.astype(_U)
+    chosen = turn_of % _U(rounds) == _U(turn)
+    if share < 1:
+        chosen &= mix(turn_of) >> _U(32) < _U(int(share * (1 << 32)))
+    return np.flatnonzero(chosen)
 
 
-def _train_partition(vocabulary: Vocabulary, flat: np.ndarray, turn: int, share: float, rate: float):
-    limit = _U(int(share * (1 << 32)))
+def _train_partition(vocabulary: Vocabulary, flat: np.ndarray, turn: int, rounds: int, share: float, rate: float):
+    least = max(_BATCH, vocabulary.side ** 2 // 2)  # a step changes all parameters: its cost stays that of its windows
 
     def run(batches):
         own, memory = flat.copy(), np.full(len(flat), 1e-6, np.float32)
@@ -195,12 +250,11 @@ def _train_partition(vocabulary: Vocabulary, flat: np.ndarray, turn: int, share:
             nonlocal windows
             words = Words(lowered(batch.column(1)))
             tokens = vocabulary.tokens(words)
-            place = np.arange(len(tokens)) - np.repeat(words.bounds[:-1], words.count())
-            chosen = mix(words.hash + mix(place.astype(_U) * _U(ROUNDS) + _U(turn))) >> _U(32) < limit
-            at = np.flatnonzero(chosen)
+            at = windows_of(words, turn, rounds, share)
             at = at[np.argsort(mix(at.astype(_U)))]  # batches mix texts
-            for k in range(0, len(at), _BATCH):
-                some = at[k: k + _BATCH]
+            size = max(least, min(len(at) // 32, 2 * _CHUNK))
+            for k in range(0, len(at), size):
+                some = at[k: k + size]
                 train_step(own, memory, neighbours(tokens, words.bounds, some), tokens[some], rate)
             windows += len(at)
 
@@ -208,13 +262,26 @@ def _train_partition(vocabulary: Vocabulary, flat: np.ndarray, turn: int, share:
             pass
         if windows:
             for block in range(0, len(own), _BLOCK):
-                part = own[block: block + _BLOCK].astype(np.float64) * windows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), pa.array([windows]), pa.array([part.tolist()])], names=["block", "windows", "part"])
+                    [pa.array([block]), pa.array([windows]), pa.array([own[block: block + _BLOCK].tobytes()], pa.binary())],
+                    names=["block", "windows", "part"])
 
     return run
 
 
+def _average(batches):
+    """One row per block of batches: its mean, weighted by windows."""
+    sums: dict[int, np.ndarray] = {}
+    seen: dict[int, int] = {}
+    for batch in batches:
+        for block, windows, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            sums[block] = sums.get(block, 0.0) + np.frombuffer(part, np.float32).astype(np.float64) * windows
+            seen[block] = seen.get(block, 0) + windows
+    if sums:
+        parts = [(sums[b] / seen[b]).astype(np.float32).tobytes() for b in sums]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array(parts, pa.binary())], names=["block", "part"])
+
+
 @dataclass(frozen=True)
 class Model:
     vocabulary: Vocabulary
@@ -225,17 +292,13 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
           rate: float = 0.2) -> Model:
     rows = id_text(docs, id_col, text_col)
     vocabulary = build_vocabulary(rows)
-    flat = fresh()
-    schema = "block bigint, windows bigint, part array<double>"
+    flat = fresh(side=vocabulary.side)
     for turn in range(rounds):
-        parts = rows.mapInArrow(_train_partition(vocabulary, flat, turn, share, rate), schema)
-        # sums by element place: combined in the tasks, whatever their number
-        summed = (parts.select("block", "windows", F.posexplode("part").alias("place", "value"))
-                  .groupBy("block", "place").agg(F.sum("windows").alias("windows"), F.sum("value").alias("value")))
-        back = summed.groupBy("block").agg(F.max("windows").alias("windows"),
-                                           F.array_sort(F.collect_list(F.struct("place", "value"))).alias("part")).collect()
-        for row in back:
-            values = np.array([x["value"] for x in row["part"]]) / row["windows"]
+        parts = rows.mapInArrow(_train_partition(vocabulary, flat, turn, rounds, share, rate),
+                                "block bigint, windows bigint, part binary")
+        mean = parts.repartition("block").mapInArrow(_average, "block bigint, part binary")
+        for row in mean.collect():
+            values = np.frombuffer(row["part"], np.float32)
             flat[row["block"]: row["block"] + len(values)] = values
     return Model(vocabulary, flat)
 
