@@ -107,3 +107,16 @@ def test_exact_dedup_is_native(docs):
     from tests.llm.plans import assert_native
 
     assert_native(exact_dedup(docs))
+
+
+def test_texts_with_very_long_runs():
+    """Runs over which the regular expression of tiktoken overflows its stack, and
+    runs of letters, digits and signs, as plain tokenizers encodes them."""
+    encode = packing.Encoder(PATH)
+    for text in (" " * 1_200_000 + "x", "\n" * 3_000_000 + "y", "a　" + " \t" * 700_000 + "b c", "ab" * 500_000,
+                 "7" * 1_000_000, "word " * 300 + "!?" * 500_000 + " end"):
+        assert packing.has_long_run(text)
+        assert np.frombuffer(encode(text), "<u4").tolist() == packing.reference_ids(PATH, text)
+    assert not packing.has_long_run("some ordinary words " * 100_000)
+    for text in (" " * 3_999 + "x", "z" * 3_999 + " ", "\x1c!" * 3_000):  # up to the bound, by tiktoken
+        assert np.frombuffer(encode(text), "<u4").tolist() == packing.reference_ids(PATH, text)

@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,7 @@ _ARROW = pa.schema([("id", pa.int64()), ("piece", pa.int32()), ("start", pa.int6
 
 # Fixed value: how byte-level BPE of this vocabulary splits a text before its merges.
 _SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_ANY_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")  # what its \s matches
 
 
 def _ranks(path: str) -> dict[bytes, int]:
@@ -50,6 +53,16 @@ def _ranks(path: str) -> dict[bytes, int]:
     return {bytes(byte[c] for c in word): i for word, i in vocabulary.items()}
 
 
+_RUN = 2000
+
+
+def has_long_run(text: str) -> bool:
+    """True for every text with 2 * _RUN or more characters in a row that are all
+    white space or all none: such a run fills a whole aligned part of _RUN."""
+    parts = (text[at: at + _RUN] for at in range(0, len(text) - _RUN + 1, _RUN))
+    return any(part.isspace() or not _ANY_SPACE.search(part) for part in parts)
+
+
 class Encoder:
     """Ids of a text as little-endian 32-bit bytes.
 
@@ -57,7 +70,9 @@ class Encoder:
     add_special_tokens=False (strings of special tokens are ordinary text).
     They are computed by ``tiktoken`` over the same vocabulary, which needs a
     third of the time; the first text of every task is encoded by both, and a
-    difference stops the task.
+    difference stops the task. Texts with very long pre-tokens, on which the
+    regular expression of ``tiktoken`` overflows its stack, are encoded by
+    ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
@@ -68,6 +83,8 @@ class Encoder:
                                          special_tokens={}).encode_ordinary
 
     def __call__(self, text: str) -> bytes:
+        if has_long_run(text):
+            return np.array(reference_ids(self._path, text), dtype="<u4").tobytes()
         ids = self._encode(text)
         if not self._compared:
             self._compared = True
@@ -76,13 +93,18 @@ class Encoder:
         return np.array(ids, dtype="<u4").tobytes()
 
 
-def reference_ids(path: str, text: str) -> list[int]:
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    return tokenizer.encode(text, add_special_tokens=False).ids
+    return tokenizer
+
+
+def reference_ids(path: str, text: str) -> list[int]:
+    return _tokenizer(path).encode(text, add_special_tokens=False).ids
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
