@@ -120,3 +120,14 @@ def test_texts_with_very_long_runs():
     assert not packing.has_long_run("some ordinary words " * 100_000)
     for text in (" " * 3_999 + "x", "z" * 3_999 + " ", "\x1c!" * 3_000):  # up to the bound, by tiktoken
         assert np.frombuffer(encode(text), "<u4").tolist() == packing.reference_ids(PATH, text)
+
+
+def test_added_tokens_are_read_as_plain_tokenizers_does():
+    from tokenizers import Tokenizer
+
+    plain, encode = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    for text in ("one two<|endoftext|>three", "<|endoftext|>", " <|endoftext|> <|endoftext|><|endoftext|>\n", "<|endoftext|",
+                 "a<|endoftext|>" + " " * 5000 + "b"):
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == ids == packing.reference_ids(PATH, text)
+    assert 50256 in np.frombuffer(encode("one two<|endoftext|>three"), "<u4")
