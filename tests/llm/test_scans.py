@@ -129,3 +129,18 @@ def test_surrogate_collisions_are_resolved(spark):
     real = {(r.kind, r.entity) for r in rows}
     new = [(r.kind, r.new) for r in rows]
     assert len(rows) == 24 and len(set(new)) == 24 and not real & set(new)
+
+
+def test_surrogates_do_not_run_out(spark):
+    """More one-word names than names of three syllables, and every number of a
+    short shape: the surrogates grow."""
+    names = [("name:m:latin", f"smith{i}") for i in range(6000)]
+    entities = spark.createDataFrame(names + [("phone", f"1{i:02d}") for i in range(100)], "kind string, entity string")
+    rows = surrogates.surrogate_table(entities, "k").collect()
+    real, new = {(r.kind, r.entity) for r in rows}, [(r.kind, r.new) for r in rows]
+    assert len(rows) == 6100 and len(set(new)) == 6100 and not real & set(new)
+    assert all(re.fullmatch("(?:[a-z]{2}){3,}n", r.new) for r in rows if r.kind != "phone")
+    assert all(re.fullmatch("1[0-9]{3,}", r.new) for r in rows if r.kind == "phone")
+    long = spark.createDataFrame([("+1 (0)2", "1029988")], "mention string, new string").select(
+        surrogates.laid_out(F.col("mention"), F.lit("phone"), F.col("new")).alias("text")).first()
+    assert long.text == "+1 (0)29988"

@@ -12,15 +12,19 @@ for IP addresses, an address at an example domain for e-mail, and for names
 syllables of the same script with an ending of the same gender. The collision
 check groups the entities by surrogate: if several share one, or a surrogate is
 itself an entity of the corpus, all but the first get the next attempt, until no
-collision is left. So different entities stay different and no surrogate is a
+collision is left. The space grows with the attempt, so it cannot run out: a name
+gets one more syllable for each attempt; from attempt ``GROW`` on, numbers of fixed
+shape (social security, phone, card, IBAN) get one more character for each
+attempt, and octets go up to 999, as the expression reads them.
+So different entities stay different and no surrogate is a
 real one; equal entities share one row, hence coreference. A mention takes its
-entity's surrogate in its own layout (punctuation, capitals).
+entity's surrogate in its own layout (punctuation, capitals), further characters
+at its end.
 
 Only mentions and entities are shuffled, plus the texts that hold a mention.
 
 Defined cases: null text is empty; texts without a mention are returned as they
-are; repeated rows get equal texts; null ids are kept; ``RuntimeError`` if a
-kind runs out of surrogates (``MAX_ATTEMPTS`` attempts all collide).
+are; repeated rows get equal texts; null ids are kept.
 """
 
 from __future__ import annotations
@@ -30,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .shared import cut, id_text
 
-MAX_ATTEMPTS = 64
+GROW = 8
 
 _LOCAL = r"""[^\s@,;:=/<>()\[\]{}|"']"""
 EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)+"
@@ -103,7 +107,10 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
                 .when(F.rlike(c, F.lit("[A-Z]")), F.char(number(i) % 26 + 65))
                 .when(F.rlike(c, F.lit(r"\p{L}")), F.char(number(i) % 26 + 97)).otherwise(c))
 
-    shaped = F.array_join(F.transform(F.split(entity, ""), same_class), "")
+    longer = F.greatest(attempt - (GROW - 1), F.lit(0))
+    more = F.when(longer > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(longer, F.lit(1))), lambda i: (
+        number(i + F.length(entity)) % 10).cast("string")), "")).otherwise("")
+    shaped = F.concat(F.array_join(F.transform(F.split(entity, ""), same_class), ""), more)
     headed = F.concat(F.substring(entity, 1, 1), F.substring(shaped, F.lit(2), F.length(shaped)))
     body = F.substring(headed, F.lit(1), F.length(headed) - 1)
     check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
@@ -111,12 +118,14 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
     email = F.concat(F.array_join(F.transform(F.split(F.substring_index(entity, "@", 1), ""), same_class), ""),
                      F.lit("@m"), F.substring(stream, 105, 12), F.lit(".example.net"))
     ip = F.array_join(F.transform(F.array(*[F.lit(i) for i in range(4)]),
-                                  lambda i: (number(i) % 254 + 1).cast("string")), ".")
+                                  lambda i: F.when(longer == 0, number(i) % 254 + 1).otherwise(
+                                      (number(i) * 256 + number(i + 4)) % 1000).cast("string")), ".")
 
     def name(gender: str, script: str, syllables: tuple[str, ...]) -> Column:
         table = F.array(*[F.lit(s) for s in syllables])
         return F.array_join(F.transform(F.split(entity, " "), lambda word, w: F.concat(
-            *[F.get(table, number(w * 8 + k) % len(syllables)) for k in range(3)],
+            F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2),
+                                     lambda k: F.get(table, number(w * 8 + k) % len(syllables))), ""),
             F.when(w == 0, F.lit(_ENDING[gender][script])).otherwise(F.lit("")))), " ")
 
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
@@ -135,7 +144,7 @@ def laid_out(mention: Column, kind: Column, new: Column) -> Column:
         lambda s, c: F.when(F.rlike(c, F.lit("[0-9A-Za-z]")), F.struct(
             F.concat(s["text"], F.substring(new, s["at"] + 1, F.lit(1))).alias("text"), (s["at"] + 1).alias("at")))
         .otherwise(F.struct(F.concat(s["text"], c).alias("text"), s["at"].alias("at"))),
-        lambda s: s["text"])
+        lambda s: F.concat(s["text"], F.substring(new, s["at"] + 1, F.length(new))))
     title = F.regexp_extract(mention, f"^({_TITLE})", 1)
     rest = F.regexp_replace(mention, _TITLE, "")
     name = F.concat(title, F.when(rest == F.upper(rest), F.upper(new)).otherwise(F.initcap(new)))
@@ -149,7 +158,7 @@ def surrogate_table(entities: DataFrame, key: str, generate=surrogate) -> DataFr
     table = cut(entities.withColumn("attempt", F.lit(0))
                 .withColumn("new", generate(F.col("kind"), F.col("entity"), F.col("attempt"), key)))
     real = entities.select("kind", F.col("entity").alias("new"), F.lit(True).alias("real"))
-    for _ in range(MAX_ATTEMPTS):
+    while True:
         first = table.groupBy("kind", "new").agg(F.min(F.struct("attempt", "entity")).alias("first"))
         judged = table.join(first, ["kind", "new"]).join(real, ["kind", "new"], "left").withColumn(
             "clash", F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "entity")))
@@ -158,7 +167,6 @@ def surrogate_table(entities: DataFrame, key: str, generate=surrogate) -> DataFr
                         F.col("kind"), F.col("entity"), F.col("attempt"), key)).otherwise(F.col("new"))))
         if table.where("clash").isEmpty():
             return table.drop("clash")
-    raise RuntimeError("surrogates of some kind are used up")
 
 
 def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
