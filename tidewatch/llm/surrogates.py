@@ -2,29 +2,38 @@
 
 DataFrame functions only. One regular expression finds e-mail and IP addresses,
 card, phone and social security numbers, IBANs, and names after a form of
-address. A mention is reduced to its entity (kind and normal form: lower case,
-or letters and digits only), so differently written mentions of one entity meet.
+address. A mention is reduced to its entities (kind and normal form), so differently
+written mentions of one entity meet: lower case for addresses, letters and digits
+only for numbers, and for names every word by itself. A name of one word is a surname;
+of two words the first is a given name. So ``Mr John Smith`` and ``Mr Smith``
+share the surrogate of the surname.
 
 Every distinct entity of the whole corpus gets a surrogate derived from
 sha-256 of (key, kind, attempt, entity): characters of the same class at the same
-places, the first digit and the validity of the Luhn digit kept for cards, octets
-for IP addresses, an address at an example domain for e-mail, and for names
-syllables of the same script with an ending of the same gender. The collision
-check groups the entities by surrogate: if several share one, or a surrogate is
-itself an entity of the corpus, all but the first get the next attempt, until no
-collision is left. The space grows with the attempt, so it cannot run out: a name
-gets one more syllable for each attempt; from attempt ``GROW`` on, numbers of fixed
-shape (social security, phone, card, IBAN) get one more character for each
-attempt, and octets go up to 999, as the expression reads them.
+places; the first digit and the validity of the Luhn digit kept for cards; the
+country kept for IBANs, with check digits that are valid (modulo 97) if the
+entity's were; octets for IP addresses; an address of the same script at an example
+domain for e-mail; and for names letters of the same script, marks in their places, given
+names with an ending of the same gender where the script has one (Cyrillic surnames too).
+The collision check groups the entities of all kinds by surrogate: if several share one,
+or a surrogate is itself an entity of the corpus, all but the first get the
+next attempt, until no collision is left. The space grows with the attempt, so it
+cannot run out: a name gets one more letter for each attempt; from attempt ``GROW`` on,
+numbers of fixed shape (social security, phone, card, IBAN) get one more character
+for each attempt, and octets go up to 999, as the expression reads them.
 So different entities stay different and no surrogate is a
 real one; equal entities share one row, hence coreference. A mention takes its
-entity's surrogate in its own layout (punctuation, capitals), further characters
-at its end.
+entities' surrogates in its own layout (punctuation, capitals), further characters
+at its end. The shape of a name or an address is that of its first ``SHAPE`` characters; all
+of it counts for its identity.
 
 Only mentions and entities are shuffled, plus the texts that hold a mention.
 
 Defined cases: null text is empty; texts without a mention are returned as they
-are; repeated rows get equal texts; null ids are kept.
+are; repeated rows get equal texts; null ids are kept; an empty table gives no rows;
+of entities that tie for a surrogate the smallest (kind, entity) keeps it; every part of the
+expression is possessive or of bounded length, so texts and mentions of any length are
+matched without recursion; other columns are never read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -34,10 +43,10 @@ from pyspark.sql import functions as F
 
 from .shared import cut, id_text
 
-GROW = 8
+GROW, SHAPE = 8, 64
 
 _LOCAL = r"""[^\s@,;:=/<>()\[\]{}|"']"""
-EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)+"
+EMAIL = rf"(?<!{_LOCAL}){_LOCAL}++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++"
 IP = r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9A-Za-z])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z])"
@@ -48,12 +57,20 @@ PHONE = (r"(?<![0-9A-Za-z+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н", "господин")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Señora", "Sra", "г-жа", "госпожа")
 _TITLE = r"(?<!\p{L})(?:" + "|".join(MALE + FEMALE) + r")\.? "
-NAME = _TITLE + r"\p{Lu}[\p{L}'-]+(?: \p{Lu}[\p{L}'-]+)?"
+_MARK = r"['’-]"
+_WORD = rf"[\p{{Lu}}\p{{Lo}}](?:[\p{{L}}\p{{M}}'’-]++)"  # scripts without capitals: any letter
+NAME = _TITLE + _WORD + rf"(?: {_WORD})?"
 ENTITY = "|".join((EMAIL, IP, SSN, IBAN, CARD, PHONE, NAME))
 
-_LATIN = ("ba", "co", "di", "fe", "ga", "lo", "mi", "ne", "pa", "ro", "sa", "te", "vi", "zo", "ku", "ju")
-_CYRILLIC = ("ба", "ко", "ди", "фе", "га", "ло", "ми", "не", "па", "ро", "са", "те", "ви", "зо", "ку", "жу")
-_ENDING = {"m": {"latin": "n", "cyrillic": "н"}, "f": {"latin": "na", "cyrillic": "на"}}
+# Small letters of scripts, from the first to the last code point, vowels apart
+# in the scripts that write them as letters of their own.
+_LATIN = ("aeiou", "bcdfghjklmnpqrstvwxz")
+_CYRILLIC = ("аеиоу", "бвгдзклмнпрстфх")
+_GREEK = ("αεηιου", "βγδζθκλμνξπρστφχψ")
+_RANGES = {"Hebrew": (0x5D0, 0x5EA), "Arabic": (0x641, 0x64A), "Armenian": (0x561, 0x586), "Georgian": (0x10D0, 0x10F0),
+           "Devanagari": (0x915, 0x939), "Thai": (0xE01, 0xE2E), "Hiragana": (0x304B, 0x3062), "Katakana": (0x30AB, 0x30C2),
+           "Hangul": (0xAC00, 0xD7A3), "Han": (0x4E00, 0x9FA5)}
+_ENDING = {"Latin": {"m": "n", "f": "a"}, "Cyrillic": {"m": "н", "f": "на"}, "Greek": {"m": "ος", "f": "α"}}
 
 
 def may_hold(text: Column) -> Column:
@@ -70,18 +87,26 @@ def _full(pattern: str):
 
 def kind_of(mention: Column) -> Column:
     male = F.rlike(mention, F.lit("^(?:" + "|".join(MALE) + r")\.? "))
-    cyrillic = F.rlike(F.regexp_replace(mention, _TITLE, ""), F.lit(r"^\p{IsCyrillic}"))
-    name = F.concat(F.lit("name:"), F.when(male, "m").otherwise("f"), F.lit(":"),
-                    F.when(cyrillic, "cyrillic").otherwise("latin"))
     return (F.when(mention.contains("@"), "email").when(F.rlike(mention, _full(IP)), "ip")
             .when(F.rlike(mention, _full(SSN)), "ssn").when(F.rlike(mention, _full(IBAN)), "iban")
-            .when(F.rlike(mention, _full(CARD)), "card").when(F.rlike(mention, _full(PHONE)), "phone").otherwise(name))
+            .when(F.rlike(mention, _full(CARD)), "card").when(F.rlike(mention, _full(PHONE)), "phone")
+            .otherwise(F.when(male, "name:m").otherwise("name:f")))
 
 
-def normal_form(mention: Column, kind: Column) -> Column:
-    return (F.when(kind.isin("email", "ip"), F.lower(mention))
-            .when(kind.startswith("name"), F.lower(F.regexp_replace(mention, _TITLE, "")))
-            .otherwise(F.regexp_replace(mention, "[^0-9A-Za-z]", "")))
+def entities_of(mention: Column, kind: Column) -> Column:
+    """Array of (kind, entity) of a mention: one, or a name's words."""
+    words = F.split(F.lower(F.regexp_replace(mention, _TITLE, "")), " ")
+
+    def word(w: Column, i: Column) -> Column:
+        given = (F.size(words) == 2) & (i == 0)
+        gendered = F.rlike(w, F.lit(r"^\p{IsCyrillic}"))
+        role = F.when(given, F.concat(F.lit("given"), F.substring(kind, 5, 2))).otherwise(
+            F.concat(F.lit("surname"), F.when(gendered, F.substring(kind, 5, 2)).otherwise("")))
+        return F.struct(role.alias("kind"), w.alias("entity"))
+
+    plain = F.when(kind.isin("email", "ip"), F.lower(mention)).otherwise(F.regexp_replace(mention, "[^0-9A-Za-z]", ""))
+    return F.when(kind.startswith("name"), F.transform(words, word)).otherwise(
+        F.array(F.struct(kind.alias("kind"), plain.alias("entity"))))
 
 
 def _luhn(digits: Column) -> Column:
@@ -93,6 +118,19 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), value), F.lit(0), lambda a, b: a + b)
 
 
+def _modulo_97(text: Column) -> Column:
+    """Remainder of letters (as 10 to 35) and digits read as one number."""
+    def step(rest: Column, c: Column) -> Column:
+        letter = F.ascii(F.upper(c)) - 55
+        return F.when(F.rlike(c, F.lit("[0-9]")), (rest * 10 + F.ascii(c) - 48) % 97).otherwise((rest * 100 + letter) % 97)
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _code_point(number: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(number.cast("bigint")), 4, "0")), "UTF-16BE")
+
+
 def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column:
     """Normal form of the surrogate, a pure function of its arguments."""
     seed = F.concat_ws("|", F.lit(key), kind, attempt.cast("string"), entity)
@@ -100,68 +138,95 @@ def surrogate(kind: Column, entity: Column, attempt: Column, key: str) -> Column
                       F.sha2(F.concat(F.lit("b|"), seed).cast("binary"), 256))
 
     def number(i: Column) -> Column:
-        return F.conv(F.substring(stream, (i * 2) % 96 + 1, F.lit(2)), 16, 10).cast("int")
+        """0 to 65535, of a place in the stream that depends on ``i``; later turns are shifted."""
+        return F.conv(F.substring(stream, (i * 4 + F.floor(i / 30).cast("int") * 7) % 120 + 1, F.lit(4)), 16, 10).cast("int")
+
+    def letter_of(c: Column, i: Column) -> Column:
+        """A small letter of the script of ``c``; marks and other characters stay."""
+        def one_of(letters: str) -> Column:
+            return F.substring(F.lit(letters), number(i) % len(letters) + 1, F.lit(1))
+
+        out = F.when(F.rlike(c, F.lit(_MARK + r"|\P{L}")), c)
+        for script, (vowels, others) in (("Latin", _LATIN), ("Cyrillic", _CYRILLIC), ("Greek", _GREEK)):
+            out = out.when(F.rlike(c, F.lit("[" + vowels + "]")), one_of(vowels))
+            out = out.when(F.rlike(c, F.lit(rf"\p{{Is{script}}}")), one_of(others))
+        for script, (low, high) in _RANGES.items():
+            out = out.when(F.rlike(c, F.lit(rf"\p{{Is{script}}}")), _code_point(number(i) % (high - low + 1) + low))
+        return out.otherwise(one_of(_LATIN[1]))
 
     def same_class(c: Column, i: Column) -> Column:
         return (F.when(F.rlike(c, F.lit("[0-9]")), (number(i) % 10).cast("string"))
-                .when(F.rlike(c, F.lit("[A-Z]")), F.char(number(i) % 26 + 65))
-                .when(F.rlike(c, F.lit(r"\p{L}")), F.char(number(i) % 26 + 97)).otherwise(c))
+                .when(F.rlike(c, F.lit("[A-Z]")), F.char(number(i) % 26 + 65)).otherwise(letter_of(c, i)))
+
+    def longer_by(n: Column, one) -> Column:
+        """``n`` more characters, from places after the entity's own."""
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                                                      lambda i: one(i + F.length(entity))), "")).otherwise("")
 
-    longer = F.greatest(attempt - (GROW - 1), F.lit(0))
-    more = F.when(longer > 0, F.array_join(F.transform(F.sequence(F.lit(1), F.greatest(longer, F.lit(1))), lambda i: (
-        number(i + F.length(entity)) % 10).cast("string")), "")).otherwise("")
-    shaped = F.concat(F.array_join(F.transform(F.split(entity, ""), same_class), ""), more)
+    grown = F.greatest(attempt - (GROW - 1), F.lit(0))
+    more = longer_by(grown, lambda i: (number(i) % 10).cast("string"))
+    shape = F.substring(entity, 1, SHAPE)
+    shaped = F.concat(F.array_join(F.transform(F.split(shape, ""), same_class), ""), more)
     headed = F.concat(F.substring(entity, 1, 1), F.substring(shaped, F.lit(2), F.length(shaped)))
     body = F.substring(headed, F.lit(1), F.length(headed) - 1)
     check = (10 - _luhn(F.concat(body, F.lit("0"))) % 10) % 10
     card = F.when(_luhn(entity) % 10 == 0, F.concat(body, check.cast("string"))).otherwise(headed)
-    email = F.concat(F.array_join(F.transform(F.split(F.substring_index(entity, "@", 1), ""), same_class), ""),
-                     F.lit("@m"), F.substring(stream, 105, 12), F.lit(".example.net"))
+    country, account = F.substring(entity, 1, 2), F.substring(shaped, F.lit(5), F.length(shaped))
+    valid = _modulo_97(F.concat(F.substring(entity, F.lit(5), F.length(entity)), F.substring(entity, 1, 4))) == 1
+    digits = F.lpad((98 - _modulo_97(F.concat(account, country, F.lit("00")))).cast("string"), 2, "0")
+    iban = F.concat(country, F.when(valid, digits).otherwise(F.substring(shaped, 3, 2)), account)
+    local = F.array_join(F.transform(F.split(F.substring(F.substring_index(entity, "@", 1), 1, SHAPE), ""), same_class), "")
+    email = F.concat(local, F.lit("@m"), F.substring(stream, 105, 12), F.lit(".example.net"))
     ip = F.array_join(F.transform(F.array(*[F.lit(i) for i in range(4)]),
-                                  lambda i: F.when(longer == 0, number(i) % 254 + 1).otherwise(
-                                      (number(i) * 256 + number(i + 4)) % 1000).cast("string")), ".")
+                                  lambda i: F.when(grown == 0, number(i) % 254 + 1).otherwise(
+                                      number(i) % 1000).cast("string")), ".")
 
-    def name(gender: str, script: str, syllables: tuple[str, ...]) -> Column:
-        table = F.array(*[F.lit(s) for s in syllables])
-        return F.array_join(F.transform(F.split(entity, " "), lambda word, w: F.concat(
-            F.array_join(F.transform(F.sequence(F.lit(0), attempt + 2),
-                                     lambda k: F.get(table, number(w * 8 + k) % len(syllables))), ""),
-            F.when(w == 0, F.lit(_ENDING[gender][script])).otherwise(F.lit("")))), " ")
+    first = F.regexp_extract(entity, r"(\p{L})", 1)
+    name = F.concat(F.array_join(F.transform(F.split(shape, ""), letter_of), ""), longer_by(attempt, lambda i: letter_of(first, i)))
+    ending = F.lit("")
+    for script, of_gender in _ENDING.items():
+        for gender, letters in of_gender.items():
+            ending = F.when(F.rlike(first, F.lit(rf"\p{{Is{script}}}")) & kind.endswith(":" + gender), letters).otherwise(ending)
 
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card)
-            .when(kind == "phone", headed)
-            .when(kind == "name:m:latin", name("m", "latin", _LATIN))
-            .when(kind == "name:f:latin", name("f", "latin", _LATIN))
-            .when(kind == "name:m:cyrillic", name("m", "cyrillic", _CYRILLIC))
-            .when(kind == "name:f:cyrillic", name("f", "cyrillic", _CYRILLIC)).otherwise(shaped))
+    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban)
+            .when(kind == "phone", headed).when(kind.startswith("given") | kind.startswith("surname"), F.concat(name, ending))
+            .otherwise(shaped))
 
 
 def laid_out(mention: Column, kind: Column, new: Column) -> Column:
-    """The surrogate in the layout of the mention."""
+    """The surrogates (an array) in the layout of the mention."""
+    one = F.get(new, F.lit(0))
     start = F.struct(F.lit("").alias("text"), F.lit(0).alias("at"))
     chars = F.aggregate(
         F.split(mention, ""), start,
         lambda s, c: F.when(F.rlike(c, F.lit("[0-9A-Za-z]")), F.struct(
-            F.concat(s["text"], F.substring(new, s["at"] + 1, F.lit(1))).alias("text"), (s["at"] + 1).alias("at")))
+            F.concat(s["text"], F.substring(one, s["at"] + 1, F.lit(1))).alias("text"), (s["at"] + 1).alias("at")))
         .otherwise(F.struct(F.concat(s["text"], c).alias("text"), s["at"].alias("at"))),
-        lambda s: F.concat(s["text"], F.substring(new, s["at"] + 1, F.length(new))))
+        lambda s: F.concat(s["text"], F.substring(one, s["at"] + 1, F.length(one))))
     title = F.regexp_extract(mention, f"^({_TITLE})", 1)
-    rest = F.regexp_replace(mention, _TITLE, "")
-    name = F.concat(title, F.when(rest == F.upper(rest), F.upper(new)).otherwise(F.initcap(new)))
-    return F.when(kind.isin("email", "ip"), new).when(kind.startswith("name"), name).otherwise(chars)
+    words = F.split(F.regexp_replace(mention, _TITLE, ""), " ")
+
+    def cased(word: Column, plain: Column) -> Column:
+        """Capitals at the places where the mention has them; all capitals stay so."""
+        at_places = F.array_join(F.transform(F.split(plain, ""), lambda c, i: F.when(
+            F.rlike(F.substring(word, i + 1, F.lit(1)), F.lit(r"\p{Lu}")), F.upper(c)).otherwise(c)), "")
+        return F.when(word == F.upper(word), F.upper(plain)).otherwise(at_places)
+
+    name = F.concat(title, F.array_join(F.zip_with(words, new, cased), " "))
+    return F.when(kind.isin("email", "ip"), one).when(kind.startswith("name"), name).otherwise(chars)
 
 
 def surrogate_table(entities: DataFrame, key: str, generate=surrogate) -> DataFrame:
     """(kind, entity, attempt, new) of distinct (kind, entity) rows: no two
-    entities of a kind share ``new``, and none is an entity itself."""
+    entities share ``new``, and none is an entity itself, of whatever kind."""
     entities = cut(entities)
     table = cut(entities.withColumn("attempt", F.lit(0))
                 .withColumn("new", generate(F.col("kind"), F.col("entity"), F.col("attempt"), key)))
-    real = entities.select("kind", F.col("entity").alias("new"), F.lit(True).alias("real"))
+    real = entities.select(F.col("entity").alias("new"), F.lit(True).alias("real")).distinct()
     while True:
-        first = table.groupBy("kind", "new").agg(F.min(F.struct("attempt", "entity")).alias("first"))
-        judged = table.join(first, ["kind", "new"]).join(real, ["kind", "new"], "left").withColumn(
-            "clash", F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "entity")))
+        first = table.groupBy("new").agg(F.min(F.struct("attempt", "kind", "entity")).alias("first"))
+        judged = table.join(first, "new").join(real, "new", "left").withColumn(
+            "clash", F.col("real").isNotNull() | (F.col("first") != F.struct("attempt", "kind", "entity")))
         table = cut(judged.select("kind", "entity", "clash", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"), "new")
                     .withColumn("new", F.when(F.col("clash"), generate(
                         F.col("kind"), F.col("entity"), F.col("attempt"), key)).otherwise(F.col("new"))))
@@ -179,11 +244,15 @@ def replace_entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mentions = cut(marked.select("id", "row", F.posexplode(F.regexp_extract_all("text", F.lit(ENTITY), F.lit(0)))
                                  .alias("place", "mention")).distinct()
                    .withColumn("kind", kind_of(F.col("mention")))
-                   .withColumn("entity", normal_form(F.col("mention"), F.col("kind"))))
-    table = surrogate_table(mentions.select("kind", "entity").distinct(), key).select("kind", "entity", "new")
-    done = (mentions.join(table, ["kind", "entity"])
-            .select("id", "row", F.struct("place", laid_out(F.col("mention"), F.col("kind"), F.col("new")).alias("new"),
-                                          F.substring_index("kind", ":", 1).alias("kind")).alias("mention"))
+                   .withColumn("entities", entities_of(F.col("mention"), F.col("kind"))))
+    spread = mentions.select("id", "row", "place", "mention", F.col("kind").alias("of_kind"),
+                             F.posexplode("entities").alias("word", "entity")).select("*", "entity.kind", F.col("entity.entity").alias("plain"))
+    table = surrogate_table(spread.select("kind", F.col("plain").alias("entity")).distinct(), key).select(
+        "kind", F.col("entity").alias("plain"), "new")
+    whole = spread.join(table, ["kind", "plain"]).groupBy("id", "row", "place", "mention", "of_kind").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("word", "new"))), lambda w: w["new"]).alias("new"))
+    done = (whole.select("id", "row", F.struct("place", laid_out(F.col("mention"), F.col("of_kind"), F.col("new")).alias("new"),
+                                               F.substring_index("of_kind", ":", 1).alias("kind")).alias("mention"))
             .groupBy(F.col("id").alias("of"), F.col("row").alias("of_row")).agg(F.array_sort(F.collect_list("mention")).alias("found")))
     pieces = F.zip_with(F.split("text", ENTITY, -1), F.col("found.new"), lambda gap, new: F.concat(gap, F.coalesce(new, F.lit(""))))
     changed = (marked.join(done, marked["id"].eqNullSafe(done["of"]) & (marked["row"] == done["of_row"]))
