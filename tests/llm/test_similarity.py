@@ -134,3 +134,14 @@ def test_decontaminate(spark, docs, odd):
         i for i, _ in pairs if i not in bad)
     tests = spark.createDataFrame([(1, "one two")], "item_id int, text string")
     assert decontaminate(odd, tests).count() == odd.count() - 4
+
+
+def test_two_texts_of_one_id_are_judged_apart(spark):
+    near = [f"word{i}" for i in range(60)]
+    rows = [(1, " ".join(near)), (2, " ".join([*near[:-1], "other"])), (2, "an unrelated text of its own about another matter"),
+            (None, " ".join([*near[:-1], "third"])), (None, "a text without any id that nothing else resembles at all")]
+    frame = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, `first` int")
+    kept = keep_one_per_class(frame)
+    assert kept.columns == frame.columns and sorted(r["first"] for r in kept.collect()) == [0, 2, 3, 4]
+    same = spark.createDataFrame([(7, " ".join(near), 0), (7, " ".join([*near[:-1], "other"]), 1)], "doc_id bigint, text string, n int")
+    assert keep_one_per_class(same).count() == 1

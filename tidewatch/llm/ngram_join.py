@@ -27,12 +27,16 @@ word 5-gram shingles (64-bit hashes) is at least ``threshold``.
    document id of the component.
 
 The work on a group of m mutually similar, different texts grows with its true
-links, as counting them must; rows, memory and group sizes do not.
+links, as counting them must. Memory and group sizes are bounded by ``BLOCK_SETS``; each
+member is sent to m / ``BLOCK_SETS`` pairs of blocks, so a node hands out m * m /
+``BLOCK_SETS`` rows: no more than its members up to ``BLOCK_SETS`` of them.
 
 Defined cases: null text is empty; texts without words have no shingle, link to
 nothing and are classes of their own; texts of one to four words have a
 single shingle; rows with a null id never become a class id unless all of their
-class are null; repeated rows are copies.
+class are null; repeated rows are copies; rows of one id with different texts are
+classed apart; very long texts are hashed whole, in parts of bounded size; an empty table
+gives no rows; only id and text are read, so no other column's name can clash.
 """
 
 from __future__ import annotations
@@ -47,7 +51,7 @@ from .text_arrays import Words, lowered, mix, shingles
 
 TREES, LEVELS = 24, 6
 RECALL = 0.9999
-BLOCK_SETS = 256
+BLOCK_SETS = 2048
 _U = np.uint64
 _WIDTH = 2 * LEVELS
 _rng = np.random.default_rng(20)
@@ -111,8 +115,9 @@ def _features(batches):
         return pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array([set_key(s) if len(s) else None for s in sets], pa.binary()),
              pa.array([len(s) for s in sets], pa.int64()),
-             pa.array([m.tobytes() if len(s) else None for s, m in zip(sets, marks, strict=True)], pa.binary())],
-            names=["id", "node", "n", "marks"])
+             pa.array([m.tobytes() if len(s) else None for s, m in zip(sets, marks, strict=True)], pa.binary()),
+             batch.column(2)],
+            names=["id", "node", "n", "marks", "text_key"])
 
     yield from by_text_size(batches, rows)
 
@@ -252,17 +257,21 @@ def _sets_of(batches):
     yield from by_text_size(batches, rows)
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
-                    recall: float = RECALL, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """One row per row of ``docs``: id, class_id (smallest id of its connected
-    near duplicates), n_links (different texts within ``threshold``), n_copies
-    (rows of the same shingle set, itself included)."""
+def _text_key(text_col: str):
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+
+
+def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str, recall: float, block_sets: int) -> DataFrame:
+    """One row per row of ``docs``: id, text_key, first (null, id and text_key of the
+    class's smallest row), n_links, n_copies."""
     kind = docs.schema[id_col].dataType.simpleString()
     depth = stop_depth(threshold, recall)
     rows = id_text(docs, id_col, text_col)
-    features = cut(rows.mapInArrow(_features, f"id {kind}, node binary, n bigint, marks binary"))
+    features = cut(rows.withColumn("text_key", _text_key("text")).mapInArrow(
+        _features, f"id {kind}, node binary, n bigint, marks binary, text_key string"))
+    row = F.struct(F.col("id").isNull().alias("null"), "id", "text_key")
     nodes = cut(features.where("node is not null").groupBy("node").agg(
-        F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"),
+        F.min(row).alias("first"), F.count(F.lit(1)).alias("copies"), F.any_value("n").alias("n"),
         F.any_value("marks").alias("marks")))
 
     prefix = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)),
@@ -280,8 +289,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
         _meet(depth, threshold),
         "bucket bigint, low int, high int, place int, node binary, n bigint, partners array<int>"))
 
-    wanted = cut(pairs.select("node").distinct().join(nodes.select("node", "first_id"), "node"))
-    chosen = small(wanted.withColumnRenamed("first_id", "wanted_id").withColumnRenamed("node", "wanted"))
+    wanted = cut(pairs.select("node").distinct().join(nodes.select("node", "first"), "node"))
+    chosen = small(wanted.select(F.col("first.id").alias("wanted_id"), F.col("node").alias("wanted")))
     sets = (rows.join(chosen, rows["id"].eqNullSafe(chosen["wanted_id"])).select("id", "text", "wanted")
             .mapInArrow(_sets_of, "node binary, wanted binary, shingles binary")
             .where("node = wanted").dropDuplicates(["node"]).select("node", "shingles"))
@@ -290,23 +299,37 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_
                 .mapInArrow(_verify(threshold), "node binary, root binary, links bigint"))
 
     label = components(links.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    first = label.join(nodes.select("node", "first_id"), "node")
-    of_label = first.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    linked = (first.join(of_label, "label").select("node", "class_id")
+    first = label.join(nodes.select("node", "first"), "node")
+    of_label = first.groupBy("label").agg(F.min("first").alias("class_first"))
+    linked = (first.join(of_label, "label").select("node", "class_first")
               .join(links.groupBy("node").agg(F.sum("links").alias("links")), "node"))
-    result = nodes.select("node", "first_id", "copies").join(linked, "node", "left").select(
-        "node", F.coalesce("class_id", "first_id").alias("class_id"),
+    result = nodes.select("node", "first", "copies").join(linked, "node", "left").select(
+        "node", F.coalesce("class_first", "first").alias("first"),
         F.coalesce("links", F.lit(0).cast("bigint")).alias("n_links"), F.col("copies").alias("n_copies"))
-    have = features.where("node is not null").join(result, "node").select("id", "class_id", "n_links", "n_copies")
+    have = features.where("node is not null").join(result, "node").select("id", "text_key", "first", "n_links", "n_copies")
     none = features.where("node is null").select(
-        "id", F.col("id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
-        F.lit(1).cast("bigint").alias("n_copies"))
-    return have.unionByName(none).withColumnRenamed("id", id_col)
+        "id", "text_key", row.alias("first"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("n_copies"))
+    return have.unionByName(none)
+
+
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text",
+                    recall: float = RECALL, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """One row per row of ``docs``: id, class_id (smallest id of its connected
+    near duplicates), n_links (different texts within ``threshold``), n_copies
+    (rows of the same shingle set, itself included)."""
+    return _classes(docs, threshold, id_col, text_col, recall, block_sets).select(
+        F.col("id").alias(id_col), F.col("first.id").alias("class_id"), "n_links", "n_copies")
 
 
 def keep_one_per_class(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their class id, unchanged (null ids stay)."""
-    classes = near_duplicates(docs, threshold, id_col, text_col)
-    gone = small(cut(classes.where(F.col(id_col) != F.col("class_id")).select(F.col(id_col).alias("gone")).distinct()))
-    return docs.join(gone, docs[id_col] == gone["gone"], "left_anti")
+    """The smallest row (id, then hash of its text) of every class, columns unchanged.
+
+    A row is known by its id and its text together, so two texts of one id are
+    judged apart. Rows without an id always stay. Rows equal in both stand for each other and
+    stay or go together (exact dedup leaves one of them).
+    """
+    own = F.struct(F.col("id").isNull().alias("null"), "id", "text_key")
+    gone = small(cut(_classes(docs, threshold, id_col, text_col, RECALL, BLOCK_SETS).where(F.col("id").isNotNull() & (F.col("first") != own)).select(
+        F.col("id").alias("__gone_id"), F.col("text_key").alias("__gone_key")).distinct()))
+    return docs.join(gone, (docs[id_col] == gone["__gone_id"]) & (_text_key(text_col) == gone["__gone_key"]), "left_anti")
