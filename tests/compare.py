@@ -63,7 +63,8 @@ def main(sf_dir: str, names: list[str]):
     for name in names or list(qs):
         t0 = time.time()
         try:
-            sp = qs[name](spark, sf_dir).toPandas()
+            found = qs[name](spark, sf_dir)  # as Python objects: pandas turns integers with nulls into floats
+            sp = pd.DataFrame([tuple(r) for r in found.collect()], columns=found.columns, dtype=object)
         except Exception as exc:  # noqa: BLE001
             print(f"{name:34s} SPARK ERROR {str(exc)[:300]}")
             bad += 1
@@ -73,7 +74,8 @@ def main(sf_dir: str, names: list[str]):
             print(f"{name:34s} rows={len(sp):7d} (no oracle) {t1-t0:.1f}s")
             continue
         try:
-            dk = con.sql(sqls[name]).df()
+            answer = con.sql(sqls[name])
+            dk = pd.DataFrame(answer.fetchall(), columns=answer.columns, dtype=object)
         except Exception as exc:  # noqa: BLE001
             print(f"{name:34s} ORACLE ERROR {str(exc)[:300]}")
             bad += 1

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -78,6 +78,35 @@ def assert_keys_resolve(
     return df
 
 
+class Watch:
+    """A contract counted while a load runs; ``check`` is called after it. Only a
+    broken contract costs a job of its own, the one that names examples."""
+
+    def __init__(self, seen: Observation, explain) -> None:
+        self._seen, self._explain = seen, explain
+
+    def check(self) -> None:
+        if any(self._seen.get.values()):
+            self._explain()
+            raise ContractError("a contract was broken while the load ran")
+
+
+def watch_keys(
+    df: DataFrame, dim: DataFrame, on: Sequence[str] | str, what: str, dim_on: Sequence[str] | None = None
+) -> tuple[DataFrame, Watch]:
+    """``df`` left-joined to the dimension's keys, unresolved keys counted by whatever
+    consumes it (J07): no probe before the load and no second scan of ``df``."""
+    on_list = [on] if isinstance(on, str) else list(on)
+    dim_list = list(dim_on) if dim_on else on_list
+    known = dim.select(*[F.col(d).alias(o) for o, d in zip(on_list, dim_list, strict=True)], F.lit(True).alias("__known"))
+    seen = Observation()
+    missing = F.col("__known").isNull()
+    for c in on_list:
+        missing = missing & F.col(c).isNotNull()
+    joined = df.join(known, on=on_list, how="left").observe(seen, F.count_if(missing).alias("missing")).select(*df.columns)
+    return joined, Watch(seen, lambda: assert_keys_resolve(df, dim, on_list, what, dim_list))
+
+
 def hourly_array_violations(
     assets: DataFrame, required: Sequence[str], id_col: str = "asset_id", hourly: str = "hourly"
 ) -> DataFrame:
@@ -86,6 +115,14 @@ def hourly_array_violations(
     ``assets`` has one row per asset with a struct column ``hourly``.  Under
     ANSI mode ``size(NULL)`` is NULL, so a missing array is tested apart.
     """
+    return (
+        assets.select(F.col(id_col).alias("asset_id"), hourly_array_problems(required, hourly).alias("problems"))
+        .where(F.size("problems") > 0)
+    )
+
+
+def hourly_array_problems(required: Sequence[str], hourly: str = "hourly") -> Column:
+    """Texts naming the arrays that are missing or not as long as ``time``."""
     time_len = F.size(F.col(f"{hourly}.time"))
     problems = []
     for field in required:
@@ -95,10 +132,7 @@ def hourly_array_violations(
                 F.size(arr) != time_len, F.lit(f"{field}: length differs from time")
             )
         )
-    return (
-        assets.select(F.col(id_col).alias("asset_id"), F.array_compact(F.array(*problems)).alias("problems"))
-        .where(F.size("problems") > 0)
-    )
+    return F.array_compact(F.array(*problems))
 
 
 def assert_hourly_arrays(assets: DataFrame, required: Sequence[str], id_col: str = "asset_id") -> DataFrame:

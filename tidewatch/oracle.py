@@ -911,6 +911,9 @@ for _t, _src, _nat in [
             "dim_rig_classification": "rig_classification_key"}[_t]
     _cvs.append(_cv(_t, "unique_" + _nat.replace(", ", "_"), _dups(_src, _nat)))
     _cvs.append(_cv(_t, "unique_" + _key, _dups(_src, _nat)))
+SQL["src_silver_contract"] = q(
+    "SELECT asset_id, forecast_reference_time, forecast_valid_time, forecast_horizon_hours, temperature_c, source "
+    "FROM o_atm WHERE hour(forecast_valid_time) % 7 <> 3 AND hour(forecast_valid_time) <> 5")
 SQL["constraint_violations"] = q("\nUNION ALL\n".join(_cvs))
 
 # -------------------------------------------------------- second deliveries

@@ -111,11 +111,25 @@ def _latest_global_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _src_silver_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver read contract (S08) on a Silver table kept as text: padded and
+    missing asset ids, hours that are no time."""
+    hour = F.hour("forecast_valid_time")
+    stored = _silver(spark, sf_dir)["atmospheric"].select(
+        F.when(hour % 7 != 3, F.concat(F.lit("  "), "asset_id", F.lit("\t"))).alias("asset_id"),
+        F.col("forecast_reference_time").cast("string").alias("forecast_reference_time"),
+        F.when(hour == 5, "no time").otherwise(F.col("forecast_valid_time").cast("string")).alias("forecast_valid_time"),
+        "forecast_horizon_hours", "temperature_c", "source",
+    )
+    return bronze.silver_contract(stored, bronze.SILVER_CONTRACTS["atmospheric"], "atmospheric Silver")
+
+
 QUERIES: dict[str, Query] = {
     # flagship first
     "offshore_risk_summary": _view(VW.offshore_risk_summary),
     # silver jobs and the rules engine
     "silver_atmospheric": lambda s, d: _silver(s, d)["atmospheric"],
+    "src_silver_contract": _src_silver_contract,
     "silver_marine": lambda s, d: _silver(s, d)["marine"],
     "operational_risk": lambda s, d: _silver(s, d)["risk"],
     "risk_distribution": lambda s, d: risk_distribution(_silver(s, d)["risk"]),

@@ -5,15 +5,22 @@ price and rig runs load one subject into the same warehouse, and the
 validation run only checks what is stored; each is recorded in the ledger.
 
 Storage is plain Parquet under a root folder.  A load computes the next
-state of each table with the ``upsert`` family and publishes it:
+state of each table with the ``upsert`` family, stages all of them beside the
+tables, and publishes them together by moving folders:
+
+* the declared constraints (K05) and the key contracts (J07) are counted by the
+  writes that stage the tables; a violation stops the load before anything is
+  published;
+* a marker says that every table of a load is staged. A load cut off after it
+  is finished by the next one (``recover``); one cut off before it is discarded.
+  One load at a time may run on a warehouse, as its read-then-replace needs anyway;
 
 * forecast facts are partitioned by ``run_date`` (date of the forecast
   run).  Their grain contains the run time, so a batch only touches its
   own runs' partitions: only the current rows of those partitions are read
   (scalar subqueries on the partition column prune the rest at run time),
-  upserted with the batch, staged in the shared checkpoint folder (a
-  table being read cannot be overwritten) and written back with dynamic
-  partition overwrite, so untouched partitions are never rewritten;
+  upserted with the batch and staged (a table being read cannot be
+  overwritten), and only their folders are replaced;
 * price and rig facts are partitioned by month the same way, so a batch
   rewrites only its months;
 * dimensions are small and rewritten whole through the same staging.
@@ -27,24 +34,25 @@ from __future__ import annotations
 import datetime as _dt
 import os
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidewatch import schemas as S
-from tidewatch.operators.contracts import require_non_empty
+from tidewatch.operators.contracts import Watch, require_non_empty
 from tidewatch.operators.metrics import observe_rows, rows_removed
 from tidewatch.operators.upsert import empty_like
 from tidewatch.plans import build
+from tidewatch.plans import constraints as C
 from tidewatch.plans import ledger as L
 from tidewatch.plans import quality as Q
 from tidewatch.plans import silver as SIL
 from tidewatch.plans import warehouse as W
 from tidewatch.plans.serving import register_ledger_views, register_views
 from tidewatch.session import checkpoint_dir
-from tidewatch.sources import bronze
+from tidewatch.sources import bronze, files
 from tidewatch.sources import testtables as TT
 
 # table -> (partition column, expression on the table, clustering columns
@@ -76,6 +84,9 @@ SUBJECTS = {"weather": ["registry", "atmospheric", "marine"], "price": ["price"]
 METRICS_SCHEMA = "pipeline_run_key long, dataset string, rows_in long, rows_out long, rows_removed long"
 
 
+READY = "_READY"  # marker in a load's staging folder: every table is staged and checked
+
+
 class WarehouseStore:
     """Parquet tables under ``root``, one folder per table."""
 
@@ -98,7 +109,7 @@ class WarehouseStore:
 
     def read(self, name: str, keep_partition: bool = False) -> DataFrame:
         """The stored table, or an empty one; the layout column only if asked."""
-        schema = S.TABLES[name][0]
+        schema = {**S.TABLES, **S.DERIVED}[name][0]
         if not self.exists(name):
             return empty_like(self.spark, schema)
         df = self.spark.read.parquet(self.path(name))
@@ -108,9 +119,14 @@ class WarehouseStore:
         return df.select(*cols)
 
     def tables(self, keep_partition: bool = True) -> build.Lazy:
-        names = list(S.TABLES)
+        names = [*S.TABLES, *(n for n in S.DERIVED if self.exists(n))]
         return build.Lazy({n: (lambda n: (lambda: self.read(n, keep_partition)))(n) for n in names})
 
+    def latest_runs(self) -> DataFrame:
+        """Each asset's latest run; of a warehouse loaded before the table was kept, from its fact."""
+        name = "agg_latest_run" if self.exists("agg_latest_run") else "fact_weather_forecast"
+        return self.read(name).select("asset_key", "forecast_reference_time")
+
     def touched_slice(self, name: str, parts: DataFrame) -> DataFrame:
         """Current rows of the partitions listed in ``parts`` (one column named
         like the partition column).
@@ -138,57 +154,76 @@ class WarehouseStore:
             df = df.join(months, on="time_key", how="left")
         return df.repartitionByRange(col, *cluster).sortWithinPartitions(col, *cluster)
 
-    def stage(self, name: str, df: DataFrame) -> str:
-        """Write the next state of a table (or of its touched partitions) to
-        the shared checkpoint folder; nothing visible changes yet."""
-        staged = os.path.join(checkpoint_dir(self.spark), f"stage-{name}-{uuid.uuid4().hex}")
+    def stage(self, name: str, df: DataFrame, batch: str) -> None:
+        """Write the next state of a table (or of its touched partitions) beside the
+        tables; nothing visible changes yet. Constraints are counted by the write."""
         if name in LAYOUT:
             df = self._laid_out(name, df)
-        df.write.mode("overwrite").parquet(staged)
-        return staged
-
-    def publish(self, name: str, staged: str) -> None:
-        """Replace the touched partitions (dynamic overwrite) or the whole
-        table with a staged state, then drop the staged copy."""
-        df = self.spark.read.parquet(staged)
-        if name in LAYOUT:
-            df.write.mode("overwrite").partitionBy(LAYOUT[name][0]).parquet(self.path(name))
-        else:
-            df.write.mode("overwrite").parquet(self.path(name))
-        self._delete(staged)
-
-    def _delete(self, path: str) -> None:
-        """Remove a staged folder through the cluster's file system (HDFS, object
-        store or local), so staging does not grow with every run."""
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
-
-    def write_new(self, name: str, df: DataFrame) -> None:
-        """First write of a table that does not exist yet (nothing to stage)."""
+        df, seen = C.watched(df, name)
+        writer = df.write.mode("overwrite")
         if name in LAYOUT:
-            self._laid_out(name, df).write.mode("overwrite").partitionBy(LAYOUT[name][0]).parquet(self.path(name))
-        else:
-            df.write.mode("overwrite").parquet(self.path(name))
-
-    def replace_all(self, frames: Mapping[str, DataFrame]) -> None:
-        """Stage every existing table first, then publish them: a table's next
-        state may read another table's current files, which must not change
-        before every state is staged.  Tables that do not exist yet read no
-        stored files, so they are written in place directly."""
-        new = [n for n in frames if not self.exists(n)]
-        staged = {n: self.stage(n, frames[n]) for n in frames if n not in new}
-        for name in new:
-            self.write_new(name, frames[name])
-        for name, path in staged.items():
-            self.publish(name, path)
+            writer = writer.partitionBy(LAYOUT[name][0])
+        writer.parquet(self._staged(batch, name))
+        if seen is not None:
+            C.require_kept(name, seen.get)
+
+    def _staged(self, batch: str, name: str = "") -> str:
+        return os.path.join(self.path("staging"), batch, name)
+
+    def publish(self, batch: str, name: str) -> None:
+        """Move a staged table, or its touched partitions, to its place. Folders that
+        were moved are gone from the staging, so a repeated call does the rest."""
+        staged = self._staged(batch, name)
+        if name not in LAYOUT:
+            if files.exists(self.spark, staged):
+                files.replace(self.spark, staged, self.path(name))
+            return
+        for part in files.names(self.spark, staged):
+            if part.startswith(LAYOUT[name][0] + "="):
+                files.replace(self.spark, os.path.join(staged, part), os.path.join(self.path(name), part))
+
+    def recover(self) -> list[str]:
+        """Finish a publish that was cut off, discard loads that were never staged
+        whole; returns the tables that were published."""
+        done = []
+        for batch in files.names(self.spark, self.path("staging")):
+            if files.exists(self.spark, self._staged(batch, READY)):
+                tables = [n for n in files.names(self.spark, self._staged(batch)) if n != READY]
+                for name in tables:
+                    self.publish(batch, name)
+                done += tables
+            files.delete(self.spark, self._staged(batch))
+        return done
+
+    def replace_all(self, frames: Mapping[str, DataFrame], watches: Sequence[Watch] = ()) -> None:
+        """Stage every table, check what the writes counted, then publish them: a
+        table's next state may read another table's current files, which must not
+        change before every state is staged."""
+        batch = uuid.uuid4().hex
+        try:
+            for name, df in frames.items():
+                self.stage(name, df, batch)
+            for watch in watches:
+                watch.check()
+        except Exception:
+            files.delete(self.spark, self._staged(batch))
+            raise
+        files.touch(self.spark, self._staged(batch, READY))
+        for name in frames:
+            self.publish(batch, name)
+        files.delete(self.spark, self._staged(batch))
 
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
 
 
-def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], root: str) -> build.Lazy:
-    """Write each Silver frame (K03) and return them read back from storage.
+def write_silver_frames(
+    spark: SparkSession, silver: Mapping[str, DataFrame], root: str, counts: dict | None = None,
+    watches: Sequence[Watch] = (),
+) -> build.Lazy:
+    """Write each Silver frame (K03) and return them read back from storage, under
+    their contract (S08). ``counts`` gets the rows written beside the rows read;
+    ``watches`` are the document contracts that the writes count (S03, F07).
 
     The risk frame is rebuilt from the *stored* atmospheric, marine and
     registry frames, as the risk job reads the Silver files: the events are
@@ -198,14 +233,18 @@ def write_silver_frames(spark: SparkSession, silver: Mapping[str, DataFrame], ro
         return os.path.join(root, "silver", n)
 
     def stored(n: str) -> DataFrame:
-        return spark.read.parquet(path(n))
+        return bronze.read_silver(spark, path(n), n) if n in bronze.SILVER_CONTRACTS else spark.read.parquet(path(n))
 
     base = [n for n in silver if n != "risk"]  # risk is rebuilt from the stored frames
     for name in base:
-        bronze.write_silver(silver[name], path(name), SILVER_SORT.get(name, ()))
+        written = bronze.write_silver(silver[name], path(name), SILVER_SORT.get(name, ()))
+        if counts is not None and name in counts:
+            counts[name] = (counts[name], written)
+        for watch in watches:  # those of the frames written so far
+            watch.check()
         # a Silver job that produced no row fails the run (one-row probe
         # of the written files, not a recount)
-        require_non_empty(stored(name), f"{name} transformation produced no valid rows.")
+        require_non_empty(spark.read.parquet(path(name)), f"{name} transformation produced no valid rows.")
     if "registry" in base:
         require_non_empty(bronze.clean_asset_registry(stored("registry")), "No valid assets remain after validation.")
         # the plain registry: a repeated asset or hour stops the run
@@ -238,23 +277,28 @@ def load_warehouse(
     """
     dims = [n for n, frame in DIM_INPUT.items() if frame is None or frame in silver]
     nxt = build.warehouse_from_silver(
-        spark, silver, run_time, current={n: store.read(n) for n in dims}, from_silver_jobs=False)
+        spark, silver, run_time, current={n: store.read(n) for n in dims})
     store.replace_all({n: nxt[n] for n in dims})
     d = {n: store.read(n) for n in dims}
     chk = (lambda n: d[n]) if validate else (lambda n: None)
     parts = batch_partitions(silver)
     cur = {n: store.touched_slice(n, parts[n]) for n in parts}
-    facts = {}
+    facts: dict[str, DataFrame] = {}
+    watches: list[Watch] | None = [] if validate else None
     for table in parts:
         rows = silver[FACT_INPUT[table]]
         if table == "fact_oil_price":
-            facts[table] = W.load_fact_oil_price(cur[table], rows, run_time, chk("dim_energy_product"), chk("dim_time"))
+            facts[table] = W.load_fact_oil_price(cur[table], rows, run_time, chk("dim_energy_product"), chk("dim_time"),
+                                                 deduplicated=True, watches=watches)
         elif table == "fact_rig_count":
             facts[table] = W.load_fact_rig_count(
-                cur[table], rows, run_time, chk("dim_country"), chk("dim_rig_classification"), chk("dim_time"))
+                cur[table], rows, run_time, chk("dim_country"), chk("dim_rig_classification"), chk("dim_time"),
+                deduplicated=True, watches=watches)
         else:
-            facts[table] = W.load_forecast_fact(cur[table], rows, table, run_time, chk("dim_asset"), chk("dim_time"))
-    store.replace_all(facts)
+            facts[table] = W.load_forecast_fact(cur[table], rows, table, run_time, chk("dim_asset"), chk("dim_time"), watches)
+    if "atmospheric" in silver:
+        facts["agg_latest_run"] = W.merge_latest_runs(store.latest_runs(), silver["atmospheric"])
+    store.replace_all(facts, watches or ())
 
 
 def run_all(
@@ -279,28 +323,36 @@ def landed_silver(
     price_dir: str | None = None,
     rig_dir: str | None = None,
     counts: dict | None = None,
+    watches: list[Watch] | None = None,
 ) -> build.Lazy:
     """Silver frames of the sources given: the newest non-empty file of each
     (S07), read with the Bronze readers and run through the Silver jobs; risk
     is rebuilt from the stored Silver by ``write_silver_frames``. ``counts``
-    receives the observed rows in and out of the price and rig jobs (F09)."""
+    receives the observed rows into the price and rig jobs (F09); with ``watches`` the
+    document contracts are counted by the write instead of probes before it."""
     def newest(folder: str, glob: str) -> str:
         return bronze.latest_file(spark, [folder], glob)
 
     def counted(name: str, records: DataFrame, job) -> DataFrame:
         if counts is None:
             return job(records)
-        records, before = observe_rows(records, f"{name}_in")
-        out, after = observe_rows(job(records), f"{name}_out")
-        counts[name] = (before, after)
-        return out
+        records, counts[name] = observe_rows(records, f"{name}_in")
+        return job(records)
+
+    def hours(folder: str, dataset: str, arrays: Sequence[str]) -> DataFrame:
+        path = newest(folder, "*.json")
+        if watches is None:
+            return bronze.read_forecast_hours(spark, path, dataset, arrays)
+        rows, seen = bronze.watched_forecast_hours(bronze.read_forecast_documents(spark, path, arrays), dataset, arrays)
+        watches.extend(seen)
+        return rows
 
     jobs = {
         "registry": (registry_csv, lambda: bronze.read_asset_registry(spark, registry_csv)),
-        "atmospheric": (atmospheric_dir, lambda: SIL.silver_atmospheric(bronze.read_forecast_hours(
-            spark, newest(atmospheric_dir, "*.json"), "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS))),
-        "marine": (marine_dir, lambda: SIL.silver_marine(bronze.read_forecast_hours(
-            spark, newest(marine_dir, "*.json"), "marine_forecast", bronze.MARINE_ARRAYS))),
+        "atmospheric": (atmospheric_dir, lambda: SIL.silver_atmospheric(
+            hours(atmospheric_dir, "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS))),
+        "marine": (marine_dir, lambda: SIL.silver_marine(
+            hours(marine_dir, "marine_forecast", bronze.MARINE_ARRAYS))),
         "price": (price_dir, lambda: counted(
             "price", bronze.read_price_records(spark, newest(price_dir, "*.json")), SIL.silver_price)),
         "rig": (rig_dir, lambda: counted(
@@ -323,8 +375,9 @@ def run_landed(
     ``price_dir`` and ``rig_dir``.
     """
     counts: dict = {}
-    return run_silver(spark, lambda: landed_silver(spark, run_time, **landing, counts=counts), root, run_time, run_key,
-                      gate, counts)
+    watches: list[Watch] = []
+    return run_silver(spark, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches), root, run_time,
+                      run_key, gate, counts, watches)
 
 
 def run_landed_subject(
@@ -334,8 +387,9 @@ def run_landed_subject(
     Silver, dimensions, hours and facts are loaded; returns the run's key.
     ``landing`` names the subject's sources as in ``run_landed``."""
     counts: dict = {}
-    return run_subject(spark, subject, lambda: landed_silver(spark, run_time, **landing, counts=counts), root, run_time,
-                       run_key, counts)
+    watches: list[Watch] = []
+    return run_subject(spark, subject, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches), root,
+                       run_time, run_key, counts, watches)
 
 
 def run_subject(
@@ -345,14 +399,15 @@ def run_subject(
     root: str,
     run_time: str,
     run_key: int | None = None,
-    counts: Mapping | None = None,
+    counts: dict | None = None,
+    watches: Sequence[Watch] = (),
 ) -> int:
     """Silver -> warehouse -> views of one of ``SUBJECTS``, recorded in the run
     ledger; the other subjects' tables are not touched. Returns the run's key."""
     def body(key: int) -> int:
         frames = silver_builder()
         silver = build.Lazy({n: (lambda n: (lambda: frames[n]))(n) for n in SUBJECTS[subject]})
-        store = _load(spark, silver, root, run_time, key, counts)
+        store = _load(spark, silver, root, run_time, key, counts, watches)
         register_views(spark, store.tables(), run_time)
         return key
 
@@ -375,21 +430,22 @@ def run_silver(
     run_time: str,
     run_key: int | None,
     gate: bool,
-    counts: Mapping | None = None,
+    counts: dict | None = None,
+    watches: Sequence[Watch] = (),
 ) -> DataFrame:
     """Silver -> warehouse -> checks -> gate, recorded in the run ledger."""
     def body(key: int) -> DataFrame:
-        _load(spark, silver_builder(), root, run_time, key, counts)
+        _load(spark, silver_builder(), root, run_time, key, counts, watches)
         return _checked(spark, root, run_time, key, gate)
 
     return _recorded(spark, root, "complete_energy_operations", run_key, body)
 
 
 def _load(spark: SparkSession, silver: Mapping[str, DataFrame], root: str, run_time: str, run_key: int,
-          counts: Mapping | None) -> WarehouseStore:
+          counts: dict | None, watches: Sequence[Watch]) -> WarehouseStore:
     """Write Silver, store the observed row counts, load the warehouse."""
     store = WarehouseStore(spark, os.path.join(root, "warehouse"))
-    stored = write_silver_frames(spark, silver, root)
+    stored = write_silver_frames(spark, silver, root, counts, watches)
     if counts:
         rows = [(run_key, name, int(before.get["rows"]), int(after.get["rows"]), rows_removed(before, after))
                 for name, (before, after) in counts.items()]
@@ -417,7 +473,7 @@ def _checked(spark: SparkSession, root: str, run_time: str, run_key: int, gate:
     staged = os.path.join(checkpoint_dir(spark), f"checks-{uuid.uuid4().hex}")
     L.quality_rows(rows).write.mode("overwrite").parquet(staged)
     spark.read.parquet(staged).write.mode("append").parquet(log)
-    store._delete(staged)
+    files.delete(spark, staged)
     stored = spark.read.parquet(log).where(F.col("pipeline_run_key") == run_key)
     if gate:
         Q.gate(stored)

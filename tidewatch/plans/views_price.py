@@ -22,9 +22,17 @@ def round_avg(c: str, decimals: int) -> Column:
     return F.round(total / n, decimals)
 
 
-def _price_star(t: Tables) -> DataFrame:
-    """Price fact joined to time and product."""
-    f = t["fact_oil_price"]
+def newest_slice(fact: DataFrame, part: str) -> DataFrame:
+    """Rows of a stored fact's newest partition: its value is a scalar subquery on the
+    partition column, so the scan lists that partition alone. Other frames stay whole."""
+    if part not in fact.columns:
+        return fact
+    return fact.where(F.col(part) == fact.agg(F.max(part)).scalar())
+
+
+def _price_star(t: Tables, newest: bool = False) -> DataFrame:
+    """Price fact, or its newest slice, joined to time and product."""
+    f = newest_slice(t["fact_oil_price"], "price_month") if newest else t["fact_oil_price"]
     time = t["dim_time"].select("time_key", "timestamp", "date", "hour", "month", "season")
     prod = t["dim_energy_product"].select(
         "product_key", "product_code", "product_name", "commodity_type", "default_unit"
@@ -111,14 +119,16 @@ def energy_price_summary(t: Tables) -> DataFrame:
 
 
 def latest_price_summary(t: Tables) -> DataFrame:
-    """Prices on the latest price date: AVG / MIN / MAX / COUNT."""
-    star = _price_star(t)
-    latest = star.agg(F.max("date").alias("date"))
-    return star.join(F.broadcast(latest), on="date", how="inner").groupBy(
+    """Prices on the latest price date: AVG / MIN / MAX / COUNT.
+
+    The newest month is read alone, and its days are aggregated once: the latest
+    of the (at most 31) rows is the result.
+    """
+    return _price_star(t, newest=True).groupBy(
         F.col("date").alias("energy_price_date")
     ).agg(
         avg_exact("price_usd").alias("average_energy_price_usd"),
         F.min("price_usd").alias("minimum_energy_price_usd"),
         F.max("price_usd").alias("maximum_energy_price_usd"),
         F.count(F.lit(1)).alias("energy_price_observations"),
-    )
+    ).orderBy(F.desc("energy_price_date")).limit(1)

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.scalars import change_percent
 from tidewatch.operators.dedupe import latest_per_group
+from tidewatch.plans.views_price import newest_slice
 
 Tables = Mapping[str, DataFrame]
 
 
-def _rig_star(t: Tables) -> DataFrame:
-    """Rig fact joined to time, country and classification."""
-    f = t["fact_rig_count"]
+def _rig_star(t: Tables, newest: bool = False) -> DataFrame:
+    """Rig fact, or its newest slice, joined to time, country and classification."""
+    f = newest_slice(t["fact_rig_count"], "rig_month") if newest else t["fact_rig_count"]
     time = t["dim_time"].select("time_key", "timestamp", "date", "month", "season")
     country = t["dim_country"].select("country_key", "country_name", "region")
     cls = t["dim_rig_classification"].select("rig_classification_key", "drilling_target", "location_type", "rig_status")
@@ -87,12 +88,11 @@ def rig_count_monthly_change(t: Tables) -> DataFrame:
 
 
 def latest_rig_summary(t: Tables) -> DataFrame:
-    """Total rigs and countries reporting on the latest rig date."""
-    star = _rig_star(t)
-    latest = star.agg(F.max("date").alias("date"))
-    return star.join(F.broadcast(latest), on="date", how="inner").groupBy(
+    """Total rigs and countries reporting on the latest rig date (A09); only the
+    newest month is read."""
+    return _rig_star(t, newest=True).groupBy(
         F.col("date").alias("rig_count_date")
     ).agg(
         F.sum("rig_count").alias("total_rig_count"),
         F.count_distinct("country_key").alias("countries_reporting"),
-    )
+    ).orderBy(F.desc("rig_count_date")).limit(1)

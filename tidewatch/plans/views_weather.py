@@ -86,12 +86,15 @@ def offshore_operational_forecast(t: Tables) -> DataFrame:
 def latest_runs(t: Tables) -> DataFrame:
     """Each asset's latest forecast run (J11): one small row per asset.
 
-    Computed on the weather fact (combined map-side), restricted to assets
-    that the view's inner joins keep, so it equals the maximum over the
-    view rows.
+    Restricted to assets that the view's inner joins keep, so it equals the
+    maximum over the view rows. A stored warehouse keeps the runs in a table
+    of its own, merged with each batch at load, so no fact history is read;
+    otherwise they are computed on the weather fact (combined map-side).
     """
     a = t["dim_asset"].select("asset_key", "location_key")
     known = a.join(t["dim_location"].select("location_key"), on="location_key", how="left_semi").select("asset_key")
+    if "agg_latest_run" in t:
+        return t["agg_latest_run"].join(known, on="asset_key", how="left_semi").select("asset_key", "forecast_reference_time")
     return (
         t["fact_weather_forecast"]
         .join(known, on="asset_key", how="left_semi")

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewatch import schemas as S
 from tidewatch.functions import scalars as X
-from tidewatch.operators.contracts import assert_keys_resolve
+from tidewatch.operators.contracts import Watch, assert_keys_resolve, watch_keys
 from tidewatch.operators.dedupe import keep_first, keep_last
 from tidewatch.operators.upsert import align_schema, empty_like, insert_ignore, surrogate_key, upsert
 
@@ -169,6 +169,18 @@ def _measure_cols(measures) -> list[Column]:
     return [F.col(n).cast(t).alias(n) for n, t in measures]
 
 
+def _resolved(df: DataFrame, dim: DataFrame | None, on, what: str, watches: list[Watch] | None, dim_on=None) -> DataFrame:
+    """``df`` with its keys checked against ``dim`` (J07): by a probe now, or, with
+    ``watches``, counted while the load runs."""
+    if dim is None:
+        return df
+    if watches is None:
+        return assert_keys_resolve(df, dim, on, what, dim_on)
+    df, watch = watch_keys(df, dim, on, what, dim_on)
+    watches.append(watch)
+    return df
+
+
 def forecast_fact_rows(silver: DataFrame, measures, key_name: str, run_time: str) -> DataFrame:
     """Silver forecast rows -> fact rows with surrogate keys."""
     rows = silver.dropna(subset=["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
@@ -191,11 +203,13 @@ def load_forecast_fact(
     run_time: str,
     assets: DataFrame | None = None,
     times: DataFrame | None = None,
+    watches: list[Watch] | None = None,
 ) -> DataFrame:
     """Upsert weather / marine / risk fact rows by (asset, run, hour, source).
 
     With ``assets`` / ``times`` given, every asset id and hour must exist in
-    the dimension or the load fails naming up to five of them (J07).
+    the dimension or the load fails naming up to five of them (J07); with
+    ``watches`` the contract is counted by the load itself.
     """
     schema = S.TABLES[table][0]
     measures = {
@@ -204,10 +218,8 @@ def load_forecast_fact(
         "fact_operational_weather_risk": S.RISK_COLUMNS,
     }[table]
     key_name = schema.fields[0].name
-    if assets is not None:
-        assert_keys_resolve(silver, assets, "asset_id", "asset_key")
-    if times is not None:
-        assert_keys_resolve(silver.select(F.col("forecast_valid_time").alias("timestamp")), times, "timestamp", "time_key")
+    silver = _resolved(silver, assets, "asset_id", "asset_key", watches)
+    silver = _resolved(silver, times, "forecast_valid_time", "time_key", watches, ["timestamp"])
     rows = align_schema(forecast_fact_rows(silver, measures, key_name, run_time), schema)
     return upsert(target, rows, S.FORECAST_GRAIN, S.UPDATE_COLUMNS[table])
 
@@ -236,12 +248,11 @@ def price_fact_input(price: DataFrame, deduplicated: bool = False) -> DataFrame:
 def load_fact_oil_price(
     target: DataFrame, price: DataFrame, run_time: str,
     products: DataFrame | None = None, times: DataFrame | None = None, deduplicated: bool = False,
+    watches: list[Watch] | None = None,
 ) -> DataFrame:
     src = price_fact_input(price, deduplicated)
-    if products is not None:
-        assert_keys_resolve(src, products, "product_code", "product_key")
-    if times is not None:
-        assert_keys_resolve(src, times, "timestamp", "time_key")
+    src = _resolved(src, products, "product_code", "product_key", watches)
+    src = _resolved(src, times, "timestamp", "time_key", watches)
     rows = src.select(
         surrogate_key("timestamp", "product_code", "source", "series").alias("oil_price_key"),
         surrogate_key("timestamp").alias("time_key"),
@@ -276,15 +287,12 @@ def rig_fact_input(rig: DataFrame, deduplicated: bool = False) -> DataFrame:
 def load_fact_rig_count(
     target: DataFrame, rig: DataFrame, run_time: str,
     countries: DataFrame | None = None, classes: DataFrame | None = None, times: DataFrame | None = None,
-    deduplicated: bool = False,
+    deduplicated: bool = False, watches: list[Watch] | None = None,
 ) -> DataFrame:
     src = rig_fact_input(rig, deduplicated)
-    if countries is not None:
-        assert_keys_resolve(src, countries, "country_name", "country_key")
-    if classes is not None:
-        assert_keys_resolve(src, classes, CLASS_COLUMNS, "rig_classification_key")
-    if times is not None:
-        assert_keys_resolve(src.select(F.col("observation_date").alias("timestamp")), times, "timestamp", "time_key")
+    src = _resolved(src, countries, "country_name", "country_key", watches)
+    src = _resolved(src, classes, CLASS_COLUMNS, "rig_classification_key", watches)
+    src = _resolved(src, times, "observation_date", "time_key", watches, ["timestamp"])
     rows = src.select(
         surrogate_key("observation_date", "country_name", *CLASS_COLUMNS, "source").alias("rig_count_key"),
         surrogate_key("observation_date").alias("time_key"),
@@ -298,6 +306,15 @@ def load_fact_rig_count(
     return upsert(target, rows, S.TABLES["fact_rig_count"][1], S.UPDATE_COLUMNS["fact_rig_count"])
 
 
+def merge_latest_runs(current: DataFrame, silver: DataFrame) -> DataFrame:
+    """Each asset's latest forecast run after a batch: the stored maximum and the
+    batch's (J11). Loads never remove a run, so a maximum stays one."""
+    batch = silver.dropna(subset=["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
+        surrogate_key("asset_id").alias("asset_key"), "forecast_reference_time")
+    return current.select(*batch.columns).unionByName(batch).groupBy("asset_key").agg(
+        F.max("forecast_reference_time").alias("forecast_reference_time"))
+
+
 def simple_weather_fact(clean: DataFrame, locations: DataFrame, times: DataFrame) -> DataFrame:
     """Older path: keys looked up with a left join, misses stay NULL."""
     return (

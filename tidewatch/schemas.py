@@ -112,6 +112,8 @@ TABLES = {
     "fact_pipeline_run": (FACT_PIPELINE_RUN, ["pipeline_run_key"]),
     "fact_data_quality_check": (FACT_DATA_QUALITY_CHECK, ["quality_check_key"]),
 }
+# Tables that loads maintain beside the star schema, to spare views a scan of a whole fact.
+DERIVED = {"agg_latest_run": (_schema(("asset_key", LONG), ("forecast_reference_time", TS)), ["asset_key"])}
 REQUIRED_TABLES = [
     "dim_location", "dim_time", "dim_asset", "dim_energy_product", "dim_country",
     "dim_rig_classification", "fact_weather_forecast", "fact_marine_forecast",

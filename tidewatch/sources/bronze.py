@@ -8,19 +8,24 @@ file, position in an array) for keep-last semantics.
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+import uuid
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions import scalars as X
-from tidewatch.operators.contracts import ContractError, assert_hourly_arrays, require_columns
+from tidewatch.operators.contracts import (
+    ContractError, Watch, assert_hourly_arrays, hourly_array_problems, require_columns, require_non_empty,
+)
+from tidewatch.operators.metrics import observe_rows
 
 STR, DBL, INT = T.StringType(), T.DoubleType(), T.IntegerType()
 
 # ------------------------------------------------------------ asset registry
 
+# Names of the delivered files.
 REGISTRY_COLUMNS = [
     "asset_id", "asset_name", "asset_type", "operator_name", "location_id", "location_name", "country",
     "latitude", "longitude", "max_wind_kmh", "max_gust_kmh", "max_wave_height_m", "minimum_visibility_m",
@@ -64,6 +69,7 @@ def strict_asset_registry(registry: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------ forecast JSON
 
+# Names of the delivered files.
 ATMOSPHERIC_ARRAYS = [
     "temperature_2m", "relative_humidity_2m", "precipitation", "pressure_msl", "wind_speed_10m",
     "wind_direction_10m", "wind_gusts_10m", "visibility", "weather_code",
@@ -168,6 +174,21 @@ def read_forecast_hours(spark: SparkSession, path: str, dataset: str, arrays: Se
     return explode_hourly(forecast_assets(docs, dataset, arrays), arrays)
 
 
+def watched_forecast_hours(docs: DataFrame, dataset: str, arrays: Sequence[str]) -> tuple[DataFrame, list[Watch]]:
+    """Hourly rows of opened documents; their contracts (S03, F07) are counted by
+    whatever writes the rows, so the documents are parsed once."""
+    of_docs, of_assets = Observation(), Observation()
+    wrong = (F.col("dataset") != dataset) | F.col("dataset").isNull() | F.col("assets").isNull() | (F.size("assets") == 0)
+    watched = docs.observe(of_docs, F.count_if(wrong).alias("documents"))
+    assets = forecast_assets(watched, dataset, arrays, validate=False)
+    assets = assets.observe(of_assets, F.count_if(F.size(hourly_array_problems(["time", *arrays])) > 0).alias("assets"))
+
+    def explain() -> None:
+        forecast_assets(docs, dataset, arrays)
+
+    return explode_hourly(assets, arrays), [Watch(of_docs, explain), Watch(of_assets, explain)]
+
+
 def attach_by_position(responses: DataFrame, assets: DataFrame) -> DataFrame:
     """Join API responses to the assets they were requested for by position.
 
@@ -183,6 +204,7 @@ def attach_by_position(responses: DataFrame, assets: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------- price JSON
 
+# Names of the delivered files.
 PRICE_FIELDS = ["period", "product", "product-name", "value", "series", "units",
                 "duoarea", "area-name", "process", "process-name", "series-description"]
 
@@ -201,10 +223,13 @@ def read_price_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.posexplode("response.data").alias("pos", "rec"),
     )
-    if docs.isEmpty():
+    # one row whatever the feed's size: how many records, and which known keys they hold
+    keys = F.json_object_keys("rec")
+    seen = docs.agg(F.count(F.lit(1)).alias("n"), *[
+        F.bool_or(F.array_contains(keys, f)).alias(f) for f in PRICE_FIELDS]).collect()[0]
+    if not seen["n"]:
         raise ContractError("price file holds no records under response.data")
-    present = {r[0] for r in docs.select(F.explode(F.json_object_keys("rec"))).distinct().collect()}
-    fields = [f for f in PRICE_FIELDS if f in present]
+    fields = [f for f in PRICE_FIELDS if seen[f]]
     parsed = F.from_json("rec", T.StructType([T.StructField(f, STR) for f in fields]))
     return docs.select(
         *[parsed.getField(f).alias(f) for f in fields],
@@ -214,6 +239,7 @@ def read_price_records(spark: SparkSession, path: str) -> DataFrame:
 
 # -------------------------------------------------- single-location forecast
 
+# Names of the delivered files.
 SIMPLE_ARRAYS = ["temperature_2m", "relative_humidity_2m", "wind_speed_10m"]
 
 
@@ -233,6 +259,7 @@ def read_simple_weather(spark: SparkSession, path: str) -> DataFrame:
 
 # -------------------------------------------------------------- rig sheet CSV
 
+# Names of the delivered files.
 RIG_HEADER = ["Region", "Country", "DrillFor", "Location", "Rig Status", "Year", "Month", "Rig Count Value"]
 
 
@@ -240,26 +267,23 @@ def read_rig_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Rig-count sheet exported as CSV: preamble lines, then a header row.
 
     Spark's CSV reader has no skip-rows option, so lines are read
-    positionally as text, the header row is located by a one-row probe (its
-    line says how many columns there are),
-    and columns are taken by header name.  Preamble lines and the header
-    itself fail the Year coercion in the Silver job.
+    positionally as text, and a one-row probe finds the header row: the first
+    line that has a *cell* equal to the value column's name (a title in the
+    preamble may hold that name among other words). Its cells give the number
+    and the names of the columns. Preamble lines and the header itself fail
+    the Year coercion in the Silver job.
     """
-    line = spark.read.text(path).where(F.col("value").contains(RIG_HEADER[-1])).limit(1).collect()
+    cells = F.regexp_extract_all("value", F.lit(r'("(?:[^"]++|"")*+"|[^,]*+)(?:,|$)'), F.lit(1))
+    is_header = F.exists(cells, lambda c: X.trim_all(F.regexp_replace(c, r'^\s*"|"\s*$', "")) == RIG_HEADER[-1])
+    line = spark.read.text(path).where(is_header).limit(1).collect()
     if not line:
         raise ContractError("rig sheet: header row not found")
-    columns = len(next(csv.reader([line[0]["value"]])))
-    schema = T.StructType([T.StructField(f"_c{i}", STR) for i in range(columns)])
+    header = [c.strip() for c in next(csv.reader([line[0]["value"]], skipinitialspace=True))]
+    schema = T.StructType([T.StructField(f"_c{i}", STR) for i in range(len(header))])
     raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
     raw = raw.select("*", F.col("_metadata.file_name").alias("source_file"),
                      F.monotonically_increasing_id().alias("line_order"))
-    is_header = F.lit(False)
-    for i in range(columns):
-        is_header = is_header | (X.trim_all(F.col(f"_c{i}")) == "Rig Count Value")
-    header = raw.where(is_header).limit(1).collect()
-    if not header:
-        raise ContractError("rig sheet: header row not found")
-    names = {header[0][f"_c{i}"].strip(): i for i in range(columns) if header[0][f"_c{i}"] is not None}
+    names = {name: i for i, name in enumerate(header)}
     missing = sorted(set(RIG_HEADER) - set(names))
     if missing:
         raise ContractError("Missing required source columns: " + ", ".join(missing))
@@ -318,19 +342,56 @@ def write_bronze_json(df: DataFrame, root: str, ingest_time_col: str = "ingestio
        .write.mode("append").partitionBy("ingest_date").json(root))
 
 
-def write_silver(df: DataFrame, path: str, sort_cols: Sequence[str] = (), partition_by: Sequence[str] = ()) -> None:
-    """Overwrite a Silver table (K03); clustered by ``sort_cols`` within files.
+def write_silver(
+    df: DataFrame, path: str, sort_cols: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> Observation:
+    """Overwrite a Silver table (K03), range partitioned and sorted by ``sort_cols`` (T01):
+    files do not overlap in them, so a reader of one asset opens few files. Returns the
+    observed number of ``rows`` written (F09), counted after the range partitioning,
+    whose sampling reads its input a second time.
 
     With ``partition_by`` and dynamic partition overwrite, only the
     partitions present in ``df`` are replaced.
     """
-    out = df.sortWithinPartitions(*sort_cols) if sort_cols else df
+    out = df.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols) if sort_cols else df
+    out, seen = observe_rows(out, f"written-{uuid.uuid4().hex}")
     writer = out.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-
-
-def read_silver(spark: SparkSession, path: str, required: Sequence[str], what: str) -> DataFrame:
-    """Silver Parquet with its column contract."""
-    return require_columns(spark.read.parquet(path), required, what)
+    return seen
+
+
+# Key columns that a stored Silver table must have and fill, by type.
+_FORECAST_KEYS = {"asset_id": "text", "forecast_reference_time": "time", "forecast_valid_time": "time"}
+SILVER_CONTRACTS = {
+    "atmospheric": _FORECAST_KEYS,
+    "marine": _FORECAST_KEYS,
+    "risk": _FORECAST_KEYS,
+    "price": {"timestamp": "time", "product_code": "text", "price_usd": "number"},
+    "rig": {"observation_date": "time", "country": "text", "rig_count": "number"},
+}
+
+
+def silver_contract(df: DataFrame, keys: Mapping[str, str], what: str) -> DataFrame:
+    """Key columns present (else an error naming the missing), coerced and trimmed
+    again; rows without all of them are dropped (S08). Plan only, no job."""
+    require_columns(df, list(keys), what)
+    coerced = {
+        "text": lambda c: X.trim_all(F.col(c).cast("string")),
+        "time": lambda c: F.col(c) if isinstance(df.schema[c].dataType, T.TimestampNTZType) else X.to_utc_timestamp_ntz(F.col(c)),
+        "number": lambda c: X.to_number(F.col(c), numeric_input=isinstance(df.schema[c].dataType, T.NumericType)),
+    }
+    out = df.select(*[coerced[keys[c]](c).alias(c) if c in keys else F.col(f"`{c}`") for c in df.columns])
+    return out.dropna(subset=list(keys))
+
+
+def read_silver(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A stored Silver table under its contract (S08, S13), as every loader reads it;
+    an error if it has no row, or none with all keys."""
+    stored = spark.read.parquet(path)
+    rows = silver_contract(stored, SILVER_CONTRACTS[name], f"{name} Silver")
+    if rows.isEmpty():
+        require_non_empty(stored, f"{name} Silver is empty.")
+        raise ContractError(f"{name} Silver contains no valid rows.")
+    return rows

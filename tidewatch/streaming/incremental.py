@@ -15,13 +15,16 @@ micro-batch runs the same Silver job and the same fact load.
 from __future__ import annotations
 
 import os
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from tidewatch.operators.contracts import Watch
 from tidewatch.plans import warehouse as W
 from tidewatch.plans.runs import WarehouseStore
 from tidewatch.plans.silver import silver_atmospheric, silver_marine
 from tidewatch.session import checkpoint_dir
-from tidewatch.sources import bronze
+from tidewatch.sources import bronze, files
 
 DATASETS = {
     "atmospheric_forecast": ("fact_weather_forecast", bronze.ATMOSPHERIC_ARRAYS, silver_atmospheric),
@@ -47,18 +50,36 @@ def forecast_stream(spark: SparkSession, landing_dir: str, dataset: str, max_fil
 
 def load_batch(
     spark: SparkSession, docs: DataFrame, store: WarehouseStore, dataset: str, run_time: str,
-    validate_assets: bool = False,
 ) -> None:
-    """One micro-batch: contracts, explode, Silver job, upsert of the touched runs."""
+    """One micro-batch: the Silver job is written once, counting the document
+    contracts; the hours it brings enter ``dim_time``, then the touched runs are
+    upserted. In a warehouse that has its assets, an unknown one stops the batch (J07)."""
     table, arrays, silver_job = DATASETS[dataset]
-    assets = bronze.forecast_assets(docs, dataset, arrays)
-    silver = silver_job(bronze.explode_hourly(assets, arrays))
+    hours, contracts = bronze.watched_forecast_hours(docs, dataset, arrays)
+    stored = store.path(f"incoming-{uuid.uuid4().hex}")
+    try:
+        bronze.write_silver(silver_job(hours), stored, ["asset_id", "forecast_valid_time"])
+        for contract in contracts:
+            contract.check()
+        _load_stored(spark.read.parquet(stored), store, table, run_time)
+    finally:
+        files.delete(spark, stored)
+
+
+def _load_stored(silver: DataFrame, store: WarehouseStore, table: str, run_time: str) -> None:
+    store.recover()
+    stamps = silver.select(W.F.col("forecast_valid_time").alias("timestamp"))
+    store.replace_all({"dim_time": W.load_dim_time(store.read("dim_time"), stamps, run_time)})
     measures = W.S.WEATHER_MEASURES if table == "fact_weather_forecast" else W.S.MARINE_MEASURES
     key = W.S.TABLES[table][0].fields[0].name
     runs = W.forecast_fact_rows(silver, measures, key, run_time).selectExpr("to_date(forecast_reference_time) AS run_date")
     current = store.touched_slice(table, runs)
-    dims = store.read("dim_asset") if validate_assets and store.exists("dim_asset") else None
-    store.replace_all({table: W.load_forecast_fact(current, silver, table, run_time, dims)})
+    assets = store.read("dim_asset") if store.exists("dim_asset") else None
+    watches: list[Watch] = []
+    frames = {table: W.load_forecast_fact(current, silver, table, run_time, assets, store.read("dim_time"), watches)}
+    if table == "fact_weather_forecast":
+        frames["agg_latest_run"] = W.merge_latest_runs(store.latest_runs(), silver)
+    store.replace_all(frames, watches)
 
 
 def run_available(
@@ -75,8 +96,7 @@ def run_available(
     ckpt = checkpoint or os.path.join(checkpoint_dir(spark), f"stream-{dataset}")
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        if not batch.isEmpty():
-            load_batch(spark, batch, store, dataset, run_time)
+        load_batch(spark, batch, store, dataset, run_time)
 
     query = (
         forecast_stream(spark, landing_dir, dataset, max_files)
