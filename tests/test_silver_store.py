@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tests.test_sources import write
+from tests.test_sources import asset, doc, write
 from tidewatch.operators.contracts import ContractError
 from tidewatch.plans import build, runs, views_price as VP, views_rig as VR
 from tidewatch.sources import bronze
@@ -60,3 +60,36 @@ def test_latest_summaries_read_the_newest_partition_only(spark, tmp):
         assert list(map(tuple, df.collect())) == list(map(tuple, view(store.tables(keep_partition=False)).collect()))
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert re.search(rf"PartitionFilters: \[[^\]]*{part}#\d+ = Subquery", plan)
+
+
+def test_a_landed_document_is_parsed_by_many_tasks(spark, tmp):
+    import json
+
+    times = ["2024-01-01T08:00", "2024-01-01T09:00"]
+    entries = [asset(i, times) for i in range(2_000)]
+    write(f"{tmp}/f.json", doc(entries, ingestion="2024-01-01T07:30:00Z"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # a few MB would become one file
+    folder = bronze.land_entries(spark, f"{tmp}/f.json", f"{tmp}/bronze", "assets", "2024-01-01 12:00:00")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert "ingest_date=2024-01-01" in folder
+    lines = bronze.read_landed(spark, folder)
+    assert lines.rdd.getNumPartitions() > 1 and lines.count() == 2_000
+    rows, watches = bronze.landed_forecast_hours(lines, "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS)
+    rows.write.format("noop").mode("overwrite").save()
+    for watch in watches:
+        watch.check()
+    plain = bronze.read_forecast_hours(spark, f"{tmp}/f.json", "atmospheric_forecast", bronze.ATMOSPHERIC_ARRAYS)
+    assert rows.columns == plain.columns and rows.exceptAll(plain).isEmpty() and rows.count() == plain.count()
+    rows, watches = bronze.landed_forecast_hours(lines, "marine_forecast", bronze.ATMOSPHERIC_ARRAYS)
+    rows.write.format("noop").mode("overwrite").save()
+    with pytest.raises(ContractError, match="expected dataset 'marine_forecast'"):
+        watches[0].check()
+    records = [{"period": "2024-01-02", "product": "P", "value": str(i), "series": f"S{i}"} for i in range(300)]
+    write(f"{tmp}/p.json", json.dumps({"response": {"data": records}}))
+    folder = bronze.land_entries(spark, f"{tmp}/p.json", f"{tmp}/bronze", "response.data", "2024-01-01 12:00:00")
+    landed, read = bronze.landed_price_records(bronze.read_landed(spark, folder)), bronze.read_price_records(spark, f"{tmp}/p.json")
+    assert landed.columns == read.columns and landed.exceptAll(read).isEmpty() and landed.count() == 300
+    write(f"{tmp}/none.json", json.dumps({"response": {"data": []}}))
+    folder = bronze.land_entries(spark, f"{tmp}/none.json", f"{tmp}/bronze", "response.data", "2024-01-01 12:00:00")
+    with pytest.raises(ContractError, match="no records"):
+        bronze.landed_price_records(bronze.read_landed(spark, folder))

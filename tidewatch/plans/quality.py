@@ -112,6 +112,51 @@ def required_objects(spark: SparkSession, existing_tables: Sequence[str], existi
     return _union(frames)
 
 
+# table -> (prefix of its counters, rules counted on its rows)
+PARTITIONED = {
+    "fact_weather_forecast": ("atmospheric", {"humidity": lambda: ~F.col("relative_humidity_pct").between(0, 100),
+                                              "visibility": lambda: F.col("visibility_m") < 0}),
+    "fact_marine_forecast": ("marine", {"wave": lambda: F.col("wave_height_m") < 0}),
+    "fact_operational_weather_risk": ("risk", {"levels": lambda: ~F.col("overall_risk_level").isin(*LEVELS)}),
+    "fact_rig_count": ("rig", {}),
+    "fact_oil_price": ("price", {}),
+}
+
+
+def partition_counters(fact: DataFrame, table: str, part: str) -> DataFrame:
+    """Rows of ``agg_fact_partition`` for the partitions in ``fact``: rows, duplicate
+    grain groups (a partition is a function of the grain, so groups lie within one),
+    the partition's latest run with its rows, and rows that break a rule."""
+    schema, grain = S.DERIVED["agg_fact_partition"][0], S.TABLES[table][1]
+    rules = {name: rule() for name, rule in PARTITIONED[table][1].items()}
+    run = "forecast_reference_time" if "forecast_reference_time" in fact.columns else None
+    at = F.col(run) if run else F.lit(None).cast("timestamp_ntz")
+    groups = fact.groupBy(part, *grain).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(cond).alias(name) for name, cond in rules.items()])
+    runs = groups.groupBy(F.col(part).cast("string").alias("part"), at.alias("run")).agg(
+        F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("duplicates"), *[F.sum(name).alias(name) for name in rules])
+    parts = runs.groupBy("part").agg(
+        F.sum("n").alias("n"), F.sum("duplicates").alias("duplicates"), F.max("run").alias("latest_run"),
+        F.max_by("n", "run").alias("latest_n"), *[F.sum(name).alias(name) for name in rules])
+    return parts.select(*[
+        (F.lit(table) if f.name == "table_name" else F.col(f.name) if f.name in parts.columns else F.lit(None))
+        .cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def _stored_counters(counters: DataFrame) -> DataFrame:
+    """The counters of checks 3-19 that ``table_metrics`` takes from the facts' rows, one row."""
+    def of(table: str, column: str) -> Column:
+        return F.when(F.col("table_name") == table, F.col(column))
+
+    named = []
+    for table, (prefix, rules) in PARTITIONED.items():
+        named += [F.sum(of(table, "n")).alias(prefix), *[F.sum(of(table, name)).alias(name) for name in rules]]
+        if prefix in ("atmospheric", "marine", "risk"):
+            named += [F.max_by(of(table, "latest_n"), of(table, "latest_run")).alias(f"{prefix}_latest"),
+                      F.sum(of(table, "duplicates")).alias(f"dup_{prefix}")]
+    return counters.agg(*named)
+
+
 def _forecast_metrics(fact: DataFrame, prefix: str, **bad: Column) -> DataFrame:
     """Rows, rows of the latest run and rows that break a rule: counted per
     run, then folded to one row, in one scan."""
@@ -123,8 +168,21 @@ def _forecast_metrics(fact: DataFrame, prefix: str, **bad: Column) -> DataFrame:
 
 
 def table_metrics(t: Tables) -> list[DataFrame]:
-    """Counters behind checks 3-19, each frame one row."""
+    """Counters behind checks 3-19, each frame one row. A stored warehouse keeps the
+    counters of its partitions, so its history is not counted again; the references
+    are read from the facts in either case."""
     assets, locations = t["dim_asset"], t["dim_location"].select("location_key")
+    frames = [_stored_counters(t["agg_fact_partition"])] if "agg_fact_partition" in t else _fact_counters(t)
+    frames.append(_count(assets.where(F.col("is_active")).select("location_key")
+                         .join(locations, on="location_key", how="left_anti"), "asset_locations"))
+    for check, table in [("orphan_weather", "fact_weather_forecast"), ("orphan_marine", "fact_marine_forecast")]:
+        keys = t[table].groupBy("asset_key").count()  # J10: one row per key meets the dimension
+        frames.append(keys.join(assets.select("asset_key"), on="asset_key", how="left_anti").agg(F.sum("count").alias(check)))
+    return frames
+
+
+def _fact_counters(t: Tables) -> list[DataFrame]:
+    """Row, grain and rule counters straight from the facts."""
     frames = [
         _forecast_metrics(t["fact_weather_forecast"], "atmospheric",
                           humidity=~F.col("relative_humidity_pct").between(0, 100),
@@ -133,8 +191,6 @@ def table_metrics(t: Tables) -> list[DataFrame]:
         _forecast_metrics(t["fact_operational_weather_risk"], "risk", levels=~F.col("overall_risk_level").isin(*LEVELS)),
         _count(t["fact_rig_count"], "rig"),
         _count(t["fact_oil_price"], "price"),
-        _count(assets.where(F.col("is_active")).select("location_key")
-               .join(locations, on="location_key", how="left_anti"), "asset_locations"),
     ]
     for check, table in [  # A12
         ("dup_atmospheric", "fact_weather_forecast"),
@@ -142,9 +198,6 @@ def table_metrics(t: Tables) -> list[DataFrame]:
         ("dup_risk", "fact_operational_weather_risk"),
     ]:
         frames.append(_count(duplicate_keys(t[table], S.FORECAST_GRAIN), check))
-    for check, table in [("orphan_weather", "fact_weather_forecast"), ("orphan_marine", "fact_marine_forecast")]:
-        keys = t[table].groupBy("asset_key").count()  # J10: one row per key meets the dimension
-        frames.append(keys.join(assets.select("asset_key"), on="asset_key", how="left_anti").agg(F.sum("count").alias(check)))
     return frames
 
 

@@ -205,6 +205,10 @@ class WarehouseStore:
                 self.stage(name, df, batch)
             for watch in watches:
                 watch.check()
+            facts = [n for n in frames if n in LAYOUT]
+            if facts:
+                frames = {**frames, "agg_fact_partition": self._counted(facts, batch)}
+                self.stage("agg_fact_partition", frames["agg_fact_partition"], batch)
         except Exception:
             files.delete(self.spark, self._staged(batch))
             raise
@@ -213,6 +217,21 @@ class WarehouseStore:
             self.publish(batch, name)
         files.delete(self.spark, self._staged(batch))
 
+    def _counted(self, facts: Sequence[str], batch: str) -> DataFrame:
+        """Next state of the partition counters: those of the staged partitions are
+        counted, the others kept. A warehouse loaded before they were kept is counted whole, once."""
+        name, keys = "agg_fact_partition", S.DERIVED["agg_fact_partition"][1]
+        new = empty_like(self.spark, S.DERIVED[name][0])
+        for fact in facts:
+            if any(n.startswith(LAYOUT[fact][0] + "=") for n in files.names(self.spark, self._staged(batch, fact))):
+                staged = self.spark.read.parquet(self._staged(batch, fact))
+                new = new.unionByName(Q.partition_counters(staged, fact, LAYOUT[fact][0]))
+        old = self.read(name)
+        if not self.exists(name):
+            for fact in [n for n in LAYOUT if self.exists(n)]:
+                old = old.unionByName(Q.partition_counters(self.read(fact, keep_partition=True), fact, LAYOUT[fact][0]))
+        return old.join(new.select(*keys), on=keys, how="left_anti").select(*old.columns).unionByName(new)
+
     def append(self, name: str, df: DataFrame) -> None:
         df.write.mode("append").parquet(self.path(name))
 
@@ -324,12 +343,15 @@ def landed_silver(
     rig_dir: str | None = None,
     counts: dict | None = None,
     watches: list[Watch] | None = None,
+    bronze_root: str | None = None,
 ) -> build.Lazy:
     """Silver frames of the sources given: the newest non-empty file of each
     (S07), read with the Bronze readers and run through the Silver jobs; risk
     is rebuilt from the stored Silver by ``write_silver_frames``. ``counts``
     receives the observed rows into the price and rig jobs (F09); with ``watches`` the
-    document contracts are counted by the write instead of probes before it."""
+    document contracts are counted by the write instead of probes before it. With
+    ``bronze_root`` forecast and price documents are first landed there, an asset or record to
+    a line (K01), and read from those lines by as many tasks as they fill."""
     def newest(folder: str, glob: str) -> str:
         return bronze.latest_file(spark, [folder], glob)
 
@@ -343,10 +365,21 @@ def landed_silver(
         path = newest(folder, "*.json")
         if watches is None:
             return bronze.read_forecast_hours(spark, path, dataset, arrays)
-        rows, seen = bronze.watched_forecast_hours(bronze.read_forecast_documents(spark, path, arrays), dataset, arrays)
+        if bronze_root is not None:
+            rows, seen = bronze.landed_forecast_hours(landed(path, dataset, "assets"), dataset, arrays)
+        else:
+            rows, seen = bronze.watched_forecast_hours(bronze.read_forecast_documents(spark, path, arrays), dataset, arrays)
         watches.extend(seen)
         return rows
 
+    def landed(path: str, name: str, array: str) -> DataFrame:
+        return bronze.read_landed(spark, bronze.land_entries(spark, path, os.path.join(bronze_root, name), array, run_time))
+
+    def prices(path: str) -> DataFrame:
+        if bronze_root is None:
+            return bronze.read_price_records(spark, path)
+        return bronze.landed_price_records(landed(path, "energy_prices", "response.data"))
+
     jobs = {
         "registry": (registry_csv, lambda: bronze.read_asset_registry(spark, registry_csv)),
         "atmospheric": (atmospheric_dir, lambda: SIL.silver_atmospheric(
@@ -354,7 +387,7 @@ def landed_silver(
         "marine": (marine_dir, lambda: SIL.silver_marine(
             hours(marine_dir, "marine_forecast", bronze.MARINE_ARRAYS))),
         "price": (price_dir, lambda: counted(
-            "price", bronze.read_price_records(spark, newest(price_dir, "*.json")), SIL.silver_price)),
+            "price", prices(newest(price_dir, "*.json")), SIL.silver_price)),
         "rig": (rig_dir, lambda: counted(
             "rig", bronze.read_rig_sheet(spark, newest(rig_dir, "*.csv")), lambda df: SIL.silver_rig(df, run_time))),
     }
@@ -376,7 +409,8 @@ def run_landed(
     """
     counts: dict = {}
     watches: list[Watch] = []
-    return run_silver(spark, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches), root, run_time,
+    return run_silver(spark, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches,
+                                                       bronze_root=os.path.join(root, "bronze")), root, run_time,
                       run_key, gate, counts, watches)
 
 
@@ -388,7 +422,8 @@ def run_landed_subject(
     ``landing`` names the subject's sources as in ``run_landed``."""
     counts: dict = {}
     watches: list[Watch] = []
-    return run_subject(spark, subject, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches), root,
+    return run_subject(spark, subject, lambda: landed_silver(spark, run_time, **landing, counts=counts, watches=watches,
+                                                       bronze_root=os.path.join(root, "bronze")), root,
                        run_time, run_key, counts, watches)
 
 

@@ -113,7 +113,13 @@ TABLES = {
     "fact_data_quality_check": (FACT_DATA_QUALITY_CHECK, ["quality_check_key"]),
 }
 # Tables that loads maintain beside the star schema, to spare views a scan of a whole fact.
-DERIVED = {"agg_latest_run": (_schema(("asset_key", LONG), ("forecast_reference_time", TS)), ["asset_key"])}
+DERIVED = {
+    "agg_latest_run": (_schema(("asset_key", LONG), ("forecast_reference_time", TS)), ["asset_key"]),
+    # counters of every stored partition of a fact; the checks add them up
+    "agg_fact_partition": (_schema(
+        ("table_name", STR), ("part", STR), ("n", LONG), ("duplicates", LONG), ("latest_run", TS), ("latest_n", LONG),
+        ("humidity", LONG), ("visibility", LONG), ("wave", LONG), ("levels", LONG)), ["table_name", "part"]),
+}
 REQUIRED_TABLES = [
     "dim_location", "dim_time", "dim_asset", "dim_energy_product", "dim_country",
     "dim_rig_classification", "fact_weather_forecast", "fact_marine_forecast",

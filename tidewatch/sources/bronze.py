@@ -174,6 +174,59 @@ def read_forecast_hours(spark: SparkSession, path: str, dataset: str, arrays: Se
     return explode_hourly(forecast_assets(docs, dataset, arrays), arrays)
 
 
+LANDED = "dataset string, ingestion_time string, source_file string, file_time timestamp, pos int, entry string"
+
+
+def land_entries(spark: SparkSession, path: str, root: str, array: str, ingest_time: str) -> str:
+    """Land one delivered JSON document in Bronze, an entry of its ``array`` (``assets`` or
+    ``response.data``) to a line (K01): a document is one task's work however large it is,
+    its lines split over tasks wherever they are read. Entries stay raw JSON text.
+
+    Lines go under the ingest date, one folder a delivery; the job commit publishes all
+    of a delivery or nothing. Returns the delivery's folder.
+    """
+    inner = T.ArrayType(STR)
+    for name in reversed(array.split(".")):
+        inner = T.StructType([T.StructField(name, inner)])
+    schema = T.StructType([T.StructField("dataset", STR), T.StructField("ingestion_time", STR), *inner.fields])
+    entries = spark.read.schema(schema).option("multiLine", True).json(path).select(
+        "dataset", "ingestion_time", F.col("_metadata.file_name").alias("source_file"),
+        F.col("_metadata.file_modification_time").alias("file_time"), F.posexplode_outer(array).alias("pos", "entry"))
+    day = spark.range(1).select(F.to_date(F.lit(ingest_time).cast("timestamp_ntz")).cast("string")).first()[0]
+    folder = f"{root}/ingest_date={day}/delivery={uuid.uuid4().hex}"
+    entries.repartition(F.col("pos")).write.json(folder)
+    return folder
+
+
+def read_landed(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of one landed delivery."""
+    return spark.read.schema(LANDED).json(folder)
+
+
+def landed_forecast_hours(landed: DataFrame, dataset: str, arrays: Sequence[str]) -> tuple[DataFrame, list[Watch]]:
+    """Hourly rows of a landed forecast delivery, every asset parsed from its own line;
+    the contracts (S03, F07) are counted by whatever writes the rows."""
+    of_lines, of_assets = Observation(), Observation()
+    wrong = (F.col("dataset") != dataset) | F.col("dataset").isNull() | F.col("entry").isNull()
+    entry_type = forecast_schema(arrays)["assets"].dataType.elementType
+
+    def assets_of(lines: DataFrame) -> DataFrame:
+        parsed = lines.withColumn("entry", F.from_json("entry", entry_type))
+        return parsed.select(
+            "source_file", "file_time", "ingestion_time", F.col("pos").alias("asset_pos"),
+            X.trim_all(F.col("entry.asset.asset_id")).alias("asset_id"), F.col("entry.asset").alias("asset"),
+            F.col("entry.api_response.hourly").alias("hourly"))
+
+    def explain() -> None:
+        if not landed.where(wrong).isEmpty():
+            raise ContractError(f"landed forecast: expected dataset '{dataset}' with a non-empty asset list")
+        assert_hourly_arrays(assets_of(landed), ["time", *arrays])
+
+    assets = assets_of(landed.observe(of_lines, F.count_if(wrong).alias("lines")))
+    assets = assets.observe(of_assets, F.count_if(F.size(hourly_array_problems(["time", *arrays])) > 0).alias("assets"))
+    return explode_hourly(assets, arrays), [Watch(of_lines, explain), Watch(of_assets, explain)]
+
+
 def watched_forecast_hours(docs: DataFrame, dataset: str, arrays: Sequence[str]) -> tuple[DataFrame, list[Watch]]:
     """Hourly rows of opened documents; their contracts (S03, F07) are counted by
     whatever writes the rows, so the documents are parsed once."""
@@ -223,6 +276,17 @@ def read_price_records(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.posexplode("response.data").alias("pos", "rec"),
     )
+    return price_records(docs)
+
+
+def landed_price_records(landed: DataFrame) -> DataFrame:
+    """Price records of a landed delivery, a record to a line."""
+    return price_records(landed.where(F.col("entry").isNotNull()).select(
+        "source_file", "file_time", "pos", F.col("entry").alias("rec")))
+
+
+def price_records(docs: DataFrame) -> DataFrame:
+    """Records (``rec``, raw JSON) with the known fields that the feed holds."""
     # one row whatever the feed's size: how many records, and which known keys they hold
     keys = F.json_object_keys("rec")
     seen = docs.agg(F.count(F.lit(1)).alias("n"), *[
