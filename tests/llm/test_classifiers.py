@@ -158,3 +158,22 @@ def test_vocabulary_grows_with_the_corpus(spark):
     around = np.tile(np.arange(6, dtype=np.int32), (many.side ** 2, 1))
     total = np.exp(masked_lm.log_probabilities(flat, around, np.arange(many.side ** 2))).sum()
     assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_long_texts_keep_the_signal_of_the_dictionaries():
+    """The same kind of text scores on the same side at 1 KB, 100 KB and 10 MB."""
+    import random
+
+    import zstandard
+
+    rng = random.Random(6)
+    kinds = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(4, 9))) for _ in range(1500)] for _ in range(2)]
+
+    def text(kind, size):
+        words = rng.choices(kinds[kind], k=size // 7)
+        return " ".join(words)
+
+    good, bad = (zstandard.train_dictionary(20_000, [text(k, 2000).encode() for _ in range(400)]).as_bytes() for k in (1, 0))
+    for size in (1_000, 100_000, 10_000_000):
+        per_byte = quality.measures(pa.array([text(1, size), text(0, size)]), good, bad)[:, 0]
+        assert per_byte[0] > 0.02 and per_byte[1] < -0.02, size
