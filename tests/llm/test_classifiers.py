@@ -177,3 +177,21 @@ def test_long_texts_keep_the_signal_of_the_dictionaries():
     for size in (1_000, 100_000, 10_000_000):
         per_byte = quality.measures(pa.array([text(1, size), text(0, size)]), good, bad)[:, 0]
         assert per_byte[0] > 0.02 and per_byte[1] < -0.02, size
+
+
+def test_pairs_of_terms_without_a_signal_of_their_own(spark):
+    """Label 1 holds exactly one of two words: neither word departs from independence."""
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for i in range(4000):
+        one, other = rng.random() < 0.5, rng.random() < 0.5
+        words = rng.choices([f"w{k}" for k in range(60)], k=8) + ["grum"] * one + ["velk"] * other
+        rng.shuffle(words)
+        rows.append((i, " ".join(words), int(one != other)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    known = frame.where("doc_id < 3000")
+    model = toxicity.train(known.select("doc_id", "text"), known.select("doc_id", "toxic"))
+    scored = toxicity.score(frame.where("doc_id >= 3000").select("doc_id", "text"), model).join(frame.select("doc_id", "toxic"), "doc_id")
+    assert np.mean([(r.score > 0.5) == bool(r.toxic) for r in scored.collect()]) > 0.95

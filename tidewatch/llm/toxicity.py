@@ -15,15 +15,18 @@ Training (all steps over Spark rows, the driver only sees bounded results):
    smallest hash of their id;
 2. term counts per label are summed by a Spark aggregation; the ``TERMS`` terms
    that depart most from independence (z over ``MIN_Z``, in at least ``MIN_DOCS``
-   rows) are kept;
+   rows) are kept, and the ``COMMON`` terms of most rows whatever their z: a pair
+   may tell the labels apart when neither of its terms does;
 3. every sampled row, reduced to kept terms, comes to the driver (at most
    SAMPLE rows of kept terms), where numpy fits w and V by Adagrad.
 
 Scoring reads whole texts in one pass and adds columns to the rows.
 
 Defined cases: null and empty texts, and texts with no kept term, get the score
-of the bias; with no labelled row, or labels of one kind, the model is the
-smoothed share of label 1; repeated rows get equal scores.
+of the bias; with no labelled row (as with empty tables), or labels of one kind, the model
+is the smoothed share of label 1; repeated rows get equal scores; a repeated label takes the
+larger; terms that tie are taken by bucket; texts of any length are read whole, a few MB
+at a time; only id and text are read, so no other column's name can clash.
 """
 
 from __future__ import annotations
@@ -41,7 +44,7 @@ from .text_arrays import BASE, Words, distinct_per_text, lowered, mix
 BITS = 20
 PREFIXES = (4, 5, 6, 7)
 SAMPLE = 20_000
-TERMS = 8192
+TERMS, COMMON = 8192, 1024
 MIN_Z = 4.0
 MIN_DOCS = 3
 SCALE = 5.0  # length of x
@@ -117,7 +120,7 @@ def _kept_terms(kept: np.ndarray):
     return run
 
 
-def fit_machine(rows: list[tuple[int, np.ndarray, np.ndarray]], n_terms: int, factors: int = 4, epochs: int = 5,
+def fit_machine(rows: list[tuple[int, np.ndarray, np.ndarray]], n_terms: int, factors: int = 4, epochs: int = 8,
                 rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> tuple[np.ndarray, np.ndarray, float]:
     """Adagrad over (label, terms, counts): w, V and the bias."""
     rng = np.random.default_rng(seed)
@@ -164,9 +167,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     share = (ones + 1) / (n + 2)
     both = F.col("ones") + F.col("zeros")
     z = F.abs(F.col("ones") - both * share) / F.sqrt(both * (share * (1 - share)))
-    top = (counts.where(both >= MIN_DOCS).withColumn("z", z).where(F.col("z") > MIN_Z)
-           .orderBy(F.desc("z"), "bucket").limit(TERMS).select("bucket").toPandas())
-    kept = np.sort(top["bucket"].to_numpy(np.int64))
+    able = counts.where(both >= MIN_DOCS).withColumn("z", z)
+    marked = able.where(F.col("z") > MIN_Z).orderBy(F.desc("z"), "bucket").limit(TERMS)
+    common = able.orderBy(F.desc(both), "bucket").limit(COMMON)
+    kept = np.unique(marked.select("bucket").unionByName(common.select("bucket")).toPandas()["bucket"].to_numpy(np.int64))
     if not len(kept) or ones in (0, n):
         return Model(np.zeros(0, np.int64), np.zeros(0), np.zeros((0, 1)), float(np.log(share / (1 - share))))
     data = rows.mapInArrow(_kept_terms(kept), "label int, term array<int>, n array<int>").toArrow()
