@@ -4,9 +4,17 @@ benchmark decontamination, packing.
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame. ``run`` writes each stage's rows as Parquet in the shared
 checkpoint folder and gives the next stage what it reads back, so no stage is
-computed twice and a lost executor costs only the running stage. All stages but
+computed twice and a lost executor costs only the running stage; a stage's rows are
+deleted once the next stage's are written. All stages but
 the last return the columns of ``documents``, rows unchanged; the last returns
 one row per packed piece.
+
+Defined cases: null texts count as empty and stay as they are; an empty text has no
+shingle and no benchmark item, so only exact dedup thins such rows; rows with a null id
+stay in the near-duplicate stage and go with their exact copies; rows of one id with
+different texts are judged apart; of copies the largest id stays, of a near-duplicate
+class the smallest; very long texts are read whole; extra columns are carried along, and
+their names clash with nothing; an empty table passes every stage empty.
 """
 
 from __future__ import annotations
@@ -21,7 +29,7 @@ from tidewatch.llm.exact_dedup import distinct_rows
 from tidewatch.llm.ngram_join import keep_one_per_class
 from tidewatch.llm.packing import pack
 from tidewatch.llm.queries import toxicity_model
-from tidewatch.llm.shared import shared_folder, table
+from tidewatch.llm.shared import delete_folder, shared_folder, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,8 +73,12 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         out = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(out)
         docs = spark.read.parquet(out)
+        if before:
+            delete_folder(spark, before)
+        before = out
     return docs
