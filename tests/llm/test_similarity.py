@@ -84,6 +84,45 @@ def test_depth_reaches_recall():
     assert depth == ngram_join.LEVELS or 1 - (1 - 0.8 ** (depth + 1)) ** ngram_join.TREES < ngram_join.RECALL
 
 
+def test_pair_depths_reach_recall_for_every_possible_similarity():
+    import numpy as np
+
+    for threshold in (0.5, 0.8, 0.9):
+        floor = ngram_join.stop_depth(threshold)
+        for total in range(2, 200):
+            depth = int(ngram_join.pair_depths(np.array([total]), threshold)[0])
+            possible = [c / (total - c) for c in range(1, total // 2 + 1) if c >= threshold * (total - c) - 1e-9]
+            least = min(possible, default=1.0)
+            assert depth == max(floor, ngram_join.stop_depth(least)), (threshold, total)
+    assert len(set(ngram_join.pair_depths(np.arange(2, 60), 0.8).tolist())) > 1
+
+
+def test_short_texts_of_every_size_against_brute_force(spark):
+    """Pairs whose sizes let their prefix stay long, and pairs whose sizes do not."""
+    random.seed(8)
+    pairs = []
+    for n in range(1, 45):
+        base = [f"s{n}x{i}" for i in range(n)]
+        for _ in range(4):
+            words = list(base)
+            words = words[random.randrange(2):] + [f"t{random.randrange(9)}" for _ in range(random.randrange(3))]
+            pairs.append((len(pairs), " ".join(words)))
+    df = spark.createDataFrame(pairs, "doc_id long, text string")
+    assert sorted((tuple(r) for r in near_duplicates(df).collect()), key=str) == near_by_force(pairs)
+
+
+def test_components_with_hubs(spark):
+    from tidewatch.llm.shared import HUB_LINKS, components
+
+    size = 3 * HUB_LINKS
+    star = [(10_000, 10_001 + i) for i in range(size)]  # one hub
+    chain = [(k, k + 1) for k in range(50, 90)] + [(90, 10_000 + size)]  # joined to the star's last leaf
+    other = [(i, 200_000) for i in range(100_000, 100_000 + size)]  # a hub that is its largest node
+    got = {r.node: r.label for r in components(spark.createDataFrame(star + chain + other + [(7, 7)], "a long, b long")).collect()}
+    nodes = {x for e in star + chain + other for x in e}
+    assert got == {x: 100_000 if x >= 100_000 else 50 for x in nodes}
+
+
 def test_common_shingles_both_ways():
     import numpy as np
 

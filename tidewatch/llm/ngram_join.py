@@ -7,13 +7,18 @@ word 5-gram shingles (64-bit hashes) is at least ``threshold``.
    MinHash values for ``TREES`` trees of ``LEVELS`` levels (16 bits a value).
    Texts of equal sets are one *class of copies*; only its representative goes
    on, so copies are never paired.
-2. A tree's label is its ``LEVELS`` values in order; sorting the labels gives the
-   tree's prefix trie. Two sets meet at depth d when they share a prefix of d
-   values in any tree. The shared prefix is shortened from the full label until
-   the predicted recall of pairs at the threshold, 1 - (1 - threshold**d)**TREES,
-   reaches ``RECALL``; that is the depth at which the trie is read.
-3. Members of a trie node with two or more sets are compared in tasks by all of
-   their MinHash values. A node with more than ``BLOCK_SETS`` members is split
+2. A tree's label is its ``LEVELS`` values in order; the sorted labels of a tree are
+   its prefix trie, and the sets that share a prefix with a set stand in one run
+   around it. A set starts at its longest matched prefix, and the prefix is shortened
+   value by value. How far depends on the two sets (``pair_depths``): shingles are whole
+   numbers, so two sets of together S shingles that reach the threshold have a smallest
+   possible similarity s(S) >= threshold, and the shortening ends for them at the longest
+   prefix of d values for which the predicted recall, 1 - (1 - s(S)**d)**TREES, reaches
+   ``recall``. No pair needs a shorter prefix than the threshold itself gives
+   (``stop_depth``): subtries below that prefix are the units that Spark shuffles.
+3. Members of such a subtrie with two or more sets are sorted by label in a task; pairs
+   that share a long enough prefix are compared by all of
+   their MinHash values. A subtrie with more than ``BLOCK_SETS`` members is split
    into blocks, and each pair of blocks is a task group of its own. A pair is
    taken only in the first tree where it meets, so it is seen once, and it is
    dropped only if its estimated similarity lies over 5 standard errors below
@@ -49,7 +54,7 @@ from pyspark.sql import functions as F
 from .shared import by_text_size, components, cut, id_text, small
 from .text_arrays import Words, lowered, mix, shingles
 
-TREES, LEVELS = 24, 6
+TREES, LEVELS = 24, 7
 RECALL = 0.9999
 BLOCK_SETS = 2048
 _U = np.uint64
@@ -68,6 +73,17 @@ def stop_depth(threshold: float, recall: float = RECALL, trees: int = TREES, lev
     return depth
 
 
+def pair_depths(total: np.ndarray, threshold: float, recall: float = RECALL) -> np.ndarray:
+    """The prefix to which two sets of together ``total`` shingles are followed:
+    ``stop_depth`` of the smallest similarity at or over ``threshold`` that sizes
+    of that sum allow."""
+    common = np.maximum(np.ceil(threshold * total / (1 + threshold) - 1e-9), 1)
+    similarity = np.minimum(common / np.maximum(total - common, 1), 1.0)
+    floor = stop_depth(threshold, recall)
+    enough = [(1 - (1 - recall) ** (1 / TREES)) ** (1 / d) for d in range(floor + 1, LEVELS + 1)]
+    return floor + np.searchsorted(np.array(enough), similarity - 1e-9, side="right")
+
+
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of every text."""
     words = Words(lowered(texts))
@@ -144,10 +160,16 @@ def _marks(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, TREES * LEVELS)
 
 
-def _meet(depth: int, threshold: float):
-    """Per group of a trie node: for each member, the places of its partners."""
+def _shared(same: np.ndarray) -> np.ndarray:
+    """Leading true values along the last axis."""
+    return np.where(same.all(axis=-1), LEVELS, same.argmin(axis=-1))
+
+
+def _meet(threshold: float, recall: float):
+    """Per subtrie (or pair of its blocks): for each member, the places of its partners."""
     values = TREES * LEVELS
     least = threshold - 5 * np.sqrt(threshold * (1 - threshold) / values)
+    floor = stop_depth(threshold, recall)
 
     def run(batches):
         for group in _groups(batches, ["bucket", "low", "high"]):
@@ -157,20 +179,29 @@ def _meet(depth: int, threshold: float):
             marks, n = _marks(group["marks"]), group["n"].to_numpy()
             tree, block = group["tree"].to_numpy(), group["block"].to_numpy()
             low, high = group["low"][0].as_py(), group["high"][0].as_py()
-            labels = marks.reshape(m, TREES, LEVELS)[:, :, :depth]
+            label = marks.reshape(m, TREES, LEVELS)[np.arange(m), tree]
+            beside = _shared(label[1:] == label[:-1])  # prefix shared with the next label in order
+            beside[tree[1:] != tree[:-1]] = 0
             found: list[tuple[int, np.ndarray]] = []
             for i in range(m - 1):
-                rest = slice(i + 1, m)
-                ok = (np.minimum(n[rest], n[i]) >= threshold * np.maximum(n[rest], n[i]) - 1e-9) & (tree[rest] == tree[i])
+                shared = np.minimum.accumulate(beside[i:])  # with every later label
+                run_end = i + 1 + int(np.searchsorted(-shared, -floor, side="right"))
+                rest = slice(i + 1, run_end)
+                need = pair_depths(n[rest] + n[i], threshold, recall)
+                ok = shared[:run_end - i - 1] >= need
+                ok &= np.minimum(n[rest], n[i]) >= threshold * np.maximum(n[rest], n[i]) - 1e-9
                 if low != high:
                     ok &= block[rest] != block[i]
-                j = np.flatnonzero(ok) + i + 1
+                j = np.flatnonzero(ok)
                 if not len(j):
                     continue
-                j = j[(marks[j] == marks[i]).mean(axis=1) >= least]
+                need, j = need[j], j + i + 1
+                same = marks[j] == marks[i]
+                close = same.mean(axis=1) >= least
+                j, need, same = j[close], need[close], same[close]
                 if len(j):  # only in the first tree where the two meet
-                    meets = (labels[j] == labels[i]).all(axis=2)
-                    j = j[meets.any(axis=1) & (meets.argmax(axis=1) == tree[i])]
+                    meets = _shared(same.reshape(len(j), TREES, LEVELS)) >= need[:, None]
+                    j = j[meets.argmax(axis=1) == tree[i]]
                 if len(j):
                     found.append((i, j))
             if not found:
@@ -283,10 +314,11 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str, reca
            .withColumn("block", F.pmod(F.xxhash64("node", "bucket"), blocks).cast("int"))
            .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
            .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-                   "block", "tree", "node", "n", "marks"))
+                   "block", "tree", "node", "n", "marks",
+                   F.substring(F.col("marks"), F.col("tree") * _WIDTH + 1, F.lit(_WIDTH)).alias("label")))
     group = ["bucket", "low", "high"]
-    pairs = cut(met.repartition(*group).sortWithinPartitions(*group, "node").mapInArrow(
-        _meet(depth, threshold),
+    pairs = cut(met.repartition(*group).sortWithinPartitions(*group, "tree", "label", "node").drop("label").mapInArrow(
+        _meet(threshold, recall),
         "bucket bigint, low int, high int, place int, node binary, n bigint, partners array<int>"))
 
     wanted = cut(pairs.select("node").distinct().join(nodes.select("node", "first"), "node"))

@@ -84,6 +84,7 @@ def crc32_mod(id_col: str, k: int):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % k
 
 BROADCAST_ROWS = 200_000  # of a few numbers each: some MB
+HUB_LINKS = 512  # links of one node that are joined as one key
 
 
 def small(df: DataFrame) -> DataFrame:
@@ -98,18 +99,31 @@ def components(edges: DataFrame) -> DataFrame:
 
     Every round takes the smallest label among a node's neighbours and then
     jumps to that label's own label, so rounds grow with the logarithm of a
-    component's diameter. Each round is cut; no link goes to the driver.
+    component's diameter. Each round is cut; no link goes to the driver. The links
+    of a hub (a node with over HUB_LINKS of them) are salted: they are spread over
+    parts of about HUB_LINKS links, and the hub's label is copied once for each part.
+    Only labels that have a smaller label of their own take part in the jump.
     """
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
+    links = edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct()
+    links = cut(links)
+    hubs = small(cut(links.groupBy(F.col("b").alias("hub")).agg(
+        F.ceil(F.count(F.lit(1)) / HUB_LINKS).cast("int").alias("parts")).where("parts > 1")))
+    parts = F.coalesce("parts", F.lit(1))
+    both = cut(links.join(hubs, links["b"] == hubs["hub"], "left")
+               .select("a", "b", F.pmod(F.xxhash64("a"), parts).cast("int").alias("salt")))
     labels = cut(both.groupBy("a").agg(F.least("a", F.min("b")).alias("label")).withColumnRenamed("a", "node"))
     while True:
-        near = (both.join(labels, both["b"] == labels["node"]).groupBy(both["a"].alias("node"))
-                .agg(F.min("label").alias("near")))
-        step = labels.join(near, "node").select("node", F.col("label").alias("old"),
-                                                F.least("label", "near").alias("next"))
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        new = cut(step.join(jump, "next", "left").select(
-            "node", "old", F.least("next", F.coalesce("far", "next")).alias("label")))
+        spread = labels.join(hubs, labels["node"] == hubs["hub"], "left").select(
+            "node", "label", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        near = (both.join(spread, (both["b"] == spread["node"]) & (both["salt"] == spread["part"]))
+                .groupBy(both["a"].alias("node")).agg(F.min("label").alias("near")))
+        step = cut(labels.join(near, "node").select("node", F.col("label").alias("old"),
+                                                    F.least("label", "near").alias("next")))
+        held = step.groupBy("next").agg(F.lit(1).alias("held"))  # a label that many nodes hold is looked up once
+        far = small(cut(held.join(labels, held["next"] == labels["node"]).where("label <> next")
+                        .select("next", F.col("label").alias("far"))))
+        new = cut(step.join(far, "next", "left").select(
+            "node", "old", F.coalesce("far", "next").alias("label")))
         labels = new.select("node", "label")
         if new.where("old <> label").isEmpty():
             return labels
