@@ -111,6 +111,16 @@ def test_short_texts_of_every_size_against_brute_force(spark):
     assert sorted((tuple(r) for r in near_duplicates(df).collect()), key=str) == near_by_force(pairs)
 
 
+def test_rows_of_a_set_with_many_copies(spark):
+    from tidewatch.llm.shared import HUB_LINKS
+
+    size = 2 * HUB_LINKS + 5
+    base = [f"word{i}" for i in range(40)]
+    pairs = [(3 + i % (size // 2), " ".join(base)) for i in range(size)] + [(1, " ".join([*base, "more"])), (2, "else")]
+    got = sorted(tuple(r) for r in near_duplicates(spark.createDataFrame(pairs, "doc_id long, text string")).collect())
+    assert got == sorted(near_by_force(pairs))
+
+
 def test_components_with_hubs(spark):
     from tidewatch.llm.shared import HUB_LINKS, components
 

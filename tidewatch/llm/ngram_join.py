@@ -51,7 +51,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import by_text_size, components, cut, id_text, small
+from .shared import HUB_LINKS, by_text_size, components, cut, id_text, small
 from .text_arrays import Words, lowered, mix, shingles
 
 TREES, LEVELS = 24, 7
@@ -338,7 +338,12 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str, reca
     result = nodes.select("node", "first", "copies").join(linked, "node", "left").select(
         "node", F.coalesce("class_first", "first").alias("first"),
         F.coalesce("links", F.lit(0).cast("bigint")).alias("n_links"), F.col("copies").alias("n_copies"))
-    have = features.where("node is not null").join(result, "node").select("id", "text_key", "first", "n_links", "n_copies")
+    parts = F.ceil(F.col("n_copies") / HUB_LINKS).cast("int")  # a set of very many copies: its rows are joined in parts
+    many = small(cut(nodes.select("node", F.col("copies").alias("n_copies")).where(parts > 1).select("node", parts.alias("parts"))))
+    spread = features.where("node is not null").join(many, "node", "left").withColumn(
+        "part", F.pmod(F.monotonically_increasing_id(), F.coalesce("parts", F.lit(1))).cast("int"))
+    have = (spread.join(result.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))), ["node", "part"])
+            .select("id", "text_key", "first", "n_links", "n_copies"))
     none = features.where("node is null").select(
         "id", "text_key", row.alias("first"), F.lit(0).cast("bigint").alias("n_links"), F.lit(1).cast("bigint").alias("n_copies"))
     return have.unionByName(none)
