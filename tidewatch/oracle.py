@@ -10,18 +10,12 @@ arithmetic here, because DuckDB divides decimals in floating point.
 
 from __future__ import annotations
 
-from tidewatch.functions.risk_rules import (
-    RECOMMENDATION_AMBER,
-    RECOMMENDATION_GREEN,
-    RECOMMENDATION_RED,
-    RECOMMENDATION_UNKNOWN,
-)
-from tidewatch.sources.testtables import AS_OF, RUN_TIME
-
-_RED_HEAD, _RED_TAIL = RECOMMENDATION_RED.split("{}")
-_AMBER_HEAD, _AMBER_TAIL = RECOMMENDATION_AMBER.split("{}")
-
 # Fixed values, written out here so that the oracle does not depend on the jobs.
+AS_OF, RUN_TIME, RUN_TIME_2 = "2024-01-29 12:00:00", "2024-02-01 00:00:00", "2024-02-02 00:00:00"
+RECOMMENDATION_GREEN = "Conditions are within configured operational limits."
+RECOMMENDATION_UNKNOWN = "Insufficient data for a complete operational assessment."
+_RED_HEAD, _RED_TAIL = "Suspend weather-sensitive operations; limiting parameter: ", "."
+_AMBER_HEAD, _AMBER_TAIL = "Proceed with caution and enhanced monitoring; limiting parameter: ", "."
 ATMOSPHERIC_SOURCE, MARINE_SOURCE = "Open-Meteo", "Open-Meteo Marine"
 PRICE_SOURCE, RIG_SOURCE, RISK_SOURCE = "EIA", "Baker Hughes", "Operational Risk Engine v1"
 
@@ -790,8 +784,29 @@ _TABLE_SRC = {
 }
 _GRAIN = "asset_id, forecast_reference_time, forecast_valid_time, source"
 
-
-from tidewatch.plans.quality import ALL_PRESENT, CHECKS, ROWS_ABSENT, ROWS_PRESENT  # noqa: E402
+# Name and expectation of each check, and the detail texts.
+CHECKS = {
+    "tables": ("Required tables", "11 required tables"),
+    "views": ("Required analytical views", "7 required views"),
+    "rows": ("{table} row count", "Greater than zero"),
+    "alignment": ("Historical weather table alignment", "Atmospheric, marine, and risk tables have equal row counts"),
+    "latest_alignment": ("Latest weather-run alignment", "Latest forecast run has equal row counts across all weather facts"),
+    "dup_atmospheric": ("Atmospheric duplicate grain", "Zero duplicate groups"),
+    "dup_marine": ("Marine duplicate grain", "Zero duplicate groups"),
+    "dup_risk": ("Risk duplicate grain", "Zero duplicate groups"),
+    "orphan_weather": ("Weather asset references", "Zero orphan asset keys"),
+    "orphan_marine": ("Marine asset references", "Zero orphan asset keys"),
+    "asset_locations": ("Active asset locations", "Every active asset has a location"),
+    "humidity": ("Relative humidity range", "All values between 0 and 100"),
+    "wave": ("Wave-height range", "No negative wave heights"),
+    "visibility": ("Visibility range", "No negative visibility"),
+    "levels": ("Operational risk categories", "Only GREEN, AMBER, RED, or UNKNOWN"),
+    "snapshot": ("Executive snapshot grain", "Exactly one row"),
+    "kpi_coverage": ("Asset KPI coverage", "One KPI row per active asset"),
+    "latest_forecast": ("Latest offshore forecast", "Greater than zero"),
+}
+ROWS_PRESENT, ROWS_ABSENT = "Dataset contains records.", "Dataset is empty."
+ALL_PRESENT = "All required {what} exist."
 
 
 def _check(check: str, passed: str, value: str, details: str = "NULL", src: str = "", **fmt: str) -> str:
@@ -917,8 +932,6 @@ SQL["src_silver_contract"] = q(
 SQL["constraint_violations"] = q("\nUNION ALL\n".join(_cvs))
 
 # -------------------------------------------------------- second deliveries
-from tidewatch.sources.testtables import RUN_TIME_2  # noqa: E402
-
 _season = ("CASE WHEN month(timestamp) IN (12, 1, 2) THEN 'Winter' WHEN month(timestamp) IN (3, 4, 5) THEN 'Spring' "
            "WHEN month(timestamp) IN (6, 7, 8) THEN 'Summer' ELSE 'Autumn' END")
 _weather_stamps = ("SELECT forecast_valid_time AS timestamp FROM o_atm UNION SELECT forecast_valid_time FROM o_mar "
