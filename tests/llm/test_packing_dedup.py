@@ -52,6 +52,23 @@ def test_pack_merges_up_the_tree_and_deals_out_large_levels(spark):
         assert used <= 1.1 * sum(r.length for r in packed) / 64  # partitions of 25 pieces, half of them over half a bin
 
 
+def test_no_two_bins_could_be_merged_at_any_number_of_groups(spark):
+    """Small and large pieces, with groups so small that bins are dealt anew."""
+    random.seed(11)
+    texts = [(i, " a" * random.choice([1, 5, 20, 33, 36, 40, 50, 58])) for i in range(3000)]
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(12)
+    used = set()
+    for max_items in (200_000, 400, 40):
+        packed = packing.pack(df, max_tokens=64, near=0, max_items=max_items).collect()
+        used.add(check_packed(packed, texts, 64))
+        fill: dict = {}
+        for r in packed:
+            fill[r.sequence_id] = fill.get(r.sequence_id, 0) + r.length
+        smallest = sorted(fill.values())[:2]
+        assert sum(smallest) > 64
+    assert max(used) <= 1.02 * min(used)
+
+
 def test_pack_odd_rows(odd, none):
     packed = packing.pack(odd).collect()
     assert sum(r.doc_id is None for r in packed) == 2 and sum(r.doc_id == 8 for r in packed) == 2

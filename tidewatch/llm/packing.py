@@ -4,15 +4,22 @@ Hierarchical residual packing. Each input partition tokenises its documents,
 cuts those longer than a sequence, and packs the pieces best-fit (largest
 first). Full and nearly full bins are final at once. Underfull bins go up a
 tree: ``fan_in`` neighbouring groups are merged, their bins are items of a new
-best-fit round, and so on up to the root. A group never holds more than
-``max_items`` bins: where a level would, its bins are dealt over more groups by
-hash, and rounds go on until one group is left or a round removes fewer than 5 percent of the bins.
+best-fit round, and so on up to the root. A group holds about ``max_items``
+bins at most: where a level would hold more, its bins are dealt over G groups by
+hash. Best fit leaves a group at most one bin that is half full or less, and two
+fuller bins never merge; so of such a round only that bin and the G emptiest others
+of every group go on (G bins can take the G small ones of all groups), the rest are
+closed. Rounds end with one group at every size, and then no two bins that are not
+nearly full could be merged. (Beyond max_items / 4 groups, 10^10 bins, a group
+hands on its max_items / 4 emptiest.)
 
 Only piece descriptors (about 50 bytes each) move between tasks, never texts or
 ids. Every round is cut in the shared checkpoint folder.
 
 Defined cases: null text is empty (its document is the end id alone); rows with
-a null or repeated id are packed like any other; an empty table gives no rows.
+a null or repeated id are packed like any other; a very long text is cut into as
+many pieces as it needs; of bins with equal room any may be chosen; an empty table
+gives no rows; only the id and the text are read, so no column's name can clash.
 """
 
 from __future__ import annotations
@@ -54,6 +61,7 @@ def _ranks(path: str) -> dict[bytes, int]:
 
 
 _RUN = 2000
+COMPARE = 50  # every so many texts of a task are encoded by tokenizers too
 
 
 def has_long_run(text: str) -> bool:
@@ -79,8 +87,8 @@ class Encoder:
     add_special_tokens=False: none is added, but the string of an added token
     of the file (``<|endoftext|>``) in a text is that token's one id.
     They are computed by ``tiktoken`` over the same vocabulary, which needs a
-    third of the time; the first text of every task is encoded by both, and a
-    difference stops the task. Texts with very long pre-tokens, on which the
+    third of the time; the first text of every task and every 50th after it are
+    encoded by both, and a difference stops the task. Texts with very long pre-tokens, on which the
     regular expression of ``tiktoken`` overflows its stack, are encoded by
     ``tokenizers`` itself.
     """
@@ -88,7 +96,7 @@ class Encoder:
     def __init__(self, path: str):
         import tiktoken
 
-        self._path, self._compared = path, False
+        self._path, self._seen = path, 0
         added = _added(path)
         encoding = tiktoken.Encoding("byte_bpe", pat_str=_SPLIT, mergeable_ranks=_ranks(path), special_tokens=added)
         self._encode = partial(encoding.encode, allowed_special=set(added), disallowed_special=())
@@ -97,10 +105,9 @@ class Encoder:
         if has_long_run(text):
             return np.array(reference_ids(self._path, text), dtype="<u4").tobytes()
         ids = self._encode(text)
-        if not self._compared:
-            self._compared = True
-            if ids != reference_ids(self._path, text):
-                raise ValueError("tiktoken and tokenizers differ on this vocabulary")
+        if self._seen % COMPARE == 0 and ids != reference_ids(self._path, text):
+            raise ValueError("tiktoken and tokenizers differ on this vocabulary")
+        self._seen += 1
         return np.array(ids, dtype="<u4").tobytes()
 
 
@@ -181,7 +188,8 @@ def _local(path: str, end_id: int, max_tokens: int, near: int):
     return run
 
 
-def _round(max_tokens: int, near: int, last: bool):
+def _round(max_tokens: int, near: int, last: bool, emptiest: int | None):
+    """``emptiest``: how many of a group's bins over half full go on (None: all)."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bin", "ascending"), ("offset", "ascending")])
         old = table["bin"].to_numpy()
@@ -193,6 +201,9 @@ def _round(max_tokens: int, near: int, last: bool):
         name = np.full(len(fill), np.iinfo(np.int64).max)
         np.minimum.at(name, where, bins)
         done = (fill >= max_tokens - near) | last
+        if emptiest is not None:
+            over = np.flatnonzero(2 * fill > max_tokens)
+            done[over[np.argsort(fill[over], kind="stable")][emptiest:]] = True
         keep = {n: table[n] for n in ("id", "piece", "start", "length", "ids_crc32", "grp")}
         return pa.table({**keep, "bin": name[where][which], "offset": offset + at[which],
                          "done": done[where][which]}).select(_ARROW.names).cast(_ARROW)
@@ -212,26 +223,24 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_to
 
         tokenizer_path = public_tokenizers.path("byte_bpe_50k.json")
     rows = cut(id_text(docs, id_col, text_col).mapInArrow(_local(tokenizer_path, end_id, max_tokens, near), PIECE))
-    finished, groups, before = [rows.where("done")], None, None
+    finished, groups, last = [rows.where("done")], None, False
     rest = rows.where("not done")
-    while True:
+    while not last:
         stats = rest.agg(F.count_if(F.col("offset") == 0).alias("bins"), F.max("grp").alias("top")).first()
         if not stats["bins"]:
             break
         groups = groups or int(stats["top"]) + 1
         fewer, bound = -(-groups // fan_in), -(-stats["bins"] // max_items)
         if fewer >= bound:  # up the tree: neighbours meet
-            deal = F.floor(F.col("grp") / F.lit(fan_in))
+            deal, emptiest = F.floor(F.col("grp") / F.lit(fan_in)), None
         else:  # too many underfull bins for one group each: deal them anew
             deal = F.pmod(F.xxhash64("bin", F.lit(groups), F.lit(stats["bins"])), F.lit(bound))
-        stuck = before is not None and fewer < bound and stats["bins"] > 0.95 * before
-        last = max(fewer, bound) == 1 or stuck
-        before, groups = stats["bins"], max(fewer, bound)
+            emptiest = min(bound, -(-max_items // 4))
+        groups = max(fewer, bound)
+        last = groups == 1
         done = cut(rest.withColumn("grp", deal.cast("bigint")).groupBy("grp")
-                   .applyInArrow(_round(max_tokens, near, last), PIECE))
+                   .applyInArrow(_round(max_tokens, near, last, emptiest), PIECE))
         finished.append(done.where("done"))
-        if last:
-            break
         rest = done.where("not done")
     out = finished[0]
     for df in finished[1:]:

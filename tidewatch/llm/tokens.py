@@ -15,10 +15,9 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .packing import _SPLIT, _added, _ranks, has_long_run
+from .packing import _SPLIT, COMPARE, _added, _ranks, has_long_run
 
 PART = 1 << 18  # characters
-COMPARE = 50  # every so many texts of a task are encoded by tokenizers too
 BLANK = "▁"  # fixed value: how sentencepiece writes a blank
 
 
