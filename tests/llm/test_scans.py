@@ -48,6 +48,58 @@ def test_markov_models_tell_random_from_ordinary(spark, docs):
     assert extra[1] == [(3, 3, 26)] and (SECRETS[4].index(KEY.upper()), 3, len(SECRETS[4])) in extra[2]
 
 
+def python_part(run, model, threshold=8.0):
+    """The random part of one run, by trying every part."""
+    at = [secrets.ALPHABET.index(c) for c in run]
+    ratio = [round(model[a * 67 + b], 5) for a, b in zip(at, at[1:], strict=False)]
+    best, begin, end = max(((sum(ratio[i:j]), i, j + 1) for i in range(len(ratio)) for j in range(i + 1, len(ratio) + 1)),
+                           key=lambda x: (round(x[0], 6), -x[1], -x[2]))
+    inner = run[begin:end]
+    if best <= threshold or len(inner) < 8 or not re.search("[0-9]", inner) or not re.search("[A-Za-z]", inner):
+        return None
+    while begin and run[begin - 1] not in "/=_-":
+        begin -= 1
+    while end < len(run) and run[end] not in "/=_-":
+        end += 1
+    return begin, end
+
+
+def planted(length, rng):
+    while True:
+        value = "".join(rng.choice(secrets.ALPHABET[:62]) for _ in range(length))
+        if re.search("[0-9]", value) and re.search("[A-Za-z]", value):
+            return value
+
+
+def test_random_parts_against_every_part_and_recall_by_length(spark, docs):
+    model, rng = secrets.train(docs), random.Random(2)
+    shapes = ["{}", "see {} here", "/einlichchlichberver/thanatlyreennder/{}", "ramiasmenteraado_{}", "é{}漢 and {}"]
+    texts = [rng.choice(shapes).replace("{}", planted(rng.choice([8, 9, 12, 16, 24]), rng)) for _ in range(200)]
+    texts += ["ordinary_identifier_2 of version12 chapter-3/section-14", "1234567890123", "abcdefghijkl", "a1" * 3, "/" * 50 + "a1b2c3d4"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(s.start, s.end) for s in r.found if s.kind == 3] for r in secrets.scan_secrets(df, model=model).collect()}
+    for i, text in enumerate(texts):
+        expected = []
+        for m in re.finditer(r"[A-Za-z0-9+/_=-]{8,}", text):
+            part = python_part(m[0], model) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0]) else None
+            if part:
+                expected.append((m.start() + part[0], m.start() + part[1]))
+        assert got[i] == expected, text
+    recall = {}
+    for length in (8, 10, 12, 16, 20, 32):
+        values = [(i, f"ramiasmenteraado {planted(length, rng)} einlich") for i in range(200)]
+        out = secrets.scan_secrets(spark.createDataFrame(values, "doc_id long, text string"), model=model).collect()
+        recall[length] = sum(any(s.start <= 17 and s.end >= 17 + length for s in r.found) for r in out) / 200
+    assert recall[8] >= 0.4 and recall[10] >= 0.85 and recall[12] >= 0.95 and recall[16] >= 0.99 and recall[32] >= 0.99
+
+
+def test_very_long_runs_of_secret_characters(spark):
+    long = ["z" * 1_000_000, "z" * 300_000 + "1", "Q" * 500_000 + "/x", "zx1" * 100_000]
+    df = spark.createDataFrame(list(enumerate(long)), "doc_id long, text string")
+    out = {r.doc_id: [tuple(s) for s in r.found] for r in secrets.scan_secrets(df, model=[0.1] * 67 * 67).collect()}
+    assert [out[i] for i in range(4)] == [[], [(0, 3, 300_001)], [], [(0, 3, 300_000)]]
+
+
 def test_secret_query(spark):
     out = queries.op2_secret_scan(spark, "/root/testdata/sf0.001")
     assert out.columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"] and out.count() == 200
