@@ -1076,6 +1076,19 @@ SELECT c_custkey AS request_index, CAST(c_custkey AS VARCHAR) AS asset_id, c_nam
 FROM customer
 """
 
+# The same readings, records and rows read back from landed files.
+SQL["silver_atmospheric_files"] = SQL["silver_atmospheric"]
+SQL["silver_price_landed"] = SQL["silver_price"]
+SQL["silver_rig_files"] = f"SELECT * EXCLUDE (source_file) FROM ({SQL['silver_rig']}) AS sheet"
+SQL["bronze_rig_rows"] = q(f"""
+SELECT region_raw AS region, country_raw AS country, target_raw AS drillfor, location_raw AS location,
+       status_raw AS rig_status, year_raw AS year, month_raw AS month, count_raw AS rig_count_value,
+       'rig_count_monthly.csv' AS source_file, TIMESTAMP '{RUN_TIME}' AS ingestion_time,
+       date_trunc('day', TIMESTAMP '{RUN_TIME}') AS ingest_date
+FROM o_rig_land""")
+DATE_COLUMNS.update({name: DATE_COLUMNS[like] for name, like in (
+    ("silver_rig_files", "silver_rig"), ("silver_price_landed", "silver_price")) if like in DATE_COLUMNS})
+
 
 def _dates_as_timestamps(name: str, sql: str) -> str:
     cols = DATE_COLUMNS.get(name)

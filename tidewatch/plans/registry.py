@@ -8,6 +8,7 @@ measures as DOUBLE.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,7 @@ from tidewatch.plans import views_weather as VW
 from tidewatch.plans import serving as SV
 from tidewatch.plans import quality as Q
 from tidewatch.plans.risk import risk_distribution
+from tidewatch.session import checkpoint_dir
 from tidewatch.sources.testtables import AS_OF, RUN_TIME
 
 HASH_KEYS = {
@@ -317,5 +319,69 @@ QUERIES.update({
 })
 
 
+# ---------------------------------------------------------- landed files
+# The stand-in inputs written as a feed's files in the shared folder, then read back.
+
+
+def _landing(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}"
+
+
+def _rig_sheet_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = _landing(spark)
+    TT.rig_sheet_rows(spark, sf_dir).select(*bronze.RIG_HEADER).write.option("header", True).csv(folder)
+    return bronze.read_rig_sheet(spark, folder)
+
+
+def _silver_rig_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet as CSV, header found by its cells (S06) -> Silver; header lines fail the Year coercion."""
+    return SIL.silver_rig(_rig_sheet_file(spark, sf_dir), RUN_TIME).drop("source_file")
+
+
+def _bronze_rig_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sheet rows kept as text in Bronze under their ingest date (K02), read back."""
+    root = _landing(spark)
+    bronze.write_bronze_rows(TT.rig_sheet_rows(spark, sf_dir).drop("source_file"), root, RUN_TIME, "rig_count_monthly.csv")
+    rows = spark.read.parquet(root)
+    return rows.select(*[F.col(f"`{c}`").alias(c.lower().replace(" ", "_")) for c in bronze.RIG_HEADER],
+                       "source_file", "ingestion_time", F.col("ingest_date").cast("timestamp_ntz").alias("ingest_date"))
+
+
+def _silver_price_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Price records landed as raw JSON, a record to a line under the ingest date (K01),
+    parsed by the fields that the feed holds (S04, R03, P04, P05) -> Silver."""
+    root, records = _landing(spark), TT.price_records(spark, sf_dir)
+    fields = [c for c in records.columns if c != "record_order"]
+    order = F.format_string("%012d-%09d-%012d-%012d-%020.4f-%s-%s", *[
+        F.col(f"record_order.{c}").cast("double" if c == "l_extendedprice" else "string" if c in TT.PRICE_RECORD_ORDER[5:7]
+                                        else "bigint") for c in TT.PRICE_RECORD_ORDER[:7]])
+    bronze.write_bronze_json(records.select(
+        F.lit("prices").alias("dataset"), F.lit(RUN_TIME).alias("ingestion_time"),
+        F.concat_ws("-", order, "period").alias("source_file"), F.lit(RUN_TIME).cast("timestamp").alias("file_time"),
+        F.lit(0).alias("pos"), F.to_json(F.struct(*[f"`{c}`" for c in fields])).alias("entry")), root)
+    return SIL.silver_price(bronze.landed_price_records(bronze.read_landed(spark, root)))
+
+
+def _silver_atmospheric_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast documents landed an asset to a line under their ingest date (K01, S03),
+    arrays checked and opened (F07, R01) -> Silver."""
+    root = _landing(spark)
+    bronze.write_bronze_json(TT.landed_forecast_assets(spark, sf_dir).select(
+        F.lit("atmospheric").alias("dataset"), "ingestion_time", "source_file",
+        F.lit(RUN_TIME).cast("timestamp").alias("file_time"), F.col("asset_pos").alias("pos"),
+        F.to_json(F.struct(F.col("asset").withField("asset_id", F.col("asset_id")).alias("asset"),
+                           F.struct("hourly").alias("api_response"))).alias("entry")), root)
+    hours, _ = bronze.landed_forecast_hours(bronze.read_landed(spark, root), "atmospheric", bronze.ATMOSPHERIC_ARRAYS)
+    return SIL.silver_atmospheric(hours)
+
+
+QUERIES.update({
+    "silver_rig_files": _silver_rig_files,
+    "bronze_rig_rows": _bronze_rig_rows,
+    "silver_price_landed": _silver_price_landed,
+    "silver_atmospheric_files": _silver_atmospheric_files,
+})
+
+
 def queries() -> dict[str, Query]:
     return {name: (lambda fn: (lambda spark, sf_dir: comparable(fn(spark, sf_dir))))(fn) for name, fn in QUERIES.items()}
