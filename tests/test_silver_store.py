@@ -5,10 +5,12 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from tests.test_sources import asset, doc, write
 from tidewatch.operators.contracts import ContractError
 from tidewatch.plans import build, runs, views_price as VP, views_rig as VR
-from tidewatch.sources import bronze
+from tidewatch.plans.silver import silver_price, silver_rig
+from tidewatch.sources import bronze, testtables as TT
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,3 +95,38 @@ def test_a_landed_document_is_parsed_by_many_tasks(spark, tmp):
     folder = bronze.land_entries(spark, f"{tmp}/none.json", f"{tmp}/bronze", "response.data", "2024-01-01 12:00:00")
     with pytest.raises(ContractError, match="no records"):
         bronze.landed_price_records(bronze.read_landed(spark, folder))
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rig_sheet_texts_are_cleaned_per_sheet_row_not_per_order(spark):
+    plan = silver_rig(TT.rig_sheet_rows(spark, SF), TT.RUN_TIME)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line and "o_orderdate" in line]
+    assert len(scans) == 1 and "RLIKE" not in scans[0] and "make_date" not in scans[0]
+
+
+def test_silver_tables_are_built_once_for_all_their_uses_in_a_view(spark):
+    plan = _final_plan(E.queries()["price_history"](spark, SF))
+    final = plan[:plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    for column in ("l_shipdate", "o_orderdate"):
+        assert len(re.findall(rf"FileScan parquet \[[^\]]*{column}", final)) == 1, column
+
+
+def test_silver_price_keeps_the_last_valid_record_of_differently_spelt_keys(spark):
+    rows = [
+        ("2024-01-01", "P", "Oil", 1.0, "S", "$", 1),
+        (" 2024-01-01", "P ", "Oil", 2.0, "S ", "$", 2),  # the same key, spelt otherwise
+        ("2024-01-01", "P", "Oil", -3.0, "S", "$", 3),  # no price: must not hide an earlier record
+        ("2024-01-01", "P", None, 4.0, "S", "$", 4),
+        ("2024-01-01", "P", "Oil", float("nan"), "S", "$", 5),
+        ("no day", "P", "Oil", 6.0, "S", "$", 6),
+        ("2024-01-02", "P", "Oil", 7.0, "S", None, 7),
+        ("2024-01-02", "P", "Oil", 8.0, "S", "$", 0),
+    ]
+    df = spark.createDataFrame(
+        rows, "period string, product string, `product-name` string, value double, series string, units string, record_order int")
+    got = sorted((str(r.timestamp)[:10], r.product_code, r.series, r.price_usd, r.record_order) for r in silver_price(df).collect())
+    assert got == [("2024-01-01", "P", "S", 2.0, 2), ("2024-01-02", "P", "S", 8.0, 0)]

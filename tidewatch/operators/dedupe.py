@@ -28,29 +28,37 @@ def _pick(
     keys: Sequence[str],
     order_by: Sequence[str | Column],
     largest: bool,
+    whole: bool = False,
 ) -> DataFrame:
     keys = list(keys)
-    payload = [c for c in df.columns if c not in keys]
+    payload = [c for c in df.columns if whole or c not in keys]
     if not payload:
         return df.select(*keys).distinct()
     pick = F.max_by if largest else F.min_by
     packed = F.struct(*[F.col(f"`{c}`") for c in payload])
     grouped = df.groupBy(*keys).agg(pick(packed, _order_struct(order_by)).alias(_PAYLOAD))
     out = grouped.select(
-        *keys, *[F.col(_PAYLOAD).getField(c).alias(c) for c in payload]
+        *[k for k in keys if k not in payload], *[F.col(_PAYLOAD).getField(c).alias(c) for c in payload]
     )
     return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:
+def keep_last(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column], whole: bool = False
+) -> DataFrame:
     """One row per ``keys``: the one that comes last in input order.
 
     ``order_by`` must describe input order (array position, file + row
     index, a sequence column).  Rows that tie on it must be identical in
     every kept column, otherwise the choice among them is arbitrary, which
     is what ``dropDuplicates`` would do anyway.
+
+    ``whole``: the key columns come out of the kept row as well. Conditions
+    put on the result then run on kept rows only (on a grouping key Spark
+    moves them down to every input row), so all uses of the result within a
+    query have one plan below here and share its shuffle.
     """
-    return _pick(df, keys, order_by, largest=True)
+    return _pick(df, keys, order_by, largest=True, whole=whole)
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

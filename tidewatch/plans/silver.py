@@ -133,9 +133,16 @@ def silver_price(records: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
 
     ``units`` defaults to UNKNOWN only when the column is absent; a NULL
     inside an existing column drops the row.  Optional columns are carried
-    only if present.  Keep-last by (timestamp, series) in record order.
+    only if present.  Keep-last by (timestamp, series) in record order, made
+    first by the texts as landed: records that spell period and series alike
+    have one key, so times and texts are read once for all of them.  What
+    differs between such records (a missing text, a bad price) is decided
+    before it.
     """
     require_columns(records, PRICE_REQUIRED, "price records")
+    records = records.dropna(subset=[c for c in [*PRICE_REQUIRED, "units"] if c in records.columns])
+    records = records.where(_as_number(records, "value") >= 0)
+    records = keep_last(records, ["period", "series"], ["record_order"], whole=True)
     units = X.trim_all(F.col("units").cast("string")) if "units" in records.columns else F.lit("UNKNOWN")
     optional = [
         X.trim_all(F.col(f"`{src}`").cast("string")).alias(dst)
@@ -155,7 +162,7 @@ def silver_price(records: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
     )
     out = out.dropna(subset=["timestamp", "product_code", "product", "price_usd", "unit", "source", "series"])
     out = out.where(F.col("price_usd") >= 0)
-    return keep_last(out, ["timestamp", "series"], ["record_order"])
+    return keep_last(out, ["timestamp", "series"], ["record_order"], whole=True)
 
 
 def silver_rig(rows: DataFrame, run_time: str, source: str = RIG_SOURCE) -> DataFrame:
@@ -199,7 +206,7 @@ def silver_rig(rows: DataFrame, run_time: str, source: str = RIG_SOURCE) -> Data
         F.lit(run_time).cast("timestamp_ntz").alias("ingestion_time"),
         F.col("record_order"),
     ).dropna(subset=["observation_date"])
-    return keep_last(df, RIG_GRAIN, ["record_order"])
+    return keep_last(df, RIG_GRAIN, ["record_order"], whole=True)
 
 
 def simple_weather_clean(hours: DataFrame, location_id: str, run_time: str) -> DataFrame:

@@ -175,24 +175,37 @@ def rig_sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
+    codes = {
+        "c_nationkey": F.col("c_nationkey"),
+        "oil": F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), 1).otherwise(0),
+        "offshore": F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), 1).otherwise(0),
+        "state": F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2),
+        "year": F.year("o_orderdate"),
+        "month": F.month("o_orderdate"),
+    }
+    # Orders are counted by codes; the texts are written from aggregated codes,
+    # so whatever a job does to a text runs per sheet row, never per order.
+    counted = o.join(c, o.o_custkey == c.c_custkey).select(*[e.alias(n) for n, e in codes.items()])
+    counted = counted.groupBy(*[F.col(n).alias(f"by_{n}") for n in codes]).agg(
+        F.count(F.lit(1)).alias("orders"), *[F.max(n).alias(n) for n in codes])
     rows = (
-        o.join(c, o.o_custkey == c.c_custkey)
-        .join(n, c.c_nationkey == n.n_nationkey)
+        counted.join(n, counted.c_nationkey == n.n_nationkey)
         .join(r, n.n_regionkey == r.r_regionkey)
         .select(
             F.col("r_name").alias("Region"),
             F.lower("n_name").alias("Country"),
-            F.when(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "oil").otherwise("GAS").alias("DrillFor"),
-            F.when(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"), " offshore ").otherwise("land").alias("Location"),
-            F.when(F.col("o_orderstatus") == "F", "active")
-            .when(F.col("o_orderstatus") == "O", "non-opec stacked")
+            F.when(F.col("oil") == 1, "oil").otherwise("GAS").alias("DrillFor"),
+            F.when(F.col("offshore") == 1, " offshore ").otherwise("land").alias("Location"),
+            F.when(F.col("state") == 0, "active")
+            .when(F.col("state") == 1, "non-opec stacked")
             .otherwise("o'neil 3rd party").alias("Rig Status"),
-            F.year("o_orderdate").cast("string").alias("Year"),
-            F.month("o_orderdate").cast("string").alias("Month"),
+            F.col("year").cast("string").alias("Year"),
+            F.col("month").cast("string").alias("Month"),
+            "orders",
         )
     )
     keys = ["Region", "Country", "DrillFor", "Location", "Rig Status", "Year", "Month"]
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).cast("string").alias("Rig Count Value")).select(
+    return rows.groupBy(*keys).agg(F.sum("orders").cast("string").alias("Rig Count Value")).select(
         *keys,
         "Rig Count Value",
         F.lit("rig_count_monthly.csv").alias("source_file"),
