@@ -1,5 +1,6 @@
 """Stored Silver: read contract, order of files, sheet header, newest slices."""
 
+import json
 import re
 
 import pytest
@@ -9,7 +10,7 @@ import __spark_entry__ as E
 from tests.test_sources import asset, doc, write
 from tidewatch.operators.contracts import ContractError
 from tidewatch.plans import build, runs, views_price as VP, views_rig as VR
-from tidewatch.plans.silver import silver_price, silver_rig
+from tidewatch.plans.silver import silver_atmospheric, silver_price, silver_rig
 from tidewatch.sources import bronze, testtables as TT
 
 SF = "/root/testdata/sf0.001"
@@ -130,3 +131,26 @@ def test_silver_price_keeps_the_last_valid_record_of_differently_spelt_keys(spar
         rows, "period string, product string, `product-name` string, value double, series string, units string, record_order int")
     got = sorted((str(r.timestamp)[:10], r.product_code, r.series, r.price_usd, r.record_order) for r in silver_price(df).collect())
     assert got == [("2024-01-01", "P", "S", 2.0, 2), ("2024-01-02", "P", "S", 8.0, 0)]
+
+
+def test_landed_lines_are_parsed_once_whatever_reads_their_fields(spark):
+    landed = spark.createDataFrame([("prices", "2024-01-01", "f", None, 0, json.dumps(
+        {"period": "2024-01-01", "product": "P", "product-name": "Oil", "value": "1.5", "series": "S", "units": "$"}))], bronze.LANDED)
+    found = silver_price(bronze.landed_price_records(landed))
+    assert [(r.product_code, r.price_usd, r.unit) for r in found.collect()] == [("P", 1.5, "$")]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") + plan.count("JsonToStructs") == 1
+
+
+def test_forecast_times_and_numbers_are_read_without_redundant_conditions(spark):
+    names = ["asset_id", "forecast_reference_time", "forecast_valid_time", *bronze.ATMOSPHERIC_ARRAYS,
+             "location_id", "latitude", "longitude", "source_file", "record_order"]
+    values = ["A", "2024-01-01T00:00Z", "2024-01-01T05:00+02:00", *["1.5"] * 8, "NaN", None, "12d", "inf", "f", "1"]
+    found = silver_atmospheric(spark.createDataFrame([tuple(values), (*values[:2], "never", *values[3:])],
+                                                     ", ".join(f"`{n}` string" for n in names)))
+    rows = found.collect()
+    assert [(r.forecast_horizon_hours, r.temperature_c, r.weather_code, r.latitude, r.longitude) for r in rows] == [
+        (3, 1.5, None, None, float("inf"))]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "isnan" not in plan.lower()
+    assert not any("floor" in line.lower() for line in plan.splitlines() if "Filter" in line)

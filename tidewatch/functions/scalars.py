@@ -57,15 +57,14 @@ def to_number(c: ColumnOrName, numeric_input: bool = False) -> Column:
     """Text (or number) -> double; unparseable text and NaN -> NULL.
 
     ``try_cast`` alone would accept forms like ``12d`` and ``NaN``; the
-    guard keeps only plain decimal / exponent numbers and infinities.
+    guard keeps only plain decimal / exponent numbers and infinities, so
+    what it lets through is never NaN and needs no second evaluation.
     """
     col = _col(c)
     if numeric_input:
-        value = col.cast("double")
-    else:
-        text = trim_all(col.cast("string"))
-        value = F.when(text.rlike(_NUMERIC_TEXT), text.try_cast("double"))
-    return nan_to_null(value)
+        return nan_to_null(col.cast("double"))
+    text = trim_all(col.cast("string"))
+    return F.when(text.rlike(_NUMERIC_TEXT), text.try_cast("double"))
 
 
 def nan_to_null(c: ColumnOrName) -> Column:

@@ -211,11 +211,13 @@ def landed_forecast_hours(landed: DataFrame, dataset: str, arrays: Sequence[str]
     entry_type = forecast_schema(arrays)["assets"].dataType.elementType
 
     def assets_of(lines: DataFrame) -> DataFrame:
-        parsed = lines.withColumn("entry", F.from_json("entry", entry_type))
+        # a generator's columns: the line is parsed once, not again for every use of a field
+        parsed = lines.select("source_file", "file_time", "ingestion_time", F.col("pos").alias("asset_pos"),
+                              F.inline(F.array(F.from_json("entry", entry_type))))
         return parsed.select(
-            "source_file", "file_time", "ingestion_time", F.col("pos").alias("asset_pos"),
-            X.trim_all(F.col("entry.asset.asset_id")).alias("asset_id"), F.col("entry.asset").alias("asset"),
-            F.col("entry.api_response.hourly").alias("hourly"))
+            "source_file", "file_time", "ingestion_time", "asset_pos",
+            X.trim_all(F.col("asset.asset_id")).alias("asset_id"), "asset",
+            F.col("api_response.hourly").alias("hourly"))
 
     def explain() -> None:
         if not landed.where(wrong).isEmpty():
@@ -295,8 +297,9 @@ def price_records(docs: DataFrame) -> DataFrame:
         raise ContractError("price file holds no records under response.data")
     fields = [f for f in PRICE_FIELDS if seen[f]]
     parsed = F.from_json("rec", T.StructType([T.StructField(f, STR) for f in fields]))
+    # a generator's columns: a record is parsed once, not again for every field and condition
     return docs.select(
-        *[parsed.getField(f).alias(f) for f in fields],
+        F.inline(F.array(parsed)),
         F.struct("file_time", "source_file", "pos").alias("record_order"),
     )
 
