@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from tests.test_sources import asset, doc, write
 from tidewatch.operators.contracts import ContractError
-from tidewatch.plans import build, runs, views_price as VP, views_rig as VR
+from tidewatch.plans import build, runs, views_price as VP, views_rig as VR, views_weather as VW
 from tidewatch.plans.silver import silver_atmospheric, silver_price, silver_rig
 from tidewatch.sources import bronze, testtables as TT
 
@@ -154,3 +154,15 @@ def test_forecast_times_and_numbers_are_read_without_redundant_conditions(spark)
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "isnan" not in plan.lower()
     assert not any("floor" in line.lower() for line in plan.splitlines() if "Filter" in line)
+
+
+def test_latest_global_run_limits_the_hours_that_are_rated(spark):
+    t = build.warehouse(spark, SF)
+    run = VW.latest_global_run(t)
+    plan = run._jdf.queryExecution().optimizedPlan().toString()
+    assert any("scalar-subquery" in line and "date_trunc(week" in line for line in plan.splitlines() if "Filter" in line)
+    risk = t["fact_operational_weather_risk"]
+    newest = risk.agg(F.max("forecast_reference_time")).first()[0]
+    expected = risk.where(F.col("forecast_reference_time") == F.lit(newest)).select(run.columns)
+    assert run.columns[0] == "forecast_reference_time" and run.count() == expected.count() > 0
+    assert run.exceptAll(expected).isEmpty()

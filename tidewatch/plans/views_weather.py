@@ -190,8 +190,10 @@ def latest_global_run(t: Tables) -> DataFrame:
     r = t["fact_operational_weather_risk"]
     if "run_date" in r.columns:  # stored fact: pruned to the newest partition at run time
         r = r.where(F.col("run_date") == r.agg(F.max("run_date")).scalar())
-    latest = r.agg(F.max("forecast_reference_time").alias("forecast_reference_time"))
-    return r.join(F.broadcast(latest), on="forecast_reference_time", how="inner")
+    # the latest run is a scalar subquery too: the condition reaches the rows that
+    # the risk is rated from, so other runs are neither shuffled nor rated
+    at = "forecast_reference_time"
+    return r.where(F.col(at) == r.agg(F.max(at)).scalar()).select(at, *[c for c in r.columns if c != at])
 
 
 def weather_run_summary(t: Tables) -> DataFrame:
