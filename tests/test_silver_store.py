@@ -156,6 +156,13 @@ def test_forecast_times_and_numbers_are_read_without_redundant_conditions(spark)
     assert not any("floor" in line.lower() for line in plan.splitlines() if "Filter" in line)
 
 
+def test_hours_of_the_time_dimension_do_not_shuffle_whole_forecast_keys(spark):
+    plan = build.warehouse(spark, SF)["dim_time"]._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(timestamp" in plan and "hashpartitioning(asset_id" not in plan
+    hours = build.silver_frames(spark, SF)["atmospheric"]
+    assert hours.count() == hours.select("asset_id", "forecast_reference_time", "forecast_valid_time", "source").distinct().count()
+
+
 def test_latest_global_run_limits_the_hours_that_are_rated(spark):
     t = build.warehouse(spark, SF)
     run = VW.latest_global_run(t)

@@ -18,6 +18,18 @@ _PAYLOAD = "__payload"
 _ORDER = "__order"
 
 
+def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` that hold every one of ``columns`` (texts or times).
+
+    The conditions are plain ones that Spark drops where an earlier step made
+    them already (``dropna`` tests its columns together and is kept each time),
+    however many steps ask again for a table's keys.
+    """
+    for c in columns:
+        df = df.where(F.col(f"`{c}`").isNotNull())
+    return df
+
+
 def _order_struct(order_by: Sequence[str | Column]) -> Column:
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])

@@ -99,8 +99,9 @@ def warehouse_from_silver(
 
     def stamps() -> DataFrame:
         # the risk hours are among the atmospheric ones; the key of the price
-        # fact holds the timestamp, so its keep-last cannot remove one
-        frames = [silver[n].select(F.col("forecast_valid_time").alias("timestamp"))
+        # fact holds the timestamp, so its keep-last cannot remove one. Hours are made
+        # distinct per frame: Spark then leaves out the shuffle of their whole keys
+        frames = [silver[n].select(F.col("forecast_valid_time").alias("timestamp")).distinct()
                   for n in ("atmospheric", "marine") if n in silver]
         if "price" in silver:
             frames.append(W.price_fact_input(silver["price"], deduplicated=True).select("timestamp"))

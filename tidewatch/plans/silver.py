@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from tidewatch.functions import scalars as X
 from tidewatch.operators.contracts import require_columns
-from tidewatch.operators.dedupe import keep_last
+from tidewatch.operators.dedupe import keep_last, present
 
 # The source label each job writes. It is part of the facts'
 # grain, so a re-delivery must carry the same label as the stored rows.
@@ -50,7 +50,7 @@ MARINE_NON_NEGATIVE = [
     "wave_height_m", "wave_period_s", "wind_wave_height_m",
     "swell_wave_height_m", "swell_wave_period_s", "ocean_current_velocity_kmh",
 ]
-FORECAST_GRAIN = ["asset_id", "forecast_reference_time", "forecast_valid_time", "source"]
+FORECAST_HOUR = ["asset_id", "forecast_reference_time", "forecast_valid_time"]
 PRICE_REQUIRED = ["period", "product", "product-name", "value", "series"]
 PRICE_OPTIONAL = {
     "duoarea": "area_code",
@@ -98,14 +98,16 @@ def _forecast(df: DataFrame, fields: dict[str, str], source: str, marine: bool)
         _as_number(df, "latitude").alias("latitude"),
         _as_number(df, "longitude").alias("longitude"),
         *measures,
-        F.lit(source).alias("source"),
         F.col("source_file").cast("string").alias("source_file"),
         F.col("record_order"),
     )
     # the horizon is there when both times are and never negative (X10): a
     # condition on it would only read both texts again
-    out = out.dropna(subset=["forecast_reference_time", "forecast_valid_time", "asset_id"])
-    return keep_last(out, FORECAST_GRAIN, ["record_order"]).drop("record_order")
+    out = present(out, ["forecast_reference_time", "forecast_valid_time", "asset_id"])
+    # one source a job: its label is no key of the keep-last, so that Spark sees
+    # where a use (distinct hours) needs no row per whole key
+    last = keep_last(out, FORECAST_HOUR, ["record_order"])
+    return last.select(*out.columns[:-2], F.lit(source).alias("source"), "source_file")
 
 
 def silver_atmospheric(hourly: DataFrame, source: str = ATMOSPHERIC_SOURCE) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidewatch import schemas as S
 from tidewatch.functions import scalars as X
 from tidewatch.operators.contracts import Watch, assert_keys_resolve, watch_keys
-from tidewatch.operators.dedupe import keep_first, keep_last
+from tidewatch.operators.dedupe import keep_first, keep_last, present
 from tidewatch.operators.upsert import align_schema, empty_like, insert_ignore, surrogate_key, upsert
 
 
@@ -51,7 +51,7 @@ def time_rows(timestamps: DataFrame, run_time: str, monthly: bool = False) -> Da
     """dim_time rows for distinct timestamps."""
     ts = F.col("timestamp")
     hour = F.lit(0) if monthly else F.hour(ts)
-    return timestamps.select(ts).dropna().distinct().select(
+    return present(timestamps.select(ts), ["timestamp"]).distinct().select(
         surrogate_key("timestamp").alias("time_key"),
         ts,
         F.to_date(ts).alias("date"),
@@ -183,7 +183,7 @@ def _resolved(df: DataFrame, dim: DataFrame | None, on, what: str, watches: list
 
 def forecast_fact_rows(silver: DataFrame, measures, key_name: str, run_time: str) -> DataFrame:
     """Silver forecast rows -> fact rows with surrogate keys."""
-    rows = silver.dropna(subset=["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
+    rows = present(silver, ["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
         surrogate_key("asset_id", "forecast_reference_time", "forecast_valid_time", "source").alias(key_name),
         surrogate_key("forecast_valid_time").alias("time_key"),
         surrogate_key("asset_id").alias("asset_key"),
@@ -309,7 +309,7 @@ def load_fact_rig_count(
 def merge_latest_runs(current: DataFrame, silver: DataFrame) -> DataFrame:
     """Each asset's latest forecast run after a batch: the stored maximum and the
     batch's (J11). Loads never remove a run, so a maximum stays one."""
-    batch = silver.dropna(subset=["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
+    batch = present(silver, ["asset_id", "forecast_reference_time", "forecast_valid_time"]).select(
         surrogate_key("asset_id").alias("asset_key"), "forecast_reference_time")
     return current.select(*batch.columns).unionByName(batch).groupBy("asset_key").agg(
         F.max("forecast_reference_time").alias("forecast_reference_time"))
