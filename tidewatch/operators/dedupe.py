@@ -46,6 +46,12 @@ def _pick(
     payload = [c for c in df.columns if whole or c not in keys]
     if not payload:
         return df.select(*keys).distinct()
+    if whole and largest and all(isinstance(c, str) for c in order_by):
+        # order columns come first in the kept row: one copy of each in sorts and shuffles
+        first = list(dict.fromkeys(order_by))
+        row = F.struct(*[F.col(f"`{c}`") for c in [*first, *[c for c in df.columns if c not in first]]])
+        grouped = df.groupBy(*keys).agg(F.max(row).alias(_PAYLOAD))
+        return grouped.select(*[F.col(_PAYLOAD).getField(c).alias(c) for c in df.columns])
     pick = F.max_by if largest else F.min_by
     packed = F.struct(*[F.col(f"`{c}`") for c in payload])
     grouped = df.groupBy(*keys).agg(pick(packed, _order_struct(order_by)).alias(_PAYLOAD))
@@ -68,7 +74,8 @@ def keep_last(
     ``whole``: the key columns come out of the kept row as well. Conditions
     put on the result then run on kept rows only (on a grouping key Spark
     moves them down to every input row), so all uses of the result within a
-    query have one plan below here and share its shuffle.
+    query have one plan below here and share its shuffle. The columns must be
+    of types that Spark can order (no maps).
     """
     return _pick(df, keys, order_by, largest=True, whole=whole)
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +31,7 @@ from tidewatch.plans import views_weather as VW
 from tidewatch.plans import serving as SV
 from tidewatch.plans import quality as Q
 from tidewatch.plans.risk import risk_distribution
-from tidewatch.session import checkpoint_dir
+from tidewatch.session import checkpoint_dir, shuffles_dropped
 from tidewatch.sources.testtables import AS_OF, RUN_TIME
 
 HASH_KEYS = {
@@ -347,18 +347,32 @@ def _bronze_rig_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        "source_file", "ingestion_time", F.col("ingest_date").cast("timestamp_ntz").alias("ingest_date"))
 
 
+def _order_texts() -> list[Column]:
+    """Landing order of a price record as texts that sort like its values; numbers above 0
+    are padded without a formatter."""
+    texts = []
+    for name, form, width in zip(TT.PRICE_RECORD_ORDER, ("%012d", "%09d", "%012d", "%012d", "%020.4f"), (12, 9, 12, 12, 20)):
+        price = form.endswith("f")
+        value = F.col(f"record_order.{name}").cast("double" if price else "bigint")
+        digits = (value.try_cast("decimal(20,4)") if price else value).cast("string")
+        padded = F.concat(F.repeat(F.lit("0"), F.lit(width) - F.length(digits)), digits)
+        texts.append(F.when((value > 0) & (value < 10**15), padded).otherwise(F.format_string(form, value)))
+    return [*texts, *[F.coalesce(F.col(f"record_order.{c}").cast("string"), F.lit("null")) for c in TT.PRICE_RECORD_ORDER[5:7]]]
+
+
 def _silver_price_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price records landed as raw JSON, a record to a line under the ingest date (K01),
     parsed by the fields that the feed holds (S04, R03, P04, P05) -> Silver."""
-    root, records = _landing(spark), TT.price_records(spark, sf_dir)
-    fields = [c for c in records.columns if c != "record_order"]
-    order = F.format_string("%012d-%09d-%012d-%012d-%020.4f-%s-%s", *[
-        F.col(f"record_order.{c}").cast("double" if c == "l_extendedprice" else "string" if c in TT.PRICE_RECORD_ORDER[5:7]
-                                        else "bigint") for c in TT.PRICE_RECORD_ORDER[:7]])
-    bronze.write_bronze_json(records.select(
-        F.lit("prices").alias("dataset"), F.lit(RUN_TIME).alias("ingestion_time"),
-        F.concat_ws("-", order, "period").alias("source_file"), F.lit(RUN_TIME).cast("timestamp").alias("file_time"),
-        F.lit(0).alias("pos"), F.to_json(F.struct(*[f"`{c}`" for c in fields])).alias("entry")), root)
+    root = _landing(spark)
+    with shuffles_dropped(spark):
+        for records in TT.price_record_parts(spark, sf_dir):
+            fields = [c for c in records.columns if c != "record_order"]
+            bronze.write_bronze_json(records.select(
+                F.lit("prices").alias("dataset"), F.lit(RUN_TIME).alias("ingestion_time"),
+                F.concat_ws("-", *_order_texts(), "period").alias("source_file"),
+                F.lit(RUN_TIME).cast("timestamp").alias("file_time"), F.lit(0).alias("pos"),
+                F.to_json(F.struct(*[f"`{c}`" for c in fields])).alias("entry"),
+            ), root, lines_per_file=bronze.PRICE_LINES_PER_FILE)
     return SIL.silver_price(bronze.landed_price_records(bronze.read_landed(spark, root)))
 
 

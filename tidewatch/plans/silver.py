@@ -145,6 +145,8 @@ def silver_price(records: DataFrame, source: str = PRICE_SOURCE) -> DataFrame:
     require_columns(records, PRICE_REQUIRED, "price records")
     records = records.dropna(subset=[c for c in [*PRICE_REQUIRED, "units"] if c in records.columns])
     records = records.where(_as_number(records, "value") >= 0)
+    used = {*PRICE_REQUIRED, "units", *PRICE_OPTIONAL, "record_order"}
+    records = records.select(*[F.col(f"`{c}`") for c in records.columns if c in used])
     records = keep_last(records, ["period", "series"], ["record_order"], whole=True)
     units = X.trim_all(F.col("units").cast("string")) if "units" in records.columns else F.lit("UNKNOWN")
     optional = [

@@ -8,6 +8,8 @@ configuration (shuffle partitions, checkpoint folder, ...) always wins.
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -69,3 +71,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():  # the setting itself is fixed once a session runs
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries begun inside remove their shuffle files when they end. For writes, whose
+    shuffles nobody reads again; else the files stay until the driver's garbage collector
+    finds them unused, often for the rest of the session."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)

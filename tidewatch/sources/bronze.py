@@ -262,6 +262,11 @@ def attach_by_position(responses: DataFrame, assets: DataFrame) -> DataFrame:
 # Names of the delivered files.
 PRICE_FIELDS = ["period", "product", "product-name", "value", "series", "units",
                 "duoarea", "area-name", "process", "process-name", "series-description"]
+# Lines in a compressed file of landed records (some 100 MB of plain text), and records that
+# one task reads at least once all cores have some: its keep-last finds more of the records
+# of a key before the shuffle.
+PRICE_LINES_PER_FILE = 250_000
+PRICE_RECORDS_PER_TASK = 1_500_000
 
 
 def read_price_records(spark: SparkSession, path: str) -> DataFrame:
@@ -297,6 +302,8 @@ def price_records(docs: DataFrame) -> DataFrame:
         raise ContractError("price file holds no records under response.data")
     fields = [f for f in PRICE_FIELDS if seen[f]]
     parsed = F.from_json("rec", T.StructType([T.StructField(f, STR) for f in fields]))
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    docs = docs.coalesce(max(cores, seen["n"] // PRICE_RECORDS_PER_TASK))
     # a generator's columns: a record is parsed once, not again for every field and condition
     return docs.select(
         F.inline(F.array(parsed)),
@@ -400,13 +407,19 @@ def write_bronze_rows(rows: DataFrame, root: str, ingest_time: str, source_file:
         "ingest_date").parquet(root)
 
 
-def write_bronze_json(df: DataFrame, root: str, ingest_time_col: str = "ingestion_time") -> None:
+def write_bronze_json(
+    df: DataFrame, root: str, ingest_time_col: str = "ingestion_time", lines_per_file: int | None = None
+) -> None:
     """Append landed documents under one folder per UTC ingest date.
 
-    The job commit protocol publishes all files of the write or none.
+    The job commit protocol publishes all files of the write or none. With
+    ``lines_per_file`` the lines are compressed, so many to a file at most: a
+    compressed file is one task's work wherever it is read.
     """
-    (df.withColumn("ingest_date", F.to_date(F.col(ingest_time_col).cast("timestamp")))
-       .write.mode("append").partitionBy("ingest_date").json(root))
+    writer = df.withColumn("ingest_date", F.to_date(F.col(ingest_time_col).cast("timestamp"))).write.mode("append")
+    if lines_per_file:
+        writer = writer.option("compression", "gzip").option("maxRecordsPerFile", lines_per_file)
+    writer.partitionBy("ingest_date").json(root)
 
 
 def write_silver(

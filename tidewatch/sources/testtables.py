@@ -149,8 +149,25 @@ def price_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = extended price, units = return flag, series = brand + flag,
     process = line status.  Column names are those of the source feed.
     """
-    li = table(spark, sf_dir, "lineitem")
-    p = table(spark, sf_dir, "part")
+    return _price_records(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"))
+
+
+def price_record_parts(spark: SparkSession, sf_dir: str, lines: int = 5_000_000, most: int = 4) -> list[DataFrame]:
+    """``price_records`` in up to ``most`` parts of about as many line items, cut by order
+    key, of ``lines`` and more: written one after the other, the joins of only one part
+    take up disk at a time."""
+    li, p = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part")
+    n = min(most, li.count() // lines)
+    key = F.col("l_orderkey")
+    cuts = li.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 1000)).first()[0] if n > 1 else None
+    parts, low = [], key.isNull()
+    for cut in sorted(set(cuts or [])):
+        parts.append(low & (key <= cut) if parts else low | (key <= cut))
+        low = key > cut
+    return [_price_records(li.where(c), p) for c in [*parts, low]] if parts else [_price_records(li, p)]
+
+
+def _price_records(li: DataFrame, p: DataFrame) -> DataFrame:
     return li.join(p, li.l_partkey == p.p_partkey).select(
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("period"),
         F.col("p_brand").alias("product"),
